@@ -23,5 +23,4 @@ def query(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from strandline.plans import (q_counting,  # noqa: F401
-                                  )
+    from strandline.plans import q_alignment, q_annotation, q_counting  # noqa: F401

@@ -27,7 +27,8 @@ _DEFAULTS = {
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "strandline") -> SparkSession:
     """Build (or reuse) a session with the library defaults."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

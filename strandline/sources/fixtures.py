@@ -305,6 +305,9 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} as ({DUCK_VIEWS[n][1].strip()})" for n in _closure(used))
     body = sql.strip()
+    m = re.match(r"(?is)^with\s+recursive\s", body)
+    if m:
+        return f"with recursive {ctes},\n{body[m.end():].lstrip()}"
     if re.match(r"(?is)^with\s", body):
         return f"with {ctes},\n{body[4:].lstrip()}"
     return f"with {ctes}\n{body}"
