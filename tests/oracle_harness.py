@@ -48,6 +48,23 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+_SPARK_TYPES = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                "BooleanType": "BOOLEAN", "ShortType": "SMALLINT", "ByteType": "TINYINT", "FloatType": "FLOAT",
+                "TimestampType": "TIMESTAMP", "DateType": "DATE"}
+
+
+def spark_types(schema) -> dict[str, str]:
+    out = {}
+    for f in schema.fields:
+        t = type(f.dataType).__name__
+        out[f.name] = _SPARK_TYPES.get(t, t)
+    return out
+
+
+def duck_types(rel) -> dict[str, str]:
+    return {name: str(t) for name, t in zip(rel.columns, rel.types)}
+
+
 def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> tuple[bool, str]:
     if sorted(spark_pdf.columns) != sorted(duck_pdf.columns):
         return False, f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(duck_pdf.columns)}"
@@ -71,7 +88,9 @@ def run(sf_dir: str, names: list[str] | None = None, spark=None) -> dict:
     for name in names or list(qs):
         t0 = time.time()
         try:
-            sp = qs[name](spark, sf_dir).toPandas()
+            sdf = qs[name](spark, sf_dir)
+            st = spark_types(sdf.schema)
+            sp = sdf.toPandas()
         except Exception as e:  # noqa: BLE001
             out[name] = (False, f"spark error: {str(e)[:400]}")
             print(name, out[name], flush=True)
@@ -81,8 +100,13 @@ def run(sf_dir: str, names: list[str] | None = None, spark=None) -> dict:
             out[name] = (True, f"no oracle, {len(sp)} rows")
         else:
             try:
-                dk = con.execute(sqls[name]).df()
+                rel = con.sql(sqls[name])
+                dt = duck_types(rel)
+                dk = rel.df()
                 out[name] = compare(sp, dk)
+                if out[name][0] and st != dt:
+                    diff = {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}
+                    out[name] = (False, f"types differ: {diff}")
             except Exception as e:  # noqa: BLE001
                 out[name] = (False, f"duckdb error: {str(e)[:400]}")
         print(f"{name}: {'OK ' if out[name][0] else 'BAD'} {out[name][1]}  ({t1 - t0:.1f}s)", flush=True)
