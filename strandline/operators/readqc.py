@@ -66,9 +66,10 @@ def per_base_content(reads: DataFrame) -> DataFrame:
     h = _base_histogram(reads)
     s = lambda b: F.sum(F.when(F.col("base") == b, F.col("n")).otherwise(0))
     acgt = F.sum(F.when(F.col("base").isin("A", "C", "G", "T"), F.col("n")).otherwise(0))
-    r = h.groupBy("sample", "position").agg(*[s(b).alias(f"_{b}") for b in "ACGT"], acgt.alias("_t"))
-    return r.where(F.col("_t") > 0).select(
-        "sample", "position", *[F.round(F.col(f"_{b}") * 100.0 / F.col("_t"), 6).alias(f"pct_{b}") for b in "ACGT"])
+    r = h.groupBy("sample", "position").agg(*[s(b).alias(f"_n{b}") for b in "ACGT"], acgt.alias("_total"))
+    return r.where(F.col("_total") > 0).select(
+        "sample", "position",
+        *[F.round(F.col(f"_n{b}") * 100.0 / F.col("_total"), 6).alias(f"pct_{b}") for b in "ACGT"])
 
 
 def gc_distribution(reads: DataFrame) -> DataFrame:

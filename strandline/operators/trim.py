@@ -25,30 +25,55 @@ N_BASE_LIMIT = 5
 
 
 def _keep(df: DataFrame, start: Column, length: Column) -> DataFrame:
-    """Keep ``length`` bases starting at 0-based ``start`` in both seq and qual."""
+    """Keep ``length`` bases starting at 0-based ``start`` in both seq and qual.
+
+    The new columns leave through a one-row ``inline`` generator: generator
+    outputs are plain attributes, so filters stacked on a trimmed read are not
+    rewritten by the optimizer into copies of the (array-scanning) trimming
+    expression.
+    """
     s = (start + 1).cast("int")
     n = F.greatest(length, F.lit(0)).cast("int")
-    others = [c for c in df.columns if c not in ("seq", "qual")]
-    return df.select(*others,
-                     F.when(n > 0, F.substring(F.col("seq"), s, n)).otherwise(F.lit("")).alias("seq"),
-                     F.when(n > 0, F.substring(F.col("qual"), s, n)).otherwise(F.lit("")).alias("qual"))
+    others = [c for c in df.columns if c not in ("seq", "qual") and not c.startswith("_")]
+    trimmed = F.struct(F.when(n > 0, F.substring(F.col("seq"), s, n)).otherwise(F.lit("")).alias("seq"),
+                       F.when(n > 0, F.substring(F.col("qual"), s, n)).otherwise(F.lit("")).alias("qual"))
+    return df.select(*others, F.inline(F.array(trimmed)))
+
+
+def adapter_pattern(adapter: str, *, min_overlap: int = ADAPTER_MIN_OVERLAP,
+                    error_rate: float = ADAPTER_ERROR_RATE) -> str:
+    """Regex whose leftmost match is the leftmost acceptable 3' adapter occurrence.
+
+    An occurrence at offset i compares read[i : i + L] with adapter[0 : L],
+    L = min(|adapter|, |read| - i) >= ``min_overlap``, allowing floor(L * error_rate)
+    substitutions (no indels).  The whole adapter may sit anywhere; a partial
+    one (L < |adapter|) must reach the read end.  Each allowed mismatch set is
+    one alternative with '.' at those positions, so the JVM regex engine does
+    the scan.
+    """
+    from itertools import combinations
+
+    a = adapter.upper()
+    alts = []
+    for length in range(len(a), min_overlap - 1, -1):
+        prefix = a[:length]
+        errors = int(length * error_rate)
+        anchor = "" if length == len(a) else "$"
+        for e in range(errors + 1):
+            for pos in combinations(range(length), e):
+                chars = list(prefix)
+                for j in pos:
+                    chars[j] = "."
+                alts.append("".join(chars) + anchor)
+    return "(?:" + "|".join(dict.fromkeys(alts)) + ")"
 
 
 def adapter_start(seq: str, adapter: str, *, min_overlap: int = ADAPTER_MIN_OVERLAP,
                   error_rate: float = ADAPTER_ERROR_RATE) -> Column:
-    """0-based start of the leftmost 3' adapter match, or the read length when none.
-
-    A match at offset i compares read[i : i + L] with adapter[0 : L], L = min(|adapter|,
-    |read| - i) >= ``min_overlap``, allowing floor(L * error_rate) mismatches
-    (substitutions only; no indels).
-    """
-    a = adapter.upper()
-    k = len(a)
-    return F.expr(f"""
-      coalesce(array_min(filter(sequence(0, greatest(length({seq}) - {min_overlap}, -1)),
-        i -> aggregate(sequence(0, least({k}, length({seq}) - i) - 1), 0,
-               (acc, j) -> acc + if(substring({seq}, i + j + 1, 1) = substring('{a}', j + 1, 1), 0, 1))
-             <= floor(least({k}, length({seq}) - i) * {error_rate}))), length({seq}))""")
+    """0-based start of the leftmost 3' adapter match, or the read length when none."""
+    pat = adapter_pattern(adapter, min_overlap=min_overlap, error_rate=error_rate)
+    hit = F.regexp_instr(F.col(seq), F.lit(pat))
+    return F.when(hit > 0, hit - 1).otherwise(F.length(seq))
 
 
 def trim_adapter(reads: DataFrame, adapter: str, *, mode: str = "a", min_overlap: int = ADAPTER_MIN_OVERLAP,
@@ -62,9 +87,9 @@ def trim_adapter(reads: DataFrame, adapter: str, *, mode: str = "a", min_overlap
         out = _keep(out, F.lit(0), adapter_start("seq", adapter, min_overlap=min_overlap, error_rate=error_rate))
     if mode in ("g", "b"):
         rev = out.withColumn("_rseq", F.reverse("seq"))
-        cut = adapter_start("_rseq", adapter[::-1], min_overlap=min_overlap, error_rate=error_rate)
-        rev = rev.withColumn("_cut", cut)
-        out = _keep(rev, F.length("seq") - F.col("_cut"), F.col("_cut")).drop("_rseq", "_cut")
+        rev = rev.withColumn("_cut", adapter_start("_rseq", adapter[::-1], min_overlap=min_overlap,
+                                                   error_rate=error_rate))
+        out = _keep(rev, F.length("seq") - F.col("_cut"), F.col("_cut"))
     return out
 
 
@@ -76,15 +101,15 @@ def trim_n(reads: DataFrame) -> DataFrame:
     return _keep(reads, lead, F.when(lead == ln, F.lit(0)).otherwise(ln - lead - trail))
 
 
-def quality_trim_index(qual: str = "qual", cutoff: int = QUALITY_CUTOFF) -> Column:
-    """BWA-style 3' trimming point: scan from the 3' end summing (cutoff - q), stop when the
-    sum turns negative, cut where it was largest."""
-    q = F.expr(f"transform(split({qual}, ''), c -> ascii(c) - 33)")
-    idx = F.sequence(F.size(q) - 1, F.lit(0), F.lit(-1))
-    init = F.struct(F.lit(0).alias("s"), F.lit(0).alias("mx"), F.size(q).alias("cut"), F.lit(False).alias("done"))
+def quality_trim_index(q: str = "_q", cutoff: int = QUALITY_CUTOFF) -> Column:
+    """BWA-style 3' trimming point over a decoded quality array column: scan from the 3'
+    end summing (cutoff - q), stop when the sum turns negative, cut where it was largest."""
+    qs = F.col(q)
+    n = F.size(qs)
+    init = F.struct(F.lit(0).alias("s"), F.lit(0).alias("mx"), n.alias("cut"), F.lit(False).alias("done"))
 
     def step(acc, i):
-        s = acc["s"] + F.lit(cutoff) - F.element_at(q, i + 1)
+        s = acc["s"] + F.lit(cutoff) - F.element_at(qs, i + 1)
         stop = acc["done"] | (s < 0)
         better = ~stop & (s > acc["mx"])
         return F.struct(F.when(stop, acc["s"]).otherwise(s).alias("s"),
@@ -92,8 +117,8 @@ def quality_trim_index(qual: str = "qual", cutoff: int = QUALITY_CUTOFF) -> Colu
                         F.when(better, i).otherwise(acc["cut"]).alias("cut"),
                         stop.alias("done"))
 
-    return F.when(F.size(q) > 0, F.aggregate(F.when(F.size(q) > 0, idx), init, step, lambda acc: acc["cut"])) \
-        .otherwise(F.lit(0))
+    idx = F.when(n > 0, F.sequence(n - 1, F.lit(0), F.lit(-1)))
+    return F.when(n > 0, F.aggregate(idx, init, step, lambda acc: acc["cut"])).otherwise(F.lit(0))
 
 
 def quality_trim_3p(reads: DataFrame, cutoff: int = QUALITY_CUTOFF) -> DataFrame:
@@ -102,7 +127,7 @@ def quality_trim_3p(reads: DataFrame, cutoff: int = QUALITY_CUTOFF) -> DataFrame
         return reads
     if cutoff < 0:
         cutoff = QUALITY_CUTOFF
-    return _keep(reads, F.lit(0), quality_trim_index("qual", cutoff))
+    return _keep(reads.withColumn("_q", quals("qual")), F.lit(0), quality_trim_index("_q", cutoff))
 
 
 def min_length(reads: DataFrame, length: int = MIN_LENGTH) -> DataFrame:
@@ -110,19 +135,20 @@ def min_length(reads: DataFrame, length: int = MIN_LENGTH) -> DataFrame:
     return reads.where(F.length("seq") >= length)
 
 
-def cut_tail_index(qual: str = "qual", window: int = CUT_TAIL_WINDOW, mean: int = CUT_TAIL_MEAN) -> Column:
-    """End (exclusive) kept by a 3'->5' sliding window: the last window whose mean quality
-    reaches ``mean``; 0 when none does."""
-    q = quals(qual)
-    w = F.least(F.size(q), F.lit(window))
-    starts = F.sequence(F.lit(0), F.size(q) - w)
-    ok = F.filter(starts, lambda s: F.aggregate(F.slice(q, s + 1, w), F.lit(0), lambda a, x: a + x) >= w * mean)
-    return F.when(F.size(q) == 0, F.lit(0)).otherwise(F.coalesce(F.array_max(ok) + w, F.lit(0)))
+def cut_tail_index(q: str = "_q", window: int = CUT_TAIL_WINDOW, mean: int = CUT_TAIL_MEAN) -> Column:
+    """End (exclusive) kept by a 3'->5' sliding window over a decoded quality array column:
+    the last window whose mean quality reaches ``mean``; 0 when none does."""
+    qs = F.col(q)
+    n = F.size(qs)
+    w = F.least(n, F.lit(window))
+    ok = F.filter(F.sequence(F.lit(0), n - w),
+                  lambda s: F.aggregate(F.slice(qs, s + 1, w), F.lit(0), lambda a, x: a + x) >= w * mean)
+    return F.when(n == 0, F.lit(0)).otherwise(F.coalesce(F.array_max(ok) + w, F.lit(0)))
 
 
 def cut_tail(reads: DataFrame, window: int = CUT_TAIL_WINDOW, mean: int = CUT_TAIL_MEAN) -> DataFrame:
     """T5: drop 3' bases while the window's mean quality is below ``mean``."""
-    return _keep(reads, F.lit(0), cut_tail_index("qual", window, mean))
+    return _keep(reads.withColumn("_q", quals("qual")), F.lit(0), cut_tail_index("_q", window, mean))
 
 
 def qualified_filter(reads: DataFrame, quality: int = QUALIFIED_QUALITY,

@@ -152,15 +152,17 @@ def fx_reads(spark, sf_dir):
     le = le.withColumn("sample", F.concat(F.lit("S"), (F.col("doc_id") % 6).cast("string"))) \
            .withColumn("n_chunks", F.ceil(F.length("letters") / READ_LENGTH).cast("bigint"))
     le = running_offset(le, ["sample"], "doc_id", "n_chunks", "first_ordinal")
-    chunks = le.select("sample", "doc_id", "letters", "first_ordinal",
-                       F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_chunks") - 1)).alias("k"))
-    piece = F.substring("letters", F.col("k").cast("int") * READ_LENGTH + 1, READ_LENGTH)
+    # one linear pass cuts the text into 100-letter chunks; the chunk is a generator output, so
+    # expressions pushed down onto seq/qual later stay O(read length)
+    chunks = le.select("sample", "doc_id", "first_ordinal",
+                       F.posexplode(F.regexp_extract_all("letters", F.lit(f".{{1,{READ_LENGTH}}}"), F.lit(0)))
+                       .alias("k", "piece"))
     return chunks.select(
         "sample",
         (F.col("first_ordinal") + F.col("k")).alias("ordinal"),
         F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("_"), F.col("k").cast("string")).alias("read_id"),
-        F.translate(piece, LETTERS, LETTER_BASES).alias("seq"),
-        F.translate(piece, LETTERS, LETTER_QUALS).alias("qual"),
+        F.translate("piece", LETTERS, LETTER_BASES).alias("seq"),
+        F.translate("piece", LETTERS, LETTER_QUALS).alias("qual"),
     )
 
 
@@ -255,7 +257,7 @@ select concat('ctg', cast(p_partkey % 200 as varchar)) as seqid, case when p_par
   cast(floor(p_partkey / 200) * 37 + 1 as bigint) as start_pos, cast(floor(p_partkey / 200) * 37 + 20 + p_size as bigint) as end_pos,
   case when p_partkey % 2 = 0 then '+' else '-' end as strand, concat('g', cast(p_partkey as varchar)) as gene_id from part"""),
     "fx_reads": (("fx_letters",), """
-select sample, first_ordinal + k as ordinal, concat('d', cast(doc_id as varchar), '_', cast(k as varchar)) as read_id,
+select sample, cast(first_ordinal + k as bigint) as ordinal, concat('d', cast(doc_id as varchar), '_', cast(k as varchar)) as read_id,
   translate(substring(letters, cast(k * 100 + 1 as integer), 100), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAN') as seq,
   translate(substring(letters, cast(k * 100 + 1 as integer), 100), 'abcdefghijklmnopqrstuvwxyz', 'IHGFEDCBA@?>=<;:98765430/#') as qual
 from (select sample, doc_id, letters, unnest(range(0, n_chunks)) as k,
