@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.alignment import (SECONDARY, SUPPLEMENTARY, UNMAPPED, cigar_blocks, fragment_strand,
                                             has_flag)
-from strandline.operators.intervals import DEFAULT_BIN, overlap_join
+from strandline.operators.intervals import overlap_join
 
 MODES = (0, 1, 2)
 ASSIGNED = "Assigned"
@@ -83,7 +83,7 @@ def aligned_blocks(alignments: DataFrame) -> DataFrame:
                     F.col("_b.start").alias("a_start"), F.col("_b.end").alias("a_end"))
 
 
-def fragment_assignments(alignments: DataFrame, feats: DataFrame, *, bin_size: int = DEFAULT_BIN) -> DataFrame:
+def fragment_assignments(alignments: DataFrame, feats: DataFrame, *, bin_size: int | None = None) -> DataFrame:
     """One row per fragment: for each mode m, ``lo_m``/``hi_m`` = min/max compatible feature key."""
     blocks = aligned_blocks(alignments)
     j = overlap_join(blocks, feats, left_cols=("a_chrom", "a_start", "a_end"),
@@ -95,7 +95,7 @@ def fragment_assignments(alignments: DataFrame, feats: DataFrame, *, bin_size: i
     return j.groupBy("sample", "frag_id").agg(*aggs)
 
 
-def tally(alignments: DataFrame, feats: DataFrame, *, bin_size: int = DEFAULT_BIN) -> DataFrame:
+def tally(alignments: DataFrame, feats: DataFrame, *, bin_size: int | None = None) -> DataFrame:
     """(sample, strand_mode, status, f_key, n): the shared core of all counting outputs."""
     fa = fragment_assignments(alignments, feats, bin_size=bin_size)
     per_mode = []
@@ -115,7 +115,7 @@ def _named(counts: DataFrame, feats: DataFrame) -> DataFrame:
 
 
 def count_features_all_strands(alignments: DataFrame, features: DataFrame, *, feature_type="gene", attribute="ID",
-                               id_column=None, bin_size: int = DEFAULT_BIN) -> DataFrame:
+                               id_column=None, bin_size: int | None = None) -> DataFrame:
     """long counts (sample, strand_mode, gene_id, count) for modes 0, 1, 2 from one join.
 
     Only non-zero counts are emitted; ``merge_counts`` fills zeros against the annotation.
@@ -136,7 +136,7 @@ def count_features(alignments: DataFrame, features: DataFrame, *, strand: int =
 
 
 def count_multi_overlap(alignments: DataFrame, features: DataFrame, *, strand: int = 0, feature_type="gene",
-                        attribute="ID", id_column=None, bin_size: int = DEFAULT_BIN) -> DataFrame:
+                        attribute="ID", id_column=None, bin_size: int | None = None) -> DataFrame:
     """F4 (-O): a fragment counts once for every compatible meta-feature it overlaps."""
     feats = meta_features(features, feature_type=feature_type, attribute=attribute, id_column=id_column)
     blocks = aligned_blocks(alignments)
@@ -148,7 +148,7 @@ def count_multi_overlap(alignments: DataFrame, features: DataFrame, *, strand: i
 
 
 def assignment_summary(alignments: DataFrame, features: DataFrame, *, feature_type="gene", attribute="ID",
-                       id_column=None, bin_size: int = DEFAULT_BIN) -> DataFrame:
+                       id_column=None, bin_size: int | None = None) -> DataFrame:
     """(sample, strand_mode, status, count) — Assigned / Unassigned_* per sample and mode."""
     feats = meta_features(features, feature_type=feature_type, attribute=attribute, id_column=id_column)
     t = tally(alignments, feats, bin_size=bin_size).groupBy("sample", "strand_mode", "status") \

@@ -21,6 +21,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+MIN_BIN, MAX_BIN = 64, 1 << 20
+
+
+def choose_bin_size(df: DataFrame, start: str, end: str) -> int:
+    """Bin width for a binned join: the 90th percentile interval length of ``df`` rounded up to a
+    power of two, within [64, 2^20].  Most intervals then touch one or two bins while a bin holds
+    only a few of them, so the per-bin candidate pairs stay small (one approximate-percentile job
+    over the annotation-side table)."""
+    p90 = df.agg(F.percentile_approx(F.col(end) - F.col(start) + 1, 0.9, 1000)).first()[0]
+    if not p90 or p90 <= 0:
+        return MIN_BIN
+    return int(min(MAX_BIN, max(MIN_BIN, 1 << (int(p90) - 1).bit_length())))
+
+
 def bins(start: str | Column, end: str | Column, bin_size: int) -> Column:
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
@@ -28,7 +42,7 @@ def bins(start: str | Column, end: str | Column, bin_size: int) -> Column:
 
 
 def overlap_join(left: DataFrame, right: DataFrame, *, left_cols: tuple[str, str, str],
-                 right_cols: tuple[str, str, str], bin_size: int = DEFAULT_BIN, how: str = "inner",
+                 right_cols: tuple[str, str, str], bin_size: int | None = None, how: str = "inner",
                  broadcast_right: bool | None = None, once: bool = True) -> DataFrame:
     """All pairs (l, r) on the same chrom whose closed intervals overlap.
 
@@ -36,12 +50,15 @@ def overlap_join(left: DataFrame, right: DataFrame, *, left_cols: tuple[str, str
     pair only in its first shared bin, so no ``distinct`` is needed.  With
     ``how='left_bins'`` every (left row, bin) is kept with the overlapping right
     rows attached, or nulls: for callers that aggregate per left row.
+    ``bin_size=None`` derives the width from the right side (``choose_bin_size``).
     ``broadcast_right=None`` broadcasts the right side when its row count is
     below ``BROADCAST_MAX_ROWS`` (annotation tables); otherwise the bins are
     shuffled on ``(chrom, bin)`` and AQE splits skewed bins.
     """
     lc, ls, le = left_cols
     rc, rs, re_ = right_cols
+    if bin_size is None:
+        bin_size = choose_bin_size(right, rs, re_)
     lb = left.withColumn("_lbin", F.explode(bins(ls, le, bin_size)))
     rb = right.withColumn("_rbin", F.explode(bins(rs, re_, bin_size)))
     if broadcast_right is None:
@@ -63,13 +80,14 @@ def overlap_join(left: DataFrame, right: DataFrame, *, left_cols: tuple[str, str
 
 
 def depth_segments(intervals: DataFrame, *, key_cols: list[str], start: str = "start", end: str = "end",
-                   tile: int = 1_000_000) -> DataFrame:
+                   tile: int = 1 << 16) -> DataFrame:
     """Constant-depth segments of a set of closed intervals.
 
     Returns ``key_cols + [seg_start, seg_end, depth]`` covering every position with
     depth > 0, with 1-based closed coordinates.  Built from +1/-1 events; the
     running sum is done per ``(key, tile)`` with a carry-in from earlier tiles,
-    so no task ever holds a whole chromosome.
+    so no task ever holds a whole chromosome: events are unique per position, so a window
+    partition never exceeds ``tile`` rows however deep the coverage.
     """
     ev = intervals.select(*key_cols, F.col(start).cast("bigint").alias("p"), F.lit(1).alias("d")).unionByName(
         intervals.select(*key_cols, (F.col(end).cast("bigint") + 1).alias("p"), F.lit(-1).alias("d")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.alignment import (DUPLICATE, PROPER_PAIR, QC_FAIL, SECONDARY, UNMAPPED, cigar_blocks,
                                             has_flag, junctions, read_strand)
-from strandline.operators.intervals import DEFAULT_BIN, fits_broadcast, overlap_join
+from strandline.operators.intervals import fits_broadcast, overlap_join
 
 # Defaults of the tools' command lines.
 INNER_DISTANCE_LOWER, INNER_DISTANCE_UPPER, INNER_DISTANCE_STEP = -250, 250, 5
@@ -109,7 +109,7 @@ def junction_saturation(alignments: DataFrame, exons: DataFrame, *, bucket: Colu
 
 
 def infer_experiment(alignments: DataFrame, genes: DataFrame, *, mapq: int = MAPQ_CUTOFF,
-                     bin_size: int = DEFAULT_BIN) -> DataFrame:
+                     bin_size: int | None = None) -> DataFrame:
     """Share of reads whose strand agrees (++,--) or disagrees (+-,-+) with the overlapped genes'.
 
     Uniquely mapped records with MAPQ >= ``mapq`` are used.  A read overlapping

@@ -46,20 +46,33 @@ def _strands(reference: DataFrame) -> DataFrame:
     return fwd.unionByName(rev).withColumn("rlen", F.length("rseq"))
 
 
-def _index(strands: DataFrame, piece_len: int) -> DataFrame:
-    """(piece, name, strand, pos0): every piece_len-mer of every reference strand."""
-    pos = F.explode(F.sequence(F.lit(0), F.col("rlen") - piece_len)).alias("pos0")
-    x = strands.where(F.col("rlen") >= piece_len).select("name", "strand", "rseq", pos)
-    return x.select(F.expr(f"substring(rseq, pos0 + 1, {piece_len})").alias("piece"), "name", "strand", "pos0")
-
-
-def _read_pieces(reads: DataFrame, piece_len: int, min_len: int, max_len: int | None) -> DataFrame:
+def _index(strands: DataFrame) -> DataFrame:
+    """(piece_len, piece, name, strand, pos0): every k-mer of every reference strand, for each tier's k."""
+    parts = []
+    for piece_len, _ in PIECE_TIERS:
+        pos = F.explode(F.sequence(F.lit(0), F.col("rlen") - piece_len)).alias("pos0")
+        x = strands.where(F.col("rlen") >= piece_len).select("name", "strand", "rseq", pos)
+        parts.append(x.select(F.lit(piece_len).alias("piece_len"),
+                              F.expr(f"substring(rseq, pos0 + 1, {piece_len})").alias("piece"), "name", "strand", "pos0"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _read_pieces(reads: DataFrame) -> DataFrame:
+    """One pass over the reads: the seed pieces of the read's tier, plus one marker row (piece null)
+    so every read reaches the final per-read aggregation without a second scan or join."""
     ln = F.length("seq")
-    r = reads.where((ln >= min_len) & ((ln < max_len) if max_len else F.lit(True)))
-    k = F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("k")
-    x = r.select("sample", "read_id", "seq", "qual", k)
-    return x.select("sample", "read_id", "seq", "qual", (F.col("k") * piece_len).alias("offset"),
-                    F.expr(f"substring(seq, cast(k * {piece_len} + 1 as int), {piece_len})").alias("piece"))
+    tier_len = F.lit(None).cast("int")
+    for piece_len, min_len in reversed(PIECE_TIERS):
+        tier_len = F.when(ln >= min_len, F.lit(piece_len)).otherwise(tier_len)
+    r = reads.select("sample", "read_id", "seq", "qual", tier_len.alias("piece_len"))
+    ks = F.when(F.col("piece_len").isNotNull(), F.sequence(F.lit(-1), F.lit(PIECES - 1))).otherwise(F.array(F.lit(-1)))
+    x = r.select("*", F.explode(ks).alias("k"))
+    piece = F.when(F.col("k") >= 0, F.expr("substring(seq, cast(k * piece_len + 1 as int), piece_len)"))
+    return x.select("sample", "read_id", "seq", "qual", "piece_len", (F.col("k") * F.col("piece_len")).alias("offset"),
+                    piece.alias("piece"))
 
 
 def _mismatch_stats(read_seq: Column, read_qual: Column, ref_window: Column) -> Column:
@@ -78,35 +91,31 @@ def _mismatch_stats(read_seq: Column, read_qual: Column, ref_window: Column) ->
 def screen_contaminants(reads: DataFrame, reference: DataFrame) -> DataFrame:
     """(sample, read_id, screened, aligned) for every read.
 
-    The reference (both strands) is broadcast after a base-count check, so the
-    reads are never shuffled for the join; candidates are verified in the JVM
-    and reduced to one flag per read.
+    The reference index (both strands) is broadcast after a base-count check,
+    so reads are scanned once and never shuffled for the join; candidates get a
+    JVM edit-distance prefilter on the seed, then the exact per-base check, and
+    one map-side-combined aggregation reduces everything to a flag per read.
     """
     strands = _strands(reference)
-    small = fits_broadcast(strands) and strands.agg(F.sum("rlen")).first()[0] or 0
-    use_broadcast = 0 < small <= BROADCAST_MAX_BASES
-    hits = None
-    upper = None
-    for piece_len, min_len in PIECE_TIERS:
-        idx = _index(strands, piece_len)
-        idx = F.broadcast(idx) if use_broadcast else idx
-        rp = _read_pieces(reads, piece_len, min_len, upper)
-        # a read may reach the same start from up to 3 pieces; verifying twice is cheaper than a distinct
-        cand = rp.join(idx, "piece").select("sample", "read_id", "seq", "qual", "name", "strand",
-                                           (F.col("pos0") - F.col("offset")).alias("start0"))
-        hits = cand if hits is None else hits.unionByName(cand)
-        upper = min_len
-    ref = F.broadcast(strands) if use_broadcast else strands
-    c = hits.where(F.col("start0") >= 0).join(ref, ["name", "strand"]) \
-        .where(F.col("start0") + F.length("seq") <= F.col("rlen"))
+    bases = strands.agg(F.sum("rlen")).first()[0] if fits_broadcast(strands) else None
+    use_broadcast = bases is not None and bases <= BROADCAST_MAX_BASES
+    idx = _index(strands)
+    ref = strands.select("name", "strand", "rseq", "rlen")
+    if use_broadcast:
+        idx, ref = F.broadcast(idx), F.broadcast(ref)
+    rp = _read_pieces(reads)
+    j = rp.join(idx, ["piece_len", "piece"], "left") \
+          .withColumn("start0", F.col("pos0") - F.col("offset")).join(ref, ["name", "strand"], "left")
+    fits = F.col("start0").isNotNull() & (F.col("start0") >= 0) & (F.col("start0") + F.length("seq") <= F.col("rlen"))
+    # edit distance never exceeds Hamming distance: a seed with <= 2 mismatches has levenshtein <= 2
+    seed_read = F.substring("seq", 1, SEED_LENGTH)
+    seed_ref = F.expr(f"substring(rseq, cast(start0 + 1 as int), least(length(seq), {SEED_LENGTH}))")
+    cand = fits & (F.levenshtein(seed_read, seed_ref, SEED_MISMATCHES) >= 0)
     window = F.expr("substring(rseq, cast(start0 + 1 as int), length(seq))")
-    v = c.select("sample", "read_id", _mismatch_stats(F.col("seq"), F.col("qual"), window).alias("_m"))
-    ok = v.where((F.col("_m.seed_mm") <= SEED_MISMATCHES) & (F.col("_m.qsum") <= MAX_QUALITY_SUM)) \
-          .select("sample", "read_id").distinct().withColumn("_hit", F.lit(True))
-    shortest = PIECE_TIERS[-1][1]
-    return reads.select("sample", "read_id", (F.length("seq") >= shortest).alias("screened")) \
-        .join(ok, ["sample", "read_id"], "left") \
-        .select("sample", "read_id", "screened", F.coalesce(F.col("_hit"), F.lit(False)).alias("aligned"))
+    m = _mismatch_stats(F.col("seq"), F.col("qual"), window)
+    hit = F.when(cand, (m["seed_mm"] <= SEED_MISMATCHES) & (m["qsum"] <= MAX_QUALITY_SUM)).otherwise(F.lit(False))
+    return j.groupBy("sample", "read_id").agg(F.max(F.col("piece_len").isNotNull()).alias("screened"),
+                                              F.max(hit).alias("aligned"))
 
 
 def contamination_rate(screened: DataFrame) -> DataFrame:
