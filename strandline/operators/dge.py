@@ -350,3 +350,18 @@ def slim_results(results: DataFrame) -> DataFrame:
 
 def harmonic(m: int) -> float:
     return math.fsum(1.0 / i for i in range(1, m + 1))
+
+
+def guess_design(samples: DataFrame, column: str = "sample") -> DataFrame:
+    """(label, condition) guessed from sample names: a trailing replicate number
+    (optionally preceded by '_', '.', '-' and/or 'rep') is removed."""
+    return samples.select(F.col(column).alias("label"),
+                          F.regexp_replace(F.col(column), r"[_.-]?(rep)?\d+$", "").alias("condition")).distinct()
+
+
+def target_table(files: DataFrame, column: str = "file", suffix: str = "_feature.out") -> DataFrame:
+    """target rows from count file names: label = name minus suffix, condition = label, replicat = X."""
+    name = F.regexp_extract(F.col(column), r"([^/]*)$", 1)
+    label = F.regexp_replace(name, suffix.replace(".", r"\.") + "$", "")
+    return files.select(label.alias("label"), name.alias("files"), label.alias("condition"),
+                        F.lit("X").alias("replicat"))

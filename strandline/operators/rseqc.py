@@ -173,3 +173,23 @@ def clipping_profile(alignments: DataFrame) -> DataFrame:
         F.when(lead > 0, F.sequence(F.lit(0), lead - 1)).otherwise(F.array().cast("array<int>")),
         F.when(trail > 0, F.sequence(rlen - trail, rlen - 1)).otherwise(F.array().cast("array<int>")))).alias("position"))
     return x.groupBy("position").agg(F.count(F.lit(1)).alias("clipped"))
+
+
+def read_gc(reads: DataFrame) -> DataFrame:
+    """Reads by GC% (two decimals) over all bases of the read."""
+    from strandline.functions.sequence import gc_count
+
+    gc = F.round(gc_count("seq") * 100.0 / F.length("seq"), 2)
+    return reads.where(F.length("seq") > 0).groupBy(gc.alias("gc_percent")).agg(F.count(F.lit(1)).alias("reads"))
+
+
+def transcripts_to_features(quant: DataFrame, features: DataFrame, *, attribute: str, id_attribute: str = "ID",
+                            feature_type: str | None = None) -> DataFrame:
+    """A3: transcript-level estimates summed per feature attribute value: (sample, feature, num_reads)."""
+    f = features if feature_type is None else features.where(F.col("type") == feature_type)
+    m = f.select(F.col("attributes")[id_attribute].alias("transcript"), F.col("attributes")[attribute].alias("feature")) \
+        .where(F.col("feature").isNotNull()).distinct()
+    if fits_broadcast(m):
+        m = F.broadcast(m)
+    return quant.join(m, "transcript").groupBy("sample", "feature").agg(
+        F.round(F.sum("num_reads"), 6).alias("num_reads"))

@@ -218,3 +218,21 @@ def trim_summary(before: DataFrame, after: DataFrame) -> DataFrame:
 def trimming_off(reads: DataFrame) -> DataFrame:
     """Trimming disabled, reads flow through unchanged."""
     return reads
+
+
+def detect_adapters(reads: DataFrame, *, k: int = 12, top: int = 5, buckets: int = 64) -> DataFrame:
+    """T10 (single end): the ``top`` most frequent 3' tail k-mers per sample, as adapter candidates.
+
+    Exact top-k in two stages so no task ranks all distinct k-mers of a sample:
+    rank inside (sample, hash bucket of the k-mer), keep each bucket's top k,
+    then rank those few rows per sample.  Ties: smaller k-mer first.
+    """
+    from pyspark.sql import Window
+
+    tails = reads.where(F.length("seq") >= k).select("sample", F.expr(f"substring(seq, -{k}, {k})").alias("kmer"))
+    c = tails.groupBy("sample", "kmer").agg(F.count(F.lit(1)).alias("count"))
+    c = c.withColumn("_b", F.pmod(F.xxhash64("kmer"), F.lit(buckets)))
+    w1 = Window.partitionBy("sample", "_b").orderBy(F.desc("count"), "kmer")
+    c = c.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= top)
+    w2 = Window.partitionBy("sample").orderBy(F.desc("count"), "kmer")  # at most buckets x top rows
+    return c.select("sample", "kmer", "count", F.row_number().over(w2).alias("rank")).where(F.col("rank") <= top)

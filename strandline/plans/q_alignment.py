@@ -154,3 +154,23 @@ select sample, count(*) as total_records, count(*) filter (where (flag // 512) %
 from fx_alignments group by sample""")
 def q_alignment_stats(spark, sf_dir):
     return R.alignment_stats(fx.fx_alignments(spark, sf_dir))
+
+
+@query("read_gc", oracle="""
+select round((length(seq) - length(regexp_replace(seq, '[GCgc]', '', 'g'))) * 100.0 / length(seq), 2) as gc_percent,
+  count(*) as reads from fx_reads where length(seq) > 0 group by all""")
+def q_read_gc(spark, sf_dir):
+    return R.read_gc(fx.fx_reads(spark, sf_dir))
+
+
+@query("transcripts_to_features", oracle="""
+select c.sample, f.biotype as feature, round(sum(cast(c.n as double)), 6) as num_reads
+from fx_counts c join fx_features f on f.gene_id = c.gene_id
+where f.biotype <> 'ECONOMY' group by c.sample, f.biotype""")
+def q_transcripts_to_features(spark, sf_dir):
+    """A3: per-transcript estimates (here the count table) summed per biotype attribute."""
+    from strandline.plans.q_counting import annotation
+
+    quant = fx.fx_counts(spark, sf_dir).select("sample", F.col("gene_id").alias("transcript"),
+                                               F.col("n").cast("double").alias("num_reads"))
+    return R.transcripts_to_features(quant, annotation(spark, sf_dir), attribute="biotype")

@@ -311,3 +311,17 @@ def q_expression_profile(spark, sf_dir):
 @query("slim_results", oracle=f"with {_RES} select contrast, gene_id, base_mean, log2fc, padj from res")
 def q_slim_results(spark, sf_dir):
     return D.slim_results(results(spark, sf_dir))
+
+
+@query("guess_design", oracle="""
+select distinct sample as label, regexp_replace(sample, '[_.-]?(rep)?[0-9]+$', '') as condition from fx_counts""")
+def q_guess_design(spark, sf_dir):
+    return D.guess_design(fx.fx_counts(spark, sf_dir).select("sample").distinct())
+
+
+@query("target_table", oracle="""
+select distinct sample as label, concat(sample, '_feature.out') as files, sample as condition, 'X' as replicat
+from fx_counts""")
+def q_target_table(spark, sf_dir):
+    files = fx.fx_counts(spark, sf_dir).select(F.concat(F.col("sample"), F.lit("_feature.out")).alias("file")).distinct()
+    return D.target_table(files)

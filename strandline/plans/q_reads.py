@@ -360,3 +360,12 @@ select floor(avg(reads_aligned_percentage) * 100) / 100 as contamination,
 from rates""")
 def q_contamination_band(spark, sf_dir):
     return SC.contamination_band(SC.contamination_rate(_screened(spark, sf_dir)))
+
+
+@query("detect_adapters", oracle="""
+with c as (select sample, substring(seq, length(seq) - 11, 12) as kmer, count(*) as count from fx_reads
+           where length(seq) >= 12 group by all),
+r as (select *, row_number() over (partition by sample order by count desc, kmer) as rank from c)
+select sample, kmer, count, cast(rank as integer) as rank from r where rank <= 5""")
+def q_detect_adapters(spark, sf_dir):
+    return T.detect_adapters(reads(spark, sf_dir), k=12, top=5)
