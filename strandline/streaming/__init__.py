@@ -1,0 +1,8 @@
+"""Structured Streaming variants.
+
+The reference workflow has no stream, watermark, window over event time, state
+or late data anywhere (SURVEY §2.13), so no streaming operator is provided.
+Every batch operator in :mod:`strandline.operators` is a pure DataFrame
+transformation and can be applied to a ``readStream`` source inside
+``foreachBatch`` when reads land incrementally; nothing here adds to that.
+"""
