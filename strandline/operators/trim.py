@@ -7,8 +7,12 @@ reference's switches.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import IntegerType
 
 from strandline.functions.sequence import base_count, gc_count, quals
 
@@ -24,6 +28,47 @@ UNQUALIFIED_PERCENT_LIMIT = 40
 N_BASE_LIMIT = 5
 
 
+def _qual_matrix(quals: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Phred strings of a batch -> (values padded with 0, lengths)."""
+    n = quals.str.len().fillna(0).to_numpy().astype(np.int64)
+    width = int(n.max()) if len(n) else 0
+    m = np.zeros((len(n), max(width, 1)), dtype=np.int64)
+    for i, q in enumerate(quals):
+        if q:
+            m[i, :len(q)] = np.frombuffer(q.encode("ascii"), dtype=np.uint8)
+    return np.where(m > 0, m - 33, 0), n
+
+
+@pandas_udf(IntegerType())
+def _cut_tail_udf(quals: pd.Series, window: pd.Series, mean: pd.Series) -> pd.Series:
+    q, n = _qual_matrix(quals)
+    w = np.minimum(n, int(window.iloc[0]))
+    csum = np.concatenate([np.zeros((len(n), 1), dtype=np.int64), np.cumsum(q, axis=1)], axis=1)
+    starts = np.arange(q.shape[1])[None, :]
+    end = np.minimum(starts + w[:, None], q.shape[1])
+    sums = np.take_along_axis(csum, end, axis=1) - csum[:, :q.shape[1]]
+    ok = (starts <= (n - w)[:, None]) & (sums >= w[:, None] * int(mean.iloc[0])) & (w[:, None] > 0)
+    last = np.where(ok.any(axis=1), q.shape[1] - 1 - np.argmax(ok[:, ::-1], axis=1), -1)
+    return pd.Series(np.where(last >= 0, last + w, 0).astype(np.int32))
+
+
+@pandas_udf(IntegerType())
+def _quality_trim_udf(quals: pd.Series, cutoff: pd.Series) -> pd.Series:
+    q, n = _qual_matrix(quals)
+    cut = int(cutoff.iloc[0])
+    width = q.shape[1]
+    pos = np.arange(width)[None, :]
+    valid = pos < n[:, None]
+    contrib = np.where(valid, cut - q, 0)
+    suffix = np.cumsum(contrib[:, ::-1], axis=1)[:, ::-1]          # s_i = sum_{j >= i} (cut - q_j)
+    neg = valid & (suffix < 0)
+    stop = np.where(neg.any(axis=1), width - 1 - np.argmax(neg[:, ::-1], axis=1), -1)  # first negative from the 3' end
+    cand = valid & (pos > stop[:, None]) & (suffix > 0)
+    score = np.where(cand, suffix, np.iinfo(np.int64).min)
+    best = width - 1 - np.argmax(score[:, ::-1], axis=1)             # ties: the larger index (found first)
+    return pd.Series(np.where(cand.any(axis=1), best, n).astype(np.int32))
+
+
 def _keep(df: DataFrame, start: Column, length: Column) -> DataFrame:
     """Keep ``length`` bases starting at 0-based ``start`` in both seq and qual.
 
@@ -127,7 +172,9 @@ def quality_trim_3p(reads: DataFrame, cutoff: int = QUALITY_CUTOFF) -> DataFrame
         return reads
     if cutoff < 0:
         cutoff = QUALITY_CUTOFF
-    return _keep(reads.withColumn("_q", quals("qual")), F.lit(0), quality_trim_index("_q", cutoff))
+    # per-read scan in an Arrow-batched numpy kernel (the JVM form, quality_trim_index, runs interpreted)
+    d = reads.withColumn("_cut", _quality_trim_udf(F.col("qual"), F.lit(cutoff)))
+    return _keep(d, F.lit(0), F.col("_cut"))
 
 
 def min_length(reads: DataFrame, length: int = MIN_LENGTH) -> DataFrame:
@@ -148,7 +195,9 @@ def cut_tail_index(q: str = "_q", window: int = CUT_TAIL_WINDOW, mean: int = CUT
 
 def cut_tail(reads: DataFrame, window: int = CUT_TAIL_WINDOW, mean: int = CUT_TAIL_MEAN) -> DataFrame:
     """T5: drop 3' bases while the window's mean quality is below ``mean``."""
-    return _keep(reads.withColumn("_q", quals("qual")), F.lit(0), cut_tail_index("_q", window, mean))
+    # per-read window scan in an Arrow-batched numpy kernel (the JVM form, cut_tail_index, runs interpreted)
+    d = reads.withColumn("_cut", _cut_tail_udf(F.col("qual"), F.lit(window), F.lit(mean)))
+    return _keep(d, F.lit(0), F.col("_cut"))
 
 
 def qualified_filter(reads: DataFrame, quality: int = QUALIFIED_QUALITY,
