@@ -174,3 +174,15 @@ def q_transcripts_to_features(spark, sf_dir):
     quant = fx.fx_counts(spark, sf_dir).select("sample", F.col("gene_id").alias("transcript"),
                                                F.col("n").cast("double").alias("num_reads"))
     return R.transcripts_to_features(quant, annotation(spark, sf_dir), attribute="biotype")
+
+
+@query("map_reads_ungapped")
+def q_map_reads_ungapped(spark, sf_dir):
+    """A1: every read mapped to the small contaminant reference (seed-and-verify, 5 % mismatches; the
+    survey re-aims A1 at small references).  No SQL oracle: the brute-force comparison lives in
+    tests/test_units.py (test_ungapped_mapping_equals_brute_force)."""
+    from strandline.operators.align import map_reads_ungapped
+
+    ref = fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("c"), F.col("item_id").cast("string")).alias("name"),
+                                                   "seq")
+    return map_reads_ungapped(fx.fx_reads(spark, sf_dir), ref)

@@ -25,12 +25,14 @@ _DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "strandline") -> SparkSession:
+                app_name: str = "strandline", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults."""
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -81,7 +81,8 @@ def run(sf_dir: str, names: list[str] | None = None, spark=None) -> dict:
     import __spark_entry__ as entry
     from strandline.session import get_session
 
-    spark = spark or get_session("local[8]", 8)
+    if spark is None:
+        spark = get_session("local[8]", 8, driver_memory="16g")
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     out = {}

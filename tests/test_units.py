@@ -227,3 +227,47 @@ def test_counting_modes_and_ambiguity(spark):
             C.assignment_summary(aln, feats, id_column="gid", bin_size=64).collect()}
     assert summ[(0, "Unassigned_Ambiguity")] == 2 and summ[(2, "Unassigned_NoFeatures")] == 2
     assert summ[(1, "Unassigned_Unmapped")] == 1 and summ[(2, "Unassigned_MultiMapping")] == 1
+
+
+def test_ungapped_mapping_equals_brute_force(spark):
+    from strandline.operators.align import map_reads_ungapped
+
+    rnd = random.Random(9)
+    genome = {"c1": "".join(rnd.choice("ACGT") for _ in range(400)), "c2": "".join(rnd.choice("ACGT") for _ in range(150))}
+    comp = {"A": "T", "C": "G", "G": "C", "T": "A"}
+
+    def rc(s):
+        return "".join(comp[c] for c in reversed(s))
+
+    def mutate(s, n):
+        s = list(s)
+        for i in rnd.sample(range(len(s)), n):
+            s[i] = "A" if s[i] != "A" else "C"
+        return "".join(s)
+
+    reads = [genome["c1"][10:110], mutate(genome["c1"][200:300], 4), rc(genome["c2"][20:80]),
+             mutate(genome["c1"][50:150], 7), genome["c1"][300:340] + genome["c2"][0:40], "ACGTACG",
+             genome["c1"][380:400] + "A" * 5]
+    rdf = spark.createDataFrame([("S", f"r{i}", s) for i, s in enumerate(reads)], "sample string, read_id string, seq string")
+    cdf = spark.createDataFrame(list(genome.items()), "name string, seq string")
+    got = {}
+    for r in map_reads_ungapped(rdf, cdf, k=10).collect():
+        got.setdefault(r.read_id, set()).add((r.ref, r.pos, r.strand, r.nm, r.nh, r.flag))
+
+    want = {}
+    for i, s in enumerate(reads):
+        m, best = int(len(s) * 0.05), []
+        for name, g in genome.items():
+            for strand, seq in (("+", g), ("-", rc(g))):
+                for p in range(len(seq) - len(s) + 1):
+                    nm = sum(a != b for a, b in zip(s, seq[p:p + len(s)]))
+                    if nm <= m:
+                        pos = p + 1 if strand == "+" else len(seq) - p - len(s) + 1
+                        best.append((name, pos, strand, nm))
+        if best and len(s) >= 10 * (m + 1):
+            lo = min(b[3] for b in best)
+            top = [b for b in best if b[3] == lo]
+            want[f"r{i}"] = {(n, p, st, nm, len(top), 16 if st == "-" else 0) for n, p, st, nm in top}
+        else:
+            want[f"r{i}"] = {(None, None, None, None, 0, 4)}
+    assert got == want
