@@ -206,3 +206,33 @@ def sample_pca(values: DataFrame, samples: list[str], column: str = "vst", *, nt
     rows = [(samples[i], float(scores[i, 0]), float(scores[i, 1] if n > 1 else 0.0), float(share[0]),
              float(share[1] if n > 1 else 0.0)) for i in range(n)]
     return values.sparkSession.createDataFrame(rows, "sample string, PC1 double, PC2 double, var_PC1 double, var_PC2 double")
+
+
+def check_contrasts(contrast: list[float], coefficients: list[str]) -> None:
+    """D22 check: a numeric contrast needs one weight per model coefficient."""
+    if len(contrast) != len(coefficients):
+        raise ValueError(f"contrast has {len(contrast)} weights for {len(coefficients)} coefficients: {coefficients}")
+
+
+def numeric_contrast(counts: DataFrame, factors: DataFrame, design_long: DataFrame, disp: DataFrame,
+                     samples: list[str], coefficients: list[str], *, contrast: list[float], name: str) -> DataFrame:
+    """Per gene log2 fold change c.beta / ln 2, se = sqrt(c Sigma c^T), Wald statistic and p-value."""
+    check_contrasts(contrast, coefficients)
+    X = _design(design_long, samples, coefficients)
+    s = _size_factors(factors, samples)
+    c = np.asarray(contrast, dtype=float)
+    vec = gene_vectors(counts, samples).join(disp.select("gene_id", "base_mean", "dispersion"), "gene_id")
+
+    def fit(it):
+        for pdf, Y in _batches(it):
+            beta, _, _, _, _, cov = K.wald(Y, s, X, pdf["dispersion"].to_numpy())
+            est = beta @ c
+            se = np.sqrt(np.maximum(np.einsum("p,gpq,q->g", c, cov, c), 0))
+            stat = est / np.where(se > 0, se, np.nan)
+            yield pd.DataFrame({"gene_id": pdf["gene_id"], "base_mean": pdf["base_mean"],
+                                "log2fc": est / math.log(2), "lfc_se": se / math.log(2), "stat": stat,
+                                "pvalue": K.erfc(np.abs(stat) / math.sqrt(2))})
+
+    out = vec.mapInPandas(fit, "gene_id string, base_mean double, log2fc double, lfc_se double, stat double, "
+                               "pvalue double")
+    return out.withColumn("contrast", F.lit(name))

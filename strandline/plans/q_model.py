@@ -67,3 +67,17 @@ def q_transform_counts(spark, sf_dir):
 @query("sample_pca")
 def q_sample_pca(spark, sf_dir):
     return MD.sample_pca(MD.transform_counts(normalized(spark, sf_dir), disp(spark, sf_dir)), SAMPLES, "vst")
+
+
+GLM_COEFFICIENTS = ["Intercept", "batchb2", "condKO", "batchb2:condKO"]
+
+
+@query("numeric_contrasts")
+def q_numeric_contrasts(spark, sf_dir):
+    """GLM ~ batch + cond + batch:cond; the KO effect within batch b2 (condKO + batchb2:condKO)."""
+    dl = D.design_matrix(fx.fx_design(spark, sf_dir), factors=["batch", "cond"], reference={"batch": "b1", "cond": "WT"},
+                         levels={"batch": ["b1", "b2"], "cond": ["KO", "WT"]}, interaction=True)
+    counts, sf = matrix(spark, sf_dir), factors(spark, sf_dir)
+    d = MD.dispersions(counts, sf, dl, SAMPLES, GLM_COEFFICIENTS)
+    return MD.numeric_contrast(counts, sf, dl, d, SAMPLES, GLM_COEFFICIENTS, contrast=[0, 0, 1, 1],
+                               name="KO_vs_WT_in_b2")

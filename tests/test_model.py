@@ -54,3 +54,20 @@ def test_dispersion_and_wald_recover_planted_truth(spark):
     pca = {row.sample: row.PC1 for row in MD.sample_pca(vst, SAMPLES, "vst", ntop=100).collect()}
     wt, ko = [pca[s] for s in SAMPLES[:3]], [pca[s] for s in SAMPLES[3:]]
     assert max(wt) < min(ko) or max(ko) < min(wt)  # PC1 separates the conditions
+
+
+def test_numeric_contrast_matches_coefficient_test(spark):
+    import pytest
+
+    counts, design, _ = _simulate(spark, genes=80, seed=5)
+    factors = D.size_factors(counts, len(SAMPLES))
+    dl = D.design_matrix(design, factors=["cond"], reference={"cond": "WT"}, levels={"cond": ["KO", "WT"]})
+    coefs = ["Intercept", "condKO"]
+    disp = MD.dispersions(counts, factors, dl, SAMPLES, coefs).cache()
+    a = {r.gene_id: r.pvalue for r in MD.wald_test(counts, factors, dl, disp, SAMPLES, coefs,
+                                                    coefficient="condKO").collect()}
+    b = {r.gene_id: r.pvalue for r in MD.numeric_contrast(counts, factors, dl, disp, SAMPLES, coefs,
+                                                           contrast=[0, 1], name="x").collect()}
+    assert a.keys() == b.keys() and all(abs(a[g] - b[g]) < 1e-9 for g in a)
+    with pytest.raises(ValueError):
+        MD.check_contrasts([1, 0, 0], coefs)
