@@ -186,3 +186,14 @@ def q_map_reads_ungapped(spark, sf_dir):
     ref = fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("c"), F.col("item_id").cast("string")).alias("name"),
                                                    "seq")
     return map_reads_ungapped(fx.fx_reads(spark, sf_dir), ref)
+
+
+@query("quantify_transcripts")
+def q_quantify_transcripts(spark, sf_dir):
+    """A2: reads pseudo-aligned to the benchmark passages as transcripts, EM over equivalence classes.
+    Iterative: no SQL oracle; the EM is checked on a planted case in tests/test_units.py."""
+    from strandline.operators.quant import quantify_transcripts
+
+    tx = fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("t"), F.col("item_id").cast("string")).alias("name"),
+                                                  "seq")
+    return quantify_transcripts(fx.fx_reads(spark, sf_dir), tx)
