@@ -286,3 +286,14 @@ def test_transcript_em_splits_shared_reads(spark):
     got = {r.transcript: r.num_reads for r in quantify_transcripts(rdf, tx, iterations=200).collect()}
     # unique reads 24 : 8 fix the abundance ratio 3 : 1; the 32 shared reads split the same way
     assert abs(got["T1"] - 48.0) < 0.5 and abs(got["T2"] - 16.0) < 0.5
+
+
+def test_clipping_profile(spark):
+    from strandline.operators.rseqc import clipping_profile
+
+    aln = spark.createDataFrame([("S", 1, 100, "3S7M", 0), ("S", 2, 100, "8M2S", 0), ("S", 3, 100, "2S6M2S", 16),
+                                 ("S", 4, 100, "10M", 4)],
+                                "sample string, frag_id long, pos long, cigar string, flag int")
+    got = {r.position: r.clipped for r in clipping_profile(aln).collect()}
+    # read positions are 0-based from the read start; the unmapped record is ignored
+    assert got == {0: 2, 1: 2, 2: 1, 8: 2, 9: 2}
