@@ -40,8 +40,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def ship_code() -> None:
+    """Serialise this package's functions by value into Python tasks (mapInPandas, pandas_udf), so
+    executors need no copy of the package on their path."""
+    import strandline
+    from pyspark import cloudpickle
+
+    try:
+        cloudpickle.register_pickle_by_value(strandline)
+    except ValueError:  # already registered
+        pass
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply library defaults to an existing session without overriding user values."""
+    ship_code()
     for key, value in _DEFAULTS.items():
         if key == "spark.sql.mapKeyDedupPolicy":
             spark.conf.set(key, value)  # required for attribute maps
