@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import quality, toxicity
+from strandline.llm import neardup, quality, toxicity
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ from f"""
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the cascade's verdict for every document."""
     return quality.quality_report(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+@query("op2_minhash_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)

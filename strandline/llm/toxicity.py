@@ -31,6 +31,7 @@ MIN_DOCS_WITH = 5  # a feature must occur in that many documents of the sample
 PREFIXES = (4, 5, 6)
 CUT = 0.5  # a sentence with this probability is reported
 THRESHOLD = 0.3
+MIN_WEIGHT = 0.5  # smaller weights are no evidence; a sentence without evidence has probability 0
 
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 _WORD = re.compile(r"\w+")
@@ -73,7 +74,7 @@ def _learn(texts: list[str], y: np.ndarray, epochs: int, l1: float) -> tuple[flo
     new = np.cumsum(kept) - 1
     fs, n = new[fs], int(kept.sum())
     bag, n_sent, n_doc = np.asarray(doc_of, dtype=np.int64), len(doc_of), len(texts)
-    w, b = np.zeros(n), -4.0
+    w, b = np.zeros(n), -8.0
     sum_w, sum_b = np.full(n, 1e-8), 1e-8
     for _ in range(epochs):
         z = b + np.bincount(at, weights=w[fs], minlength=n_sent)
@@ -91,10 +92,10 @@ def _learn(texts: list[str], y: np.ndarray, epochs: int, l1: float) -> tuple[flo
         w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)  # proximal step: most weights become exactly 0
         b -= 0.1 * gb / np.sqrt(sum_b)
     inv = {int(new[i]): f for f, i in names.items() if kept[i]}
-    return float(b), {inv[int(i)]: float(w[i]) for i in np.flatnonzero(np.abs(w) > 1e-3)}
+    return float(b), {inv[int(i)]: float(w[i]) for i in np.flatnonzero(np.abs(w) >= MIN_WEIGHT)}
 
 
-def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, epochs: int = 150, l1: float = 2e-5,
+def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, epochs: int = 150, l1: float = 5e-4,
         seed: int = 7) -> tuple[float, dict[str, float]]:
     """Bias and sparse weights from rows (doc_id, text, toxic); ``toxic`` is 0 or 1.
 
@@ -107,7 +108,7 @@ def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, epochs: int = 150, l1: fl
     half = max_docs // 2
     part = [rows.where(F.col("toxic") == k).orderBy("_h").limit(half) for k in (0, 1)]
 
-    def learn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["toxic", "_h"], kind="stable")
         y = pdf["toxic"].to_numpy()
         if y.min() == y.max():
@@ -136,7 +137,6 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]], cut: float = C
     def run(batches):
         w = shared.value
         memo: dict[str, float] = {}
-        floor = float(np.log1p(np.exp(min(bias, 30.0))))  # -log(1 - p) of a sentence without known words
         for pdf in batches:
             scores, spans = [], []
             for text in pdf["text"]:
@@ -152,7 +152,6 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]], cut: float = C
                         if v:
                             own.update(v)
                     if not own:
-                        none += floor
                         continue
                     z = bias + sum(w[f] for f in own)
                     none += z + float(np.log1p(np.exp(-z))) if z > 0 else float(np.log1p(np.exp(z)))
