@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, toxicity (more stages follow).
+"""The corpus pipeline: quality rules, toxicity, near-duplicates, mixing, packing.
 
 ``STAGES`` are applied in order; each takes what its predecessor kept, written as Parquet in the
 shared folder and read again.
@@ -15,8 +15,12 @@ from strandline.session import configure
 STAGES = [
     ("quality_rules", stages.quality_rules),
     ("toxicity", stages.drop_toxic),
+    ("near_dedup", stages.near_dedup),
+    ("mixing", stages.mix_sources),
+    ("packing", stages.pack),
 ]
 
+# SQL has neither the fitted model nor the tokenizer; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 

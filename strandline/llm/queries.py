@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import neardup, quality, toxicity
+from strandline.llm import mixing, neardup, packing, quality, toxicity
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+                  md5('mix-1:' || coalesce(doc_id::varchar, '')) as h from documents),
+s as (select source, sum(size)::bigint as source_size,
+             case (row_number() over (order by source nulls last) - 1) % 3
+               when 0 then 5.0::double when 1 then 2.0::double else 1.0::double end as w
+      from d group by source),
+o as (select *, 2.0::double * source_size as cap,
+             row_number() over (order by 2.0::double * source_size / w, source nulls last) as k from s),
+c as (select *, coalesce(sum(cap) over (order by k rows between unbounded preceding and 1 preceding), 0)::double as cut,
+             (sum(w) over (order by k rows between current row and unbounded following))::double as rest,
+             (select 1.5::double * sum(source_size) from s)::double as total from o),
+l as (select min(k) as k from c where cap >= w * ((total - cut) / rest)),
+m as (select (total - cut) / rest as level from c where k = (select k from l)),
+t as (select o.source, o.source_size, case when o.w * level > o.cap then o.cap else o.w * level end::double as target
+       from o, m),
+p as (select *, case when source_size > 0 then target / source_size else 0.0::double end as rate from t),
+q as (select d.doc_id, d.size, p.source_size, p.target, floor(rate)::bigint as whole,
+             (rate - floor(rate)) * p.source_size as extra,
+             coalesce(sum(d.size) over (partition by d.source order by d.h, d.doc_id, d.size
+               rows between unbounded preceding and 1 preceding), 0)::double as prior
+      from d join p on d.source is not distinct from p.source)
+select doc_id, size, source_size, target,
+       ((whole + case when extra > 0 and 2 * prior + size <= 2 * extra then 1 else 0 end) * size)::bigint as taken
+from q"""
+
+
+@query("op9_mixing", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: 150 % of all words, weights 5, 2, 1, at most two epochs."""
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")

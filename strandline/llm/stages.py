@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import quality, toxicity
+from strandline.llm import mixing, neardup, packing, quality, toxicity
 from strandline.llm.common import crc_mod, table
 
 
@@ -21,3 +21,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     train = docs.select("doc_id", "text").where(crc_mod(F.col("doc_id"), 4) != 2).join(labels, "doc_id")
     scored = toxicity.score(docs.select(*docs.columns), toxicity.fit(train))
     return scored.where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+NEAR_PERCENT = 80
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    found = neardup.near_duplicates(docs, percent=NEAR_PERCENT)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it."""
+    mixed = mixing.mix(docs, keep=tuple(docs.columns))
+    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the mixed documents and their places in the sequences."""
+    return packing.pack_documents(docs)
