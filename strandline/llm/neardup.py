@@ -9,9 +9,10 @@
 3. Within a posting list agreeing coordinates are counted and pairs with ``T`` or more are
    candidates.  From long lists only a spanning forest is taken, strongest pairs first; lists longer than ``BLOCK``
    are worked off in blocks that share a few anchors.
-4. Candidates are confirmed on full shingle sets.  Where a list still holds several components, a last
-   pass tries every candidate pair between different components, so the components are those
-   of all confirmed links.
+4. Candidates are confirmed on full shingle sets.  Where a list still holds several components, the
+   members of the smaller ones visit the other component with their full sets and are tried against every
+   candidate there until a link is confirmed.  So every candidate pair between different components
+   is tried, and the components are those of all confirmed links, without a row per pair.
 
 ``T`` lies 4.2 standard deviations below the expected agreement of a pair at the threshold
 (chance of missing such a pair about 1e-5).
@@ -257,27 +258,27 @@ def first_candidates(lists: DataFrame, classes: DataFrame, need: int, percent: i
     return dealt.mapInPandas(run, "a long, b long").where("a < b").distinct()
 
 
-def cross_candidates(lists: DataFrame, labels: DataFrame, classes: DataFrame, need: int, percent: int) -> DataFrame:
-    """(a, b): every candidate pair of a posting list whose members are in different components.
+def visits(lists: DataFrame, labels: DataFrame, classes: DataFrame, need: int, percent: int) -> DataFrame:
+    """(rep, host): classes to be tried against another component, because one of its members is a candidate.
 
-    The members outside a list's largest component (usually few) are compared with all of the list.
+    ``labels`` is (rep, comp, k) with the component's size.  The members outside a list's largest
+    component (usually few) are compared with all of the list; of two components the smaller visits.
     """
-    named = lists.join(labels, lists["rep"] == labels["node"], "left").select(
-        "token", "rep", "c", F.coalesce("component", "rep").alias("comp"))
-    sizes = named.groupBy("token", "comp").agg(F.count("*").alias("k"))
-    most = sizes.groupBy("token").agg(F.count("*").alias("kinds"), F.max(F.struct("k", "comp")).alias("top"))
+    named = lists.join(labels, "rep")
+    most = named.groupBy("token", "comp").agg(F.count("*").alias("n")).groupBy("token").agg(
+        F.count("*").alias("kinds"), F.max(F.struct("n", "comp")).alias("top"))
     mixed = named.join(most.where("kinds > 1").select("token", F.col("top.comp").alias("major")), "token")
     blocks = F.ceil(F.col("c") / BLOCK)
-    member = mixed.select("token", "rep", "comp", F.lit(0).alias("odd"), F.pmod(F.xxhash64("rep"), blocks).alias("block"))
+    member = mixed.select("token", "rep", "comp", "k", F.lit(0).alias("odd"), F.pmod(F.xxhash64("rep"), blocks).alias("block"))
     odd = mixed.where("comp <> major").select(
-        "token", "rep", "comp", F.lit(1).alias("odd"),
+        "token", "rep", "comp", "k", F.lit(1).alias("odd"),
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"))
     dealt = _dealt(member.unionByName(odd), classes, ["token", "block"])
 
     def run(batches):
         for pdf in _runs(batches, ["token", "block"]):
             at = _starts(pdf, ["token", "block"])
-            rep, n, comp = (pdf[c].to_numpy() for c in ("rep", "n_shingles", "comp"))
+            rep, n, comp, k = (pdf[c].to_numpy() for c in ("rep", "n_shingles", "comp", "k"))
             low = np.frombuffer(b"".join(pdf["low"]), dtype=np.uint8).reshape(len(pdf), -1)
             is_odd = pdf["odd"].to_numpy() == 1
             found = []
@@ -288,14 +289,62 @@ def cross_candidates(lists: DataFrame, labels: DataFrame, classes: DataFrame, ne
                     ok = ((comp[part][:, None] != comp[j][None, :])
                           & _sized(n[part][:, None], n[j][None, :], percent))
                     x, y = np.nonzero(ok)
-                    if len(x):
-                        hit = (low[part[x]] == low[j[y]]).sum(axis=1) >= need
-                        found.append(np.stack([rep[part[x[hit]]], rep[j[y[hit]]]]))
+                    hit = (low[part[x]] == low[j[y]]).sum(axis=1) >= need
+                    x, y = part[x[hit]], j[y[hit]]
+                    small = (k[x] < k[y]) | ((k[x] == k[y]) & (comp[x] > comp[y]))
+                    found.append(np.stack([np.where(small, rep[x], rep[y]), np.where(small, comp[y], comp[x])]))
             if found:
                 p, q = np.concatenate(found, axis=1)
-                yield pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q)}).drop_duplicates()
+                yield pd.DataFrame({"rep": p, "host": q}).drop_duplicates()
 
-    return dealt.mapInPandas(run, "a long, b long").where("a < b").distinct()
+    return dealt.mapInPandas(run, "rep long, host long").distinct()
+
+
+def visit_links(visiting: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, need: int,
+                percent: int) -> DataFrame:
+    """(a, b): for each visit the confirmed link of the visitor with the host's members, one per block.
+
+    Hosts and visitors meet in blocks of about ``BLOCK`` by ``BLOCK``; each carries its full set, and
+    a visitor's strongest candidates are tried first, until one is confirmed.
+    """
+    sizes = visiting.groupBy("host").agg(F.count("*").alias("v"))
+    inside = labels.join(sizes, labels["comp"] == sizes["host"]).select(
+        "host", "rep", F.ceil(F.col("k") / BLOCK).alias("nh"), F.ceil(F.col("v") / BLOCK).alias("nv"))
+    counts = inside.select("host", "nh", "nv").distinct()
+    zero = F.lit(0).cast("long")
+    hosts = inside.select("host", "rep", F.lit(0).alias("visitor"), F.pmod(F.xxhash64("rep"), F.col("nh")).alias("hb"),
+                          F.explode(F.sequence(zero, F.col("nv") - 1)).alias("vb"))
+    guests = visiting.join(counts, "host").select(
+        "host", "rep", F.lit(1).alias("visitor"), F.explode(F.sequence(zero, F.col("nh") - 1)).alias("hb"),
+        F.pmod(F.xxhash64("rep"), F.col("nv")).alias("vb"))
+    keys = ["host", "hb", "vb"]
+    full = classes.select("rep", "low").join(sets.select(F.col("id").alias("rep"), "s"), "rep")
+    dealt = hosts.unionByName(guests).join(full, "rep").repartition(*keys).sortWithinPartitions(*keys, "rep")
+
+    def run(batches):
+        for pdf in _runs(batches, keys):
+            at = _starts(pdf, keys)
+            rep, s = pdf["rep"].to_numpy(), pdf["s"].to_numpy()
+            low = np.frombuffer(b"".join(pdf["low"]), dtype=np.uint8).reshape(len(pdf), -1)
+            guest = pdf["visitor"].to_numpy() == 1
+            out = []
+            for lo, hi in zip(at[:-1], at[1:]):
+                j = np.flatnonzero(~guest[lo:hi]) + lo
+                for i in np.flatnonzero(guest[lo:hi]) + lo:
+                    same = (low[j] == low[i]).sum(axis=1)
+                    for t in np.argsort(-same, kind="stable"):
+                        if same[t] < need:
+                            break
+                        x, y = s[i], s[j[t]]
+                        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                            continue
+                        both = len(np.intersect1d(x, y, assume_unique=True))
+                        if 100 * both >= percent * (len(x) + len(y) - both):
+                            out.append((min(rep[i], rep[j[t]]), max(rep[i], rep[j[t]])))
+                            break
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return dealt.mapInPandas(run, "a long, b long").distinct()
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -351,11 +400,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = K) -> DataFrame
     links = saved(confirmed(pairs, sets, percent), "links")
     labels = saved(components(links, "a", "b"), "labels")
 
-    more = saved(cross_candidates(lists, labels, members, need, percent).join(pairs, ["a", "b"], "left_anti"), "more")
-    missing = saved(_ids(more).join(sets.select("id"), "id", "left_anti"), "missing")
+    named = members.select("rep").join(labels, members["rep"] == labels["node"], "left").select(
+        "rep", F.coalesce("component", "rep").alias("comp"))
+    named = saved(named.join(named.groupBy("comp").agg(F.count("*").alias("k")), "comp"), "named")
+    visiting = saved(visits(lists, named, members, need, percent), "visits")
+    tried = visiting.select(F.col("rep").alias("id")).unionByName(
+        named.join(visiting.select(F.col("host").alias("comp")).distinct(), "comp", "left_semi")
+        .select(F.col("rep").alias("id"))).distinct()
+    missing = saved(tried.join(sets.select("id"), "id", "left_anti"), "missing")
     if missing.limit(1).count():
         sets = sets.unionByName(saved(shingle_sets(docs, missing), "sets"))
-    more_links = saved(confirmed(more, sets, percent), "links")
+    more_links = saved(visit_links(visiting, named, members, sets, need, percent), "links")
     if more_links.limit(1).count():
         labels = saved(components(links.unionByName(more_links), "a", "b"), "labels")
 
