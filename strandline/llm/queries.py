@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import mixing, neardup, packing, quality, toxicity
+from strandline.llm import mixing, neardup, packing, quality, toxicity, warc
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,10 @@ from q"""
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: 150 % of all words, weights 5, 2, 1, at most two epochs."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+@query("op4_warc_normaliser")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through a monolithic archive, its normalised form and back."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
