@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import mixing, neardup, packing, quality, toxicity, warc
+from strandline.llm import mixing, neardup, packing, quality, toxicity, warc, wrappers
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through a monolithic archive, its normalised form and back."""
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_wrapper_induction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
