@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import mixing, neardup, packing, quality, toxicity, warc, wrappers
+from strandline.llm import crosspolytope, mixing, neardup, packing, quality, toxicity, warc, wrappers
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_cross_polytope")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors with one label and a cosine of 0.98 or more."""
+    return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
