@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import crosspolytope, mixing, neardup, packing, quality, toxicity, warc, wrappers
+from strandline.llm import crosspolytope, lm, mixing, neardup, packing, quality, toxicity, warc, wrappers
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of vectors with one label and a cosine of 0.98 or more."""
     return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_backoff_automaton")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all documents, learnt from folds other than 1 of 5."""
+    return lm.score(table(spark, sf_dir, "documents"))
