@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import crosspolytope, lm, mixing, neardup, packing, quality, toxicity, warc, wrappers
+from strandline.llm import crosspolytope, lm, mixing, neardup, packing, quality, tokenfiles, toxicity, warc, wrappers
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probabilities of all documents, learnt from folds other than 1 of 5."""
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op3_separator_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, found in flat token files."""
+    return tokenfiles.token_counts(table(spark, sf_dir, "documents"))
