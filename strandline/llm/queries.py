@@ -28,8 +28,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels of folds 0, 1 and 3."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    train = docs.where(crc_mod(F.col("doc_id"), 4) != 2).join(labels, "doc_id")
-    scored = toxicity.score(docs, toxicity.fit(train))
+    learnt = labels.where(crc_mod(F.col("doc_id"), 4) != 2)
+    scored = toxicity.score(docs, toxicity.fit(docs, learnt))
     return scored.select(
         "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),

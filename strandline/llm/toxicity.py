@@ -95,28 +95,38 @@ def _learn(texts: list[str], y: np.ndarray, epochs: int, l1: float) -> tuple[flo
     return float(b), {inv[int(i)]: float(w[i]) for i in np.flatnonzero(np.abs(w) >= MIN_WEIGHT)}
 
 
-def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, epochs: int = 150, l1: float = 5e-4,
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, epochs: int = 150, l1: float = 5e-4,
         seed: int = 7) -> tuple[float, dict[str, float]]:
-    """Bias and sparse weights from rows (doc_id, text, toxic); ``toxic`` is 0 or 1.
+    """Bias and sparse weights from texts (doc_id, text) and labels (doc_id, toxic), ``toxic`` 0 or 1.
 
-    At most ``max_docs`` rows reach the one task that fits; what returns to the driver are the
-    non-zero weights, at most as many as the sample has words.
+    The sample is drawn from the narrow labels, so only its texts move.  At most ``max_docs`` rows
+    reach the one task that fits; what returns to the driver are the non-zero weights, at most as many as
+    the sample has words.
     """
-    rows = labelled.where(F.col("toxic").isin(0, 1)).select(
-        F.col("text"), F.col("toxic").cast("int").alias("toxic"),
-        F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("_h"))
     half = max_docs // 2
-    part = [rows.where(F.col("toxic") == k).orderBy("_h").limit(half) for k in (0, 1)]
+    known = labels.where(F.col("toxic").isin(0, 1)).join(docs.select("doc_id"), "doc_id", "left_semi").select(
+        "doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("_h"))
+    many = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+    def some(kind: int) -> DataFrame:
+        rows = known.where(F.col("toxic") == kind)
+        share = 2 * half / max(many.get(kind, 0), 1)
+        if share < 1:  # about twice the rows that are wanted reach the ordering
+            rows = rows.where(F.pmod("_h", F.lit(1 << 30)) < int(share * (1 << 30)))
+        return rows.orderBy(F.pmod("_h", F.lit(1 << 30)), "_h").limit(half)
+
+    chosen = some(0).unionByName(some(1))
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_docs ids
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["toxic", "_h"], kind="stable")
         y = pdf["toxic"].to_numpy()
         if y.min() == y.max():
-            return pd.DataFrame({"feature": [], "weight": []})
+            return pd.DataFrame({"feature": [], "weight": []}, dtype=object)
         b, w = _learn(pdf["text"].tolist(), y, epochs, l1)
         return pd.DataFrame({"feature": ["", *w], "weight": [b, *w.values()]})
 
-    got = (part[0].unionByName(part[1]).groupBy(F.lit(1).alias("_one"))
+    got = (sample.select("text", "toxic", "_h").groupBy(F.lit(1).alias("_one"))
            .applyInPandas(learn, "feature string, weight double").collect())
     weights = {r["feature"]: r["weight"] for r in got}
     return weights.pop("", -30.0), weights
