@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import mixing, neardup, packing, quality, toxicity
 from strandline.llm.common import crc_mod, table
 
 
+def shielded(docs: DataFrame, needed: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but ``needed`` under names that no operator uses, and the columns that give
+    the old names back."""
+    new = {c: c if c in needed else f"_column_{i}" for i, c in enumerate(docs.columns)}
+    return (docs.select(*(F.col(f"`{c}`").alias(n) for c, n in new.items())),
+            [F.col(n).alias(c) for c, n in new.items()])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality.cascade(docs).where("kept").select(*docs.columns)
+    rows, back = shielded(docs, ("doc_id", "text"))
+    return quality.cascade(rows).where("kept").select(*back)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold; the model learns from the labels of ``sf_dir``
     for the documents that are still there."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    train = docs.select("doc_id", "text").where(crc_mod(F.col("doc_id"), 4) != 2).join(labels, "doc_id")
-    scored = toxicity.score(docs.select(*docs.columns), toxicity.fit(train))
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    learnt = labels.where(crc_mod(F.col("doc_id"), 4) != 2)
+    rows, back = shielded(docs, ("doc_id", "text"))
+    scored = toxicity.score(rows, toxicity.fit(rows, learnt))
+    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*back)
 
 
 NEAR_PERCENT = 80
@@ -35,8 +45,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    mixed = mixing.mix(docs, keep=tuple(docs.columns))
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+    rows, back = shielded(docs, ("doc_id", "text", "source"))
+    mixed = mixing.mix(rows, keep=tuple(rows.columns))
+    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*back)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
