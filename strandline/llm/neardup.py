@@ -295,9 +295,16 @@ def visits(lists: DataFrame, labels: DataFrame, classes: DataFrame, need: int, p
                     found.append(np.stack([np.where(small, rep[x], rep[y]), np.where(small, comp[y], comp[x])]))
             if found:
                 p, q = np.concatenate(found, axis=1)
-                yield pd.DataFrame({"rep": p, "host": q}).drop_duplicates()
+                both = np.unique(np.stack([p, q], axis=1), axis=0)  # sorted by visitor
+                who, first = np.unique(both[:, 0], return_index=True)
+                if len(who):
+                    hosts = [x.tolist() for x in np.split(both[:, 1], first[1:])]
+                    yield pd.DataFrame({"rep": who, "hosts": hosts})
 
-    return dealt.mapInPandas(run, "rep long, host long").distinct()
+    # one row per visitor and list, with all its hosts there; a visitor has at most as many lists as its prefix
+    found = dealt.mapInPandas(run, "rep long, hosts array<long>")
+    return found.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("hosts"))).alias("hosts")).select(
+        "rep", F.explode("hosts").alias("host"))
 
 
 def visit_links(visiting: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, need: int,
@@ -356,6 +363,8 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def run(batches):
         memo: dict[bytes, int] = {}
         for pdf in batches:
+            if not len(pdf):
+                continue
             yield pd.DataFrame({"id": pdf["id"], "s": [shingles(t, memo).view(np.int64) for t in pdf["text"]]})
 
     return texts.join(ids, "id", "left_semi").mapInPandas(run, "id long, s array<long>").dropDuplicates(["id"])
