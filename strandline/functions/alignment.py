@@ -38,11 +38,6 @@ def fragment_strand(flag: str | Column = "flag") -> Column:
     return F.when(has_flag(flag, REVERSE) != has_flag(flag, SECOND_IN_PAIR), F.lit("-")).otherwise(F.lit("+"))
 
 
-def cigar_ops(cigar: str | Column = "cigar") -> Column:
-    c = F.col(cigar) if isinstance(cigar, str) else cigar
-    return F.regexp_extract_all(c, F.lit(CIGAR_TOKEN), F.lit(0))
-
-
 def cigar_blocks(pos: str = "pos", cigar: str = "cigar") -> Column:
     """Aligned reference blocks (1-based closed) of an alignment.
 

@@ -29,16 +29,3 @@ def gc_count(seq: str | Column) -> Column:
 def quals(qual: str | Column) -> Column:
     """Phred+33 string -> array<int>."""
     return F.transform(F.split(_c(qual), ""), lambda ch: F.ascii(ch) - PHRED_OFFSET)
-
-
-def mean_quality(qual: str | Column) -> Column:
-    q = quals(qual)
-    return F.aggregate(q, F.lit(0).cast("bigint"), lambda a, x: a + x) / F.size(q)
-
-
-def count_below(qual: str | Column, threshold: int) -> Column:
-    return F.size(F.filter(quals(qual), lambda x: x < threshold))
-
-
-def count_at_least(qual: str | Column, threshold: int) -> Column:
-    return F.size(F.filter(quals(qual), lambda x: x >= threshold))

@@ -36,9 +36,16 @@ def attribute_names(gff: DataFrame, feature_type: str | None = None) -> DataFram
 
 
 def count_type(gff: DataFrame, feature_type: str | None = None) -> DataFrame:
-    """Rows per type.  With ``feature_type``, the count of that type (0 rows -> use ``check_type``)."""
+    """Rows per type.  With ``feature_type``, the count of that type; a type without rows raises an error that
+    names the valid types (a short list: a file has a few dozen)."""
     c = gff.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
-    return c if feature_type is None else c.where(F.col("type") == feature_type)
+    if feature_type is None:
+        return c
+    seen = c.agg(F.array_sort(F.collect_set("type")).alias("types"))
+    failed = F.raise_error(F.concat(F.lit(f"no feature of type {feature_type}; valid types: "), F.array_join("types", ", ")))
+    wanted = c.where(F.col("type") == feature_type)
+    return seen.select(F.when(F.array_contains("types", feature_type), F.lit(feature_type)).otherwise(failed).alias("type")) \
+        .join(wanted, "type")
 
 
 def attribute_profile(gff: DataFrame, feature_type: str, attribute: str) -> DataFrame:

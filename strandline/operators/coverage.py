@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.alignment import DUPLICATE, SECONDARY, SUPPLEMENTARY, UNMAPPED, cigar_blocks, has_flag
 from strandline.operators.intervals import depth_segments, overlap_join
+from strandline.operators.schema import alignment_columns, annotation_columns
 
 # Defaults of the reference configuration.
 BIN_SIZE = 10
@@ -24,11 +25,14 @@ def _mapped(alignments: DataFrame, include_duplicates: bool = True) -> DataFrame
     return alignments.where(keep)
 
 
-def read_blocks(alignments: DataFrame, include_duplicates: bool = True) -> DataFrame:
-    """(sample, frag_id, chrom, start, end) aligned blocks of mapped primary records (1-based closed)."""
+def read_blocks(alignments: DataFrame, include_duplicates: bool = True, extra: dict | None = None) -> DataFrame:
+    """(sample, frag_id, chrom, start, end, *extra) aligned blocks of mapped primary records (1-based closed);
+    ``extra`` names further expressions over the record."""
+    more = [c.alias(n) for n, c in (extra or {}).items()]
     b = _mapped(alignments, include_duplicates).select(
-        "sample", "frag_id", F.col("ref").alias("chrom"), F.explode(cigar_blocks("pos", "cigar")).alias("_b"))
-    return b.select("sample", "frag_id", "chrom", F.col("_b.start").alias("start"), F.col("_b.end").alias("end"))
+        "sample", "frag_id", F.col("ref").alias("chrom"), *more, F.explode(cigar_blocks("pos", "cigar")).alias("_b"))
+    return b.select("sample", "frag_id", "chrom", F.col("_b.start").alias("start"), F.col("_b.end").alias("end"),
+                    *(extra or {}))
 
 
 def binned_coverage(alignments: DataFrame, *, bin_size: int = BIN_SIZE) -> DataFrame:
@@ -74,7 +78,7 @@ def fragment_options(alignments: DataFrame, *, extend: int | None = None, min_fr
     """V3: fragments of mapped records: extended to ``extend`` bases from the 5' end in read
     direction (single end), kept when the template length lies in [min, max] (0 = no bound).
     A minimum above 0 drops single-end records, which carry no template length."""
-    m = _mapped(alignments)
+    m = _mapped(alignment_columns(alignments))
     rev = has_flag("flag", 16)
     start, end = F.col("pos").cast("bigint"), F.col("pos_end").cast("bigint")
     if extend:
@@ -160,6 +164,7 @@ def gene_body_coverage(alignments: DataFrame, genes: DataFrame, *, points: int =
     counted from the 3' end for minus-strand genes.  Positions are joined to
     depth segments with the binned interval join.
     """
+    genes = annotation_columns(genes)
     g = genes.select(F.col("seqid").alias("g_chrom"), "start_pos", "end_pos", "strand",
                      F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"))
     off = F.floor((F.col("end_pos") - F.col("start_pos")) * F.col("k") / (points - 1))

@@ -11,6 +11,7 @@ no contrast is ranked inside one task.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +28,11 @@ def load_count_matrix(counts: DataFrame, samples: list[str], *, remove: list[str
 
     The zero fill is a pivot over the explicit sample list followed by an
     unpivot — the genes x samples grid is the result itself, built without a cross join.
+    A sample that is not listed raises.
     """
-    c = counts.where(~F.col("gene_id").isin(remove) & F.col("sample").isin(samples))
+    known = F.when(F.col("sample").isin(samples), F.col("sample")).otherwise(
+        F.raise_error(F.concat(F.lit("sample outside the list: "), F.coalesce(F.col("sample"), F.lit("null")))))
+    c = counts.where(~F.col("gene_id").isin(remove)).withColumn("sample", known)
     wide = c.groupBy("gene_id").pivot("sample", samples).agg(F.sum("n"))
     wide = wide.select("gene_id", *[F.coalesce(F.col(s), F.lit(0)).cast("bigint").alias(s) for s in samples])
     return wide.unpivot("gene_id", samples, "sample", "count")
@@ -91,8 +95,17 @@ def gene_vectors(counts: DataFrame, samples: list[str], value: str = "count") ->
                        .alias("v"))
 
 
-def _pairs(samples: list[str]) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(len(samples)) for j in range(i + 1, len(samples))]
+def _pair_terms(vec: DataFrame, samples: list[str], fields: Callable[[Column, Column], list[Column]]) -> DataFrame:
+    """(sample_a, sample_b, *fields(i, j)) for every gene and sample pair i < j.  The pairs come from two nested
+    array functions over positions, so the plan does not grow with the number of samples."""
+    last = len(samples) - 1
+    if last < 1:
+        raise ValueError("pairs need two samples")
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(last - 1)), lambda i: F.transform(
+        F.sequence(i + 1, F.lit(last)), lambda j: F.struct(i.alias("_i"), j.alias("_j"), *fields(i, j)))))
+    names = F.array(*[F.lit(s) for s in samples])
+    x = vec.select(F.explode(pairs).alias("_p")).select("_p.*")
+    return x.withColumn("sample_a", names[F.col("_i")]).withColumn("sample_b", names[F.col("_j")]).drop("_i", "_j")
 
 
 def pairwise_sere(counts: DataFrame, samples: list[str]) -> DataFrame:
@@ -105,17 +118,17 @@ def pairwise_sere(counts: DataFrame, samples: list[str]) -> DataFrame:
     """
     vec = gene_vectors(counts, samples)
     # one-row table of library sizes, attached by a broadcast equi-join on a constant key
-    lib = vec.agg(*[F.sum(F.col("v")[i]).alias(f"_l{i}") for i in range(len(samples))]).withColumn("_one", F.lit(1))
+    lib = vec.agg(F.array(*[F.sum(F.col("v")[i]) for i in range(len(samples))]).alias("_lib")).withColumn("_one", F.lit(1))
     v = vec.withColumn("_one", F.lit(1)).join(F.broadcast(lib), "_one")
-    terms = []
-    for i, j in _pairs(samples):
-        oi, oj, li, lj = F.col("v")[i], F.col("v")[j], F.col(f"_l{i}"), F.col(f"_l{j}")
+
+    def fields(i, j):
+        oi, oj, li, lj = F.col("v")[i], F.col("v")[j], F.col("_lib")[i], F.col("_lib")[j]
         tot = oi + oj
         ei, ej = li * tot / (li + lj), lj * tot / (li + lj)
         chi = F.when(tot > 0, (oi - ei) ** 2 / ei + (oj - ej) ** 2 / ej)
-        terms.append(F.struct(F.lit(samples[i]).alias("sample_a"), F.lit(samples[j]).alias("sample_b"),
-                              chi.alias("chi"), F.when(tot > 0, 1).otherwise(0).alias("nz")))
-    x = v.select(F.explode(F.array(*terms)).alias("_p")).select("_p.*")
+        return [chi.alias("chi"), F.when(tot > 0, 1).otherwise(0).alias("nz")]
+
+    x = _pair_terms(v, samples, fields)
     s = x.groupBy("sample_a", "sample_b").agg(F.sum("chi").alias("_chi"), F.sum("nz").alias("_g"))
     return s.select("sample_a", "sample_b", F.round(F.sqrt(F.col("_chi") / F.col("_g")), 6).alias("sere"))
 
@@ -123,12 +136,9 @@ def pairwise_sere(counts: DataFrame, samples: list[str]) -> DataFrame:
 def pairwise_points(counts: DataFrame, samples: list[str], *, width: float = 0.5) -> DataFrame:
     """For every sample pair, a 2-D histogram of (log2(a + 1), log2(b + 1)) over genes."""
     vec = gene_vectors(counts, samples)
-    cells = []
-    for i, j in _pairs(samples):
-        cells.append(F.struct(F.lit(samples[i]).alias("sample_a"), F.lit(samples[j]).alias("sample_b"),
-                              F.floor(F.log2(F.col("v")[i] + 1) / width).cast("int").alias("bin_a"),
-                              F.floor(F.log2(F.col("v")[j] + 1) / width).cast("int").alias("bin_b")))
-    x = vec.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+    x = _pair_terms(vec, samples, lambda i, j: [
+        F.floor(F.log2(F.col("v")[i] + 1) / width).cast("int").alias("bin_a"),
+        F.floor(F.log2(F.col("v")[j] + 1) / width).cast("int").alias("bin_b")])
     return x.groupBy("sample_a", "sample_b", "bin_a", "bin_b").agg(F.count(F.lit(1)).alias("genes"))
 
 
@@ -196,9 +206,7 @@ def box_stats(values: DataFrame, column: str) -> DataFrame:
 def sample_distances(values: DataFrame, samples: list[str], column: str) -> DataFrame:
     """Euclidean distance between samples over genes of ``column`` (e.g. log2 normalised counts)."""
     vec = gene_vectors(values, samples, column)
-    terms = [F.struct(F.lit(samples[i]).alias("sample_a"), F.lit(samples[j]).alias("sample_b"),
-                      ((F.col("v")[i] - F.col("v")[j]) ** 2).alias("d2")) for i, j in _pairs(samples)]
-    x = vec.select(F.explode(F.array(*terms)).alias("_t")).select("_t.*")
+    x = _pair_terms(vec, samples, lambda i, j: [((F.col("v")[i] - F.col("v")[j]) ** 2).alias("d2")])
     return x.groupBy("sample_a", "sample_b").agg(F.round(F.sqrt(F.sum("d2")), 6).alias("distance"))
 
 
@@ -210,8 +218,11 @@ def contrasts(levels: list[str], *, reference: str, all_pairs: bool = True) -> l
     return [(ordered[j], ordered[i]) for i in range(len(ordered)) for j in range(i + 1, len(ordered))]
 
 
-def contrast_name(test: str, ref: str) -> str:
-    return f"{test}_vs_{ref}"
+def _harmonic(m: Column) -> Column:
+    """1 + 1/2 + ... + 1/m: summed up to 10,000 terms, beyond that by its expansion (error below 1e-18)."""
+    x = m.cast("double")
+    total = F.aggregate(F.sequence(F.lit(1), F.least(m, F.lit(10_000)).cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i)
+    return F.when(m <= 10_000, total).otherwise(F.log(x) + 0.5772156649015329 + 1 / (2 * x) - 1 / (12 * x * x))
 
 
 def _p_tile(p: Column) -> Column:
@@ -236,6 +247,9 @@ def adjust_p(results: DataFrame, *, method: str = "BH", group: str = "contrast",
     wt = Window.partitionBy(group).orderBy(F.desc("_tile")).rowsBetween(Window.unboundedPreceding, -1)
     carry = tt.select(group, "_tile", F.coalesce(F.sum("_tk").over(wt), F.lit(0)).alias("_carry"),
                       F.sum("_tk").over(Window.partitionBy(group)).alias("_m"))
+    if method == "BY":  # one factor per group, before it meets the p-values
+        factor = tt.groupBy(group).agg(_harmonic(F.sum("_tk")).alias("_cm"))
+        carry = carry.join(factor, group)
     wi = Window.partitionBy(group, "_tile").orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
     d = d.join(carry, [group, "_tile"]).withColumn("_rank", F.col("_carry") + F.sum("_k").over(wi))
     d = d.withColumn("_v", F.col("_m") * F.col(p) / F.col("_rank"))
@@ -248,8 +262,7 @@ def adjust_p(results: DataFrame, *, method: str = "BH", group: str = "contrast",
     d = d.join(later, [group, "_tile"])
     adj = F.least(F.col("_smin"), F.coalesce(F.col("_later"), F.col("_smin")))
     if method == "BY":
-        cm = F.aggregate(F.sequence(F.lit(1), F.col("_m").cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i)
-        adj = adj * cm
+        adj = adj * F.col("_cm")
     d = d.select(group, p, F.least(F.lit(1.0), adj).alias("padj"))
     return results.join(d, [group, p], "left")
 
@@ -348,10 +361,6 @@ def slim_results(results: DataFrame) -> DataFrame:
     return results.select("contrast", "gene_id", "base_mean", "log2fc", "padj")
 
 
-def harmonic(m: int) -> float:
-    return math.fsum(1.0 / i for i in range(1, m + 1))
-
-
 def guess_design(samples: DataFrame, column: str = "sample") -> DataFrame:
     """(label, condition) guessed from sample names: a trailing replicate number
     (optionally preceded by '_', '.', '-' and/or 'rep') is removed."""

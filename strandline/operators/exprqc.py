@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.alignment import DUPLICATE, has_flag, read_strand
+from strandline.functions.alignment import DUPLICATE, fragment_strand, has_flag
 from strandline.operators.coverage import depth, read_blocks
 from strandline.operators.intervals import overlap_join
+from strandline.operators.schema import annotation_columns
 
 # Tool defaults.
 DETECTION_THRESHOLD = 5
@@ -19,9 +20,8 @@ def read_class_rates(alignments: DataFrame, exons: DataFrame, genes: DataFrame,
     ambiguous (exons of several genes) and rRNA, the duplicate rate, and the end-sense rate
     (exonic reads on the strand of their gene)."""
     uniq = alignments.where(F.coalesce(F.col("nh"), F.lit(1)) <= 1) if "nh" in alignments.columns else alignments
-    blocks = read_blocks(uniq).join(
-        uniq.select("sample", "frag_id", read_strand("flag").alias("a_strand"),
-                    has_flag("flag", DUPLICATE).alias("_dup")), ["sample", "frag_id"]) \
+    exons, genes = annotation_columns(exons, parent_attribute="Parent"), annotation_columns(genes)
+    blocks = read_blocks(uniq, extra={"a_strand": fragment_strand("flag"), "_dup": has_flag("flag", DUPLICATE)}) \
         .withColumnRenamed("chrom", "a_chrom").withColumnRenamed("start", "a_start").withColumnRenamed("end", "a_end")
     e = exons.select(F.col("seqid").alias("e_chrom"), F.col("start_pos").alias("e_start"),
                      F.col("end_pos").alias("e_end"), F.col("strand").alias("e_strand"),
@@ -69,19 +69,20 @@ def gene_tpm(counts: DataFrame, lengths: DataFrame) -> DataFrame:
         "sample", "gene_id", "count", F.round(F.col("_rate") / F.col("_tot") * 1e6, 6).alias("tpm"))
 
 
-def _gene_depth(alignments: DataFrame, regions: DataFrame) -> DataFrame:
-    """(sample, gene_id, depth, n_bases) for every overlap of a depth segment with a region."""
+def _gene_depth(alignments: DataFrame, regions: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(sample, gene_id, depth, n_bases, *extra) for every overlap of a depth segment with a region."""
     seg = depth(alignments)
     r = regions.select(F.col("seqid").alias("r_chrom"), F.col("start_pos").alias("r_start"),
-                       F.col("end_pos").alias("r_end"), "gene_id")
+                       F.col("end_pos").alias("r_end"), "gene_id", *extra)
     j = overlap_join(seg, r, left_cols=("chrom", "seg_start", "seg_end"), right_cols=("r_chrom", "r_start", "r_end"))
     n = F.least("seg_end", "r_end") - F.greatest("seg_start", "r_start") + 1
-    return j.select("sample", "gene_id", "depth", n.alias("n_bases"))
+    return j.select("sample", "gene_id", "depth", n.alias("n_bases"), *extra)
 
 
 def coverage_stats(alignments: DataFrame, exons: DataFrame) -> DataFrame:
     """Per (sample, gene) mean, standard deviation and CV of per-base depth over the exonic bases
     (uncovered bases count as depth 0)."""
+    exons = annotation_columns(exons, parent_attribute="Parent")
     length = exons.groupBy("gene_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("_len"))
     d = _gene_depth(alignments, exons).groupBy("sample", "gene_id").agg(
         F.sum(F.col("depth") * F.col("n_bases")).alias("_s1"),
@@ -95,16 +96,15 @@ def coverage_stats(alignments: DataFrame, exons: DataFrame) -> DataFrame:
 
 def end_bias(alignments: DataFrame, genes: DataFrame, *, window: int = END_WINDOW) -> DataFrame:
     """Per (sample, gene): mean depth over the last ``window`` bases (3') over the first (5')."""
-    g = genes.select("seqid", "start_pos", "end_pos", "strand", "gene_id")
+    g = annotation_columns(genes).select("seqid", "start_pos", "end_pos", "strand", "gene_id")
     first = F.when(F.col("strand") == "-", F.col("end_pos") - window + 1).otherwise(F.col("start_pos"))
     five = g.select("seqid", first.alias("start_pos"), (first + window - 1).alias("end_pos"),
-                    F.concat(F.col("gene_id"), F.lit("|5")).alias("gene_id"))
+                    "gene_id", F.lit("5").alias("_end"))
     last = F.when(F.col("strand") == "-", F.col("start_pos")).otherwise(F.col("end_pos") - window + 1)
     three = g.select("seqid", last.alias("start_pos"), (last + window - 1).alias("end_pos"),
-                     F.concat(F.col("gene_id"), F.lit("|3")).alias("gene_id"))
-    d = _gene_depth(alignments, five.unionByName(three)).groupBy("sample", "gene_id").agg(
+                     "gene_id", F.lit("3").alias("_end"))
+    d = _gene_depth(alignments, five.unionByName(three), ("_end",)).groupBy("sample", "gene_id", "_end").agg(
         F.sum(F.col("depth") * F.col("n_bases")).alias("_s"))
-    d = d.select("sample", F.split("gene_id", r"\|")[0].alias("gene_id"), F.split("gene_id", r"\|")[1].alias("_end"), "_s")
     p = d.groupBy("sample", "gene_id").agg(F.sum(F.when(F.col("_end") == "5", F.col("_s"))).alias("_five"),
                                            F.sum(F.when(F.col("_end") == "3", F.col("_s"))).alias("_three"))
     return p.select("sample", "gene_id", F.round(F.col("_three") / F.col("_five"), 6).alias("end_bias"))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BIN = 16384
 # A side is broadcast only when it has at most this many rows (checked, not assumed).
 BROADCAST_MAX_ROWS = 2_000_000
 

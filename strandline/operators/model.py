@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import nbglm as K
 from strandline.operators.dge import adjust_p, gene_vectors
+from strandline.session import ensure_checkpoint_dir
 
 TREND_MIN_DISP = 100 * K.MIN_DISP
 COOKS_QUANTILE = 0.99
@@ -46,9 +47,12 @@ def dispersions(counts: DataFrame, factors: DataFrame, design_long: DataFrame, s
     """Gene-wise (Cox-Reid) dispersions, a fitted trend (``parametric`` a1/mu + a0 via a gamma
     GLM with identity link, or ``mean``), the prior variance, and MAP shrinkage; genes more than
     two prior standard deviations above the trend keep their gene-wise value (outliers)."""
+    from pyspark.errors import IllegalArgumentException
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
+    if fit not in ("parametric", "mean"):
+        raise ValueError(f"fit must be 'parametric' or 'mean', not {fit!r}")
     X = _design(design_long, samples, coefficients)
     s = _size_factors(factors, samples)
     vec = gene_vectors(counts, samples).where(F.aggregate("v", F.lit(0.0), lambda a, x: a + x) > 0)
@@ -61,6 +65,7 @@ def dispersions(counts: DataFrame, factors: DataFrame, design_long: DataFrame, s
 
     gw = vec.mapInPandas(gene_wise, "gene_id string, v array<double>, base_mean double, disp_gene_wise double, "
                                      "mu array<double>")
+    ensure_checkpoint_dir(gw.sparkSession)
     gw = gw.checkpoint()  # cut lineage: the trend fit below runs several jobs over it
 
     a0, a1 = None, None
@@ -74,7 +79,7 @@ def dispersions(counts: DataFrame, factors: DataFrame, design_long: DataFrame, s
             data = VectorAssembler(inputCols=["inv_mean"], outputCol="features").transform(data)
             try:
                 m = GeneralizedLinearRegression(family="gamma", link="identity", maxIter=50).fit(data)
-            except Exception:  # noqa: BLE001 - no convergence: fall back to the mean trend
+            except IllegalArgumentException:  # the fit left the family's range: fall back to the mean trend
                 break
             new = (float(m.intercept), float(m.coefficients[0]))
             if new[0] <= 0 or new[1] < 0:
@@ -84,6 +89,7 @@ def dispersions(counts: DataFrame, factors: DataFrame, design_long: DataFrame, s
             a0, a1 = coefs
             if done:
                 break
+    trend_kind = "mean" if a0 is None else "parametric"
     if a0 is None:
         mean_disp = gw.where(F.col("disp_gene_wise") > TREND_MIN_DISP).agg(F.avg("disp_gene_wise")).first()[0]
         a0, a1 = float(mean_disp or 0.1), 0.0
@@ -116,7 +122,7 @@ def dispersions(counts: DataFrame, factors: DataFrame, design_long: DataFrame, s
     out = gw.mapInPandas(shrink, "gene_id string, base_mean double, disp_gene_wise double, disp_trend double, "
                                  "disp_map double, dispersion double, disp_outlier boolean")
     return out.withColumn("trend_a0", F.lit(a0)).withColumn("trend_a1", F.lit(a1)) \
-              .withColumn("prior_var", F.lit(prior_var))
+              .withColumn("prior_var", F.lit(prior_var)).withColumn("trend_kind", F.lit(trend_kind))
 
 
 def wald_test(counts: DataFrame, factors: DataFrame, design_long: DataFrame, disp: DataFrame, samples: list[str],

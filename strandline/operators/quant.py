@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.align import _strands, kmer_index
 from strandline.operators.intervals import fits_broadcast
+from strandline.session import ensure_checkpoint_dir
 
 QUANT_K = 31
 EM_ITERATIONS = 60
@@ -47,6 +48,7 @@ def quantify_transcripts(reads: DataFrame, transcripts: DataFrame, *, k: int = Q
 
     Effective length = length - k + 1 (the number of k-mer start positions).
     """
+    ensure_checkpoint_dir(reads.sparkSession)
     ecs = equivalence_classes(reads, transcripts, k=k).checkpoint()
     lengths = transcripts.select(F.col("name").alias("transcript"), F.length("seq").cast("bigint").alias("length")) \
         .withColumn("eff_length", F.greatest(F.col("length") - k + 1, F.lit(1)).cast("double"))

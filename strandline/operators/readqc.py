@@ -7,6 +7,8 @@ is bounded by read length x distinct values, not by the number of bases.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +27,26 @@ ADAPTERS = [("Illumina Universal Adapter", "AGATCGGAAGAG"), ("Illumina Small RNA
 OVERREPRESENTED_SHARE = 0.001
 
 
+def per_mate(operator):
+    """Reads of pairs are judged per mate: where the reads have a ``mate`` column, the unit is (sample, mate)
+    and the result has both."""
+    @wraps(operator)
+    def run(reads: DataFrame, *args, **kwargs) -> DataFrame:
+        if "mate" not in reads.columns:
+            return operator(reads, *args, **kwargs)
+        unit = reads.withColumn("sample", F.struct("sample", "mate")).drop("mate")
+        out = operator(unit, *args, **kwargs)
+        return out.select("sample.sample", "sample.mate", *[c for c in out.columns if c != "sample"])
+    return run
+
+
 def quality_histogram(reads: DataFrame) -> DataFrame:
     """(sample, position, q, n): base qualities counted per 1-based position."""
     x = reads.select("sample", F.posexplode(quals("qual")).alias("_i", "q"))
     return x.groupBy("sample", (F.col("_i") + 1).alias("position"), "q").agg(F.count(F.lit(1)).alias("n"))
 
 
+@per_mate
 def per_base_quality(reads: DataFrame) -> DataFrame:
     """Q1: per (sample, position): mean and the 10/25/50/75/90th percentiles of base quality.
 
@@ -48,6 +64,7 @@ def per_base_quality(reads: DataFrame) -> DataFrame:
     return h.groupBy("sample", "position").agg(*aggs)
 
 
+@per_mate
 def per_read_quality(reads: DataFrame) -> DataFrame:
     """Q2: per sample, number of reads by mean quality (rounded down)."""
     q = quals("qual")
@@ -61,6 +78,7 @@ def _base_histogram(reads: DataFrame) -> DataFrame:
     return x.groupBy("sample", (F.col("_i") + 1).alias("position"), "base").agg(F.count(F.lit(1)).alias("n"))
 
 
+@per_mate
 def per_base_content(reads: DataFrame) -> DataFrame:
     """Q3: per (sample, position): % of A, C, G, T among called (A/C/G/T) bases."""
     h = _base_histogram(reads)
@@ -72,6 +90,7 @@ def per_base_content(reads: DataFrame) -> DataFrame:
         *[F.round(F.col(f"_n{b}") * 100.0 / F.col("_total"), 6).alias(f"pct_{b}") for b in "ACGT"])
 
 
+@per_mate
 def gc_distribution(reads: DataFrame) -> DataFrame:
     """Q4: per sample, reads by GC% (rounded to an integer, over A/C/G/T bases)."""
     acgt = base_count("seq", "ACGTacgt")
@@ -79,6 +98,7 @@ def gc_distribution(reads: DataFrame) -> DataFrame:
     return reads.where(acgt > 0).groupBy("sample", gc.alias("gc_percent")).agg(F.count(F.lit(1)).alias("reads"))
 
 
+@per_mate
 def per_base_n(reads: DataFrame) -> DataFrame:
     """Q5: per (sample, position): % of bases called N."""
     h = _base_histogram(reads)
@@ -87,6 +107,7 @@ def per_base_n(reads: DataFrame) -> DataFrame:
     return r.select("sample", "position", F.round(F.col("_n") * 100.0 / F.col("_t"), 6).alias("pct_n"))
 
 
+@per_mate
 def length_distribution(reads: DataFrame) -> DataFrame:
     """Q6: per sample, reads by length."""
     return reads.groupBy("sample", F.length("seq").alias("length")).agg(F.count(F.lit(1)).alias("reads"))
@@ -99,6 +120,7 @@ def _level_label(copies):
     return expr
 
 
+@per_mate
 def duplication_levels(reads: DataFrame) -> DataFrame:
     """Q7: per sample and duplication level, the number of distinct sequences and of reads."""
     per_seq = reads.groupBy("sample", "seq").agg(F.count(F.lit(1)).alias("_copies"))
@@ -106,6 +128,7 @@ def duplication_levels(reads: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("sequences"), F.sum("_copies").alias("reads"))
 
 
+@per_mate
 def overrepresented_sequences(reads: DataFrame, *, share: float = OVERREPRESENTED_SHARE) -> DataFrame:
     """Q8: sequences making up more than ``share`` of a sample's reads."""
     per_seq = reads.groupBy("sample", "seq").agg(F.count(F.lit(1)).alias("count"))
@@ -115,6 +138,7 @@ def overrepresented_sequences(reads: DataFrame, *, share: float = OVERREPRESENTE
         "sample", "seq", "count", F.round(F.col("count") * 100.0 / F.col("_total"), 6).alias("percentage"))
 
 
+@per_mate
 def adapter_content(reads: DataFrame, adapters: list[tuple[str, str]] = ADAPTERS) -> DataFrame:
     """Q9: per (sample, adapter, position): % of reads with the adapter starting at or before the position."""
     # first 1-based start of each adapter in each read (0 = absent), evaluated per row in the JVM
@@ -133,6 +157,7 @@ def adapter_content(reads: DataFrame, adapters: list[tuple[str, str]] = ADAPTERS
                     .alias("pct_reads"))
 
 
+@per_mate
 def basic_stats(reads: DataFrame) -> DataFrame:
     """Q10: per sample total sequences, shortest and longest read, %GC of all bases."""
     return reads.groupBy("sample").agg(
@@ -141,6 +166,7 @@ def basic_stats(reads: DataFrame) -> DataFrame:
         F.round(F.sum(gc_count("seq")) * 100.0 / F.sum(base_count("seq", "ACGTacgt")), 6).alias("pct_gc"))
 
 
+@per_mate
 def qc_status(reads: DataFrame) -> DataFrame:
     """Q11: pass / warn / fail per (sample, module) with the tool's published thresholds."""
     pbq = per_base_quality(reads).groupBy("sample").agg(F.min("q1").alias("_lq"), F.min("median").alias("_med"))

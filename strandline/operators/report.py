@@ -10,7 +10,7 @@ TRUNCATE_AT = [".gz", ".fastq", "_R1_.cutadapt", "_R2_.cutadapt", "_R2_001", "_R
 REMOVE = [r"\.sorted", r"_S\d+", r"_bowtie1$"]
 # Files never read as metric tables.
 IGNORE_NAMES = [".DS_Store", "slurm*out", "*.js"]
-IGNORE_DIRS = [".sequana", ".snakemake", "multiqc", "logs"]
+IGNORE_DIRS = [".snakemake", "multiqc", "logs"]
 IGNORE_PATHS = ["*/feature_counts/*", "*_init_*"]
 MAX_FILE_BYTES = 5_000_000
 
@@ -29,17 +29,29 @@ def _quote(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
 
 
-def select_metric_files(listing: DataFrame, *, path: str = "path", length: str = "length") -> DataFrame:
-    """M2: keep metric files: not ignored by name, directory or path pattern, at most 5,000,000 bytes."""
+def _metric_file(path: str, length: str, max_bytes: int, ignore_dirs: tuple[str, ...]) -> Column:
     base = F.regexp_extract(F.col(path), r"([^/]*)$", 1)
     bad = F.col(path).endswith("/")
     for g in IGNORE_NAMES:
         bad = bad | base.rlike("^" + _glob(g) + "$")
-    for d in IGNORE_DIRS:
+    for d in [*IGNORE_DIRS, *ignore_dirs]:
         bad = bad | F.col(path).rlike("(^|/)" + _quote(d) + "/")
     for g in IGNORE_PATHS:
         bad = bad | F.col(path).rlike("^" + _glob(g) + "$")
-    return listing.where(~bad & (F.col(length) <= MAX_FILE_BYTES))
+    return ~bad & (F.col(length) <= max_bytes)
+
+
+def select_metric_files(listing: DataFrame, *, path: str = "path", length: str = "length",
+                        max_bytes: int = MAX_FILE_BYTES, ignore_dirs: tuple[str, ...] = ()) -> DataFrame:
+    """M2: keep metric files: not ignored by name, directory (``ignore_dirs`` are added) or path pattern, at most
+    ``max_bytes`` long."""
+    return listing.where(_metric_file(path, length, max_bytes, ignore_dirs))
+
+
+def dropped_metric_files(listing: DataFrame, *, path: str = "path", length: str = "length",
+                         max_bytes: int = MAX_FILE_BYTES, ignore_dirs: tuple[str, ...] = ()) -> DataFrame:
+    """M2: the files that ``select_metric_files`` leaves out."""
+    return listing.where(~_metric_file(path, length, max_bytes, ignore_dirs))
 
 
 def _glob(g: str) -> str:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.alignment import (DUPLICATE, PROPER_PAIR, QC_FAIL, SECONDARY, UNMAPPED, cigar_blocks,
-                                            has_flag, junctions, read_strand)
+                                            fragment_strand, has_flag, junctions)
 from strandline.operators.intervals import fits_broadcast, overlap_join
+from strandline.operators.schema import annotation_columns
 
 # Defaults of the tools' command lines.
 INNER_DISTANCE_LOWER, INNER_DISTANCE_UPPER, INNER_DISTANCE_STEP = -250, 250, 5
@@ -20,39 +21,42 @@ def inner_distance(pairs: DataFrame, *, lower: int = INNER_DISTANCE_LOWER, upper
     """B1: histogram of the gap between mates (mate 2 start - mate 1 end - 1; negative = overlap).
 
     ``pairs`` has one row per fragment: (sample, end1, pos2).  Bins are
-    [lo, lo + step) from ``lower`` to ``upper``; distances outside are not binned.
+    [lo, lo + step) from ``lower`` to ``upper``; what lies outside is counted at the two
+    ends, in bins that start and end there.
     """
     d = (F.col("pos2") - F.col("end1") - 1)
-    b = pairs.select("sample", d.alias("d")).where((F.col("d") >= lower) & (F.col("d") < upper))
-    lo = F.floor((F.col("d") - lower) / step) * step + lower
-    return b.groupBy("sample", lo.cast("bigint").alias("bin_start")).agg(F.count(F.lit(1)).alias("count")) \
-        .withColumn("bin_end", F.col("bin_start") + step)
+    b = pairs.select("sample", d.alias("d"))
+    lo = (F.when(F.col("d") >= upper, F.lit(upper)).when(F.col("d") < lower, F.lit(lower))
+          .otherwise(F.floor((F.col("d") - lower) / step) * step + lower))
+    hi = F.when((F.col("d") >= lower) & (F.col("d") < upper), lo + step).otherwise(lo)
+    return b.groupBy("sample", lo.cast("bigint").alias("bin_start"), hi.cast("bigint").alias("bin_end")) \
+        .agg(F.count(F.lit(1)).alias("count"))
 
 
 def read_duplication(reads: DataFrame | None = None, alignments: DataFrame | None = None) -> DataFrame:
-    """(method, occurrence, unique_reads): how many distinct sequences / positions occur k times."""
+    """(sample, method, occurrence, unique_reads): how many distinct sequences / positions occur k times."""
     parts = []
     if reads is not None:
-        by_seq = reads.groupBy("seq").agg(F.count(F.lit(1)).alias("occurrence"))
-        parts.append(by_seq.groupBy("occurrence").agg(F.count(F.lit(1)).alias("unique_reads"))
+        by_seq = reads.groupBy("sample", "seq").agg(F.count(F.lit(1)).alias("occurrence"))
+        parts.append(by_seq.groupBy("sample", "occurrence").agg(F.count(F.lit(1)).alias("unique_reads"))
                      .withColumn("method", F.lit("sequence")))
     if alignments is not None:
         mapped = alignments.where(~has_flag("flag", UNMAPPED))
         key = F.concat_ws(":", F.col("ref"), F.col("pos").cast("string"),
                           F.to_json(cigar_blocks("pos", "cigar")))
-        by_pos = mapped.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("occurrence"))
-        parts.append(by_pos.groupBy("occurrence").agg(F.count(F.lit(1)).alias("unique_reads"))
+        by_pos = mapped.groupBy("sample", key.alias("_k")).agg(F.count(F.lit(1)).alias("occurrence"))
+        parts.append(by_pos.groupBy("sample", "occurrence").agg(F.count(F.lit(1)).alias("unique_reads"))
                      .withColumn("method", F.lit("position")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("method", "occurrence", "unique_reads")
+    return out.select("sample", "method", "occurrence", "unique_reads")
 
 
 def annotated_splice_sites(exons: DataFrame, *, transcript_col: str = "gene_id") -> DataFrame:
     """Introns of each transcript from its exons: (chrom, intron_start, intron_end), 1-based closed."""
     w = Window.partitionBy(transcript_col).orderBy("start_pos")
-    e = exons.select(F.col("seqid").alias("chrom"), transcript_col, "start_pos", "end_pos") \
+    e = annotation_columns(exons, parent_attribute="Parent").select(F.col("seqid").alias("chrom"), transcript_col, "start_pos", "end_pos") \
              .withColumn("_next", F.lead("start_pos").over(w))
     return e.where(F.col("_next").isNotNull()).select(
         "chrom", (F.col("end_pos") + 1).alias("intron_start"), (F.col("_next") - 1).alias("intron_end"))
@@ -82,17 +86,17 @@ def _classify_junctions(events: DataFrame, introns: DataFrame) -> DataFrame:
 
 
 def junction_annotation(alignments: DataFrame, exons: DataFrame) -> DataFrame:
-    """(level, category, count) — splice events and distinct junctions by known / partial / complete novel."""
+    """(sample, level, category, count) — splice events and distinct junctions by known / partial / complete novel."""
     ev = _classify_junctions(junction_events(alignments), annotated_splice_sites(exons))
-    by_event = ev.groupBy("category").agg(F.count(F.lit(1)).alias("count")).withColumn("level", F.lit("event"))
-    by_junction = ev.select("chrom", "intron_start", "intron_end", "category").distinct() \
-        .groupBy("category").agg(F.count(F.lit(1)).alias("count")).withColumn("level", F.lit("junction"))
-    return by_event.unionByName(by_junction).select("level", "category", "count")
+    by_event = ev.groupBy("sample", "category").agg(F.count(F.lit(1)).alias("count")).withColumn("level", F.lit("event"))
+    by_junction = ev.select("sample", "chrom", "intron_start", "intron_end", "category").distinct() \
+        .groupBy("sample", "category").agg(F.count(F.lit(1)).alias("count")).withColumn("level", F.lit("junction"))
+    return by_event.unionByName(by_junction).select("sample", "level", "category", "count")
 
 
 def junction_saturation(alignments: DataFrame, exons: DataFrame, *, bucket: Column,
                         levels: list[int] = SATURATION_LEVELS) -> DataFrame:
-    """Distinct junctions (all / known / novel) seen when using ``level`` % of the reads.
+    """Per sample, distinct junctions (all / known / novel) seen when using ``level`` % of the reads.
 
     ``bucket`` is a deterministic 0..99 read bucket (a hash of the read id); a
     read belongs to every level above its bucket.  Each junction's first level is
@@ -100,29 +104,33 @@ def junction_saturation(alignments: DataFrame, exons: DataFrame, *, bucket: Colu
     """
     ev = junction_events(alignments.withColumn("_bucket", bucket), extra_cols=("_bucket",))
     ev = _classify_junctions(ev, annotated_splice_sites(exons))
-    first = ev.groupBy("chrom", "intron_start", "intron_end", "category").agg(F.min("_bucket").alias("_b"))
+    first = ev.groupBy("sample", "chrom", "intron_start", "intron_end", "category").agg(F.min("_bucket").alias("_b"))
     lv = F.explode(F.array(*[F.lit(x) for x in levels])).alias("level")
-    x = first.select("category", "_b", lv).where(F.col("_b") < F.col("level"))
-    return x.groupBy("level").agg(
+    x = first.select("sample", "category", "_b", lv).where(F.col("_b") < F.col("level"))
+    return x.groupBy("sample", "level").agg(
         F.count(F.lit(1)).alias("all_junctions"), F.count_if(F.col("category") == "known").alias("known"),
         F.count_if(F.col("category") != "known").alias("novel"))
 
 
 def infer_experiment(alignments: DataFrame, genes: DataFrame, *, mapq: int = MAPQ_CUTOFF,
-                     bin_size: int | None = None) -> DataFrame:
+                     feature_type: str | None = "gene", bin_size: int | None = None) -> DataFrame:
     """Share of reads whose strand agrees (++,--) or disagrees (+-,-+) with the overlapped genes'.
 
-    Uniquely mapped records with MAPQ >= ``mapq`` are used.  A read overlapping
+    Uniquely mapped records with MAPQ >= ``mapq`` and features of ``feature_type`` (None: all) are used.
+    Mates count as one fragment with the strand of mate 1.  A fragment overlapping
     genes on both strands counts as ``failed``.  Shares are over reads that
     overlap at least one gene.
     """
     unique = F.coalesce(F.col("nh"), F.lit(1)) <= 1 if "nh" in alignments.columns else F.lit(True)
     a = alignments.where(~has_flag("flag", UNMAPPED) & ~has_flag("flag", SECONDARY) & ~has_flag("flag", QC_FAIL)
                          & (F.col("mapq") >= mapq) & unique)
-    blocks = a.select("sample", "frag_id", F.col("ref").alias("a_chrom"), read_strand("flag").alias("a_strand"),
+    blocks = a.select("sample", "frag_id", F.col("ref").alias("a_chrom"), fragment_strand("flag").alias("a_strand"),
                       F.explode(cigar_blocks("pos", "cigar")).alias("_b")) \
               .select("sample", "frag_id", "a_chrom", "a_strand", F.col("_b.start").alias("a_start"),
                       F.col("_b.end").alias("a_end"))
+    genes = annotation_columns(genes)
+    if feature_type is not None and "type" in genes.columns:
+        genes = genes.where(F.col("type") == feature_type)
     g = genes.select(F.col("seqid").alias("g_chrom"), F.col("start_pos").alias("g_start"),
                      F.col("end_pos").alias("g_end"), F.col("strand").alias("g_strand"))
     j = overlap_join(blocks, g, left_cols=("a_chrom", "a_start", "a_end"), right_cols=("g_chrom", "g_start", "g_end"),
@@ -164,23 +172,23 @@ def alignment_stats(alignments: DataFrame, *, mapq: int = MAPQ_CUTOFF) -> DataFr
 
 
 def clipping_profile(alignments: DataFrame) -> DataFrame:
-    """Soft-clipped bases per read position (0-based from the read start), mapped records."""
+    """Per sample, soft-clipped bases per read position (0-based from the read start), mapped records."""
     m = alignments.where(~has_flag("flag", UNMAPPED))
     lead = F.coalesce(F.regexp_extract("cigar", r"^([0-9]+)S", 1).try_cast("int"), F.lit(0))
     trail = F.coalesce(F.regexp_extract("cigar", r"([0-9]+)S$", 1).try_cast("int"), F.lit(0))
     rlen = F.expr("aggregate(regexp_extract_all(cigar, '([0-9]+)[MIS=X]', 1), 0, (a, x) -> a + cast(x as int))")
-    x = m.select(F.explode(F.concat(
+    x = m.select("sample", F.explode(F.concat(
         F.when(lead > 0, F.sequence(F.lit(0), lead - 1)).otherwise(F.array().cast("array<int>")),
         F.when(trail > 0, F.sequence(rlen - trail, rlen - 1)).otherwise(F.array().cast("array<int>")))).alias("position"))
-    return x.groupBy("position").agg(F.count(F.lit(1)).alias("clipped"))
+    return x.groupBy("sample", "position").agg(F.count(F.lit(1)).alias("clipped"))
 
 
 def read_gc(reads: DataFrame) -> DataFrame:
-    """Reads by GC% (two decimals) over all bases of the read."""
+    """Per sample, reads by GC% (two decimals) over all bases of the read."""
     from strandline.functions.sequence import gc_count
 
     gc = F.round(gc_count("seq") * 100.0 / F.length("seq"), 2)
-    return reads.where(F.length("seq") > 0).groupBy(gc.alias("gc_percent")).agg(F.count(F.lit(1)).alias("reads"))
+    return reads.where(F.length("seq") > 0).groupBy("sample", gc.alias("gc_percent")).agg(F.count(F.lit(1)).alias("reads"))
 
 
 def transcripts_to_features(quant: DataFrame, features: DataFrame, *, attribute: str, id_attribute: str = "ID",

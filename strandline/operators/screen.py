@@ -99,13 +99,16 @@ def screen_contaminants(reads: DataFrame, reference: DataFrame) -> DataFrame:
     strands = _strands(reference)
     bases = strands.agg(F.sum("rlen")).first()[0] if fits_broadcast(strands) else None
     use_broadcast = bases is not None and bases <= BROADCAST_MAX_BASES
+    # every strand position is in the index once per tier
+    use_broadcast = use_broadcast and len(PIECE_TIERS) * bases <= BROADCAST_MAX_BASES
     idx = _index(strands)
     ref = strands.select("name", "strand", "rseq", "rlen")
     if use_broadcast:
         idx, ref = F.broadcast(idx), F.broadcast(ref)
     rp = _read_pieces(reads)
-    j = rp.join(idx, ["piece_len", "piece"], "left") \
-          .withColumn("start0", F.col("pos0") - F.col("offset")).join(ref, ["name", "strand"], "left")
+    # marker rows (no piece) meet nothing and stay out of the joins
+    j = rp.where(F.col("piece").isNotNull()).join(idx, ["piece_len", "piece"]) \
+          .withColumn("start0", F.col("pos0") - F.col("offset")).join(ref, ["name", "strand"])
     fits = F.col("start0").isNotNull() & (F.col("start0") >= 0) & (F.col("start0") + F.length("seq") <= F.col("rlen"))
     # edit distance never exceeds Hamming distance: a seed with <= 2 mismatches has levenshtein <= 2
     seed_read = F.substring("seq", 1, SEED_LENGTH)
@@ -114,14 +117,19 @@ def screen_contaminants(reads: DataFrame, reference: DataFrame) -> DataFrame:
     window = F.expr("substring(rseq, cast(start0 + 1 as int), length(seq))")
     m = _mismatch_stats(F.col("seq"), F.col("qual"), window)
     hit = F.when(cand, (m["seed_mm"] <= SEED_MISMATCHES) & (m["qsum"] <= MAX_QUALITY_SUM)).otherwise(F.lit(False))
-    return j.groupBy("sample", "read_id").agg(F.max(F.col("piece_len").isNotNull()).alias("screened"),
-                                              F.max(hit).alias("aligned"))
+    marks = rp.where(F.col("piece").isNull()).select("sample", "read_id", F.col("piece_len").isNotNull().alias("screened"),
+                                                     F.lit(False).alias("aligned"))
+    hits = j.where(cand).select("sample", "read_id", F.lit(True).alias("screened"), hit.alias("aligned"))
+    return marks.unionByName(hits).groupBy("sample", "read_id").agg(F.max("screened").alias("screened"),
+                                                                    F.max("aligned").alias("aligned"))
 
 
 def contamination_rate(screened: DataFrame) -> DataFrame:
-    """C4: per sample, % of screened reads that align to the contaminant reference."""
-    s = screened.where(F.col("screened")).groupBy("sample").agg(
-        F.count(F.lit(1)).alias("reads"), F.count_if(F.col("aligned")).alias("aligned"))
+    """C4: per sample, % of all reads that align to the contaminant reference; reads too short to be screened
+    count as reads and are listed."""
+    s = screened.groupBy("sample").agg(
+        F.count(F.lit(1)).alias("reads"), F.count_if(F.col("aligned")).alias("aligned"),
+        F.count_if(~F.col("screened")).alias("not_screened"))
     return s.withColumn("reads_aligned_percentage", F.round(F.col("aligned") * 100.0 / F.col("reads"), 6))
 
 

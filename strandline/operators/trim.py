@@ -1,4 +1,7 @@
-"""Read trimming and filtering (the fastp / cutadapt role), all as JVM-side column expressions.
+"""Read trimming and filtering (the fastp / cutadapt role).
+
+Filters and fixed cuts are JVM-side column expressions; the three scans along a read (adapter, 3' quality,
+sliding window) are Arrow-batched numpy kernels.
 
 Each trimmer rewrites ``seq`` and ``qual`` with the same offsets; each filter
 drops rows.  ``trim_reads`` chains them in the tool's order with the
@@ -28,45 +31,101 @@ UNQUALIFIED_PERCENT_LIMIT = 40
 N_BASE_LIMIT = 5
 
 
-def _qual_matrix(quals: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """Phred strings of a batch -> (values padded with 0, lengths)."""
-    n = quals.str.len().fillna(0).to_numpy().astype(np.int64)
-    width = int(n.max()) if len(n) else 0
-    m = np.zeros((len(n), max(width, 1)), dtype=np.int64)
-    for i, q in enumerate(quals):
-        if q:
-            m[i, :len(q)] = np.frombuffer(q.encode("ascii"), dtype=np.uint8)
-    return np.where(m > 0, m - 33, 0), n
-
-
-@pandas_udf(IntegerType())
-def _cut_tail_udf(quals: pd.Series, window: pd.Series, mean: pd.Series) -> pd.Series:
-    q, n = _qual_matrix(quals)
-    w = np.minimum(n, int(window.iloc[0]))
-    csum = np.concatenate([np.zeros((len(n), 1), dtype=np.int64), np.cumsum(q, axis=1)], axis=1)
-    starts = np.arange(q.shape[1])[None, :]
-    end = np.minimum(starts + w[:, None], q.shape[1])
-    sums = np.take_along_axis(csum, end, axis=1) - csum[:, :q.shape[1]]
-    ok = (starts <= (n - w)[:, None]) & (sums >= w[:, None] * int(mean.iloc[0])) & (w[:, None] > 0)
-    last = np.where(ok.any(axis=1), q.shape[1] - 1 - np.argmax(ok[:, ::-1], axis=1), -1)
-    return pd.Series(np.where(last >= 0, last + w, 0).astype(np.int32))
-
-
-@pandas_udf(IntegerType())
-def _quality_trim_udf(quals: pd.Series, cutoff: pd.Series) -> pd.Series:
-    q, n = _qual_matrix(quals)
-    cut = int(cutoff.iloc[0])
-    width = q.shape[1]
-    pos = np.arange(width)[None, :]
-    valid = pos < n[:, None]
-    contrib = np.where(valid, cut - q, 0)
-    suffix = np.cumsum(contrib[:, ::-1], axis=1)[:, ::-1]          # s_i = sum_{j >= i} (cut - q_j)
-    neg = valid & (suffix < 0)
-    stop = np.where(neg.any(axis=1), width - 1 - np.argmax(neg[:, ::-1], axis=1), -1)  # first negative from the 3' end
-    cand = valid & (pos > stop[:, None]) & (suffix > 0)
-    score = np.where(cand, suffix, np.iinfo(np.int64).min)
-    best = width - 1 - np.argmax(score[:, ::-1], axis=1)             # ties: the larger index (found first)
-    return pd.Series(np.where(cand.any(axis=1), best, n).astype(np.int32))
+CHUNK_BYTES = 1 << 22  # bytes of a padded matrix of reads that are worked on at a time
+
+
+def _by_length(strings: pd.Series, kernel) -> pd.Series:
+    """``kernel(bytes, lengths)`` over the strings of a batch as padded byte matrices.  Strings of similar length
+    share a matrix of bounded size, so one long read does not widen the others."""
+    text = strings.fillna("").tolist()
+    n = np.fromiter(map(len, text), dtype=np.int64, count=len(text))
+    out = np.zeros(len(text), dtype=np.int32)
+    order = np.argsort(n, kind="stable")
+    at = 0
+    while at < len(order):
+        rows = max(1, CHUNK_BYTES // max(1, int(n[order[min(len(order), at + 4096) - 1]])))
+        idx = order[at:at + min(rows, 4096)]
+        width = max(1, int(n[idx].max()))
+        m = np.zeros((len(idx), width), dtype=np.uint8)
+        flat = np.frombuffer("".join(text[i] for i in idx).encode("ascii", "replace"), dtype=np.uint8)
+        m[np.arange(width)[None, :] < n[idx][:, None]] = flat
+        out[idx] = kernel(m, n[idx])
+        at += len(idx)
+    return pd.Series(out)
+
+
+def _phred(m: np.ndarray) -> np.ndarray:
+    return np.where(m > 0, m.astype(np.int32) - 33, 0)
+
+
+def _cut_tail_udf(window: int, mean: int):
+    def kernel(m, n):
+        q = _phred(m)
+        w = np.minimum(n, window)
+        width = q.shape[1]
+        csum = np.concatenate([np.zeros((len(n), 1), dtype=np.int64), np.cumsum(q, axis=1)], axis=1)
+        starts = np.arange(width)[None, :]
+        sums = np.take_along_axis(csum, np.minimum(starts + w[:, None], width), axis=1) - csum[:, :width]
+        ok = (starts <= (n - w)[:, None]) & (sums >= w[:, None] * mean) & (w[:, None] > 0)
+        last = np.where(ok.any(axis=1), width - 1 - np.argmax(ok[:, ::-1], axis=1), -1)
+        return np.where(last >= 0, last + w, 0)
+
+    @pandas_udf(IntegerType())
+    def cut(quals: pd.Series) -> pd.Series:
+        return _by_length(quals, kernel)
+    return cut
+
+
+def _quality_trim_udf(cutoff: int):
+    def kernel(m, n):
+        q = _phred(m)
+        width = q.shape[1]
+        pos = np.arange(width)[None, :]
+        gain = np.where(pos < n[:, None], cutoff - q, 0)
+        sums = np.cumsum(gain[:, ::-1], axis=1)[:, ::-1]  # from each position to the 3' end
+        # the scan stops where the sum first turns negative, seen from the 3' end
+        stop = np.where(sums < 0, pos, -1).max(axis=1)
+        inside = (pos > stop[:, None]) & (pos < n[:, None])
+        best = np.where(inside, sums, 0)
+        top = best.max(axis=1)
+        # of equal maxima the one nearest the 3' end
+        cut = width - 1 - np.argmax(best[:, ::-1], axis=1)
+        return np.where(top > 0, cut, n)
+
+    @pandas_udf(IntegerType())
+    def cut(quals: pd.Series) -> pd.Series:
+        return _by_length(quals, kernel)
+    return cut
+
+
+def _adapter_udf(adapter: str, min_overlap: int, error_rate: float):
+    """0-based start of the leftmost acceptable adapter occurrence, or the read length.
+
+    An occurrence at offset i compares read[i : i + L] with adapter[0 : L], L = min(|adapter|, |read| - i) >=
+    ``min_overlap``, and allows floor(L * error_rate) substitutions (no indels).
+    """
+    probe = np.frombuffer(adapter.upper().encode("ascii"), dtype=np.uint8)
+    allowed = np.array([int(k * error_rate) for k in range(len(probe) + 1)])
+
+    def kernel(m, n):
+        found = n.copy()
+        open_ = np.ones(len(n), dtype=bool)
+        for i in range(max(0, m.shape[1] - min_overlap + 1)):
+            k = min(len(probe), m.shape[1] - i)
+            overlap = np.minimum(len(probe), n - i)
+            rows = np.flatnonzero(open_ & (overlap >= min_overlap))
+            if not len(rows):
+                break
+            wrong = ((m[rows, i:i + k] != probe[None, :k]) & (np.arange(k)[None, :] < overlap[rows][:, None])).sum(axis=1)
+            hit = rows[wrong <= allowed[overlap[rows]]]
+            found[hit] = i
+            open_[hit] = False
+        return found
+
+    @pandas_udf(IntegerType())
+    def start(seqs: pd.Series) -> pd.Series:
+        return _by_length(seqs, kernel)
+    return start
 
 
 def _keep(df: DataFrame, start: Column, length: Column) -> DataFrame:
@@ -85,40 +144,10 @@ def _keep(df: DataFrame, start: Column, length: Column) -> DataFrame:
     return df.select(*others, F.inline(F.array(trimmed)))
 
 
-def adapter_pattern(adapter: str, *, min_overlap: int = ADAPTER_MIN_OVERLAP,
-                    error_rate: float = ADAPTER_ERROR_RATE) -> str:
-    """Regex whose leftmost match is the leftmost acceptable 3' adapter occurrence.
-
-    An occurrence at offset i compares read[i : i + L] with adapter[0 : L],
-    L = min(|adapter|, |read| - i) >= ``min_overlap``, allowing floor(L * error_rate)
-    substitutions (no indels).  The whole adapter may sit anywhere; a partial
-    one (L < |adapter|) must reach the read end.  Each allowed mismatch set is
-    one alternative with '.' at those positions, so the JVM regex engine does
-    the scan.
-    """
-    from itertools import combinations
-
-    a = adapter.upper()
-    alts = []
-    for length in range(len(a), min_overlap - 1, -1):
-        prefix = a[:length]
-        errors = int(length * error_rate)
-        anchor = "" if length == len(a) else "$"
-        for e in range(errors + 1):
-            for pos in combinations(range(length), e):
-                chars = list(prefix)
-                for j in pos:
-                    chars[j] = "."
-                alts.append("".join(chars) + anchor)
-    return "(?:" + "|".join(dict.fromkeys(alts)) + ")"
-
-
 def adapter_start(seq: str, adapter: str, *, min_overlap: int = ADAPTER_MIN_OVERLAP,
                   error_rate: float = ADAPTER_ERROR_RATE) -> Column:
     """0-based start of the leftmost 3' adapter match, or the read length when none."""
-    pat = adapter_pattern(adapter, min_overlap=min_overlap, error_rate=error_rate)
-    hit = F.regexp_instr(F.col(seq), F.lit(pat))
-    return F.when(hit > 0, hit - 1).otherwise(F.length(seq))
+    return _adapter_udf(adapter, min_overlap, error_rate)(F.col(seq))
 
 
 def trim_adapter(reads: DataFrame, adapter: str, *, mode: str = "a", min_overlap: int = ADAPTER_MIN_OVERLAP,
@@ -146,34 +175,13 @@ def trim_n(reads: DataFrame) -> DataFrame:
     return _keep(reads, lead, F.when(lead == ln, F.lit(0)).otherwise(ln - lead - trail))
 
 
-def quality_trim_index(q: str = "_q", cutoff: int = QUALITY_CUTOFF) -> Column:
-    """BWA-style 3' trimming point over a decoded quality array column: scan from the 3'
-    end summing (cutoff - q), stop when the sum turns negative, cut where it was largest."""
-    qs = F.col(q)
-    n = F.size(qs)
-    init = F.struct(F.lit(0).alias("s"), F.lit(0).alias("mx"), n.alias("cut"), F.lit(False).alias("done"))
-
-    def step(acc, i):
-        s = acc["s"] + F.lit(cutoff) - F.element_at(qs, i + 1)
-        stop = acc["done"] | (s < 0)
-        better = ~stop & (s > acc["mx"])
-        return F.struct(F.when(stop, acc["s"]).otherwise(s).alias("s"),
-                        F.when(better, s).otherwise(acc["mx"]).alias("mx"),
-                        F.when(better, i).otherwise(acc["cut"]).alias("cut"),
-                        stop.alias("done"))
-
-    idx = F.when(n > 0, F.sequence(n - 1, F.lit(0), F.lit(-1)))
-    return F.when(n > 0, F.aggregate(idx, init, step, lambda acc: acc["cut"])).otherwise(F.lit(0))
-
-
 def quality_trim_3p(reads: DataFrame, cutoff: int = QUALITY_CUTOFF) -> DataFrame:
     """3' quality trimming (0 = off; the reference's -1 means the default 30)."""
     if cutoff == 0:
         return reads
     if cutoff < 0:
         cutoff = QUALITY_CUTOFF
-    # per-read scan in an Arrow-batched numpy kernel (the JVM form, quality_trim_index, runs interpreted)
-    d = reads.withColumn("_cut", _quality_trim_udf(F.col("qual"), F.lit(cutoff)))
+    d = reads.withColumn("_cut", _quality_trim_udf(cutoff)(F.col("qual")))
     return _keep(d, F.lit(0), F.col("_cut"))
 
 
@@ -182,21 +190,9 @@ def min_length(reads: DataFrame, length: int = MIN_LENGTH) -> DataFrame:
     return reads.where(F.length("seq") >= length)
 
 
-def cut_tail_index(q: str = "_q", window: int = CUT_TAIL_WINDOW, mean: int = CUT_TAIL_MEAN) -> Column:
-    """End (exclusive) kept by a 3'->5' sliding window over a decoded quality array column:
-    the last window whose mean quality reaches ``mean``; 0 when none does."""
-    qs = F.col(q)
-    n = F.size(qs)
-    w = F.least(n, F.lit(window))
-    ok = F.filter(F.sequence(F.lit(0), n - w),
-                  lambda s: F.aggregate(F.slice(qs, s + 1, w), F.lit(0), lambda a, x: a + x) >= w * mean)
-    return F.when(n == 0, F.lit(0)).otherwise(F.coalesce(F.array_max(ok) + w, F.lit(0)))
-
-
 def cut_tail(reads: DataFrame, window: int = CUT_TAIL_WINDOW, mean: int = CUT_TAIL_MEAN) -> DataFrame:
     """T5: drop 3' bases while the window's mean quality is below ``mean``."""
-    # per-read window scan in an Arrow-batched numpy kernel (the JVM form, cut_tail_index, runs interpreted)
-    d = reads.withColumn("_cut", _cut_tail_udf(F.col("qual"), F.lit(window), F.lit(mean)))
+    d = reads.withColumn("_cut", _cut_tail_udf(window, mean)(F.col("qual")))
     return _keep(d, F.lit(0), F.col("_cut"))
 
 
@@ -226,14 +222,15 @@ def trim_reads(reads: DataFrame, *, adapter: str | None = None, adapter_mode: st
                disable_quality_filtering: bool = False, disable_adapter_trimming: bool = False,
                qualified_quality: int = QUALIFIED_QUALITY, unqualified_percent: int = UNQUALIFIED_PERCENT_LIMIT,
                n_limit: int = N_BASE_LIMIT, average_quality: int = 0) -> DataFrame:
-    """T9 + chain: the configured trimmers and filters, switched off as the reference allows."""
+    """T9 + chain: the configured trimmers and filters in the order quality, adapter, Ns, length; each can be
+    switched off."""
     out = reads
+    if quality_cutoff:
+        out = quality_trim_3p(out, quality_cutoff)
     if adapter and not disable_adapter_trimming:
         out = trim_adapter(out, adapter, mode=adapter_mode)
     if trim_ns:
         out = trim_n(out)
-    if quality_cutoff:
-        out = quality_trim_3p(out, quality_cutoff)
     if cut_tail_window:
         out = cut_tail(out, cut_tail_window, cut_tail_mean)
     if not disable_quality_filtering:

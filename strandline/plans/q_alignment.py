@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandline.operators import alignment as AL
+from strandline.operators import coverage as CV
 from strandline.operators import rseqc as R
+from strandline.plans.q_counting import annotation
 from strandline.plans.registry import query
 from strandline.sources import fixtures as fx
 
@@ -68,21 +70,23 @@ def q_duplication_metrics(spark, sf_dir):
 
 @query("inner_distance", oracle="""
 with d as (select sample, pos2 - end1 - 1 as d from fx_pairs)
-select sample, cast(floor((d + 250) / 5) * 5 - 250 as bigint) as bin_start, count(*) as count,
-  cast(floor((d + 250) / 5) * 5 - 250 as bigint) + 5 as bin_end
-from d where d >= -250 and d < 250 group by all""")
+select sample, cast(case when d >= 50 then 50 when d < -250 then -250 else floor((d + 250) / 5) * 5 - 250 end as bigint) as bin_start,
+  cast(case when d < -250 then -250 when d >= 50 then 50 else floor((d + 250) / 5) * 5 - 245 end as bigint) as bin_end,
+  count(*) as count
+from d group by all""")
 def q_inner_distance(spark, sf_dir):
-    return R.inner_distance(fx.fx_pairs(spark, sf_dir))
+    """B1 with an upper end that some fragments lie beyond."""
+    return R.inner_distance(fx.fx_pairs(spark, sf_dir), upper=50)
 
 
 @query("read_duplication", oracle="""
-select 'sequence' as method, occurrence, count(*) as unique_reads
-from (select seq, count(*) as occurrence from fx_reads group by seq) s group by occurrence
+select sample, 'sequence' as method, occurrence, count(*) as unique_reads
+from (select sample, seq, count(*) as occurrence from fx_reads group by sample, seq) s group by sample, occurrence
 union all
-select 'position', occurrence, count(*) from (select ref, pos, cigar, count(*) as occurrence from fx_alignments
-  where flag % 8 < 4 group by ref, pos, cigar) p group by occurrence""")
+select sample, 'position', occurrence, count(*) from (select sample, ref, pos, cigar, count(*) as occurrence from fx_alignments
+  where flag % 8 < 4 group by sample, ref, pos, cigar) p group by sample, occurrence""")
 def q_read_duplication(spark, sf_dir):
-    return R.read_duplication(fx.fx_reads(spark, sf_dir), fx.fx_alignments(spark, sf_dir))
+    return R.read_duplication(fx.fx_reads(spark, sf_dir, ordinal=False), fx.fx_alignments(spark, sf_dir))
 
 
 _JUNCTIONS = """
@@ -100,21 +104,22 @@ cls as (select ev.*, case when exists (select 1 from introns i where i.chrom = e
 
 @query("junction_annotation", oracle=f"""
 with {_JUNCTIONS}
-select 'event' as level, category, count(*) as count from cls group by category
+select sample, 'event' as level, category, count(*) as count from cls group by sample, category
 union all
-select 'junction', category, count(*) from (select distinct chrom, intron_start, intron_end, category from cls) j group by category""")
+select sample, 'junction', category, count(*) from (select distinct sample, chrom, intron_start, intron_end, category from cls) j
+group by sample, category""")
 def q_junction_annotation(spark, sf_dir):
     return R.junction_annotation(fx.fx_alignments(spark, sf_dir), fx.fx_exons(spark, sf_dir))
 
 
 @query("junction_saturation", oracle=f"""
 with {_JUNCTIONS},
-first_seen as (select c.chrom, c.intron_start, c.intron_end, c.category, min((c.frag_id * 7919 + 13) % 100) as b
+first_seen as (select c.sample, c.chrom, c.intron_start, c.intron_end, c.category, min((c.frag_id * 7919 + 13) % 100) as b
                from cls c group by all),
 lv as (select unnest(range(5, 101, 5)) as level)
-select cast(level as integer) as level, count(*) as all_junctions, count(*) filter (where category = 'known') as known,
+select sample, cast(level as integer) as level, count(*) as all_junctions, count(*) filter (where category = 'known') as known,
   count(*) filter (where category <> 'known') as novel
-from first_seen join lv on b < level group by level""")
+from first_seen join lv on b < level group by sample, level""")
 def q_junction_saturation(spark, sf_dir):
     return R.junction_saturation(fx.fx_alignments(spark, sf_dir), fx.fx_exons(spark, sf_dir),
                                  bucket=(F.col("frag_id") * 7919 + 13) % 100)
@@ -128,7 +133,7 @@ blk as (select sample, frag_id, ref, case when flag % 32 >= 16 then '-' else '+'
         from elig where cigar <> '50M'),
 per_read as (select b.sample, b.frag_id, max(b.rs) as rs, max(case when g.strand = '+' then 1 else 0 end) as plus,
                max(case when g.strand = '-' then 1 else 0 end) as minus
-             from blk b join fx_features g on b.ref = g.seqid and b.bs <= g.end_pos and g.start_pos <= b.be
+             from blk b join (select * from fx_features where type = 'gene') g on b.ref = g.seqid and b.bs <= g.end_pos and g.start_pos <= b.be
              group by b.sample, b.frag_id),
 s as (select sample, count(*) as reads, count(*) filter (where plus = 1 and minus = 1) as f,
         count(*) filter (where not (plus = 1 and minus = 1) and rs = case when plus = 1 then '+' else '-' end) as same,
@@ -137,7 +142,7 @@ s as (select sample, count(*) as reads, count(*) filter (where plus = 1 and minu
 select sample, reads, round(f / reads, 6) as fraction_failed, round(same / reads, 6) as fraction_same,
   round(opp / reads, 6) as fraction_opposite from s""")
 def q_infer_experiment(spark, sf_dir):
-    return R.infer_experiment(fx.fx_alignments(spark, sf_dir), fx.fx_features(spark, sf_dir))
+    return R.infer_experiment(fx.fx_alignments(spark, sf_dir), annotation(spark, sf_dir))
 
 
 @query("alignment_stats", oracle="""
@@ -157,10 +162,110 @@ def q_alignment_stats(spark, sf_dir):
 
 
 @query("read_gc", oracle="""
-select round((length(seq) - length(regexp_replace(seq, '[GCgc]', '', 'g'))) * 100.0 / length(seq), 2) as gc_percent,
+select sample, round((length(seq) - length(regexp_replace(seq, '[GCgc]', '', 'g'))) * 100.0 / length(seq), 2) as gc_percent,
   count(*) as reads from fx_reads where length(seq) > 0 group by all""")
 def q_read_gc(spark, sf_dir):
-    return R.read_gc(fx.fx_reads(spark, sf_dir))
+    return R.read_gc(fx.fx_reads(spark, sf_dir, ordinal=False))
+
+
+@query("clipping_profile", oracle="""
+with c as (select sample, cast(mapq % 7 as integer) as lead, cast(frag_id % 5 as integer) as trail from fx_alignments where flag % 8 < 4),
+p as (select sample, unnest(range(0, lead)) as position from c
+      union all select sample, unnest(range(lead + 50, lead + 50 + trail)) from c)
+select sample, cast(position as integer) as position, count(*) as clipped from p group by all""")
+def q_clipping_profile(spark, sf_dir):
+    """B9 over the fixture alignments with soft clips of 0-6 bases before and 0-4 after 50 aligned ones."""
+    lead, trail = F.col("mapq") % 7, F.col("frag_id") % 5
+    clip = lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit("S"))).otherwise(F.lit(""))
+    return R.clipping_profile(fx.fx_alignments(spark, sf_dir).withColumn(
+        "cigar", F.concat(clip(lead), F.lit("50M"), clip(trail))))
+
+
+def sam_alignments(spark, sf_dir, *, hits: bool = True):
+    """The fixture alignments written as SAM lines and parsed back, with or without NH tags."""
+    from strandline.sources.readers import parse_sam_lines
+
+    a = fx.fx_alignments(spark, sf_dir)
+    fields = [F.col("frag_id").cast("string"), F.col("flag").cast("string"), F.col("ref"), F.col("pos").cast("string"),
+              F.col("mapq").cast("string"), F.col("cigar"), F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"),
+              F.lit("II5")]
+    if hits:
+        fields.append(F.concat(F.lit("NH:i:"), F.col("nh").cast("string")))
+    return parse_sam_lines(a.select("sample", F.concat_ws("\t", *fields).alias("value")), sample=F.col("sample"))
+
+
+@query("mapping_summary_without_nh", oracle="""
+with per_read as (select sample, frag_id, max(case when flag % 8 < 4 then 1 end) as nh from fx_alignments group by sample, frag_id),
+s as (select sample, count(*) as reads, count(*) filter (where nh is null) as unmapped,
+        count(*) filter (where nh = 1) as "unique", count(*) filter (where nh > 1) as multiple from per_read group by sample)
+select sample, reads, unmapped, "unique", multiple, round(unmapped * 100.0 / reads, 6) as pct_unmapped,
+  round("unique" * 100.0 / reads, 6) as pct_unique, round(multiple * 100.0 / reads, 6) as pct_multiple from s""")
+def q_mapping_summary_without_nh(spark, sf_dir):
+    """A4 on parsed SAM text of an aligner that writes no NH tags."""
+    return AL.mapping_summary(sam_alignments(spark, sf_dir, hits=False))
+
+
+@query("fragments_from_sam", oracle="""
+select sample, cast(frag_id as varchar) as frag_id, ref as chrom,
+  case when flag % 32 >= 16 then pos_end - 199 else pos end as frag_start,
+  case when flag % 32 >= 16 then pos_end else pos + 199 end as frag_end
+from fx_alignments where flag % 8 < 4""")
+def q_fragments_from_sam(spark, sf_dir):
+    """V3 on parsed SAM text: reads extended to 200 bases."""
+    return CV.fragment_options(sam_alignments(spark, sf_dir), extend=200)
+
+
+_PAIRS = """
+pr as (select *, case when pos2 - end1 - 1 <= 60 then 'concordant' else 'discordant' end as kind from fx_pairs)"""
+
+
+def paired_alignments(spark, sf_dir):
+    """Two records per fixture pair, proper where the gap is at most 60 bases."""
+    from strandline.plans.q_counting import pair_alignments
+
+    p = fx.fx_pairs(spark, sf_dir).select("sample", "frag_id", F.col("end1").alias("_e"), F.col("pos2").alias("_p"))
+    a = pair_alignments(spark, sf_dir).join(p, ["sample", "frag_id"])
+    proper = F.when(F.col("_p") - F.col("_e") - 1 <= 60, 2).otherwise(0)
+    return a.withColumn("flag", (F.col("flag") + proper).cast("int")).drop("_e", "_p")
+
+
+@query("pair_mapping_summary", oracle=f"""
+with {_PAIRS},
+s as (select sample, count(distinct frag_id) as fragments, 0::bigint as unmapped, 0::bigint as one_mate,
+  count(*) filter (where kind = 'discordant') as discordant, count(*) filter (where kind = 'concordant') as concordant
+  from pr group by sample)
+select *, round(unmapped * 100.0 / fragments, 6) as pct_unmapped, round(one_mate * 100.0 / fragments, 6) as pct_one_mate,
+  round(discordant * 100.0 / fragments, 6) as pct_discordant, round(concordant * 100.0 / fragments, 6) as pct_concordant from s""")
+def q_pair_mapping_summary(spark, sf_dir):
+    return AL.pair_mapping_summary(paired_alignments(spark, sf_dir))
+
+
+@query("mark_duplicate_pairs", oracle="""
+with f as (select sample, frag_id, cast(row_number() over (partition by sample, ref, pos1, pos2, strand1 order by frag_id) > 1 as boolean) as dup
+           from fx_pairs)
+select sample, frag_id, dup as duplicate, cast(unnest([1, 2]) as integer) as mate from f""")
+def q_mark_duplicate_pairs(spark, sf_dir):
+    """A7 on pairs: both mates of a fragment share its fate (equal qualities, so the smallest fragment stays)."""
+    m = AL.mark_duplicates(paired_alignments(spark, sf_dir))
+    return m.select("sample", "frag_id", "duplicate", F.when(F.col("flag").bitwiseAND(F.lit(64)) != 0, 1).otherwise(2).alias("mate"))
+
+
+@query("infer_experiment_pairs", oracle="""
+with g as (select * from fx_features where type = 'gene'),
+blk as (select sample, frag_id, ref, strand1, pos1 as bs, end1 as be from fx_pairs
+        union all select sample, frag_id, ref, strand1, pos2, end2 from fx_pairs),
+per as (select b.sample, b.frag_id, max(b.strand1) as rs, max(case when g.strand = '+' then 1 else 0 end) as plus,
+          max(case when g.strand = '-' then 1 else 0 end) as minus
+        from blk b join g on b.ref = g.seqid and b.bs <= g.end_pos and g.start_pos <= b.be group by b.sample, b.frag_id),
+s as (select sample, count(*) as reads, count(*) filter (where plus = 1 and minus = 1) as f,
+        count(*) filter (where not (plus = 1 and minus = 1) and rs = case when plus = 1 then '+' else '-' end) as same,
+        count(*) filter (where not (plus = 1 and minus = 1) and rs <> case when plus = 1 then '+' else '-' end) as opp
+      from per group by sample)
+select sample, reads, round(f / reads, 6) as fraction_failed, round(same / reads, 6) as fraction_same,
+  round(opp / reads, 6) as fraction_opposite from s""")
+def q_infer_experiment_pairs(spark, sf_dir):
+    """B6 on pairs: a fragment has the strand of its first mate."""
+    return R.infer_experiment(paired_alignments(spark, sf_dir).withColumn("mapq", F.lit(60)), annotation(spark, sf_dir))
 
 
 @query("transcripts_to_features", oracle="""
@@ -169,8 +274,6 @@ from fx_counts c join fx_features f on f.gene_id = c.gene_id
 where f.biotype <> 'ECONOMY' group by c.sample, f.biotype""")
 def q_transcripts_to_features(spark, sf_dir):
     """A3: per-transcript estimates (here the count table) summed per biotype attribute."""
-    from strandline.plans.q_counting import annotation
-
     quant = fx.fx_counts(spark, sf_dir).select("sample", F.col("gene_id").alias("transcript"),
                                                F.col("n").cast("double").alias("num_reads"))
     return R.transcripts_to_features(quant, annotation(spark, sf_dir), attribute="biotype")
@@ -185,7 +288,7 @@ def q_map_reads_ungapped(spark, sf_dir):
 
     ref = fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("c"), F.col("item_id").cast("string")).alias("name"),
                                                    "seq")
-    return map_reads_ungapped(fx.fx_reads(spark, sf_dir), ref)
+    return map_reads_ungapped(fx.fx_reads(spark, sf_dir, ordinal=False), ref)
 
 
 @query("quantify_transcripts")
@@ -196,4 +299,4 @@ def q_quantify_transcripts(spark, sf_dir):
 
     tx = fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("t"), F.col("item_id").cast("string")).alias("name"),
                                                   "seq")
-    return quantify_transcripts(fx.fx_reads(spark, sf_dir), tx)
+    return quantify_transcripts(fx.fx_reads(spark, sf_dir, ordinal=False), tx)

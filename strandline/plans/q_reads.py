@@ -70,19 +70,24 @@ def reads(spark, sf_dir):
     return fx.fx_reads(spark, sf_dir)
 
 
+def plain_reads(spark, sf_dir):
+    """The reads without their ordinal, for operators that do not need it."""
+    return fx.fx_reads(spark, sf_dir, ordinal=False)
+
+
 # ---------------------------------------------------------------- Q: read QC
 
 
 @query("per_base_quality", oracle=f"with {_PBQ} select * from pbq")
 def q_per_base_quality(spark, sf_dir):
-    return Q.per_base_quality(reads(spark, sf_dir))
+    return Q.per_base_quality(plain_reads(spark, sf_dir))
 
 
 @query("per_read_quality", oracle=f"""
 select sample, cast(floor(list_sum({_QUALS.format(q='qual')}) / length(qual)) as integer) as mean_quality,
   count(*) as reads from fx_reads where length(qual) > 0 group by all""")
 def q_per_read_quality(spark, sf_dir):
-    return Q.per_read_quality(reads(spark, sf_dir))
+    return Q.per_read_quality(plain_reads(spark, sf_dir))
 
 
 @query("per_base_content", oracle=f"""
@@ -93,7 +98,7 @@ r as (select sample, position, count(*) filter (where base = 'A') as a, count(*)
 select sample, position, round(a * 100.0 / n, 6) as pct_A, round(c * 100.0 / n, 6) as pct_C,
   round(g * 100.0 / n, 6) as pct_G, round(t * 100.0 / n, 6) as pct_T from r where n > 0""")
 def q_per_base_content(spark, sf_dir):
-    return Q.per_base_content(reads(spark, sf_dir))
+    return Q.per_base_content(plain_reads(spark, sf_dir))
 
 
 @query("gc_distribution", oracle="""
@@ -101,18 +106,18 @@ with g as (select sample, length(seq) - length(replace(replace(replace(replace(s
              length(seq) - length(regexp_replace(seq, '[ACGTacgt]', '', 'g')) as acgt from fx_reads)
 select sample, cast(round(gc * 100.0 / acgt) as integer) as gc_percent, count(*) as reads from g where acgt > 0 group by all""")
 def q_gc_distribution(spark, sf_dir):
-    return Q.gc_distribution(reads(spark, sf_dir))
+    return Q.gc_distribution(plain_reads(spark, sf_dir))
 
 
 @query("per_base_n", oracle=f"with {_PBN} select * from pbn")
 def q_per_base_n(spark, sf_dir):
-    return Q.per_base_n(reads(spark, sf_dir))
+    return Q.per_base_n(plain_reads(spark, sf_dir))
 
 
 @query("length_distribution", oracle="""
 select sample, cast(length(seq) as integer) as length, count(*) as reads from fx_reads group by all""")
 def q_length_distribution(spark, sf_dir):
-    return Q.length_distribution(reads(spark, sf_dir))
+    return Q.length_distribution(plain_reads(spark, sf_dir))
 
 
 @query("duplication_levels", oracle="""
@@ -122,12 +127,12 @@ select sample, case when copies >= 10000 then '>10k' when copies >= 5000 then '>
   else cast(copies as varchar) end as level, count(*) as sequences, cast(sum(copies) as bigint) as reads
 from c group by all""")
 def q_duplication_levels(spark, sf_dir):
-    return Q.duplication_levels(reads(spark, sf_dir))
+    return Q.duplication_levels(plain_reads(spark, sf_dir))
 
 
 @query("overrepresented_sequences", oracle=f"with {_OVER} select * from over")
 def q_overrepresented_sequences(spark, sf_dir):
-    return Q.overrepresented_sequences(reads(spark, sf_dir))
+    return Q.overrepresented_sequences(plain_reads(spark, sf_dir))
 
 
 _ADAPTER_ROWS = " union all ".join(f"select '{n.replace(chr(39), chr(39) * 2)}' as adapter, '{s}' as aseq"
@@ -146,7 +151,7 @@ select g.sample, g.adapter, g.position,
         rows between unbounded preceding and current row) * 100.0 / g.total, 6) as pct_reads
 from grid g left join first f on f.sample = g.sample and f.adapter = g.adapter and f.position = g.position""")
 def q_adapter_content(spark, sf_dir):
-    return Q.adapter_content(reads(spark, sf_dir))
+    return Q.adapter_content(plain_reads(spark, sf_dir))
 
 
 @query("basic_stats", oracle="""
@@ -156,7 +161,7 @@ select sample, count(*) as total_sequences, cast(min(length(seq)) as integer) as
         / sum(length(seq) - length(regexp_replace(seq, '[ACGTacgt]', '', 'g'))), 6) as pct_gc
 from fx_reads group by sample""")
 def q_basic_stats(spark, sf_dir):
-    return Q.basic_stats(reads(spark, sf_dir))
+    return Q.basic_stats(plain_reads(spark, sf_dir))
 
 
 @query("qc_status", oracle=f"""
@@ -175,7 +180,99 @@ m4 as (select s.sample, 'overrepresented_sequences' as module,
        from (select distinct sample from fx_reads) s left join over o on o.sample = s.sample group by s.sample)
 select * from m1 union all select * from m2 union all select * from m3 union all select * from m4""")
 def q_qc_status(spark, sf_dir):
-    return Q.qc_status(reads(spark, sf_dir))
+    return Q.qc_status(plain_reads(spark, sf_dir))
+
+
+_MATES = "mates as (select *, cast(cast(split_part(read_id, '_', 2) as integer) % 2 + 1 as integer) as mate from fx_reads)"
+
+
+def mate_reads(spark, sf_dir):
+    """The reads as pairs: even chunks of a text are first mates, odd ones second mates."""
+    return plain_reads(spark, sf_dir).withColumn("mate", F.substring_index("read_id", "_", -1).cast("int") % 2 + 1)
+
+
+@query("basic_stats_by_mate", oracle=f"""
+with {_MATES}
+select sample, mate, count(*) as total_sequences, cast(min(length(seq)) as integer) as min_length,
+  cast(max(length(seq)) as integer) as max_length,
+  round(sum(length(seq) - length(regexp_replace(seq, '[GCgc]', '', 'g'))) * 100.0
+        / sum(length(seq) - length(regexp_replace(seq, '[ACGTacgt]', '', 'g'))), 6) as pct_gc
+from mates group by sample, mate""")
+def q_basic_stats_by_mate(spark, sf_dir):
+    return Q.basic_stats(mate_reads(spark, sf_dir))
+
+
+@query("length_distribution_by_mate", oracle=f"""
+with {_MATES} select sample, mate, cast(length(seq) as integer) as length, count(*) as reads from mates group by all""")
+def q_length_distribution_by_mate(spark, sf_dir):
+    return Q.length_distribution(mate_reads(spark, sf_dir))
+
+
+@query("per_read_quality_by_mate", oracle=f"""
+with {_MATES}
+select sample, mate, cast(floor(list_sum({_QUALS.format(q='qual')}) / length(qual)) as integer) as mean_quality,
+  count(*) as reads from mates where length(qual) > 0 group by all""")
+def q_per_read_quality_by_mate(spark, sf_dir):
+    return Q.per_read_quality(mate_reads(spark, sf_dir))
+
+
+@query("overrepresented_by_mate", oracle=f"""
+with {_MATES},
+per_seq as (select sample, mate, seq, count(*) as count from mates group by all),
+totals as (select sample, mate, count(*) as total from mates group by all)
+select p.sample, p.mate, p.seq, p.count, round(p.count * 100.0 / t.total, 6) as percentage
+from per_seq p join totals t on t.sample = p.sample and t.mate = p.mate where p.count > t.total * 0.001""")
+def q_overrepresented_by_mate(spark, sf_dir):
+    return Q.overrepresented_sequences(mate_reads(spark, sf_dir))
+
+
+_ANY_ADAPTER = "ACGTAC"
+
+
+def _adapter_cut(mode: str) -> str:
+    """DuckDB: [first, last) base kept by exact matching of a 6-base adapter anywhere (6 bases allow no mismatch)."""
+    end = f"case when instr(seq, '{_ANY_ADAPTER}') > 0 then instr(seq, '{_ANY_ADAPTER}') - 1 else length(seq) end"
+    r = "substring(seq, 1, cast(e as integer))"
+    last = f"length({r}) - instr(reverse({r}), reverse('{_ANY_ADAPTER}')) + 1"
+    start = f"case when instr({r}, '{_ANY_ADAPTER}') > 0 then {last} else 0 end"
+    return (f"(select *, {start if mode in 'gb' else '0'} as s from "
+            f"(select *, {end if mode in 'ab' else 'length(seq)'} as e from fx_reads) x)")
+
+
+def _adapter_query(mode: str):
+    @query(f"trim_adapter_{mode}", oracle=f"""
+select sample, read_id, substring(seq, cast(s + 1 as integer), cast(e - s as integer)) as seq,
+  substring(qual, cast(s + 1 as integer), cast(e - s as integer)) as qual from {_adapter_cut(mode)} y""")
+    def run(spark, sf_dir):
+        return T.trim_adapter(plain_reads(spark, sf_dir), _ANY_ADAPTER, mode=mode)
+    return run
+
+
+for _mode in ("g", "b"):
+    _adapter_query(_mode)
+
+
+@query("trim_reads_with_adapter", oracle=f"""
+with {_BASES},
+sfx as (select sample, read_id, position, sum(15 - q) over (partition by sample, read_id order by position desc) as s from bases),
+neg as (select sample, read_id, max(position) filter (where s < 0) as stop from sfx group by sample, read_id),
+best as (select f.sample, f.read_id, arg_max(f.position, (f.s, f.position)) as p, max(f.s) as m
+         from sfx f join neg n on n.sample = f.sample and n.read_id = f.read_id where f.position > coalesce(n.stop, 0)
+         group by f.sample, f.read_id),
+q1 as (select r.sample, r.read_id, substring(r.seq, 1, cast(case when b.m > 0 then b.p - 1 else length(r.seq) end as integer)) as seq,
+         substring(r.qual, 1, cast(case when b.m > 0 then b.p - 1 else length(r.seq) end as integer)) as qual
+       from fx_reads r left join best b on b.sample = r.sample and b.read_id = r.read_id),
+a1 as (select sample, read_id, case when instr(seq, '{_ANY_ADAPTER}') > 0 then instr(seq, '{_ANY_ADAPTER}') - 1 else length(seq) end as n,
+         seq, qual from q1),
+a2 as (select sample, read_id, substring(seq, 1, cast(n as integer)) as seq, substring(qual, 1, cast(n as integer)) as qual from a1),
+n1 as (select *, length(regexp_extract(seq, '^N*', 0)) as lead, length(regexp_extract(seq, 'N*$', 0)) as trail from a2),
+n2 as (select *, case when lead = length(seq) then 0 else length(seq) - lead - trail end as n from n1),
+n3 as (select sample, read_id, case when n > 0 then substring(seq, cast(lead + 1 as integer), cast(n as integer)) else '' end as seq,
+         case when n > 0 then substring(qual, cast(lead + 1 as integer), cast(n as integer)) else '' end as qual from n2)
+select * from n3 where length(seq) >= 20""")
+def q_trim_reads_with_adapter(spark, sf_dir):
+    """T9 in the order of the adapter tool: quality 15, adapter, Ns, length 20."""
+    return T.trim_reads(plain_reads(spark, sf_dir), adapter=_ANY_ADAPTER, quality_cutoff=15, disable_quality_filtering=True)
 
 
 # ---------------------------------------------------------------- T: trimming and filtering
@@ -303,7 +400,7 @@ def q_trimming_off(spark, sf_dir):
 # ---------------------------------------------------------------- C: contaminant screen
 
 _SCREEN = """
-reads1 as (select * from fx_reads where ordinal < 100000),
+reads1 as (select * from fx_reads),
 ref as (select concat('c', cast(item_id as varchar)) as name, '+' as strand, upper(seq) as rseq from fx_contaminants
         union all
         select concat('c', cast(item_id as varchar)), '-', reverse(translate(upper(seq), 'ACGTNacgtn', 'TGCANtgcan'))
@@ -325,19 +422,21 @@ screened as (select r.sample, r.read_id, length(r.seq) >= 18 as screened,
                     exists (select 1 from verified v where v.sample = r.sample and v.read_id = r.read_id) as aligned
              from reads1 r),
 rates as (select sample, count(*) as reads, count(*) filter (where aligned) as aligned,
+            count(*) filter (where not screened) as not_screened,
             round(count(*) filter (where aligned) * 100.0 / count(*), 6) as reads_aligned_percentage
-          from screened where screened group by sample)"""
+          from screened group by sample)"""
 
 
 def _screened(spark, sf_dir):
     ref = fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("c"), F.col("item_id").cast("string")).alias("name"),
                                                    "seq")
-    return SC.screen_contaminants(SC.first_reads(reads(spark, sf_dir), 100_000), ref)
+    return SC.screen_contaminants(plain_reads(spark, sf_dir), ref)
 
 
-@query("first_reads", oracle="select * from fx_reads where ordinal < 100000")
+@query("first_reads", oracle="select * from fx_reads where ordinal < 500")
 def q_first_reads(spark, sf_dir):
-    return SC.first_reads(reads(spark, sf_dir), 100_000)
+    """The operator is the prefix itself; 500 reads per sample are fewer than any sample has."""
+    return SC.first_reads(reads(spark, sf_dir), 500)
 
 
 @query("screen_contaminants", oracle=f"with {_SCREEN} select * from screened")

@@ -56,11 +56,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply library defaults to an existing session without overriding user values."""
     ship_code()
     for key, value in _DEFAULTS.items():
-        if key == "spark.sql.mapKeyDedupPolicy":
-            spark.conf.set(key, value)  # required for attribute maps
-        elif spark.conf.get(key, None) is None:
+        # Spark's own default of the map policy raises on repeated keys; anything else was chosen by the user
+        if spark.conf.get(key, None) in (None, "EXCEPTION"):
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 

@@ -2,7 +2,7 @@
 
 Each view exists twice: as DataFrame code (what the library runs) and as a
 DuckDB SQL text (what the independent oracle runs).  Both must describe the
-same rows; ``tests/test_fixtures.py`` checks that they do.
+same rows.
 
 Differences from the first draft of the views: reads cover each text
 completely (every 100-letter chunk, the last one may be shorter) with a
@@ -146,29 +146,35 @@ def fx_ctg_features(spark, sf_dir):
     )
 
 
-def fx_reads(spark, sf_dir):
-    """100-letter chunks of every text; ``ordinal`` is dense per sample in (doc_id, k) order."""
+def fx_reads(spark, sf_dir, ordinal: bool = True):
+    """100-letter chunks of every text; ``ordinal`` is dense per sample in (doc_id, k) order.  The running sum sees
+    only (doc_id, number of chunks); without ``ordinal`` it is left out."""
     le = fx_letters(spark, sf_dir).where(F.length("letters") > 0)
     le = le.withColumn("sample", F.concat(F.lit("S"), (F.col("doc_id") % 6).cast("string"))) \
            .withColumn("n_chunks", F.ceil(F.length("letters") / READ_LENGTH).cast("bigint"))
-    le = running_offset(le, ["sample"], "doc_id", "n_chunks", "first_ordinal")
+    if ordinal:
+        firsts = running_offset(le.select("sample", "doc_id", "n_chunks"), ["sample"], "doc_id", "n_chunks", "first_ordinal")
+        le = le.drop("n_chunks").join(firsts.select("doc_id", "first_ordinal"), "doc_id")
     # one linear pass cuts the text into 100-letter chunks; the chunk is a generator output, so
     # expressions pushed down onto seq/qual later stay O(read length)
-    chunks = le.select("sample", "doc_id", "first_ordinal",
+    chunks = le.select("sample", "doc_id", *(["first_ordinal"] if ordinal else []),
                        F.posexplode(F.regexp_extract_all("letters", F.lit(f".{{1,{READ_LENGTH}}}"), F.lit(0)))
                        .alias("k", "piece"))
     return chunks.select(
         "sample",
-        (F.col("first_ordinal") + F.col("k")).alias("ordinal"),
+        *([(F.col("first_ordinal") + F.col("k")).alias("ordinal")] if ordinal else []),
         F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("_"), F.col("k").cast("string")).alias("read_id"),
         F.translate("piece", LETTERS, LETTER_BASES).alias("seq"),
         F.translate("piece", LETTERS, LETTER_QUALS).alias("qual"),
     )
 
 
-def fx_design(spark, sf_dir=None):
-    rows = [(f"S{i}", "WT" if i < 3 else "KO", "b1" if i % 2 == 0 else "b2") for i in range(6)]
-    return spark.createDataFrame(rows, "label string, cond string, batch string")
+def fx_design(spark, sf_dir):
+    """The samples that have counts, first half WT, odd ones in batch b2."""
+    i = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 6).alias("i")).distinct()
+    return i.orderBy("i").select(F.concat(F.lit("S"), F.col("i").cast("string")).alias("label"),
+                    F.when(F.col("i") < 3, F.lit("WT")).otherwise(F.lit("KO")).alias("cond"),
+                    F.when(F.col("i") % 2 == 0, F.lit("b1")).otherwise(F.lit("b2")).alias("batch"))
 
 
 def fx_counts(spark, sf_dir):
@@ -266,7 +272,7 @@ from (select sample, doc_id, letters, unnest(range(0, n_chunks)) as k,
             from fx_letters where length(letters) > 0) c) r"""),
     "fx_design": ((), """
 select concat('S', cast(i as varchar)) as label, case when i < 3 then 'WT' else 'KO' end as cond, case when i % 2 = 0 then 'b1' else 'b2' end as batch
-from (select 0 as i union all select 1 union all select 2 union all select 3 union all select 4 union all select 5) s"""),
+from (select distinct l_suppkey % 6 as i from lineitem order by i) s"""),
     "fx_counts": ((), """
 select concat('S', cast(l_suppkey % 6 as varchar)) as sample, concat('g', cast(l_partkey as varchar)) as gene_id,
   cast(sum(cast(l_quantity as int)) * max(case when l_partkey % 10 = 0 and l_suppkey % 6 >= 3 then 3 else 1 end) as bigint) as n

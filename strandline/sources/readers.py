@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.operators.schema import alignment_columns
 from strandline.sources.fastq import DEFAULT_READTAG
 
 
@@ -42,8 +43,10 @@ def parse_fasta_records(records: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """S3: FASTA -> (name, description, seq, length).  Records are split at '>' (descriptions must not contain it)."""
-    return parse_fasta_records(spark.read.option("lineSep", ">").text(path))
+    """S3: FASTA -> (name, description, seq, length).  Records are split where a line begins with '>', so
+    descriptions may contain that character."""
+    records = spark.read.option("lineSep", "\n>").text(path)
+    return parse_fasta_records(records.select(F.regexp_replace("value", r"\A>", "").alias("value")))
 
 
 SAM_FIELDS = ["read_id", "flag", "ref", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
@@ -52,19 +55,24 @@ SAM_FIELDS = ["read_id", "flag", "ref", "pos", "mapq", "cigar", "rnext", "pnext"
 def read_sam(spark: SparkSession, path: str, *, sample: str | None = None) -> DataFrame:
     """SAM text -> alignments (sample, frag_id, flag, ref, pos, mapq, cigar, rnext, pnext, tlen, seq, qual,
     tags map, nh).  The sample is the file name without extension unless given."""
-    lines = spark.read.text(path).where(~F.col("value").startswith("@"))
+    smp = F.lit(sample) if sample else F.regexp_replace(_file_name(), r"\.sam$", "")
+    return parse_sam_lines(spark.read.text(path).select(smp.alias("_sample"), "value"), sample=F.col("_sample"))
+
+
+def parse_sam_lines(lines: DataFrame, *, sample: F.Column) -> DataFrame:
+    """SAM text lines (``value``) -> alignments, headers left out; with ``pos_end`` and ``base_quality_sum``."""
+    lines = lines.where(~F.col("value").startswith("@"))
     p = F.split("value", "\t")
     tags = F.slice(p, 12, 1 << 20)
     # "NH:i:1" -> NH -> "1" (type letter dropped)
     tag_map = F.map_from_arrays(F.transform(tags, lambda t: F.substring_index(t, ":", 1)),
                                 F.transform(tags, lambda t: F.regexp_extract(t, r"^[^:]*:[^:]*:(.*)$", 1)))
-    smp = F.lit(sample) if sample else F.regexp_replace(_file_name(), r"\.sam$", "")
     out = lines.select(
-        smp.alias("sample"), p[0].alias("frag_id"), p[1].cast("int").alias("flag"), p[2].alias("ref"),
+        sample.alias("sample"), p[0].alias("frag_id"), p[1].cast("int").alias("flag"), p[2].alias("ref"),
         p[3].cast("bigint").alias("pos"), p[4].cast("int").alias("mapq"), p[5].alias("cigar"), p[6].alias("rnext"),
         p[7].cast("bigint").alias("pnext"), p[8].cast("bigint").alias("tlen"), p[9].alias("seq"), p[10].alias("qual"),
         tag_map.alias("tags"))
-    return out.withColumn("nh", F.col("tags")["NH"].cast("int"))
+    return alignment_columns(out.withColumn("nh", F.col("tags")["NH"].cast("int")), fill_hits=False)
 
 
 def read_counts(spark: SparkSession, path: str, *, suffix: str = "_feature.out") -> DataFrame:
@@ -124,22 +132,24 @@ def read_quant(spark: SparkSession, path: str, *, suffix: str = "/quant.sf") ->
 
 def read_metric_table(spark: SparkSession, paths: list[str], *, module: str) -> DataFrame:
     """The first existing metric TSV among ``paths`` (fallback locations) -> long (file_name, module, metric, value)."""
-    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import AnalysisException
 
     last = None
     for p in paths:
         try:
             df = spark.read.option("header", "true").option("sep", "\t").csv(p)
             df.columns  # noqa: B018 - resolves the path
-        except Exception as e:  # noqa: BLE001 - missing path -> try the next one
-            last = e
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            last = e  # missing path: try the next one
             continue
         key = df.columns[0]
         metrics = [c for c in df.columns if c != key]
         long = df.unpivot(key, metrics, "metric", "value")
         return long.select(F.col(key).alias("file_name"), F.lit(module).alias("module"), "metric",
                            F.col("value").cast("double").alias("value"))
-    raise FileNotFoundError(f"none of {paths} exists") from (last if isinstance(last, Py4JJavaError) else None)
+    raise FileNotFoundError(f"none of {paths} exists") from last
 
 
 _STAGE = T.StructType([T.StructField(n, T.LongType()) for n in

@@ -56,28 +56,37 @@ def write_bed(bed: DataFrame, path: str) -> None:
     _tsv(bed, path, header=False)
 
 
-def write_bedgraph(track: DataFrame, path: str, *, value: str = "value", num_partitions: int | None = None) -> None:
-    """K7: coverage as bedGraph, globally sorted by (chrom, start) through range partitioning."""
-    n = num_partitions or track.sparkSession.sparkContext.defaultParallelism
-    t = track.select("chrom", "start0", "end", value).repartitionByRange(n, "chrom", "start0") \
-        .sortWithinPartitions("chrom", "start0")
-    _tsv(t, path, header=False)
+def write_bedgraph(track: DataFrame, path: str, *, value: str = "value") -> None:
+    """K7: coverage as bedGraph, globally sorted by (chrom, start); one track (folder) per sample where the
+    table has samples."""
+    by = ["sample"] if "sample" in track.columns else []
+    t = track.select(*by, "chrom", "start0", "end", value).orderBy(*by, "chrom", "start0")
+    _tsv(t, path, header=False, partition_by=by)
 
 
 def write_fastq(reads: DataFrame, path: str, *, compression: str = "gzip") -> None:
-    """K8: reads -> FASTQ text (gzip by default), one file set per sample."""
+    """K8: reads -> FASTQ text (gzip by default), one file set per sample and mate, in ``ordinal`` order where the
+    reads carry one."""
+    by = [c for c in ("sample", "mate") if c in reads.columns]
+    order = [*by, "ordinal"] if "ordinal" in reads.columns else []
+    reads = reads.orderBy(*order) if order else reads
     rec = F.concat(F.lit("@"), F.col("read_id"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
-    reads.select("sample", rec.alias("value")).write.mode("overwrite").option("compression", compression) \
-        .partitionBy("sample").text(path)
+    reads.select(*by, rec.alias("value")).write.mode("overwrite").option("compression", compression) \
+        .partitionBy(*by).text(path)
 
 
 def write_de_tables(exported: DataFrame, path: str) -> None:
-    """K9: complete / up / down tables per contrast (folders contrast=.../direction=...)."""
-    _tsv(exported.withColumn("table", F.when(F.col("direction") == "none", F.lit("complete_only"))
-                             .otherwise(F.col("direction"))), path, partition_by=["contrast", "table"])
-
-
-def write_design(design: DataFrame, path: str) -> None:
-    """``label,condition`` design CSV (header, comma separated)."""
-    _tsv(design.select("label", F.col("condition") if "condition" in design.columns else F.col("cond").alias("condition")),
-         path, sep=",")
+    """K9: complete / up / down tables per contrast (folders contrast=.../table=...); complete holds every gene."""
+    kinds = F.when(F.col("direction") == "none", F.array(F.lit("complete"))).otherwise(
+        F.array(F.lit("complete"), F.col("direction")))
+    _tsv(exported.withColumn("table", F.explode(kinds)), path, partition_by=["contrast", "table"])
+
+
+def write_design(design: DataFrame, path: str, *, samples: DataFrame | None = None) -> None:
+    """``label,condition`` design CSV (header, comma separated).  Without conditions, or for ``samples`` (label)
+    that the design lacks, a template row to be filled in is written."""
+    condition = next((F.col(c) for c in ("condition", "cond") if c in design.columns), F.lit(None).cast("string"))
+    d = design.select("label", condition.alias("condition"))
+    if samples is not None:
+        d = d.unionByName(samples.select("label", F.lit(None).cast("string").alias("condition")).join(d, "label", "left_anti"))
+    _tsv(d.withColumn("condition", F.coalesce("condition", F.lit("FILL_IN"))).orderBy("label"), path, sep=",")
