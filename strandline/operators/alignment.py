@@ -56,10 +56,13 @@ def add_read_group(alignments: DataFrame, *, sample_col: str = "sample") -> Data
     return alignments.withColumn("tags", tags)
 
 
-def sort_by_coordinate(alignments: DataFrame) -> DataFrame:
+def sort_by_coordinate(alignments: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
     """Coordinate order (ref, pos, ties by fragment and flag) by Spark's global sort: sampled ranges, as many
-    partitions as the session's shuffles have."""
-    return alignments.orderBy("ref", "pos", "frag_id", "flag")
+    partitions as the session's shuffles have unless ``num_partitions`` is given."""
+    order = ["ref", "pos", "frag_id", "flag"]
+    if num_partitions:
+        return alignments.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+    return alignments.orderBy(*order)
 
 
 def mark_duplicates(alignments: DataFrame, *, remove: bool = False, quality_col: str = "base_quality_sum") -> DataFrame:

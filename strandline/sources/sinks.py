@@ -56,11 +56,13 @@ def write_bed(bed: DataFrame, path: str) -> None:
     _tsv(bed, path, header=False)
 
 
-def write_bedgraph(track: DataFrame, path: str, *, value: str = "value") -> None:
+def write_bedgraph(track: DataFrame, path: str, *, value: str = "value", num_partitions: int | None = None) -> None:
     """K7: coverage as bedGraph, globally sorted by (chrom, start); one track (folder) per sample where the
-    table has samples."""
+    table has samples.  ``num_partitions`` fixes the number of files; by default the session's shuffles decide."""
     by = ["sample"] if "sample" in track.columns else []
-    t = track.select(*by, "chrom", "start0", "end", value).orderBy(*by, "chrom", "start0")
+    order = [*by, "chrom", "start0"]
+    t = track.select(*order, "end", value)
+    t = t.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order) if num_partitions else t.orderBy(*order)
     _tsv(t, path, header=False, partition_by=by)
 
 

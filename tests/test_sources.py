@@ -1,5 +1,6 @@
 """Readers and sinks on hand-written micro files."""
 
+import pytest
 import gzip
 
 from pyspark.sql import functions as F
@@ -90,3 +91,118 @@ def test_bedgraph_sorted_output(spark, tmp_path):
     rows = spark.read.option("sep", "\t").csv(str(tmp_path / "bg")).select(
         "_c0", F.col("_c1").cast("long")).collect()
     assert sorted((r[0], r[1]) for r in rows) == [("c1", 0), ("c1", 30), ("c2", 10)]
+
+
+def _lines(path):
+    import gzip
+    import os
+    out = []
+    for d, _, files in os.walk(path):
+        for f in sorted(files):
+            if f.startswith("part-"):
+                p = os.path.join(d, f)
+                raw = gzip.open(p, "rt").read() if f.endswith(".gz") else open(p).read()
+                out.append((os.path.relpath(d, path), raw.splitlines()))
+    return sorted(out)
+
+
+def test_fasta_descriptions_may_hold_the_record_sign(spark, tmp_path):
+    (tmp_path / "x.fa").write_text(">a one > two\nACG\nT\n>b\nGG\n")
+    got = {r.name: (r.description, r.seq) for r in R.read_fasta(spark, str(tmp_path / "x.fa")).collect()}
+    assert got == {"a": ("one > two", "ACGT"), "b": ("", "GG")}
+
+
+def test_small_table_readers(spark, tmp_path):
+    (tmp_path / "design.csv").write_text("label,condition\ns1,WT\ns2,KO\n")
+    assert [tuple(r) for r in R.read_design(spark, str(tmp_path / "design.csv")).collect()] == [("s1", "WT"), ("s2", "KO")]
+    (tmp_path / "target.tsv").write_text("label\tfiles\tcondition\treplicat\ns1\ts1.out\tWT\t1\n")
+    assert tuple(R.read_target(spark, str(tmp_path / "target.tsv")).first()) == ("s1", "s1.out", "WT", "1")
+    (tmp_path / "len.tsv").write_text("gene_id\tlength\ng1\t100\n")
+    assert tuple(R.read_gene_lengths(spark, str(tmp_path / "len.tsv")).first()) == ("g1", 100)
+    (tmp_path / "info.tsv").write_text("name\tbiotype\ng1\ttRNA\n")
+    info = R.read_info(spark, str(tmp_path / "info.tsv"))
+    assert info.columns == ["gene_id", "biotype"] and tuple(info.first()) == ("g1", "tRNA")
+    (tmp_path / "s1").mkdir()
+    (tmp_path / "s1" / "quant.sf").write_text("Name\tLength\tEffectiveLength\tTPM\tNumReads\nt1\t9\t5.0\t1.5\t3.0\n")
+    assert tuple(R.read_quant(spark, str(tmp_path / "s1" / "quant.sf")).first()) == ("s1", "t1", 9, 5.0, 1.5, 3.0)
+
+
+def test_metric_table_falls_back_to_the_next_path_only(spark, tmp_path):
+    (tmp_path / "m.tsv").write_text("Sample\tx\ts\nA\t1\t2\n")
+    got = R.read_metric_table(spark, [str(tmp_path / "none.tsv"), str(tmp_path / "m.tsv")], module="m").collect()
+    assert sorted((r.file_name, r.module, r.metric, r.value) for r in got) == [("A", "m", "s", 2.0), ("A", "m", "x", 1.0)]
+    with pytest.raises(FileNotFoundError):
+        R.read_metric_table(spark, [str(tmp_path / "none.tsv")], module="m")
+
+
+def test_count_sinks_round_trip(spark, tmp_path):
+    counts = spark.createDataFrame([("s1", "g1", 5), ("s1", "g2", 0), ("s2", "g1", 7)], "sample string, gene_id string, count bigint")
+    K.write_counts(counts, str(tmp_path / "counts"))
+    back = spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "counts"))
+    assert sorted((r["sample"], r["Geneid"], int(r["count"])) for r in back.collect()) == [("s1", "g1", 5), ("s1", "g2", 0), ("s2", "g1", 7)]
+    K.write_count_matrix(spark.createDataFrame([("g1", 5, 7)], "gene_id string, s1 bigint, s2 bigint"), str(tmp_path / "m"))
+    assert {x for _, rows in _lines(tmp_path / "m") for x in rows} == {"gene_id\ts1\ts2", "g1\t5\t7"}
+    K.write_strand_summary(spark.createDataFrame([("s1", 2)], "sample string, strand int"), str(tmp_path / "st"))
+    assert {x for _, rows in _lines(tmp_path / "st") for x in rows} == {"sample,strand", "s1,2"}
+
+
+def test_bedgraph_has_one_sorted_track_per_sample(spark, tmp_path):
+    rows = [(s, c, p * 10, p * 10 + 10, float(p)) for s in ("a", "b") for c in ("c2", "c1") for p in (3, 0, 2, 1)]
+    K.write_bedgraph(spark.createDataFrame(rows, "sample string, chrom string, start0 int, end int, value double").repartition(4),
+                     str(tmp_path / "bg"))
+    for s in ("a", "b"):
+        got = [x for d, lines in _lines(tmp_path / "bg") if d == f"sample={s}" for x in lines]
+        assert got == [f"{c}\t{p * 10}\t{p * 10 + 10}\t{float(p)}" for c in ("c1", "c2") for p in range(4)]
+
+
+def test_fastq_sink_keeps_mates_and_order(spark, tmp_path):
+    rows = [("s", m, k, f"r{k}", "ACGT", "IIII") for k in (2, 0, 1) for m in (1, 2)]
+    K.write_fastq(spark.createDataFrame(rows, "sample string, mate int, ordinal bigint, read_id string, seq string, qual string"),
+                  str(tmp_path / "fq"))
+    for m in (1, 2):
+        got = [x for d, lines in _lines(tmp_path / "fq") if d == f"sample=s/mate={m}" for x in lines]
+        assert got[::4] == ["@r0", "@r1", "@r2"] and got[1::4] == ["ACGT"] * 3
+
+
+def test_de_tables_and_design_sinks(spark, tmp_path):
+    de = spark.createDataFrame([("c", "g1", "up"), ("c", "g2", "none"), ("c", "g3", "down")], "contrast string, gene_id string, direction string")
+    K.write_de_tables(de, str(tmp_path / "de"))
+    back = spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "de")).collect()
+    got = {t: sorted(r["gene_id"] for r in back if r["table"] == t) for t in ("complete", "up", "down")}
+    assert got == {"complete": ["g1", "g2", "g3"], "up": ["g1"], "down": ["g3"]}
+    d = spark.createDataFrame([("s1", "WT")], "label string, condition string")
+    K.write_design(d, str(tmp_path / "design"), samples=spark.createDataFrame([("s1",), ("s2",)], "label string"))
+    assert sorted(tuple(r) for r in R.read_design(spark, str(tmp_path / "design")).collect()) == [("s1", "WT"), ("s2", "FILL_IN")]
+
+
+def test_reader_output_feeds_operators(spark, tmp_path):
+    """SAM without NH tags and a GFF file go straight into the operators."""
+    from strandline.operators import alignment as AL
+    from strandline.operators import coverage as CV
+    from strandline.operators import exprqc as E
+    from strandline.operators import rseqc as RS
+    (tmp_path / "S1.sam").write_text("q1\t0\tc1\t101\t60\t20M\t*\t0\t0\t*\t" + "I" * 20 + "\n"
+                                     "q2\t0\tc1\t101\t60\t20M\t*\t0\t0\t*\t" + "5" * 20 + "\nq3\t4\t*\t0\t0\t*\t*\t0\t0\tAC\tII\n")
+    (tmp_path / "a.gff").write_text("c1\tx\tgene\t91\t200\t.\t+\t.\tID=gnl|x1\nc1\tx\texon\t91\t200\t.\t+\t.\tID=e1;Parent=gnl|x1\n")
+    sam, gff = R.read_sam(spark, str(tmp_path / "S1.sam")), read_gff(spark, str(tmp_path / "a.gff"))
+    genes, exons = gff.where("type = 'gene'"), gff.where("type = 'exon'")
+    s = AL.mapping_summary(sam).first()
+    assert (s["reads"], s["unmapped"], s["unique"]) == (3, 1, 2)
+    assert {r.frag_id: r.duplicate for r in AL.mark_duplicates(sam).collect()} == {"q1": False, "q2": True, "q3": False}
+    assert {(r.frag_start, r.frag_end) for r in CV.fragment_options(sam, extend=50).collect()} == {(101, 150)}
+    assert RS.infer_experiment(sam, gff).first()["fraction_same"] == 1.0
+    assert CV.gene_body_coverage(sam, genes).count() > 0
+    assert E.end_bias(sam, genes, window=20).first()["gene_id"] == "gnl|x1"
+    assert E.coverage_stats(sam, exons).first()["gene_id"] == "gnl|x1"
+    assert E.read_class_rates(sam, exons, genes).first()["exonic_rate"] == 1.0
+    assert RS.junction_annotation(sam, exons).count() == 0
+
+
+def test_paired_duplicates_are_judged_by_both_ends(spark):
+    from strandline.operators.alignment import mark_duplicates
+    rows = []
+    for f, p2, q in (("a", 180, 5.0), ("b", 180, 9.0), ("c", 120, 1.0)):
+        rows += [("s", f, "c1", 1, "50M", 1 + 2 + 64 + 32, q), ("s", f, "c1", p2, "50M", 1 + 2 + 128 + 16, q)]
+    df = spark.createDataFrame(rows, "sample string, frag_id string, ref string, pos bigint, cigar string, flag int, base_quality_sum double")
+    got = {(r.frag_id, r.flag & 192): r.duplicate for r in mark_duplicates(df).collect()}
+    assert got == {("a", 64): True, ("a", 128): True, ("b", 64): False, ("b", 128): False, ("c", 64): False, ("c", 128): False}
