@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.alignment import (SECONDARY, SUPPLEMENTARY, UNMAPPED, cigar_blocks, fragment_strand,
                                             has_flag)
-from strandline.operators.intervals import overlap_join
+from strandline.operators.intervals import fits_broadcast, overlap_join
 
 MODES = (0, 1, 2)
 ASSIGNED = "Assigned"
@@ -111,7 +111,7 @@ def tally(alignments: DataFrame, feats: DataFrame, *, bin_size: int | None = Non
 
 def _named(counts: DataFrame, feats: DataFrame) -> DataFrame:
     names = feats.select("f_key", "f_meta").distinct()
-    return counts.join(F.broadcast(names), "f_key").drop("f_key")
+    return counts.join(F.broadcast(names) if fits_broadcast(names) else names, "f_key").drop("f_key")
 
 
 def count_features_all_strands(alignments: DataFrame, features: DataFrame, *, feature_type="gene", attribute="ID",

@@ -61,7 +61,7 @@ def overlap_join(left: DataFrame, right: DataFrame, *, left_cols: tuple[str, str
     lb = left.withColumn("_lbin", F.explode(bins(ls, le, bin_size)))
     rb = right.withColumn("_rbin", F.explode(bins(rs, re_, bin_size)))
     if broadcast_right is None:
-        broadcast_right = fits_broadcast(right)
+        broadcast_right = fits_broadcast(rb)  # the rows that would be sent: one per bin
     if broadcast_right:
         rb = F.broadcast(rb)
     first_shared = F.greatest(F.floor(F.col(ls) / F.lit(bin_size)), F.floor(F.col(rs) / F.lit(bin_size)))
@@ -83,27 +83,20 @@ def depth_segments(intervals: DataFrame, *, key_cols: list[str], start: str = "s
     """Constant-depth segments of a set of closed intervals.
 
     Returns ``key_cols + [seg_start, seg_end, depth]`` covering every position with
-    depth > 0, with 1-based closed coordinates.  Built from +1/-1 events; the
-    running sum is done per ``(key, tile)`` with a carry-in from earlier tiles,
-    so no task ever holds a whole chromosome: events are unique per position, so a window
-    partition never exceeds ``tile`` rows however deep the coverage.
+    depth > 0, with 1-based closed coordinates.  Every interval is cut at tile borders, so
+    each tile is complete in itself: its +1/-1 events are added up per position (map-side
+    combined) and summed up along the tile, without carries between tiles.  A window partition never exceeds
+    ``tile`` rows however deep the coverage.  A segment that crosses a tile border is given in two parts.
     """
-    ev = intervals.select(*key_cols, F.col(start).cast("bigint").alias("p"), F.lit(1).alias("d")).unionByName(
-        intervals.select(*key_cols, (F.col(end).cast("bigint") + 1).alias("p"), F.lit(-1).alias("d")))
-    ev = ev.groupBy(*key_cols, "p").agg(F.sum("d").cast("bigint").alias("d")).where(F.col("d") != 0)
-    ev = ev.withColumn("_tile", F.floor(F.col("p") / F.lit(tile)))
-    tile_tot = ev.groupBy(*key_cols, "_tile").agg(F.sum("d").alias("_tt"))
-    wt = Window.partitionBy(*key_cols).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tile_tot.select(*key_cols, "_tile", F.coalesce(F.sum("_tt").over(wt), F.lit(0)).alias("_carry"))
+    lo, hi = F.col(start).cast("bigint"), F.col(end).cast("bigint")
+    t = intervals.select(*key_cols, lo.alias("_lo"), hi.alias("_hi"), F.explode(
+        F.sequence(F.floor(lo / F.lit(tile)), F.floor(hi / F.lit(tile)))).alias("_tile"))
+    first, after = F.col("_tile") * tile, (F.col("_tile") + 1) * tile
+    events = F.array(F.struct(F.greatest("_lo", first).alias("p"), F.lit(1).alias("d")),
+                     F.struct(F.least(F.col("_hi") + 1, after).alias("p"), F.lit(-1).alias("d")))
+    ev = t.select(*key_cols, "_tile", F.inline(events))
+    ev = ev.groupBy(*key_cols, "_tile", "p").agg(F.sum("d").cast("bigint").alias("d")).where(F.col("d") != 0)
     w = Window.partitionBy(*key_cols, "_tile").orderBy("p")
-    ev = ev.join(carry, [*key_cols, "_tile"]).withColumn("depth", F.col("_carry") + F.sum("d").over(w))
-    # the segment of an event ends just before the next event (next may sit in a later tile)
-    nxt = Window.partitionBy(*key_cols, "_tile").orderBy("p")
-    ev = ev.withColumn("_next", F.lead("p").over(nxt))
-    first_of_tile = ev.groupBy(*key_cols, "_tile").agg(F.min("p").alias("_first_p"))
-    wn = Window.partitionBy(*key_cols).orderBy("_tile")
-    next_tile_first = first_of_tile.select(*key_cols, "_tile", F.lead("_first_p").over(wn).alias("_tile_next"))
-    ev = ev.join(next_tile_first, [*key_cols, "_tile"])
-    seg_end = F.coalesce(F.col("_next"), F.col("_tile_next")) - 1
-    return ev.where(F.col("depth") > 0).select(*key_cols, F.col("p").alias("seg_start"), seg_end.alias("seg_end"),
-                                               F.col("depth"))
+    ev = ev.withColumn("depth", F.sum("d").over(w)).withColumn("_next", F.lead("p").over(w))
+    return ev.where(F.col("depth") > 0).select(*key_cols, F.col("p").alias("seg_start"),
+                                               (F.col("_next") - 1).alias("seg_end"), "depth")
