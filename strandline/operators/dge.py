@@ -133,6 +133,19 @@ def pairwise_sere(counts: DataFrame, samples: list[str]) -> DataFrame:
     return s.select("sample_a", "sample_b", F.round(F.sqrt(F.col("_chi") / F.col("_g")), 6).alias("sere"))
 
 
+def overall_sere(counts: DataFrame, samples: list[str]) -> DataFrame:
+    """One SERE over all samples: sqrt(sum_g sum_s (o - e)^2 / e / ((S - 1) G'))."""
+    lib = library_sizes(counts).withColumnRenamed("library_size", "_lib")
+    total = counts.agg(F.sum("count").cast("double").alias("_all")).withColumn("_one", F.lit(1))
+    genes = counts.groupBy("gene_id").agg(F.sum("count").cast("double").alias("_g")).where(F.col("_g") > 0)
+    x = counts.join(F.broadcast(lib), "sample").join(genes, "gene_id").withColumn("_one", F.lit(1)) \
+        .join(F.broadcast(total), "_one")
+    e = F.col("_g") * F.col("_lib") / F.col("_all")
+    per = x.groupBy("gene_id").agg(F.sum((F.col("count") - e) ** 2 / e).alias("_chi"))
+    return per.agg(F.count(F.lit(1)).alias("genes"), F.round(F.sqrt(
+        F.sum("_chi") / (F.count(F.lit(1)) * (len(samples) - 1))), 6).alias("sere"))
+
+
 def pairwise_points(counts: DataFrame, samples: list[str], *, width: float = 0.5) -> DataFrame:
     """For every sample pair, a 2-D histogram of (log2(a + 1), log2(b + 1)) over genes."""
     vec = gene_vectors(counts, samples)
@@ -170,13 +183,39 @@ def design_matrix(design: DataFrame, *, factors: list[str], reference: dict[str,
     return design.select("label", F.explode(F.array(*cols)).alias("_c")).select("label", "_c.coefficient", "_c.value")
 
 
-def size_factors(counts: DataFrame, n_samples: int) -> DataFrame:
-    """Median-of-ratios size factor per sample (genes with a zero anywhere are skipped)."""
+def log_ratios(counts: DataFrame, n_samples: int) -> DataFrame:
+    """(sample, gene_id, _r): log of the count over the gene's geometric mean; genes with a zero anywhere are skipped."""
     lgm = counts.groupBy("gene_id").agg(F.avg(F.log("count")).alias("_lgm"), F.min("count").alias("_min"),
                                          F.count(F.lit(1)).alias("_n"))
     lgm = lgm.where((F.col("_min") > 0) & (F.col("_n") == n_samples)).select("gene_id", "_lgm")
-    r = counts.join(lgm, "gene_id").select("sample", (F.log("count") - F.col("_lgm")).alias("_r"))
-    return r.groupBy("sample").agg(F.exp(F.percentile("_r", 0.5)).alias("size_factor"))
+    return counts.join(lgm, "gene_id").select("sample", "gene_id", (F.log("count") - F.col("_lgm")).alias("_r"))
+
+
+def size_factors(counts: DataFrame, n_samples: int, *, location: str = "median") -> DataFrame:
+    """Size factor per sample from the log ratios to the geometric means: their ``median``, or their ``shorth``
+    (mean of the shortest run of half of them, the first of equally short ones)."""
+    r = log_ratios(counts, n_samples)
+    if location == "median":
+        return r.groupBy("sample").agg(F.exp(F.percentile("_r", 0.5)).alias("size_factor"))
+    if location != "shorth":
+        raise ValueError("location must be 'median' or 'shorth'")
+    # one row per gene and sample; a sample's window holds its genes
+    w = Window.partitionBy("sample").orderBy("_r", "gene_id")
+    n = F.count(F.lit(1)).over(Window.partitionBy("sample"))
+    r = r.select("sample", "_r", F.row_number().over(w).alias("_i"), n.alias("_n"))
+    r = r.withColumn("_h", F.greatest(F.lit(1), F.round(F.col("_n") / 2)).cast("int"))
+    ends = r.select("sample", (F.col("_i") - F.col("_h")).alias("_i"), F.col("_r").alias("_end"))
+    runs = r.join(ends, ["sample", "_i"]).groupBy("sample").agg(
+        F.min(F.struct((F.col("_end") - F.col("_r")).alias("w"), F.col("_i").alias("i"))).alias("_s"))
+    inside = r.join(F.broadcast(runs), "sample").where(
+        (F.col("_i") >= F.col("_s.i")) & (F.col("_i") < F.col("_s.i") + F.col("_h")))
+    return inside.groupBy("sample").agg(F.exp(F.avg("_r")).alias("size_factor"))
+
+
+def ratio_histogram(counts: DataFrame, n_samples: int, *, width: float = 0.25, shift: float = 0.0) -> DataFrame:
+    """Per sample, histogram of log2(count / geometric mean) in bins of ``width``."""
+    b = F.floor((F.col("_r") / F.log(F.lit(2.0)) + shift) / width).cast("int")
+    return log_ratios(counts, n_samples).groupBy("sample", b.alias("bin")).agg(F.count(F.lit(1)).alias("genes"))
 
 
 def size_factor_diag(counts: DataFrame, factors: DataFrame) -> DataFrame:

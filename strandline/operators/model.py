@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import nbglm as K
-from strandline.operators.dge import adjust_p, gene_vectors
+from strandline.operators.dge import adjust_p, contrasts, design_matrix, gene_vectors
 from strandline.session import ensure_checkpoint_dir
 
 TREND_MIN_DISP = 100 * K.MIN_DISP
@@ -214,6 +214,24 @@ def sample_pca(values: DataFrame, samples: list[str], column: str = "vst", *, nt
     return values.sparkSession.createDataFrame(rows, "sample string, PC1 double, PC2 double, var_PC1 double, var_PC2 double")
 
 
+def all_pairs_contrasts(counts: DataFrame, factors: DataFrame, design: DataFrame, disp: DataFrame, samples: list[str], *,
+                        factor: str, reference: str, all_pairs: bool = True) -> DataFrame:
+    """One Wald table per pair of levels of ``factor`` (or per level against ``reference``), from one model with
+    treatment coding: test minus reference is the difference of their coefficients."""
+    levels = sorted(r[0] for r in design.select(factor).distinct().collect())
+    if reference not in levels:
+        raise ValueError(f"reference {reference!r} is not among the levels {levels}")
+    coefficients = ["Intercept", *(f"{factor}{lv}" for lv in levels if lv != reference)]
+    long = design_matrix(design, factors=[factor], reference={factor: reference}, levels={factor: levels})
+    out = None
+    for test, ref in contrasts(levels, reference=reference, all_pairs=all_pairs):
+        weights = [float(c == f"{factor}{test}") - float(c == f"{factor}{ref}") for c in coefficients]
+        one = numeric_contrast(counts, factors, long, disp, samples, coefficients, contrast=weights,
+                               name=f"{test}_vs_{ref}")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def check_contrasts(contrast: list[float], coefficients: list[str]) -> None:
     """D22 check: a numeric contrast needs one weight per model coefficient."""
     if len(contrast) != len(coefficients):

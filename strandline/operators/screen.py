@@ -144,3 +144,19 @@ def contamination_band(rates: DataFrame, column: str = "reads_aligned_percentage
     band = (F.when(F.col("_m").isNull(), "not computed").when(t < 10, "low").when(t < 20, "moderately low")
             .when(t < 50, "relatively high").otherwise("very high"))
     return m.select(t.alias("contamination"), band.alias("band"))
+
+
+def contaminant_reference(*, fasta: DataFrame | None = None, contigs: DataFrame | None = None,
+                          features: DataFrame | None = None, feature_type: str | None = None) -> DataFrame:
+    """(name, seq) of the contaminant reference: either the records of a ``fasta`` file, or the sequences of
+    ``feature_type`` cut from ``contigs``.  Exactly one of the two is to be given; a type without features gives the
+    dummy record, so that the screen always has a reference."""
+    from strandline.operators.annotation import extract_sequences, features_of_type
+
+    if (fasta is None) == (feature_type is None):
+        raise ValueError("give either a FASTA table or a feature type")
+    if fasta is not None:
+        return fasta.select("name", "seq")
+    if contigs is None or features is None:
+        raise ValueError("a feature type needs contigs and features")
+    return extract_sequences(contigs, features_of_type(features, feature_type))

@@ -145,6 +145,44 @@ def q_design_matrix(spark, sf_dir):
                            reference={"batch": "b1", "cond": "WT"}, interaction=True)
 
 
+@query("overall_sere", oracle=f"""
+with {_MATRIX},
+l as (select sample, sum(count)::double as lib from m group by sample), a as (select sum(count)::double as total from m),
+t as (select gene_id, sum(count)::double as g from m group by gene_id having sum(count) > 0),
+chi as (select m.gene_id, sum((m.count - t.g * l.lib / a.total) ** 2 / (t.g * l.lib / a.total)) as chi
+        from m join l on l.sample = m.sample join t on t.gene_id = m.gene_id cross join a group by m.gene_id)
+select count(*) as genes, round(sqrt(sum(chi) / (count(*) * 5)), 6) as sere from chi""")
+def q_overall_sere(spark, sf_dir):
+    return D.overall_sere(matrix(spark, sf_dir), SAMPLES)
+
+
+_RATIOS = _MATRIX + """,
+gm as (select gene_id, avg(ln(count)) as lgm from m group by gene_id having min(count) > 0),
+lr as (select m.sample, m.gene_id, ln(m.count) - gm.lgm as r from m join gm on gm.gene_id = m.gene_id)"""
+
+
+@query("size_factors_shorth", oracle=f"""
+with {_RATIOS},
+o as (select sample, r, row_number() over (partition by sample order by r, gene_id) as i,
+        greatest(1, round(count(*) over (partition by sample) / 2)) as h from lr),
+w as (select o.sample, o.i, o.h, e.r - o.r as width from o join o e on e.sample = o.sample and e.i = o.i + o.h),
+s as (select sample, arg_min(i, (width, i)) as i, min(h) as h from w group by sample)
+select o.sample, round(exp(avg(o.r)), 4) as size_factor
+from o join s on s.sample = o.sample and o.i >= s.i and o.i < s.i + s.h group by o.sample""")
+def q_size_factors_shorth(spark, sf_dir):
+    """D11 with the shorth; four digits, since sums of logarithms differ in the last places."""
+    return D.size_factors(matrix(spark, sf_dir), len(SAMPLES), location="shorth").select(
+        "sample", F.round("size_factor", 4).alias("size_factor"))
+
+
+@query("ratio_histogram", oracle=f"""
+with {_RATIOS}
+select sample, cast(floor((r / ln(2.0) + 0.0001) / 0.25) as integer) as bin, count(*) as genes from lr group by all""")
+def q_ratio_histogram(spark, sf_dir):
+    """D12; the bins are shifted by 0.0001 so that rounding does not move ratios off their edges."""
+    return D.ratio_histogram(matrix(spark, sf_dir), len(SAMPLES), shift=0.0001)
+
+
 @query("size_factors", oracle=f"with {_SF} select sample, round(size_factor, 6) as size_factor from sf")
 def q_size_factors(spark, sf_dir):
     return factors(spark, sf_dir).select("sample", F.round("size_factor", 6).alias("size_factor"))

@@ -69,6 +69,18 @@ def q_sample_pca(spark, sf_dir):
     return MD.sample_pca(MD.transform_counts(normalized(spark, sf_dir), disp(spark, sf_dir)), SAMPLES, "vst")
 
 
+@query("all_pairs_contrasts")
+def q_all_pairs_contrasts(spark, sf_dir):
+    """Three groups of two samples, every pair of groups from one model."""
+    design = fx.fx_design(spark, sf_dir).select("label", F.concat(F.lit("g"), F.floor(
+        F.substring("label", 2, 9).cast("int") / 2).cast("string")).alias("grp"))
+    coefficients = ["Intercept", "grpg1", "grpg2"]
+    dl = D.design_matrix(design, factors=["grp"], reference={"grp": "g0"}, levels={"grp": ["g0", "g1", "g2"]})
+    counts, sf = matrix(spark, sf_dir), factors(spark, sf_dir)
+    d = MD.dispersions(counts, sf, dl, SAMPLES, coefficients)
+    return MD.all_pairs_contrasts(counts, sf, design, d, SAMPLES, factor="grp", reference="g0")
+
+
 GLM_COEFFICIENTS = ["Intercept", "batchb2", "condKO", "batchb2:condKO"]
 
 

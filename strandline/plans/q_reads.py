@@ -468,3 +468,13 @@ r as (select *, row_number() over (partition by sample order by count desc, kmer
 select sample, kmer, count, cast(rank as integer) as rank from r where rank <= 5""")
 def q_detect_adapters(spark, sf_dir):
     return T.detect_adapters(reads(spark, sf_dir), k=12, top=5)
+
+
+@query("contaminant_reference", oracle="""
+select concat(f.seqid, ':', cast(f.start_pos - 1 as varchar), '-', cast(f.end_pos as varchar)) as name,
+  substring(c.seq, cast(f.start_pos as integer), cast(f.end_pos - f.start_pos + 1 as integer)) as seq
+from fx_ctg_features f join fx_contigs c on c.name = f.seqid where f.type = 'rRNA' and f.end_pos <= c.length""")
+def q_contaminant_reference(spark, sf_dir):
+    """The rRNA features cut from the contigs."""
+    return SC.contaminant_reference(contigs=fx.fx_contigs(spark, sf_dir), features=fx.fx_ctg_features(spark, sf_dir),
+                                    feature_type="rRNA")

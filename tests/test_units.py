@@ -297,3 +297,52 @@ def test_clipping_profile(spark):
     got = {r.position: r.clipped for r in clipping_profile(aln).collect()}
     # read positions are 0-based from the read start; the unmapped record is ignored
     assert got == {0: 2, 1: 2, 2: 1, 8: 2, 9: 2}
+
+
+def test_contaminant_reference_takes_exactly_one_origin(spark):
+    from strandline.operators.screen import contaminant_reference
+    fasta = spark.createDataFrame([("r", "ACGT", 4)], "name string, seq string, length int")
+    contigs = spark.createDataFrame([("c", "AACCGGTT", 8)], "name string, seq string, length bigint")
+    feats = spark.createDataFrame([("c", "rRNA", 3, 6, "+")], "seqid string, type string, start bigint, end bigint, strand string")
+    assert [tuple(r) for r in contaminant_reference(fasta=fasta).collect()] == [("r", "ACGT")]
+    got = contaminant_reference(contigs=contigs, features=feats, feature_type="rRNA").collect()
+    assert [tuple(r) for r in got] == [("c:2-6", "CCGG")]
+    assert contaminant_reference(contigs=contigs, features=feats, feature_type="tRNA").first()["name"] == "empty"
+    for kw in ({}, {"fasta": fasta, "feature_type": "rRNA"}, {"feature_type": "rRNA"}):
+        with pytest.raises(ValueError):
+            contaminant_reference(**kw)
+
+
+def test_unlisted_samples_and_types_raise(spark):
+    from strandline.operators.annotation import count_type
+    from strandline.operators.dge import load_count_matrix
+    c = spark.createDataFrame([("a", "g", 1), ("z", "g", 2)], "sample string, gene_id string, n bigint")
+    with pytest.raises(Exception, match="sample outside the list: z"):
+        load_count_matrix(c, ["a"]).collect()
+    gff = spark.createDataFrame([("gene",), ("exon",), ("gene",)], "type string")
+    assert count_type(gff, "gene").first()["n"] == 2
+    with pytest.raises(Exception, match="valid types: exon, gene"):
+        count_type(gff, "tRNA").collect()
+
+
+def test_short_reads_are_seeded_and_impossible_ratios_raise(spark):
+    from strandline.operators.align import map_reads_ungapped
+    ref = spark.createDataFrame([("c", "ACGTTGCATGCCATTGACCGATAGGCTTACGGATCCATTA" * 4)], "name string, seq string")
+    seq = "TGCATGCCATTGACCGATAG"
+    reads = spark.createDataFrame([("s", "r1", seq), ("s", "r2", seq[:7] + "A" + seq[8:])], "sample string, read_id string, seq string")
+    got = {r.read_id: (r.flag, r.nm) for r in map_reads_ungapped(reads, ref, max_mismatch_ratio=0.10).collect()}
+    assert got["r1"] == (0, 0) and got["r2"][0] == 0 and got["r2"][1] == 1
+    with pytest.raises(Exception, match="blocks shorter than the seed"):
+        map_reads_ungapped(reads, ref, max_mismatch_ratio=0.30).collect()
+
+
+def test_pair_statistics_plan_does_not_grow_with_samples(spark):
+    import time
+
+    from strandline.operators.dge import pairwise_sere
+    samples = [f"s{i}" for i in range(60)]
+    rows = [(s, f"g{g}", (i * 7 + g * 3) % 11 + 1) for i, s in enumerate(samples) for g in range(5)]
+    df = spark.createDataFrame(rows, "sample string, gene_id string, count bigint")
+    t0 = time.time()
+    assert pairwise_sere(df, samples).count() == 60 * 59 // 2
+    assert time.time() - t0 < 60
