@@ -64,15 +64,15 @@ def repeated_words(w: Column) -> Column:
                .otherwise(covered(h)))
 
 
-def measures() -> dict[str, Column]:
-    """Expressions over ``text`` and ``_words`` (the word array)."""
+def measures(w: Column) -> dict[str, Column]:
+    """Expressions over ``text`` and its word array ``w``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return {
-        "n_words": F.size("_words").cast("long"),
+        "n_words": F.size(w).cast("long"),
         "word_chars": (F.length(text) - count_chars(text, WHITE)).cast("long"),
         "n_symbols": count_chars(text, SYMBOLS),
         "n_dup_lines": duplicate_lines(text),
-        "n_repeat_words": repeated_words(F.col("_words")),
+        "n_repeat_words": repeated_words(w),
         "n_lines": F.size(lines_with_words(text)).cast("long"),
         "n_upper": count_chars(text, UPPER),
         "n_lower": count_chars(text, LOWER),
@@ -80,6 +80,12 @@ def measures() -> dict[str, Column]:
     }
 
 
+def _per_text(row: Callable[[Column], Column]) -> Column:
+    """A generator of one row, the struct ``row(words)``.  The words are split once per text, and since
+    what a generator gives are plain columns, filters on them do not drag the expressions along."""
+    return F.inline(F.transform(F.array(words(F.col("text"))), row))
+
+
 @dataclass(frozen=True)
 class Rule:
     """``rejects``: condition over the measures; ``cost``: expression for the work of one text, in
@@ -88,17 +94,17 @@ class Rule:
     name: str
     uses: tuple[str, ...]
     rejects: Callable[..., Column]
-    cost: Callable[[], Column]
+    cost: Callable[[Column], Column]
 
 
-def _chars(times: float) -> Callable[[], Column]:
-    return lambda: F.length(F.coalesce(F.col("text"), F.lit(""))) * F.lit(float(times))
+def _chars(times: float) -> Callable[[Column], Column]:
+    return lambda w: F.length(F.coalesce(F.col("text"), F.lit(""))) * F.lit(float(times))
 
 
 DEFAULT_RULES: tuple[Rule, ...] = (
     Rule("few_words", ("n_words",), lambda n: n < 50, _chars(3)),
     Rule("repeated_words", ("n_repeat_words", "n_words"), lambda r, n: 100 * r > 50 * n,
-         lambda: F.size("_words") * F.lit(40.0)),
+         lambda w: F.size(w) * F.lit(40.0)),
     Rule("symbols", ("n_symbols", "n_words"), lambda s, n: 100 * s > 20 * n, _chars(1)),
     Rule("duplicate_lines", ("n_dup_lines", "n_lines"), lambda d, n: 100 * d > 50 * n, _chars(4)),
     Rule("capitals", ("n_upper", "n_lower"), lambda u, l: 100 * u > 60 * (u + l), _chars(2)),
@@ -111,10 +117,6 @@ def _condition(rule: Rule, have: dict[str, Column]) -> Column:
     return F.coalesce(rule.rejects(*(have[u] for u in rule.uses)), F.lit(False))
 
 
-def with_words(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_words", words(F.col("text")))
-
-
 def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, sample_rows: int = SAMPLE_ROWS,
                 seed: int = SEED) -> list[Rule]:
     """The rules by rejections per cost, highest first, estimated on about ``sample_rows`` rows; ties
@@ -122,10 +124,14 @@ def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, sample
     n = docs.count()
     share = 1.0 if n <= sample_rows else sample_rows / n
     picked = docs.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
-    have = measures()
-    stats = with_words(picked.select("doc_id", "text")).agg(*(
-        x for i, r in enumerate(rules) for x in (
-            F.avg(_condition(r, have).cast("double")).alias(f"r{i}"), F.avg(r.cost()).alias(f"c{i}")))).first()
+
+    def judged(w: Column) -> Column:
+        have = measures(w)
+        return F.struct(*(x for k, r in enumerate(rules) for x in (
+            _condition(r, have).cast("double").alias(f"r{k}"), r.cost(w).alias(f"c{k}"))))
+
+    names = [f"{x}{k}" for k in range(len(rules)) for x in "rc"]
+    stats = picked.select(_per_text(judged)).agg(*(F.avg(n).alias(n) for n in names)).first()
     gain = [(stats[f"r{i}"] or 0.0) / max(stats[f"c{i}"] or 1.0, 1e-9) for i in range(len(rules))]
     return [rules[i] for i in sorted(range(len(rules)), key=lambda i: (-gain[i], i))]
 
@@ -141,8 +147,8 @@ def verdict(ordered: list[Rule], have: dict[str, Column]) -> Column:
 def cascade(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, ordered: list[Rule] | None = None) -> DataFrame:
     """``docs`` plus ``rejected_by`` (null: kept) and ``kept``."""
     ordered = order_rules(docs, rules) if ordered is None else ordered
-    out = with_words(docs.drop("rejected_by", "kept", "_words"))
-    out = out.withColumn("rejected_by", verdict(ordered, measures())).drop("_words")
+    kept = docs.drop("rejected_by", "kept")
+    out = kept.select("*", _per_text(lambda w: F.struct(verdict(ordered, measures(w)).alias("rejected_by"))))
     return out.withColumn("kept", F.col("rejected_by").isNull())
 
 
@@ -150,10 +156,13 @@ def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES) ->
     """Per document the base measures, ``base_failed`` and the cascade's verdict."""
     ordered = order_rules(docs, rules)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    have = measures()
-    out = with_words(docs.select("doc_id", "text"))
-    out = out.select("doc_id", "text", *(have[b].alias(b) for b in base))
-    seen = have | {b: F.col(b) for b in base}
-    out = out.select("doc_id", *base, verdict(ordered, seen).alias("rejected_by"))
+
+    def judged(w: Column) -> Column:
+        have = measures(w)
+        first = F.struct(*(have[b].alias(b) for b in base))  # computed once, for the columns and for the rules
+        return let(first, lambda m: F.struct(*(m[b].alias(b) for b in base), verdict(
+            ordered, have | {b: m[b] for b in base}).alias("rejected_by")))
+
+    out = docs.select("doc_id", "text").select("doc_id", _per_text(judged))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & F.col("rejected_by").isNull())
