@@ -170,7 +170,32 @@ def gene_body_coverage(alignments: DataFrame, genes: DataFrame, *, points: int =
     off = F.floor((F.col("end_pos") - F.col("start_pos")) * F.col("k") / (points - 1))
     p = g.select("g_chrom", F.when(F.col("strand") == "-", F.col("end_pos") - off)
                  .otherwise(F.col("start_pos") + off).alias("g_pos"), (F.col("k") + 1).alias("percentile"))
-    seg = depth(alignments)
-    j = overlap_join(seg, p.withColumn("g_pos2", F.col("g_pos")), left_cols=("chrom", "seg_start", "seg_end"),
+    return _depth_at(depth(alignments), p)
+
+
+def transcript_body_coverage(alignments: DataFrame, exons: DataFrame, *, points: int = 100,
+                             transcript_col: str = "gene_id") -> DataFrame:
+    """B2: as ``gene_body_coverage``, but over the exonic bases of every transcript, introns left out.
+
+    Exon i of a transcript holds the exonic offsets [before, before + length); a point's genomic position
+    is found in the one exon that holds its offset.
+    """
+    e = annotation_columns(exons, parent_attribute="Parent").select(
+        F.col("seqid").alias("g_chrom"), "start_pos", "end_pos", "strand", F.col(transcript_col).alias("_t"))
+    length = F.col("end_pos") - F.col("start_pos") + 1
+    order = Window.partitionBy("_t").orderBy("start_pos").rowsBetween(Window.unboundedPreceding, -1)  # exons of one transcript
+    e = e.withColumn("_before", F.coalesce(F.sum(length).over(order), F.lit(0))) \
+         .withColumn("_len", F.sum(length).over(Window.partitionBy("_t")))
+    p = e.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"))
+    step = F.floor((F.col("_len") - 1) * F.col("k") / (points - 1))
+    off = F.when(F.col("strand") == "-", F.col("_len") - 1 - step).otherwise(step) - F.col("_before")
+    p = p.withColumn("_off", off).where((F.col("_off") >= 0) & (F.col("_off") < length))
+    return _depth_at(depth(alignments), p.select("g_chrom", (F.col("start_pos") + F.col("_off")).alias("g_pos"),
+                                                 (F.col("k") + 1).alias("percentile")))
+
+
+def _depth_at(seg: DataFrame, points: DataFrame) -> DataFrame:
+    """(sample, percentile, coverage): summed depth at ``points`` (g_chrom, g_pos, percentile)."""
+    j = overlap_join(seg, points.withColumn("g_pos2", F.col("g_pos")), left_cols=("chrom", "seg_start", "seg_end"),
                      right_cols=("g_chrom", "g_pos", "g_pos2"), broadcast_right=None)
     return j.groupBy("sample", "percentile").agg(F.sum("depth").alias("coverage"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import base_count, gc_count, quals
@@ -184,4 +184,32 @@ def qc_status(reads: DataFrame) -> DataFrame:
     m4 = reads.select("sample").distinct().join(ov, "sample", "left").select(
         "sample", F.lit("overrepresented_sequences").alias("module"),
         F.when(F.col("_p") > 1, "fail").when(F.col("_p") > 0.1, "warn").otherwise("pass").alias("status"))
-    return m1.unionByName(m2).unionByName(m3).unionByName(m4)
+    by_mean = per_read_quality(reads).groupBy("sample").agg(
+        F.min(F.struct(-F.col("reads"), F.col("mean_quality"))).alias("_m"))
+    m5 = by_mean.select("sample", F.lit("per_sequence_quality_scores").alias("module"),
+                        _grade(F.col("_m.mean_quality") < 20, F.col("_m.mean_quality") < 27))
+    gap = F.greatest(F.abs(F.col("pct_A") - F.col("pct_T")), F.abs(F.col("pct_G") - F.col("pct_C")))
+    content = per_base_content(reads).groupBy("sample").agg(F.max(gap).alias("_g"))
+    m6 = content.select("sample", F.lit("per_base_sequence_content").alias("module"),
+                        _grade(F.col("_g") > 20, F.col("_g") > 10))
+    levels = duplication_levels(reads).groupBy("sample").agg(
+        (100 - F.sum("sequences") * 100.0 / F.sum("reads")).alias("_d"))
+    m7 = levels.select("sample", F.lit("sequence_duplication_levels").alias("module"),
+                       _grade(F.col("_d") > 50, F.col("_d") > 20))
+    adapters = adapter_content(reads).groupBy("sample").agg(F.max("pct_reads").alias("_a"))
+    m8 = adapters.select("sample", F.lit("adapter_content").alias("module"), _grade(F.col("_a") > 10, F.col("_a") > 5))
+    out = m1
+    for m in (m2, m3, m4, m5, m6, m7, m8):
+        out = out.unionByName(m)
+    return out
+
+
+def _grade(fail: Column, warn: Column) -> Column:
+    return F.when(fail, "fail").when(warn, "warn").otherwise("pass").alias("status")
+
+
+def percent_fails(status: DataFrame) -> DataFrame:
+    """Q11: per sample (and mate), the share of modules that failed (%)."""
+    by = [c for c in ("sample", "mate") if c in status.columns]
+    return status.groupBy(*by).agg(F.round(
+        F.count_if(F.col("status") == "fail") * 100.0 / F.count(F.lit(1)), 6).alias("percent_fails"))

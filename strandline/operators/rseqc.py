@@ -16,6 +16,19 @@ MAPQ_CUTOFF = 30
 SATURATION_LEVELS = list(range(5, 101, 5))
 
 
+def without_introns(pairs: DataFrame, exons: DataFrame) -> DataFrame:
+    """``pairs`` (sample, frag_id, ref, end1, pos2) with ``pos2`` moved up by the introns that lie between the mates,
+    so that distances are those on the transcript.  Introns of several transcripts count once."""
+    introns = annotated_splice_sites(exons).distinct()
+    gaps = pairs.where(F.col("pos2") - F.col("end1") > 1).select(
+        "sample", "frag_id", F.col("ref").alias("_ref"), (F.col("end1") + 1).alias("_from"), (F.col("pos2") - 1).alias("_to"))
+    hits = overlap_join(gaps, introns, left_cols=("_ref", "_from", "_to"), right_cols=("chrom", "intron_start", "intron_end"))
+    inside = hits.where((F.col("intron_start") >= F.col("_from")) & (F.col("intron_end") <= F.col("_to")))
+    total = inside.groupBy("sample", "frag_id").agg(F.sum(F.col("intron_end") - F.col("intron_start") + 1).alias("_introns"))
+    j = pairs.join(total, ["sample", "frag_id"], "left")
+    return j.withColumn("pos2", F.col("pos2") - F.coalesce(F.col("_introns"), F.lit(0))).drop("_introns")
+
+
 def inner_distance(pairs: DataFrame, *, lower: int = INNER_DISTANCE_LOWER, upper: int = INNER_DISTANCE_UPPER,
                    step: int = INNER_DISTANCE_STEP) -> DataFrame:
     """B1: histogram of the gap between mates (mate 2 start - mate 1 end - 1; negative = overlap).

@@ -79,6 +79,26 @@ def q_inner_distance(spark, sf_dir):
     return R.inner_distance(fx.fx_pairs(spark, sf_dir), upper=50)
 
 
+@query("inner_distance_spliced", oracle="""
+with introns as (select distinct seqid as chrom, end_pos + 1 as s, next_start - 1 as e from (
+  select seqid, end_pos, lead(start_pos) over (partition by gene_id order by start_pos) as next_start from fx_exons) x
+  where next_start is not null),
+d as (select p.sample, p.pos2 - p.end1 - 1 - coalesce(c.n, 0) as d
+      from (select sample, frag_id, end1, pos2 + 300 as pos2 from fx_pairs) p
+      left join (select p.sample, p.frag_id, sum(i.e - i.s + 1) as n
+                 from (select sample, frag_id, ref, end1, pos2 + 300 as pos2 from fx_pairs) p join introns i
+                 on i.chrom = p.ref and i.s >= p.end1 + 1 and i.e <= p.pos2 - 1 group by p.sample, p.frag_id) c
+      on c.sample = p.sample and c.frag_id = p.frag_id)
+select sample, cast(case when d >= 250 then 250 when d < -250 then -250 else floor((d + 250) / 5) * 5 - 250 end as bigint) as bin_start,
+  cast(case when d < -250 then -250 when d >= 250 then 250 else floor((d + 250) / 5) * 5 - 245 end as bigint) as bin_end,
+  count(*) as count
+from d group by all""")
+def q_inner_distance_spliced(spark, sf_dir):
+    """B1 on the transcript: mates 300 bases further apart, introns between them taken out."""
+    pairs = fx.fx_pairs(spark, sf_dir).withColumn("pos2", F.col("pos2") + 300)
+    return R.inner_distance(R.without_introns(pairs, fx.fx_exons(spark, sf_dir)))
+
+
 @query("read_duplication", oracle="""
 select sample, 'sequence' as method, occurrence, count(*) as unique_reads
 from (select sample, seq, count(*) as occurrence from fx_reads group by sample, seq) s group by sample, occurrence

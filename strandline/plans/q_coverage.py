@@ -98,6 +98,19 @@ def q_gene_body_coverage(spark, sf_dir):
     return V.gene_body_coverage(fx.fx_alignments(spark, sf_dir), fx.fx_features(spark, sf_dir))
 
 
+@query("transcript_body_coverage", oracle=f"""
+with {_BLOCKS},
+bases as (select seqid, gene_id, strand, unnest(range(start_pos, end_pos + 1)) as p from fx_exons),
+ranked as (select *, row_number() over (partition by gene_id order by p) - 1 as i, count(*) over (partition by gene_id) as n from bases),
+pts as (select r.seqid, r.p, cast(k + 1 as integer) as percentile from ranked r, unnest(range(0, 100)) u(k)
+        where r.i = case when r.strand = '-' then r.n - 1 - floor((r.n - 1) * k / 99) else floor((r.n - 1) * k / 99) end)
+select b.sample, pts.percentile, cast(sum(b.depth) as bigint) as coverage
+from pts join base b on b.chrom = pts.seqid and b.pos = pts.p group by all""")
+def q_transcript_body_coverage(spark, sf_dir):
+    """B2 over the exonic bases of each transcript."""
+    return V.transcript_body_coverage(fx.fx_alignments(spark, sf_dir), fx.fx_exons(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ N: expression QC
 
 _UNIQ = """

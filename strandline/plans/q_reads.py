@@ -164,8 +164,8 @@ def q_basic_stats(spark, sf_dir):
     return Q.basic_stats(plain_reads(spark, sf_dir))
 
 
-@query("qc_status", oracle=f"""
-with {_PBQ}, {_PBN_TAIL}, {_OVER},
+_STATUS = f"""
+{_PBQ}, {_PBN_TAIL}, {_OVER},
 m1 as (select sample, 'per_base_sequence_quality' as module,
          case when min(q1) < 5 or min(median) < 20 then 'fail' when min(q1) < 10 or min(median) < 25 then 'warn'
               else 'pass' end as status from pbq group by sample),
@@ -177,12 +177,41 @@ m3 as (select sample, 'sequence_length_distribution' as module,
               else 'pass' end as status from fx_reads group by sample),
 m4 as (select s.sample, 'overrepresented_sequences' as module,
          case when max(o.percentage) > 1 then 'fail' when max(o.percentage) > 0.1 then 'warn' else 'pass' end as status
-       from (select distinct sample from fx_reads) s left join over o on o.sample = s.sample group by s.sample)
-select * from m1 union all select * from m2 union all select * from m3 union all select * from m4""")
+       from (select distinct sample from fx_reads) s left join over o on o.sample = s.sample group by s.sample),
+mq as (select sample, cast(floor(list_sum({_QUALS.format(q='qual')}) / length(qual)) as integer) as q, count(*) as n
+       from fx_reads where length(qual) > 0 group by all),
+m5 as (select sample, 'per_sequence_quality_scores' as module, case when arg_min(q, (-n, q)) < 20 then 'fail'
+         when arg_min(q, (-n, q)) < 27 then 'warn' else 'pass' end as status from mq group by sample),
+pct as (select sample, position, count(*) filter (where base = 'A') * 100.0 / count(*) as a,
+          count(*) filter (where base = 'C') * 100.0 / count(*) as c, count(*) filter (where base = 'G') * 100.0 / count(*) as g,
+          count(*) filter (where base = 'T') * 100.0 / count(*) as t from bases where base in ('A', 'C', 'G', 'T')
+        group by sample, position),
+m6 as (select sample, 'per_base_sequence_content' as module, case when max(greatest(abs(a - t), abs(g - c))) > 20 then 'fail'
+         when max(greatest(abs(a - t), abs(g - c))) > 10 then 'warn' else 'pass' end as status from pct group by sample),
+m7 as (select sample, 'sequence_duplication_levels' as module,
+         case when 100 - count(distinct seq) * 100.0 / count(*) > 50 then 'fail'
+              when 100 - count(distinct seq) * 100.0 / count(*) > 20 then 'warn' else 'pass' end as status
+       from fx_reads group by sample),
+adp as (select r.sample, ad.adapter, count(*) filter (where instr(r.seq, ad.aseq) > 0) * 100.0 / count(*) as pct
+        from fx_reads r cross join ({_ADAPTER_ROWS}) ad group by all),
+m8 as (select sample, 'adapter_content' as module, case when max(pct) > 10 then 'fail' when max(pct) > 5 then 'warn'
+         else 'pass' end as status from adp group by sample),
+status as (select * from m1 union all select * from m2 union all select * from m3 union all select * from m4
+           union all select * from m5 union all select * from m6 union all select * from m7 union all select * from m8)"""
+
+
+@query("qc_status", oracle=f"with {_STATUS} select * from status")
 def q_qc_status(spark, sf_dir):
     return Q.qc_status(plain_reads(spark, sf_dir))
 
 
+@query("percent_fails", oracle=f"""
+with {_STATUS}
+select sample, round(count(*) filter (where status = 'fail') * 100.0 / count(*), 6) as percent_fails from status group by sample""")
+def q_percent_fails(spark, sf_dir):
+    return Q.percent_fails(Q.qc_status(plain_reads(spark, sf_dir)))
+
+
 _MATES = "mates as (select *, cast(cast(split_part(read_id, '_', 2) as integer) % 2 + 1 as integer) as mate from fx_reads)"
 
 
