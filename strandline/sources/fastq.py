@@ -1,24 +1,30 @@
-"""FASTQ reader as a Python Data Source (one partition per file; gzip is not splittable).
+"""FASTQ reader as a Python Data Source.
 
     spark.dataSource.register(FastqDataSource)
     reads = spark.read.format("fastq").option("readtag", "_R[12]_").load("/data/*.fastq.gz")
 
 Rows: sample, mate (1/2), ordinal (0-based record index in the file), read_id,
-seq, qual.  ``max_reads`` stops each file after n records (the first-n screen
-input), so the rest of a large file is never decompressed.  Land the result
+seq, qual, handed over in Arrow batches.  Paths are local ones or URIs of any file system that Arrow
+knows (``file:``, ``hdfs:``, ``s3:``, ``gs:``), listed and opened through it, so files need only be on shared
+storage.  ``max_reads`` stops each file after n records (the first-n screen
+input), so the rest of a large file is never decompressed.  A file is one partition, since gzip is not
+splittable; ``split_bytes`` reads plain files in byte ranges instead, where ``ordinal`` is the
+record's byte offset (growing along the file, not dense).  Land the result
 once as Parquet: every later job then reads a splittable, column-pruned table.
 """
 
 from __future__ import annotations
 
-import glob
-import gzip
+import fnmatch
+import io
 import os
 import re
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType, ByteType
 
+BATCH_RECORDS = 8192
+
 FASTQ_SCHEMA = StructType([
     StructField("sample", StringType()), StructField("mate", ByteType()), StructField("ordinal", LongType()),
     StructField("read_id", StringType()), StructField("seq", StringType()), StructField("qual", StringType()),
@@ -36,34 +42,129 @@ def sample_and_mate(path: str, readtag: str = DEFAULT_READTAG) -> tuple[str, int
     return re.sub(r"\.(fastq|fq)(\.gz)?$", "", name), 1
 
 
+def _file_system(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else f"file://{os.path.abspath(path)}")
+
+
+def expand(path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the files that a comma list of paths, folders and name patterns stands for."""
+    from pyarrow import fs
+
+    found = []
+    for part in path.split(","):
+        folder, _, name = part.rpartition("/")
+        if not re.search(r"[*?\[]", name):
+            system, inner = _file_system(part)
+            info = system.get_file_info(inner)
+            if info.type == fs.FileType.NotFound:
+                raise FileNotFoundError(part)
+            if info.type == fs.FileType.File:
+                found.append((part, info.size))
+                continue
+            folder, name = part.rstrip("/"), "*"
+        system, inner = _file_system(folder or ".")
+        found += [(f"{folder}/{i.base_name}" if folder else i.base_name, i.size)
+                  for i in system.get_file_info(fs.FileSelector(inner))
+                  if i.type == fs.FileType.File and fnmatch.fnmatch(i.base_name, name)]
+    return sorted(found)
+
+
 class _FilePartition(InputPartition):
-    def __init__(self, path: str):
+    def __init__(self, path: str, start: int, stop: int | None):
         super().__init__(path)
-        self.path = path
+        self.path, self.start, self.stop = path, start, stop
+
+
+def _lines(stream, at: int):
+    """(offset, line) of a binary stream that begins at offset ``at``."""
+    reader = io.BufferedReader(stream, 1 << 20)
+    for line in reader:
+        yield at, line
+        at += len(line)
+
+
+def _next_record(system, inner: str, start: int) -> int:
+    """Offset of the first record that begins at ``start`` or later: an @ line whose next but one is a + line, with
+    sequence and qualities of one length."""
+    with system.open_input_file(inner) as f:
+        size = f.size()
+        f.seek(start - 1)
+        window, first = [], True
+        for offset, line in _lines(f, start - 1):
+            if first:  # the rest of the line that the range begins in
+                first = False
+                continue
+            window.append((offset, line))
+            if len(window) == 4:
+                (at, head), (_, seq), (_, plus), (_, qual) = window
+                if head[:1] == b"@" and plus[:1] == b"+" and len(seq.rstrip()) == len(qual.rstrip()):
+                    return at
+                window.pop(0)
+        return size
 
 
 class FastqReader(DataSourceReader):
-    def __init__(self, paths: list[str], readtag: str, max_reads: int):
-        self.paths, self.readtag, self.max_reads = paths, readtag, max_reads
+    def __init__(self, files: list[tuple[str, int]], readtag: str, max_reads: int, split_bytes: int):
+        self.files, self.readtag, self.max_reads, self.split_bytes = files, readtag, max_reads, split_bytes
 
     def partitions(self):
-        return [_FilePartition(p) for p in self.paths]
+        out = []
+        for path, size in self.files:
+            if self.split_bytes > 0 and not path.endswith(".gz"):
+                out += [_FilePartition(path, a, min(a + self.split_bytes, size)) for a in range(0, size, self.split_bytes)]
+            else:
+                out.append(_FilePartition(path, 0, None))
+        return out
+
+    def _records(self, partition):
+        system, inner = _file_system(partition.path)
+        if partition.stop is None:
+            with system.open_input_stream(inner, compression="detect") as stream:
+                yield from ((k, *r) for k, r in enumerate(self._four(_lines(stream, 0), None)))
+            return
+        begin = _next_record(system, inner, partition.start) if partition.start else 0
+        with system.open_input_file(inner) as f:
+            f.seek(begin)
+            for at, *r in self._four(_lines(f, begin), partition.stop, offsets=True):
+                yield (at, *r)
+
+    @staticmethod
+    def _four(lines, stop, offsets: bool = False):
+        for at, head in lines:
+            if stop is not None and at >= stop:
+                return
+            seq, _, qual = (next(lines, (0, b""))[1] for _ in range(3))
+            head = head.decode().rstrip("\r\n")
+            read_id = head[1:].split()[0] if head.startswith("@") and len(head) > 1 else head.strip()
+            record = (read_id, seq.decode().rstrip("\r\n"), qual.decode().rstrip("\r\n"))
+            yield (at, *record) if offsets else record
 
     def read(self, partition):
+        import pyarrow as pa
+
         sample, mate = sample_and_mate(partition.path, self.readtag)
-        opener = gzip.open if partition.path.endswith(".gz") else open
-        with opener(partition.path, "rt") as fh:
-            ordinal = 0
-            while self.max_reads < 0 or ordinal < self.max_reads:
-                header = fh.readline()
-                if not header:
-                    break
-                seq = fh.readline().rstrip("\r\n")
-                fh.readline()
-                qual = fh.readline().rstrip("\r\n")
-                read_id = header[1:].split()[0] if header.startswith("@") else header.strip()
-                yield (sample, mate, ordinal, read_id, seq, qual)
-                ordinal += 1
+        schema = pa.schema([("sample", pa.string()), ("mate", pa.int8()), ("ordinal", pa.int64()), ("read_id", pa.string()),
+                            ("seq", pa.string()), ("qual", pa.string())])
+
+        def batch(rows):
+            ordinal, read_id, seq, qual = zip(*rows)
+            n = len(rows)
+            return pa.record_batch([pa.array(c, t.type) for c, t in zip(
+                ([sample] * n, [mate] * n, ordinal, read_id, seq, qual), schema)], schema=schema)
+
+        rows, n = [], 0
+        for record in self._records(partition):
+            if 0 <= self.max_reads <= n:
+                break
+            rows.append(record)
+            n += 1
+            if len(rows) == BATCH_RECORDS:
+                yield batch(rows)
+                rows = []
+        if rows:
+            yield batch(rows)
 
 
 class FastqDataSource(DataSource):
@@ -75,17 +176,17 @@ class FastqDataSource(DataSource):
         return FASTQ_SCHEMA
 
     def reader(self, schema):
-        path = self.options.get("path")
-        paths = sorted(p for part in path.split(",") for p in (glob.glob(part) or [part]))
-        return FastqReader(paths, self.options.get("readtag", DEFAULT_READTAG),
-                           int(self.options.get("max_reads", "-1")))
+        split, most = int(self.options.get("split_bytes", "0")), int(self.options.get("max_reads", "-1"))
+        if split > 0 and most >= 0:
+            raise ValueError("max_reads counts from the start of a file; it does not go with split_bytes")
+        return FastqReader(expand(self.options.get("path")), self.options.get("readtag", DEFAULT_READTAG), most, split)
 
 
-def read_fastq(spark, path: str, *, readtag: str = DEFAULT_READTAG, max_reads: int = -1):
-    """FASTQ file(s) (glob or comma list, plain or gz) -> reads."""
+def read_fastq(spark, path: str, *, readtag: str = DEFAULT_READTAG, max_reads: int = -1, split_bytes: int = 0):
+    """FASTQ file(s) (folder, name pattern or comma list, plain or gz) -> reads."""
     spark.dataSource.register(FastqDataSource)
     return (spark.read.format("fastq").option("readtag", readtag).option("max_reads", str(max_reads))
-            .load(path))
+            .option("split_bytes", str(split_bytes)).load(path))
 
 
 def land_fastq(spark, path: str, out: str, **kw) -> None:

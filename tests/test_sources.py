@@ -206,3 +206,18 @@ def test_paired_duplicates_are_judged_by_both_ends(spark):
     df = spark.createDataFrame(rows, "sample string, frag_id string, ref string, pos bigint, cigar string, flag int, base_quality_sum double")
     got = {(r.frag_id, r.flag & 192): r.duplicate for r in mark_duplicates(df).collect()}
     assert got == {("a", 64): True, ("a", 128): True, ("b", 64): False, ("b", 128): False, ("c", 64): False, ("c", 128): False}
+
+
+def test_fastq_byte_ranges_give_every_record_once(spark, tmp_path):
+    # qualities that begin with @ or + must not be taken for headers
+    recs = [(f"r{k}", "ACGT" * (k % 7 + 1), ("@+II" * (k % 7 + 1))) for k in range(300)]
+    text = "".join(f"@{i} extra\n{s}\n+\n{q}\n" for i, s, q in recs)
+    (tmp_path / "S_R1_x.fastq").write_text(text)
+    whole = [(r.ordinal, r.read_id, r.seq, r.qual) for r in read_fastq(spark, str(tmp_path / "*.fastq")).orderBy("ordinal").collect()]
+    assert whole == [(k, *r) for k, r in enumerate(recs)]
+    for size in (97, 1000, 10**6):
+        got = read_fastq(spark, f"file://{tmp_path}", split_bytes=size).orderBy("ordinal").collect()
+        assert [(r.read_id, r.seq, r.qual) for r in got] == recs
+        assert all(text.encode()[r.ordinal:].startswith(f"@{r.read_id} ".encode()) for r in got)
+    with pytest.raises(Exception):
+        read_fastq(spark, str(tmp_path / "none.fastq")).count()
