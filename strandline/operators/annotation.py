@@ -108,8 +108,7 @@ def gtf_with_dummies(gtf: DataFrame) -> DataFrame:
     """Append one dummy gene and one dummy exon on ``myCHR`` so downstream tools never see zero rows."""
     spark = gtf.sparkSession
     dummy = spark.createDataFrame(
-        [(DUMMY_CHROM, "dummy", t, 1, 2, ".", "+", ".", {"gene_id": "dummy", "transcript_id": "dummy"})
-         for t in ("gene", "exon")],
+        [(DUMMY_CHROM, "SGD", t, 0, 0, ".", "+", "0", {f"{t}_id": "dummy"}) for t in ("gene", "exon")],
         "seqid string, source string, type string, start bigint, end bigint, score string, strand string, "
         "phase string, attributes map<string,string>")
     return gtf.unionByName(dummy)
@@ -152,3 +151,21 @@ def subset_by_contig(alignments: DataFrame, contigs: list[str]) -> DataFrame:
 
     keys = alignments.where(F.col("ref").isin(contigs) & ~has_flag("flag", UNMAPPED)).select("sample", "frag_id")
     return alignments.join(keys, ["sample", "frag_id"], "left_semi")
+
+
+def subset_features(features: DataFrame, contigs: list[str]) -> DataFrame:
+    """The features on the chosen contigs."""
+    return features.where(F.col("seqid").isin(contigs))
+
+
+def subset_sequences(sequences: DataFrame, contigs: list[str]) -> DataFrame:
+    """The sequences of the chosen contigs."""
+    return sequences.where(F.col("name").isin(contigs))
+
+
+def split_mapped(reads: DataFrame, alignments: DataFrame, *, read_key: str = "read_id") -> tuple[DataFrame, DataFrame]:
+    """(mapped, unmapped) reads: those with a mapped record in ``alignments`` of their sample, and the others."""
+    from strandline.functions.alignment import UNMAPPED, has_flag
+
+    keys = alignments.where(~has_flag("flag", UNMAPPED)).select("sample", F.col("frag_id").cast("string").alias(read_key))
+    return (reads.join(keys, ["sample", read_key], "left_semi"), reads.join(keys, ["sample", read_key], "left_anti"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.alignment import DUPLICATE, fragment_strand, has_flag
@@ -79,10 +79,24 @@ def _gene_depth(alignments: DataFrame, regions: DataFrame, extra: tuple[str, ...
     return j.select("sample", "gene_id", "depth", n.alias("n_bases"), *extra)
 
 
-def coverage_stats(alignments: DataFrame, exons: DataFrame) -> DataFrame:
+def without_ends(exons: DataFrame, bases: int) -> DataFrame:
+    """The exonic parts of every gene that lie at least ``bases`` exonic bases away from both of its ends."""
+    order = Window.partitionBy("gene_id").orderBy("start_pos").rowsBetween(Window.unboundedPreceding, -1)  # exons of a gene
+    length = F.col("end_pos") - F.col("start_pos") + 1
+    before = F.coalesce(F.sum(length).over(order), F.lit(0))
+    after = F.sum(length).over(Window.partitionBy("gene_id")) - before - length
+    e = exons.withColumn("_b", before).withColumn("_a", after)
+    e = e.withColumn("start_pos", F.col("start_pos") + F.greatest(F.lit(0), bases - F.col("_b"))) \
+         .withColumn("end_pos", F.col("end_pos") - F.greatest(F.lit(0), bases - F.col("_a")))
+    return e.where(F.col("start_pos") <= F.col("end_pos")).drop("_b", "_a")
+
+
+def coverage_stats(alignments: DataFrame, exons: DataFrame, *, exclude_ends: int = 0) -> DataFrame:
     """Per (sample, gene) mean, standard deviation and CV of per-base depth over the exonic bases
-    (uncovered bases count as depth 0)."""
+    (uncovered bases count as depth 0), without ``exclude_ends`` exonic bases at either end of a gene."""
     exons = annotation_columns(exons, parent_attribute="Parent")
+    if exclude_ends:
+        exons = without_ends(exons, exclude_ends)
     length = exons.groupBy("gene_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("_len"))
     d = _gene_depth(alignments, exons).groupBy("sample", "gene_id").agg(
         F.sum(F.col("depth") * F.col("n_bases")).alias("_s1"),

@@ -133,6 +133,14 @@ def contamination_rate(screened: DataFrame) -> DataFrame:
     return s.withColumn("reads_aligned_percentage", F.round(F.col("aligned") * 100.0 / F.col("reads"), 6))
 
 
+def rate_from_metrics(metrics: DataFrame) -> DataFrame:
+    """C4 on an aligner's reported figures (sample, metric, value): ``reads_aligned_percentage`` where it is given,
+    else 100 - ``not_aligned_percentage``."""
+    value = lambda name: F.max(F.when(F.col("metric") == name, F.col("value")))
+    r = metrics.groupBy("sample").agg(value("reads_aligned_percentage").alias("_a"), value("not_aligned_percentage").alias("_n"))
+    return r.select("sample", F.coalesce(F.col("_a"), 100 - F.col("_n")).alias("reads_aligned_percentage"))
+
+
 def contamination_band(rates: DataFrame, column: str = "reads_aligned_percentage") -> DataFrame:
     """Mean over samples truncated to two decimals, and its band.
 

@@ -261,6 +261,14 @@ def trim_summary(before: DataFrame, after: DataFrame) -> DataFrame:
     return stats(before, "before").unionByName(stats(after, "after"))
 
 
+def duplication_share(reads: DataFrame) -> DataFrame:
+    """Per sample, the share of reads (%) that repeat an earlier sequence.  Sequences meet by a pair of 64-bit hashes."""
+    key = [F.xxhash64("seq").alias("_h1"), F.xxhash64(F.reverse("seq"), F.length("seq")).alias("_h2")]
+    per = reads.select("sample", *key).groupBy("sample", "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    return per.groupBy("sample").agg(F.sum("_n").alias("reads"), F.round(
+        100 - F.count(F.lit(1)) * 100.0 / F.sum("_n"), 6).alias("duplication_percent"))
+
+
 def trimming_off(reads: DataFrame) -> DataFrame:
     """Trimming disabled, reads flow through unchanged."""
     return reads

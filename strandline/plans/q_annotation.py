@@ -91,11 +91,11 @@ def q_gff_to_bed(spark, sf_dir):
 
 @query("gtf_with_dummies", oracle="""
 select seqid, type, start_pos as start, end_pos as "end", gene_id as id from fx_features
-union all select 'myCHR', 'gene', 1, 2, 'dummy' union all select 'myCHR', 'exon', 1, 2, 'dummy'""")
+union all select 'myCHR', 'gene', 0, 0, 'dummy' union all select 'myCHR', 'exon', 0, 0, 'dummy'""")
 def q_gtf_with_dummies(spark, sf_dir):
     g = A.gtf_with_dummies(annotation(spark, sf_dir))
     return g.select("seqid", "type", "start", "end",
-                    F.coalesce(F.col("attributes")["ID"], F.col("attributes")["gene_id"]).alias("id"))
+                    F.coalesce(*(F.col("attributes")[k] for k in ("ID", "gene_id", "exon_id"))).alias("id"))
 
 
 @query("extract_sequences", oracle="""
@@ -118,3 +118,23 @@ select * from fx_alignments a where exists (select 1 from fx_alignments b where
   and b.frag_id = a.frag_id and b.ref = 'chr1' and b.flag % 8 < 4)""")
 def q_subset_by_contig(spark, sf_dir):
     return A.subset_by_contig(fx.fx_alignments(spark, sf_dir), ["chr1"])
+
+
+@query("subset_features", oracle="select seqid, type, start_pos as start, end_pos as \"end\", strand from fx_features where seqid in ('chr1', 'chr3')")
+def q_subset_features(spark, sf_dir):
+    return A.subset_features(annotation(spark, sf_dir), ["chr1", "chr3"]).select("seqid", "type", "start", "end", "strand")
+
+
+@query("subset_sequences", oracle="select name, seq, length from fx_contigs where name in ('ctg1', 'ctg7', 'ctg100')")
+def q_subset_sequences(spark, sf_dir):
+    return A.subset_sequences(fx.fx_contigs(spark, sf_dir), ["ctg1", "ctg7", "ctg100"])
+
+
+@query("unmapped_reads", oracle="""
+select sample, cast(frag_id as varchar) as read_id from (select distinct sample, frag_id from fx_alignments) r
+where not exists (select 1 from fx_alignments a where a.sample = r.sample and a.frag_id = r.frag_id and a.flag % 8 < 4)""")
+def q_unmapped_reads(spark, sf_dir):
+    """The reads of which no record is mapped."""
+    a = fx.fx_alignments(spark, sf_dir)
+    reads = a.select("sample", F.col("frag_id").cast("string").alias("read_id")).distinct()
+    return A.split_mapped(reads, a)[1]

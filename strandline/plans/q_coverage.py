@@ -181,6 +181,23 @@ def q_coverage_stats(spark, sf_dir):
     return N.coverage_stats(fx.fx_alignments(spark, sf_dir), fx.fx_exons(spark, sf_dir))
 
 
+@query("coverage_stats_without_ends", oracle=f"""
+with {_BLOCKS},
+bases as (select seqid, gene_id, unnest(range(start_pos, end_pos + 1)) as p from fx_exons),
+ranked as (select *, row_number() over (partition by gene_id order by p) as i, count(*) over (partition by gene_id) as n from bases),
+inner_ as (select * from ranked where i > 70 and i <= n - 70),
+len as (select gene_id, count(*) as l from inner_ group by gene_id),
+d as (select b.sample, e.gene_id, sum(b.depth) as s1, sum(b.depth * b.depth) as s2 from base b join inner_ e
+      on e.seqid = b.chrom and b.pos = e.p group by all)
+select d.sample, d.gene_id, round(s1 / l, 6) as mean_coverage,
+  round(sqrt(greatest(s2 / l - (s1 / l) * (s1 / l), 0)), 6) as sd_coverage,
+  round(sqrt(greatest(s2 / l - (s1 / l) * (s1 / l), 0)) / (s1 / l), 6) as cv
+from d join len on len.gene_id = d.gene_id""")
+def q_coverage_stats_without_ends(spark, sf_dir):
+    """N4 without 70 exonic bases at either end (more than the first exon)."""
+    return N.coverage_stats(fx.fx_alignments(spark, sf_dir), fx.fx_exons(spark, sf_dir), exclude_ends=70)
+
+
 @query("end_bias", oracle=f"""
 with {_BLOCKS},
 w as (select gene_id, seqid, '5' as e, case when strand = '-' then end_pos - 49 else start_pos end as ws from fx_features

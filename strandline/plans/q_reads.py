@@ -421,6 +421,13 @@ def q_trim_summary(spark, sf_dir):
     return T.trim_summary(r, after)
 
 
+@query("duplication_share", oracle="""
+select sample, count(*) as reads, round(100 - count(distinct seq) * 100.0 / count(*), 6) as duplication_percent
+from fx_reads group by sample""")
+def q_duplication_share(spark, sf_dir):
+    return T.duplication_share(plain_reads(spark, sf_dir))
+
+
 @query("trimming_off", oracle="select * from fx_reads")
 def q_trimming_off(spark, sf_dir):
     return T.trimming_off(reads(spark, sf_dir))

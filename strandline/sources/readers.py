@@ -15,8 +15,9 @@ def _file_name() -> F.Column:
 
 
 def sample_manifest(spark: SparkSession, directory: str, *, pattern: str = "*fastq.gz",
-                    readtag: str = DEFAULT_READTAG, exclude: str | None = None) -> DataFrame:
-    """(sample, mates, paired) from a file listing; only paths are read, never contents."""
+                    readtag: str = DEFAULT_READTAG, exclude: str | None = None, strict: bool = False) -> DataFrame:
+    """(sample, mates, paired) from a file listing; only paths are read, never contents.  ``strict`` raises when
+    some samples of a project have both mates and others do not."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true") \
         .load(directory).select("path")
     name = F.regexp_extract("path", r"([^/]*)$", 1)
@@ -27,8 +28,15 @@ def sample_manifest(spark: SparkSession, directory: str, *, pattern: str = "*fas
         F.regexp_replace(name, r"\.(fastq|fq)(\.gz)?$", ""))
     mate = F.when(tag != "", F.regexp_extract(tag, r"(\d)", 1).cast("int")).otherwise(F.lit(1))
     m = files.select(sample.alias("sample"), mate.alias("mate"))
-    return m.groupBy("sample").agg(F.sort_array(F.collect_set("mate")).alias("mates")) \
-        .withColumn("paired", F.size("mates") == 2)
+    out = m.groupBy("sample").agg(F.sort_array(F.collect_set("mate")).alias("mates"))
+    if not strict:
+        return out.withColumn("paired", F.size("mates") == 2)
+    # a project is paired or not as a whole
+    kinds = out.agg(F.count_if(F.size("mates") == 2).alias("_two"), F.count(F.lit(1)).alias("_all")).withColumn("_one", F.lit(1))
+    bad = F.raise_error(F.concat(F.lit("unequal numbers of first and second mates, for example in sample "), F.col("sample")))
+    odd = (F.col("_two") > 0) & (F.size("mates") != 2)
+    return out.withColumn("_one", F.lit(1)).join(F.broadcast(kinds), "_one").select(
+        "sample", "mates", F.when(odd, bad).otherwise(F.size("mates") == 2).alias("paired"))
 
 
 def parse_fasta_records(records: DataFrame, column: str = "value") -> DataFrame:

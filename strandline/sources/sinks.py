@@ -15,9 +15,12 @@ def _tsv(df: DataFrame, path: str, *, header: bool = True, partition_by: list[st
     w.csv(path)
 
 
-def write_counts(counts: DataFrame, path: str) -> None:
-    """K1: per-sample count tables of the chosen strand (one folder per sample)."""
+def write_counts(counts: DataFrame, path: str, *, summary: DataFrame | None = None) -> None:
+    """K1: per-sample count tables of the chosen strand (one folder per sample); ``summary`` (sample, status, count) goes
+    beside them, to ``<path>.summary``."""
     _tsv(counts.select("sample", F.col("gene_id").alias("Geneid"), "count"), path, partition_by=["sample"])
+    if summary is not None:
+        _tsv(summary.select("sample", F.col("status").alias("Status"), "count"), f"{path}.summary", partition_by=["sample"])
 
 
 def write_count_matrix(matrix: DataFrame, path: str) -> None:

@@ -221,3 +221,25 @@ def test_fastq_byte_ranges_give_every_record_once(spark, tmp_path):
         assert all(text.encode()[r.ordinal:].startswith(f"@{r.read_id} ".encode()) for r in got)
     with pytest.raises(Exception):
         read_fastq(spark, str(tmp_path / "none.fastq")).count()
+
+
+def test_unequal_mates_raise(spark, tmp_path):
+    for n in ("a_R1_.fastq.gz", "a_R2_.fastq.gz", "b_R1_.fastq.gz"):
+        with gzip.open(tmp_path / n, "wt") as f:
+            f.write("@x\nA\n+\nI\n")
+    got = {r["sample"]: r["paired"] for r in R.sample_manifest(spark, str(tmp_path)).collect()}
+    assert got == {"a": True, "b": False}
+    with pytest.raises(Exception, match="unequal numbers .* sample b"):
+        R.sample_manifest(spark, str(tmp_path), strict=True).collect()
+
+
+def test_count_summary_and_reported_rates(spark, tmp_path):
+    from strandline.operators.screen import rate_from_metrics
+    counts = spark.createDataFrame([("s1", "g1", 5)], "sample string, gene_id string, count bigint")
+    summary = spark.createDataFrame([("s1", "Assigned", 5)], "sample string, status string, count bigint")
+    K.write_counts(counts, str(tmp_path / "c"), summary=summary)
+    back = spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "c.summary")).first()
+    assert (back["Status"], back["count"], back["sample"]) == ("Assigned", "5", "s1")
+    m = spark.createDataFrame([("a", "reads_aligned_percentage", 7.0), ("a", "not_aligned_percentage", 90.0),
+                               ("b", "not_aligned_percentage", 80.0)], "sample string, metric string, value double")
+    assert {r["sample"]: r["reads_aligned_percentage"] for r in rate_from_metrics(m).collect()} == {"a": 7.0, "b": 20.0}
