@@ -31,7 +31,7 @@ from strandline.llm.neardup import _runs, _starts
 
 TABLES, HASHES, PROBES = 6, 2, 3
 COSINE = 0.98
-BLOCK = 1024
+BLOCK = 256
 SEED = 20262
 
 
