@@ -157,9 +157,9 @@ def cooks_outliers(results: DataFrame, n_samples: int, n_coefficients: int, *, c
     return out.withColumn("pvalue", F.when(F.col("outlier"), F.lit(None).cast("double")).otherwise(F.col("pvalue")))
 
 
-def independent_filtering(results: DataFrame, *, alpha: float = 0.1, thetas: list[float] = FILTER_THETAS) -> DataFrame:
-    """Choose the baseMean quantile cutoff that maximises BH rejections at ``alpha``; genes below
-    it get padj = null.  Returns the results with ``padj`` and ``filter_threshold``."""
+def filter_table(results: DataFrame, *, alpha: float = 0.1, thetas: list[float] = FILTER_THETAS) -> DataFrame:
+    """(contrast, theta, cutoff, rejections): BH rejections at ``alpha`` among the genes whose baseMean reaches
+    the theta quantile."""
     cut = results.groupBy("contrast").agg(F.percentile("base_mean", F.array(*[F.lit(t) for t in thetas])).alias("_q"))
     grid = cut.select("contrast", F.posexplode("_q").alias("_t", "_cutoff"))
     x = results.where(F.col("pvalue").isNotNull()).join(F.broadcast(grid), "contrast") \
@@ -167,10 +167,20 @@ def independent_filtering(results: DataFrame, *, alpha: float = 0.1, thetas: lis
     x = x.withColumn("_grp", F.concat_ws("#", F.col("contrast"), F.col("_t").cast("string")))
     adj = adjust_p(x.select("_grp", "gene_id", "pvalue"), group="_grp")
     rej = adj.groupBy("_grp").agg(F.count_if(F.col("padj") <= alpha).alias("_rej"))
-    rej = rej.join(x.select("_grp", "contrast", "_t", "_cutoff").distinct(), "_grp")
-    w = Window.partitionBy("contrast").orderBy(F.desc("_rej"), "_t")  # one row per theta: tiny
-    best = rej.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1) \
-        .select("contrast", F.col("_cutoff").alias("filter_threshold"))
+    names = grid.withColumn("_grp", F.concat_ws("#", F.col("contrast"), F.col("_t").cast("string")))
+    theta = F.array(*[F.lit(float(t)) for t in thetas])[F.col("_t")]
+    return names.join(rej, "_grp", "left").select(  # one row per contrast and theta
+        "contrast", theta.alias("theta"), F.col("_cutoff").alias("cutoff"), F.coalesce("_rej", F.lit(0)).alias("rejections"))
+
+
+def independent_filtering(results: DataFrame, *, alpha: float = 0.1, thetas: list[float] = FILTER_THETAS) -> DataFrame:
+    """Choose the baseMean quantile cutoff that maximises BH rejections at ``alpha`` (``filter_table``); genes below
+    it get padj = null.  Returns the results with ``padj`` and ``filter_threshold``."""
+    ensure_checkpoint_dir(results.sparkSession)
+    results = results.checkpoint()  # the fit behind it is read several times below
+    w = Window.partitionBy("contrast").orderBy(F.desc("rejections"), "theta")  # one row per theta: tiny
+    best = filter_table(results, alpha=alpha, thetas=thetas).withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1) \
+        .select("contrast", F.col("cutoff").alias("filter_threshold"))
     kept = results.join(F.broadcast(best), "contrast")
     passing = kept.where((F.col("base_mean") >= F.col("filter_threshold")))
     padj = adjust_p(passing.select("contrast", "gene_id", "pvalue"), group="contrast").select("contrast", "gene_id", "padj")

@@ -43,6 +43,19 @@ def q_dispersion_diag(spark, sf_dir):
     return d.groupBy(F.floor(r / 0.5).cast("int").alias("log_residual_bin")).agg(F.count(F.lit(1)).alias("genes"))
 
 
+@query("dispersion_trend")
+def q_dispersion_trend(spark, sf_dir):
+    """The points of the trend plot: gene-wise, fitted and final dispersion against the mean."""
+    return disp(spark, sf_dir).select("gene_id", "base_mean", "disp_gene_wise", "disp_trend", "dispersion", "disp_outlier",
+                                      "trend_kind")
+
+
+@query("filter_table")
+def q_filter_table(spark, sf_dir):
+    res = MD.cooks_outliers(wald(spark, sf_dir), len(SAMPLES), len(COEFFICIENTS)).checkpoint()
+    return MD.filter_table(res, alpha=0.1)
+
+
 @query("wald_test")
 def q_wald_test(spark, sf_dir):
     return wald(spark, sf_dir)
