@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from strandline.session import ensure_checkpoint_dir
 
-# Fixed value: the white space that separates words, `[\x20\x09-\x0D]`.
-WHITE = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Fixed value: the white space that separates words.
+WHITE = r"[\x20\x09-\x0D]"
+NOT_WHITE = r"[^\x20\x09-\x0D]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +38,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The array of maximal runs of non-white-space; empty for null."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), WHITE[1:], " " * (len(WHITE) - 1))
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{WHITE}+"), "")
 
 
 def count_chars(text: Column, chars: str) -> Column:
-    """How many code points of ``text`` are in ``chars`` (0 for null)."""
-    t = F.coalesce(text, F.lit(""))
-    return (F.length(t) - F.length(F.translate(t, chars, ""))).cast("long")
+    """How many characters of ``text`` match the class ``chars`` (0 for null)."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(chars)).cast("long")
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:

@@ -19,17 +19,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import LOWER, UPPER, WHITE, count_chars, let, words
+from strandline.llm.common import NOT_WHITE, count_chars, let, words
 
-SYMBOLS = "#*$%&|<>"
-NON_LETTERS = "0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+SYMBOLS = "[#*$%&|<>]"
+CAPITALS = "[A-Z]"
+NON_LETTERS = r"[!-@\[-`{-~]"  # ASCII digits and punctuation
 SAMPLE_ROWS = 20_000  # rows on which costs and selectivities are estimated
 SEED = 20260
 
 
 def lines_with_words(text: Column) -> Column:
     parts = F.split(F.coalesce(text, F.lit("")), "\n")
-    return F.filter(parts, lambda x: F.length(F.translate(x, WHITE, "")) > 0)
+    return F.filter(parts, lambda x: F.regexp(x, F.lit(NOT_WHITE)))
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -69,13 +70,12 @@ def measures(w: Column) -> dict[str, Column]:
     text = F.coalesce(F.col("text"), F.lit(""))
     return {
         "n_words": F.size(w).cast("long"),
-        "word_chars": (F.length(text) - count_chars(text, WHITE)).cast("long"),
+        "word_chars": F.length(F.array_join(w, "")).cast("long"),
         "n_symbols": count_chars(text, SYMBOLS),
         "n_dup_lines": duplicate_lines(text),
         "n_repeat_words": repeated_words(w),
         "n_lines": F.size(lines_with_words(text)).cast("long"),
-        "n_upper": count_chars(text, UPPER),
-        "n_lower": count_chars(text, LOWER),
+        "n_upper": count_chars(text, CAPITALS),
         "n_non_letters": count_chars(text, NON_LETTERS),
     }
 
@@ -107,7 +107,7 @@ DEFAULT_RULES: tuple[Rule, ...] = (
          lambda w: F.size(w) * F.lit(40.0)),
     Rule("symbols", ("n_symbols", "n_words"), lambda s, n: 100 * s > 20 * n, _chars(1)),
     Rule("duplicate_lines", ("n_dup_lines", "n_lines"), lambda d, n: 100 * d > 50 * n, _chars(4)),
-    Rule("capitals", ("n_upper", "n_lower"), lambda u, l: 100 * u > 60 * (u + l), _chars(2)),
+    Rule("capitals", ("n_upper", "word_chars"), lambda u, c: 100 * u > 40 * c, _chars(1)),
     Rule("word_length", ("word_chars", "n_words"), lambda c, n: (c < 2 * n) | (c > 15 * n), _chars(1)),
     Rule("non_letters", ("n_non_letters", "word_chars"), lambda x, c: 100 * x > 40 * c, _chars(1)),
 )

@@ -52,13 +52,13 @@ b as (select m.doc_id, n_words, coalesce(list_sum(list_transform(w, lambda x: le
         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, len(lines) as n_lines,
         coalesce(r.n, 0)::bigint as n_repeat_words,
-        length(regexp_replace(text, '[^A-Z]', '', 'g')) as up, length(regexp_replace(text, '[^a-z]', '', 'g')) as low,
+        length(regexp_replace(text, '[^A-Z]', '', 'g')) as up,
         length(regexp_replace(text, '[^!-/0-9:-@\[-`{-~]', '', 'g')) as other
       from m left join r using (doc_id)),
 f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from b)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not (base_failed or 100 * n_symbols > 20 * n_words or 100 * n_dup_lines > 50 * n_lines
-            or 100 * up > 60 * (up + low) or word_chars < 2 * n_words or word_chars > 15 * n_words
+            or 100 * up > 40 * word_chars or word_chars < 2 * n_words or word_chars > 15 * n_words
             or 100 * other > 40 * word_chars) as kept
 from f"""
 
