@@ -18,7 +18,9 @@ are not used; without labelled rows of both kinds every score is 0; extra column
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -53,9 +55,7 @@ def sentences(text: str | None) -> Iterator[tuple[int, int, list[str]]]:
 def _learn(texts: list[str], y: np.ndarray, epochs: int, l1: float) -> tuple[float, dict[str, float]]:
     names: dict[str, int] = {}
     docs_with: list[int] = []
-    feat: list[int] = []
-    sent: list[int] = []
-    doc_of: list[int] = []
+    feat, sent, doc_of = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
         seen: set[int] = set()
         for _, _, found in sentences(text):
@@ -63,17 +63,17 @@ def _learn(texts: list[str], y: np.ndarray, epochs: int, l1: float) -> tuple[flo
             doc_of.append(d)
             own = {names.setdefault(f, len(names)) for w in found for f in features_of(w)}
             feat.extend(own)
-            sent.extend([s] * len(own))
+            sent.extend(repeat(s, len(own)))
             seen |= own
         docs_with.extend([0] * (len(names) - len(docs_with)))
         for f in seen:
             docs_with[f] += 1
     kept = np.asarray(docs_with) >= MIN_DOCS_WITH
-    at, fs = np.asarray(sent, dtype=np.int64), np.asarray(feat, dtype=np.int64)
-    at, fs = at[kept[fs]], fs[kept[fs]]
+    at, fs = np.frombuffer(sent, dtype=np.int32), np.frombuffer(feat, dtype=np.int32)
+    use = kept[fs]
     new = np.cumsum(kept) - 1
-    fs, n = new[fs], int(kept.sum())
-    bag, n_sent, n_doc = np.asarray(doc_of, dtype=np.int64), len(doc_of), len(texts)
+    at, fs, n = at[use].astype(np.int64), new[fs[use]], int(kept.sum())
+    bag, n_sent, n_doc = np.frombuffer(doc_of, dtype=np.int32).astype(np.int64), len(doc_of), len(texts)
     w, b = np.zeros(n), -8.0
     sum_w, sum_b = np.full(n, 1e-8), 1e-8
     for _ in range(epochs):
