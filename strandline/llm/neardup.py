@@ -314,10 +314,10 @@ def visit_links(visiting: DataFrame, labels: DataFrame, classes: DataFrame, sets
     Hosts and visitors meet in blocks of about ``BLOCK`` by ``BLOCK``; each carries its full set, and
     a visitor's strongest candidates are tried first, until one is confirmed.
     """
-    sizes = visiting.groupBy("host").agg(F.count("*").alias("v"))
+    sizes = saved(visiting.groupBy("host").agg(F.count("*").alias("v")), "hosts")
     inside = labels.join(sizes, labels["comp"] == sizes["host"]).select(
         "host", "rep", F.ceil(F.col("k") / BLOCK).alias("nh"), F.ceil(F.col("v") / BLOCK).alias("nv"))
-    counts = inside.select("host", "nh", "nv").distinct()
+    counts = saved(inside.select("host", "nh", "nv").distinct(), "hosts")
     zero = F.lit(0).cast("long")
     hosts = inside.select("host", "rep", F.lit(0).alias("visitor"), F.pmod(F.xxhash64("rep"), F.col("nh")).alias("hb"),
                           F.explode(F.sequence(zero, F.col("nv") - 1)).alias("vb"))
@@ -411,7 +411,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = K) -> DataFrame
 
     named = members.select("rep").join(labels, members["rep"] == labels["node"], "left").select(
         "rep", F.coalesce("component", "rep").alias("comp"))
-    named = saved(named.join(named.groupBy("comp").agg(F.count("*").alias("k")), "comp"), "named")
+    named = saved(named, "named")
+    sizes = saved(named.groupBy("comp").agg(F.count("*").alias("k")), "sizes")  # on its own: the join can then be split
+    named = saved(named.join(sizes, "comp"), "named")
     visiting = saved(visits(lists, named, members, need, percent), "visits")
     tried = visiting.select(F.col("rep").alias("id")).unionByName(
         named.join(visiting.select(F.col("host").alias("comp")).distinct(), "comp", "left_semi")
