@@ -76,6 +76,7 @@ def measures(w: Column) -> dict[str, Column]:
         "n_repeat_words": repeated_words(w),
         "n_lines": F.size(lines_with_words(text)).cast("long"),
         "n_upper": count_chars(text, CAPITALS),
+        "n_lower": F.length(F.regexp_replace(text, "[^a-z]+", "")).cast("long"),
         "n_non_letters": count_chars(text, NON_LETTERS),
     }
 
@@ -107,7 +108,7 @@ DEFAULT_RULES: tuple[Rule, ...] = (
          lambda w: F.size(w) * F.lit(40.0)),
     Rule("symbols", ("n_symbols", "n_words"), lambda s, n: 100 * s > 20 * n, _chars(1)),
     Rule("duplicate_lines", ("n_dup_lines", "n_lines"), lambda d, n: 100 * d > 50 * n, _chars(4)),
-    Rule("capitals", ("n_upper", "word_chars"), lambda u, c: 100 * u > 40 * c, _chars(1)),
+    Rule("capitals", ("n_upper", "n_lower"), lambda u, l: 100 * u > 60 * (u + l), _chars(2)),
     Rule("word_length", ("word_chars", "n_words"), lambda c, n: (c < 2 * n) | (c > 15 * n), _chars(1)),
     Rule("non_letters", ("n_non_letters", "word_chars"), lambda x, c: 100 * x > 40 * c, _chars(1)),
 )
