@@ -134,8 +134,8 @@ def token_sketch(classes: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"cell": at, "n": total[at]})
 
     out = np.zeros(CELLS, dtype=np.int64)
-    for r in classes.select("sig").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        out[r["cell"]] = r["n"]
+    found = classes.select("sig").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out[found["cell"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)  # at most CELLS rows
     return out
 
 
