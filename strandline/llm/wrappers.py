@@ -3,13 +3,16 @@
 Pages of a host are aligned as block trees by simple tree matching: two nodes with the same label
 match, children are matched in order so that most nodes are matched in all, and runs of equal siblings
 (paragraphs, list items) count as one repeated node.  A host's wrapper is the merge of its
-pages' trees; each slot keeps the texts that every page has had there.  Texts that stay constant over
-``MIN_PAGES`` pages or more are template, provided that something else varies; what varies is content.
-Slots below elements that never hold main text (menus, footers, adverts, comments ...) are no
-content either, and where a page has an article or main element only that counts.
-
-Wrappers merge associatively: each task folds its pages into one wrapper per host, and hosts'
-wrappers are merged in two steps, so a host with a third of all pages is spread like the others.
+pages' trees; each slot keeps the texts that every page has had there.  A page counts once, however many
+copies of it (pages with the same candidate text) a host has.  Texts that stay constant over ``MIN_PAGES``
+pages and ``MIN_SHARE`` of the host's pages or more are template; as no two of these pages are the same,
+something else varies there; what varies is content.  Slots below elements that never hold main text (menus,
+footers, adverts, comments ...) are no content either, and where a page has an article or main element only
+that counts.
+
+Wrappers merge associatively: copies are found by hash among the pages' trees, which hold ids for texts; then
+each task folds its pages into one wrapper per host, and hosts' wrappers are merged in two steps, so a host
+with a third of all pages is spread like the others.
 Templates are joined back to the pages by broadcast after a check of their size, else by host.
 
 Defined cases: a null or empty html has an empty text; a null url counts as a host of its own
@@ -31,6 +34,7 @@ from strandline.llm.common import saved
 from strandline.llm.dom import Node, clean, parse
 
 MIN_PAGES = 5
+MIN_SHARE = 0.5
 SALTS = 16
 TEMPLATE_BYTES = 64 << 20  # templates of all hosts that may be broadcast, after measuring them
 FLUSH_HOSTS = 2000
@@ -42,21 +46,22 @@ def _text_id(text: str) -> int:
 
 
 class Slot:
-    """A place in a wrapper.  ``common``: ids of the texts that all pages so far have had here."""
+    """A place in a wrapper.  ``common``: ids of the texts, of those that may be main text, that all pages
+    so far have had here; ``n``: the pages that have the place, at the root all pages."""
 
-    __slots__ = ("label", "n", "common", "varies", "content", "kids")
+    __slots__ = ("label", "n", "common", "kids")
 
     def __init__(self, label: str):
-        self.label, self.n, self.common, self.varies, self.content, self.kids = label, 1, set(), False, False, []
+        self.label, self.n, self.common, self.kids = label, 1, set(), []
 
     def dump(self) -> list:
-        return [self.label, self.n, sorted(self.common), self.varies, self.content, [k.dump() for k in self.kids]]
+        return [self.label, self.n, sorted(self.common), [k.dump() for k in self.kids]]
 
     @staticmethod
     def load(x: list) -> "Slot":
         s = Slot(x[0])
-        s.n, s.common, s.varies, s.content = x[1], set(x[2]), x[3], x[4]
-        s.kids = [Slot.load(k) for k in x[5]]
+        s.n, s.common = x[1], set(x[2])
+        s.kids = [Slot.load(k) for k in x[3]]
         return s
 
     def all(self) -> list["Slot"]:
@@ -68,6 +73,10 @@ class Slot:
         return out
 
 
+def _json(top: Slot) -> str:
+    return json.dumps(top.dump(), separators=(",", ":"))
+
+
 def _region(root: Node) -> str | None:
     """The element that holds the main text, if the page has one."""
     seen, left = set(), [root]
@@ -97,8 +106,8 @@ def slots_of(root: Node) -> tuple[Slot, list[tuple[Slot, str, bool]]]:
             if text:
                 ok = inside and not dropped
                 entries.append((slot, text, ok))
-                slot.common.add(_text_id(text))
-                slot.content |= ok
+                if ok:
+                    slot.common.add(_text_id(text))
         if i == len(node.parts):
             stack.pop()
             continue
@@ -179,9 +188,7 @@ def merge(w: Slot, page: Slot, memo: dict, pairs: dict) -> None:
 
 
 def _meet(w: Slot, page: Slot) -> None:
-    w.varies |= page.varies or w.common != page.common
     w.common &= page.common
-    w.content |= page.content
     w.n += page.n
 
 
@@ -205,20 +212,38 @@ class Wrapper:
             self.known[key] = [pairs[id(s)] for s in own]
 
     def dump(self) -> str:
-        return json.dumps(self.top.dump(), separators=(",", ":"))
+        return _json(self.top)
 
 
 def _host() -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
 
 
+def trees(pages: DataFrame) -> DataFrame:
+    """(host, key, tree): each distinct page of each host once, as JSON.  ``key`` is a hash of its candidate text."""
+    def read(batches):
+        for pdf in batches:
+            found: dict[tuple[str, str], str] = {}
+            for host, page in zip(pdf["host"], pdf["html"]):
+                top, entries = slots_of(parse(page))
+                texts = "\0".join(text for _, text, ok in entries if ok)
+                if texts:
+                    at = host, xxhash.xxh3_128_hexdigest(texts.encode("utf-8", "surrogatepass"))
+                    tree = _json(top)
+                    found[at] = min(tree, found.get(at, tree))
+            yield pd.DataFrame({"host": [h for h, _ in found], "key": [k for _, k in found], "tree": list(found.values())}, dtype=object)
+
+    rows = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
+    return rows.mapInPandas(read, "host string, key string, tree string").groupBy("host", "key").agg(F.min("tree").alias("tree"))
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper): the merged tree of all pages of each host, as JSON."""
+    """(host, wrapper): the merged tree of all distinct pages of each host, as JSON."""
     def induce(batches):
         held: dict[str, Wrapper] = {}
         for pdf in batches:
-            for host, page in zip(pdf["host"], pdf["html"]):
-                top, _ = slots_of(parse(page))
+            for host, tree in zip(pdf["host"], pdf["tree"]):
+                top = Slot.load(json.loads(tree))
                 if host in held:
                     held[host].add(top)
                 else:
@@ -235,21 +260,25 @@ def wrappers(pages: DataFrame) -> DataFrame:
             whole.add(Slot.load(json.loads(x)))
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [whole.dump()]})
 
-    parts = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html")).mapInPandas(
-        induce, "host string, wrapper string")
+    parts = trees(pages).select("host", "tree").mapInPandas(induce, "host string, wrapper string")
     salt = F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).alias("salt")
     some = parts.groupBy("host", salt).applyInPandas(join, "host string, wrapper string")
     return some.groupBy("host").applyInPandas(join, "host string, wrapper string")
 
 
+def _constant(s: Slot, top: Slot, min_pages: int) -> bool:
+    """Whether the slot's common texts are template: enough of the host's distinct pages have them."""
+    return bool(s.common) and s.n >= max(min_pages, MIN_SHARE * top.n)
+
+
 def templates(induced: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The wrappers with constant texts among their content slots, where other content varies."""
+    """The wrappers with template texts among their content slots."""
     def pick(batches):
         for pdf in batches:
             keep = []
             for x in pdf["wrapper"]:
-                s = [k for k in Slot.load(json.loads(x)).all() if k.content]
-                keep.append(any(k.varies for k in s) and any(k.common and k.n >= min_pages for k in s))
+                s = Slot.load(json.loads(x)).all()
+                keep.append(any(_constant(k, s[0], min_pages) for k in s))
             yield pdf[np.asarray(keep, dtype=bool)]
 
     return induced.mapInPandas(pick, "host string, wrapper string")
@@ -273,7 +302,7 @@ def main_text(page: str | None, wrapper: Wrapper | None, min_pages: int = MIN_PA
     out = []
     for slot, text, ok in entries:
         w = at.get(id(slot))
-        if ok and not (w is not None and w.n >= min_pages and _text_id(text) in w.common):
+        if ok and not (w is not None and _constant(w, wrapper.top, min_pages) and _text_id(text) in w.common):
             out.append(text)
     return " ".join(out)
 

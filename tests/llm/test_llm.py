@@ -304,6 +304,20 @@ def test_wrapper_induction(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_wrapper_counts_distinct_pages(spark):
+    rows = [(i, "http://h/", page(f"<h1>Title {i}</h1><p>Body {i}</p>")) for i in range(12)]
+    longest = "<h1>Long</h1><p>start</p><h2>Then</h2><p>middle</p><p>end</p>"
+    rows += [(100 + i, "http://h/", page(longest)) for i in range(6)]  # copies, also with other menus and scripts
+    rows += [(110 + i, "http://h/", page(longest, nav=f"Menu {i}", extra=f"<script>{i}</script>")) for i in range(6)]
+    rows += [(200 + i, "http://opt/", page(f"<h1>T {i}</h1>" + "<h2>Update</h2>" * (i < 5) + f"<p>B {i}</p><div><p>Follow us</p></div>"))
+             for i in range(40)]  # a heading on few pages, a box on all
+    df = spark.createDataFrame(rows, PAGES)
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(df.repartition(3)).collect()}
+    want = {i: f"Title {i} Body {i}" for i in range(12)} | {i: "Long start Then middle end" for i in [*range(100, 106), *range(110, 116)]}
+    want |= {200 + i: f"T {i} Update B {i}" if i < 5 else f"T {i} B {i}" for i in range(40)}
+    assert got == want
+
+
 def test_simple_tree_matching():
     def s(label, *kids):
         x = wrappers.Slot(label)
