@@ -58,7 +58,7 @@ def _new(tag: str, raw: str, in_article: bool) -> Node:
               or "display:none" in attrs.get("style", "").replace(" ", "").lower())
     dropped = (tag in DROPPED or hidden or bool(said & DROPPED_WORDS)
                or (not in_article and (tag == "header" or "header" in said)))
-    if tag in ("body", "html", "article", "main"):
+    if tag in ("body", "html", "main"):
         dropped = hidden
     label = re.sub(r"\d+", "", (attrs.get("class") or attrs.get("id") or "").split(" ")[0])
     return Node(tag, f"{tag}.{label}" if label else tag, dropped)
@@ -89,7 +89,7 @@ def parse(page: str | None) -> Node:
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    articles -= sum(n.tag == "article" for n in stack[i:])
+                    articles -= sum(n.tag in ("article", "main") for n in stack[i:])
                     del stack[i:]
                     break
             continue
@@ -126,7 +126,7 @@ def parse(page: str | None) -> Node:
         stack[-1].parts.append(node)
         if not raw.rstrip().endswith("/"):
             stack.append(node)
-            articles += tag == "article"
+            articles += tag in ("article", "main")
 
 
 def clean(raw: str) -> str:

@@ -7,8 +7,11 @@ pages' trees; each slot keeps the texts that every page has had there.  A page c
 copies of it (pages with the same candidate text) a host has.  Texts that stay constant over ``MIN_PAGES``
 pages and ``MIN_SHARE`` of the host's pages or more are template; as no two of these pages are the same,
 something else varies there; what varies is content.  Slots below elements that never hold main text (menus,
-footers, adverts, comments ...) are no content either, and where a page has an article or main element only
-that counts.
+footers, adverts, comments ...) are no content either.
+
+What a page has in main and article elements is aligned apart from what it has beside them: copies of an article
+beside varying text are copies.  Of the text that is left the larger part is returned: main without the articles beside it if it holds
+at least as much as they do, main and articles if they hold at least as much as the rest, else all.
 
 Wrappers merge associatively: copies are found by hash among the pages' trees, which hold ids for texts; then
 each task folds its pages into one wrapper per host, and hosts' wrappers are merged in two steps, so a host
@@ -77,37 +80,23 @@ def _json(top: Slot) -> str:
     return json.dumps(top.dump(), separators=(",", ":"))
 
 
-def _region(root: Node) -> str | None:
-    """The element that holds the main text, if the page has one."""
-    seen, left = set(), [root]
-    while left:
-        x = left.pop()
-        if not x.dropped:
-            seen.add(x.tag)
-            left.extend(p for p in x.parts if not isinstance(p, str))
-    return next((t for t in ("article", "main") if t in seen), None)
-
-
-def slots_of(root: Node) -> tuple[Slot, list[tuple[Slot, str, bool]]]:
-    """The page as a tree of slots (neighbours with one label share a slot) and its texts in page order,
-    each with its slot and whether it may be main text.  Below ``DEPTH`` levels no new slots are made."""
-    region = _region(root)
+def slots_of(root: Node) -> tuple[Slot, list[tuple[Slot, str, str]]]:
+    """The page as a tree of slots (neighbours with one label share a slot) and those of its texts that may be main
+    text in page order, each with its slot and the element that it is in: main, article outside main, or neither ("").
+    Below ``DEPTH`` levels no new slots are made."""
     top = Slot(root.label)
-    entries: list[tuple[Slot, str, bool]] = []
-    stack = [[root, top, False, region is None, 0, -1]]
+    entries: list[tuple[Slot, str, str]] = []
+    stack = [[root, top, False, "", 0, -1]]
     while stack:
         frame = stack[-1]
-        node, slot, dropped, inside, i, pos = frame
+        node, slot, dropped, where, i, pos = frame
         start = i
         while i < len(node.parts) and isinstance(node.parts[i], str):
             i += 1
-        if i > start:
+        if i > start and not dropped:
             text = clean("".join(node.parts[start:i]))
             if text:
-                ok = inside and not dropped
-                entries.append((slot, text, ok))
-                if ok:
-                    slot.common.add(_text_id(text))
+                entries.append((slot, text, where))
         if i == len(node.parts):
             stack.pop()
             continue
@@ -122,7 +111,9 @@ def slots_of(root: Node) -> tuple[Slot, list[tuple[Slot, str, bool]]]:
                     kids.insert(pos, Slot(child.label))
                 frame[5] = pos
             under = kids[pos]
-        stack.append([child, under, dropped or child.dropped, inside or child.tag == region, 0, -1])
+        if child.tag == "main" or (child.tag == "article" and not where):
+            where = child.tag
+        stack.append([child, under, dropped or child.dropped, where, 0, -1])
     return top, entries
 
 
@@ -220,50 +211,61 @@ def _host() -> Column:
 
 
 def trees(pages: DataFrame) -> DataFrame:
-    """(host, key, tree): each distinct page of each host once, as JSON.  ``key`` is a hash of its candidate text."""
+    """(host, inside, key, tree): each distinct page of each host once, as JSON, with its texts ``inside`` main and
+    article elements or with those beside them.  ``key`` is a hash of the texts inside, or else of all."""
     def read(batches):
         for pdf in batches:
-            found: dict[tuple[str, str], str] = {}
+            found: dict[tuple[str, bool, str], str] = {}
             for host, page in zip(pdf["host"], pdf["html"]):
                 top, entries = slots_of(parse(page))
-                texts = "\0".join(text for _, text, ok in entries if ok)
-                if texts:
-                    at = host, xxhash.xxh3_128_hexdigest(texts.encode("utf-8", "surrogatepass"))
-                    tree = _json(top)
-                    found[at] = min(tree, found.get(at, tree))
-            yield pd.DataFrame({"host": [h for h, _ in found], "key": [k for _, k in found], "tree": list(found.values())}, dtype=object)
+                for inside in (True, False):
+                    texts = [(slot, text) for slot, text, where in entries if bool(where) == inside]
+                    if texts:
+                        for slot in top.all():
+                            slot.common = set()
+                        for slot, text in texts:
+                            slot.common.add(_text_id(text))
+                        whole = "\0".join(x[1] for x in (texts if inside else entries)).encode("utf-8", "surrogatepass")
+                        at, tree = (host, inside, xxhash.xxh3_128_hexdigest(whole)), _json(top)
+                        found[at] = min(tree, found.get(at, tree))
+            yield pd.DataFrame([(*at, tree) for at, tree in found.items()], columns=["host", "inside", "key", "tree"])
 
     rows = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
-    return rows.mapInPandas(read, "host string, key string, tree string").groupBy("host", "key").agg(F.min("tree").alias("tree"))
+    return rows.mapInPandas(read, "host string, inside boolean, key string, tree string").groupBy("host", "inside", "key").agg(
+        F.min("tree").alias("tree"))
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper): the merged tree of all distinct pages of each host, as JSON."""
+    """(host, inside, wrapper): the merged trees of all distinct pages of each host, as JSON."""
+    def frame(held: dict) -> pd.DataFrame:
+        return pd.DataFrame([(*at, w.dump()) for at, w in held.items()], columns=["host", "inside", "wrapper"])
+
     def induce(batches):
-        held: dict[str, Wrapper] = {}
+        held: dict[tuple[str, bool], Wrapper] = {}
         for pdf in batches:
-            for host, tree in zip(pdf["host"], pdf["tree"]):
+            for host, inside, tree in zip(pdf["host"], pdf["inside"], pdf["tree"]):
                 top = Slot.load(json.loads(tree))
-                if host in held:
-                    held[host].add(top)
+                if (host, inside) in held:
+                    held[host, inside].add(top)
                 else:
-                    held[host] = Wrapper(top)
+                    held[host, inside] = Wrapper(top)
             if len(held) > FLUSH_HOSTS:
-                yield pd.DataFrame({"host": list(held), "wrapper": [w.dump() for w in held.values()]})
+                yield frame(held)
                 held.clear()
-        yield pd.DataFrame({"host": list(held), "wrapper": [w.dump() for w in held.values()]}, dtype=object)
+        yield frame(held)
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = sorted(pdf["wrapper"])
         whole = Wrapper(Slot.load(json.loads(rows[0])))
         for x in rows[1:]:
             whole.add(Slot.load(json.loads(x)))
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [whole.dump()]})
+        return frame({(pdf["host"].iloc[0], pdf["inside"].iloc[0]): whole})
 
-    parts = trees(pages).select("host", "tree").mapInPandas(induce, "host string, wrapper string")
+    schema = "host string, inside boolean, wrapper string"
+    parts = trees(pages).select("host", "inside", "tree").mapInPandas(induce, schema)
     salt = F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).alias("salt")
-    some = parts.groupBy("host", salt).applyInPandas(join, "host string, wrapper string")
-    return some.groupBy("host").applyInPandas(join, "host string, wrapper string")
+    some = parts.groupBy("host", "inside", salt).applyInPandas(join, schema)
+    return some.groupBy("host", "inside").applyInPandas(join, schema)
 
 
 def _constant(s: Slot, top: Slot, min_pages: int) -> bool:
@@ -272,7 +274,7 @@ def _constant(s: Slot, top: Slot, min_pages: int) -> bool:
 
 
 def templates(induced: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The wrappers with template texts among their content slots."""
+    """(host, inner, outer): the hosts' wrappers with template texts inside main and article elements and beside them."""
     def pick(batches):
         for pdf in batches:
             keep = []
@@ -281,53 +283,60 @@ def templates(induced: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                 keep.append(any(_constant(k, s[0], min_pages) for k in s))
             yield pdf[np.asarray(keep, dtype=bool)]
 
-    return induced.mapInPandas(pick, "host string, wrapper string")
+    found = induced.mapInPandas(pick, "host string, inside boolean, wrapper string")
+    return found.groupBy("host").agg(F.max(F.when(F.col("inside"), F.col("wrapper"))).alias("inner"),
+                                     F.max(F.when(~F.col("inside"), F.col("wrapper"))).alias("outer"))
 
 
-def main_text(page: str | None, wrapper: Wrapper | None, min_pages: int = MIN_PAGES) -> str:
-    """The page's content: its texts in content slots without those that the wrapper holds constant."""
-    top, entries = slots_of(parse(page))
+def _aligned(top: Slot, wrapper: Wrapper) -> dict[int, Slot]:
+    """The slots of the wrapper for the page's slots."""
+    key = shape(top)
+    if key in wrapper.known:
+        return {id(s): w for s, w in zip(top.all(), wrapper.known[key])}
     at: dict[int, Slot] = {}
-    if wrapper is not None:
-        key = shape(top)
-        if key in wrapper.known:
-            at = {id(s): w for s, w in zip(top.all(), wrapper.known[key])}
-        else:
-            memo: dict = {}
-            todo = [(wrapper.top, top)]
-            while todo:
-                w, s = todo.pop()
-                at[id(s)] = w
-                todo.extend((w.kids[i], s.kids[j]) for i, j in matched_kids(w, s, memo))
-    out = []
-    for slot, text, ok in entries:
-        w = at.get(id(slot))
-        if ok and not (w is not None and _constant(w, wrapper.top, min_pages) and _text_id(text) in w.common):
-            out.append(text)
-    return " ".join(out)
+    memo: dict = {}
+    todo = [(wrapper.top, top)]
+    while todo:
+        w, s = todo.pop()
+        at[id(s)] = w
+        todo.extend((w.kids[i], s.kids[j]) for i, j in matched_kids(w, s, memo))
+    return at
+
+
+def main_text(page: str | None, inner: Wrapper | None, outer: Wrapper | None, min_pages: int = MIN_PAGES) -> str:
+    """The page's content: its texts without those that the wrappers hold constant, of the part that holds most."""
+    top, entries = slots_of(parse(page))
+    at = [{} if w is None else _aligned(top, w) for w in (outer, inner)]
+    left, size = [], {"main": 0, "article": 0, "": 0}
+    for slot, text, where in entries:
+        w, whole = at[where != ""].get(id(slot)), inner if where else outer
+        if w is None or not _constant(w, whole.top, min_pages) or _text_id(text) not in w.common:
+            left.append((text, where))
+            size[where] += len(text)
+    region = ("main",) if size["main"] >= max(size["article"], 1) else ("main", "article")
+    if sum(size[x] for x in region) < size[""]:
+        region = tuple(size)
+    return " ".join(text for text, where in left if where in region)
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every page."""
     found = saved(templates(wrappers(pages), min_pages), "templates")
     rows = pages.select("page_id", "url", _host().alias("host"), F.col("html").cast("string").alias("html"))
-    size = found.agg(F.sum(F.length("wrapper"))).first()[0] or 0
+    size = found.agg(F.sum(F.length(F.concat_ws("", "inner", "outer")))).first()[0] or 0
     rows = rows.join(F.broadcast(found) if size <= TEMPLATE_BYTES else found, "host", "left")
     fields = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
 
     def run(batches):
-        held: dict[str, Wrapper] = {}
+        held: dict[str, list[Wrapper | None]] = {}
         for pdf in batches:
             texts = []
-            for host, page, wrapper in zip(pdf["host"], pdf["html"], pdf["wrapper"]):
-                if not isinstance(wrapper, str):
-                    texts.append(main_text(page, None))
-                    continue
+            for host, page, *both in zip(pdf["host"], pdf["html"], pdf["inner"], pdf["outer"]):
                 if host not in held:
                     if len(held) > FLUSH_HOSTS:
                         held.clear()
-                    held[host] = Wrapper(Slot.load(json.loads(wrapper)))
-                texts.append(main_text(page, held[host], min_pages))
+                    held[host] = [Wrapper(Slot.load(json.loads(x))) if isinstance(x, str) else None for x in both]
+                texts.append(main_text(page, *held[host], min_pages))
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
 
     out = rows.mapInPandas(run, f"page_id {fields['page_id']}, url {fields['url']}, text string")

@@ -318,6 +318,26 @@ def test_wrapper_counts_distinct_pages(spark):
     assert got == want
 
 
+def test_main_text_region(spark):
+    def html(body):
+        return f"<html><body><nav>Home</nav>{body}<footer>x</footer></body></html>"
+    pages = {
+        1: ("<main><p>text</p></main><div id=thread><article class=comment>nice</article></div>", "text"),
+        2: ("<main><p>a longer main text</p></main><article>teaser card</article>", "a longer main text"),
+        3: ("<main><header><h1>Title</h1></header><article><p>body</p></article></main>", "Title body"),
+        4: ("<div><p>the main text in a plain element</p></div><article>teaser</article>", "the main text in a plain element teaser"),
+        5: ("<div>side</div><article><p>the text of an article</p></article>", "the text of an article"),
+        6: ("<main></main><article><p>one</p></article><article><p>two</p></article>", "one two")}
+    rows = [(i, f"http://h{i}/", html(body)) for i, (body, _) in pages.items()]
+    # copies of an article beside varying text make no template; a constant text beside the article is template
+    rows += [(100 + i, "http://copies/", html(f"<article><p>one article of some length</p></article><div>Seen {i}</div>")) for i in range(8)]
+    rows += [(200 + i, "http://side/", html(f"<div>{'a long constant box ' * 9}</div><article><p>Text {i}</p></article>")) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    want = {i: text for i, (_, text) in pages.items()}
+    want |= {100 + i: "one article of some length" for i in range(8)} | {200 + i: f"Text {i}" for i in range(8)}
+    assert got == want
+
+
 def test_simple_tree_matching():
     def s(label, *kids):
         x = wrappers.Slot(label)
