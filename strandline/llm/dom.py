@@ -19,7 +19,7 @@ ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "d
         "tr": (("tr", "tbody", "tfoot"), ("table",)), "td": (("td", "th", "tr", "tbody", "tfoot"), ("table",)),
         "th": (("td", "th", "tr", "tbody", "tfoot"), ("table",)), "option": (("option", "optgroup"), ("select",))}
 
-# What is never main text, by element and by a word of class, id or role.
+# What is never main text, by element and by a word of class, id or role (see ``_said``).
 DROPPED = frozenset("head nav footer aside form button select dialog menu script style noscript template iframe "
                     "svg canvas object video audio map textarea title search".split())
 DROPPED_WORDS = frozenset(
@@ -29,6 +29,8 @@ DROPPED_WORDS = frozenset(
     "sharing social related newsletter subscribe subscription login signup search complementary contentinfo "
     "alert pagination pager toolbar skip".split())
 
+SLUGGED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 section article".split())  # their ids name what the text is about
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -50,14 +52,29 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTR.finditer(raw)} if raw.strip(" /") else {}
 
 
-def _new(tag: str, raw: str, in_article: bool) -> Node:
+def _said(tag: str, attrs: dict[str, str], around: str) -> set[str]:
+    """The words that may drop an element: in an article, and for it, whole names of class and role only;
+    elsewhere also the parts of these names and the id: whole in main and where it is a slug, else in parts."""
+    names = f"{attrs.get('class', '')} {attrs.get('role', '')}"
+    said = set(names.lower().split())
+    if around == "article" or tag == "article":
+        return said
+    own = attrs.get("id", "")
+    if around == "main" or tag in SLUGGED:
+        said.add(own.lower())
+    else:
+        names = f"{names} {own}"
+    return said.union(w.lower() for w in _SPLIT.split(names) if w)
+
+
+def _new(tag: str, raw: str, around: str) -> Node:
+    """``around``: article, else main, if the element is in one, else ""."""
     attrs = _attributes(raw)
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}"
-    said = {w.lower() for w in _SPLIT.split(names) if w} if names.strip() else set()
+    said = _said(tag, attrs, around) if attrs else set()
     hidden = ("hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
               or "display:none" in attrs.get("style", "").replace(" ", "").lower())
     dropped = (tag in DROPPED or hidden or bool(said & DROPPED_WORDS)
-               or (not in_article and (tag == "header" or "header" in said)))
+               or (not around and tag not in INLINE and (tag == "header" or "header" in said)))
     if tag in ("body", "html", "main"):
         dropped = hidden
     label = re.sub(r"\d+", "", (attrs.get("class") or attrs.get("id") or "").split(" ")[0])
@@ -68,8 +85,9 @@ def parse(page: str | None) -> Node:
     """The block tree of a page; inline elements only pass their text on, ``br`` is white space."""
     text = page or ""
     root = Node("#root", "#root", False)
-    stack, articles, at = [root], 0, 0
+    stack, articles, mains, at = [root], 0, 0, 0
     while True:
+        around = "article" if articles else "main" if mains else ""
         m = _TOKEN.search(text, at)
         if m is None:
             if at < len(text):
@@ -89,7 +107,8 @@ def parse(page: str | None) -> Node:
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    articles -= sum(n.tag in ("article", "main") for n in stack[i:])
+                    articles -= sum(n.tag == "article" for n in stack[i:])
+                    mains -= sum(n.tag == "main" for n in stack[i:])
                     del stack[i:]
                     break
             continue
@@ -102,7 +121,7 @@ def parse(page: str | None) -> Node:
             stack[-1].parts.append(" ")
             continue
         if tag in INLINE:
-            node = _new(tag, raw, True) if raw.strip(" /") else None
+            node = _new(tag, raw, around) if raw.strip(" /") else None
             if node is None or not node.dropped or raw.rstrip().endswith("/"):
                 continue
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)  # a hidden or advertising inline element
@@ -122,11 +141,12 @@ def parse(page: str | None) -> Node:
                 break
             if stack[i].tag in ("ul", "ol", "dl", "table", "select", "menu"):
                 break
-        node = _new(tag, raw, articles > 0)
+        node = _new(tag, raw, around)
         stack[-1].parts.append(node)
         if not raw.rstrip().endswith("/"):
             stack.append(node)
-            articles += tag in ("article", "main")
+            articles += tag == "article"
+            mains += tag == "main"
 
 
 def clean(raw: str) -> str:

@@ -338,6 +338,20 @@ def test_main_text_region(spark):
     assert got == want
 
 
+def test_dropped_words():
+    def text(body):
+        return wrappers.main_text(f"<html><body>{body}</body></html>", None, None)
+    kept = ('<section id="social-effects"><h2 id="related-work">Related</h2><p class="search-term">a <a id="skip">b</a> '
+            '<span class="share-price">c</span></p></section>')
+    assert text(f"<article>{kept}</article>") == "Related a b c"
+    assert text(f"<main>{kept.replace('search-term', 'x').replace('share-price', 'y').replace('skip', 'z')}</main>") == "Related a b c"
+    assert text('<section id="social-effects"><h2 id="related-work">Related</h2>a</section>') == "Related a"
+    assert text('<article class="post has-comments">a<p class="box ad">b</p><div role="search">c</div>'
+                '<span class="Share">d</span><div class="header">e</div></article>') == "a e"
+    assert text('<div id="site-footer">a</div><div class="commentList">b</div><section id="comments">c</section>'
+                '<div class="page-header">d</div><main class="has-sidebar">e<div class="related-posts">f</div></main>') == "e"
+
+
 def test_simple_tree_matching():
     def s(label, *kids):
         x = wrappers.Slot(label)
