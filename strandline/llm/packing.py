@@ -9,7 +9,8 @@ Pieces are dealt by a hash into groups of about ``PER_GROUP``, packed independen
 its lengths and a table of ``size`` counts, and wastes a sequence or two in thousands.
 
 Defined cases: a null or empty text is its end id alone; ids may repeat or be null, every row is
-packed; texts of any length are tokenised whole; an empty table gives an empty result; extra columns are ignored.
+packed; texts of any length are tokenised whole; a special token spelled in a text is plain text, or its id with
+``special`` (op8 and the pipeline); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,10 +33,11 @@ PER_GROUP = 8192
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, end_id: int = END_ID,
+           special: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document."""
     def run(batches):
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, special)
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
@@ -90,5 +92,5 @@ def pack(cut: DataFrame, size: int = SIZE, per_group: int = PER_GROUP) -> DataFr
 
 
 def pack_documents(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, end_id: int = END_ID,
-                   per_group: int = PER_GROUP) -> DataFrame:
-    return pack(pieces(docs, size, tokenizer, end_id), size, per_group)
+                   per_group: int = PER_GROUP, special: bool = False) -> DataFrame:
+    return pack(pieces(docs, size, tokenizer, end_id, special), size, per_group)

@@ -52,4 +52,4 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the mixed documents and their places in the sequences."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, special=True)

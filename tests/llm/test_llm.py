@@ -402,6 +402,17 @@ def test_packing(spark, corner, nothing):
     assert packing.pack_documents(nothing).count() == 0
 
 
+def test_packing_special_tokens(spark):
+    from tokenizers import Tokenizer
+    full = Tokenizer.from_file(tokens.tokenizer_path(tokens.TOKENIZER))  # as it is
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " it's \n\n <|endoftext|>  <|endoftext|", "plain text", ""]
+    want = {i: [*full.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 0]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in stages.pack(spark, df, "").collect()}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+
+
 # ---- 9 mixing
 
 def fill(sizes, weights, total, cap):
