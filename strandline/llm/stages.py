@@ -37,7 +37,8 @@ NEAR_PERCENT = 80
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id.  Documents go by id: all rows of a kept
+    id stay, also where they repeat one text, and rows with a null id are compared with nothing and stay."""
     found = neardup.near_duplicates(docs, percent=NEAR_PERCENT)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

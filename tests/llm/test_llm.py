@@ -413,6 +413,13 @@ def test_packing_special_tokens(spark):
     assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
 
 
+def test_near_dedup_stage_goes_by_id(spark):
+    same = prose(random.Random(5), 80)
+    rows = [(7, same), (7, same), (8, same), (8, same), (9, prose(random.Random(6), 80)), (None, same), (None, same)]
+    got = stages.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert collections.Counter(r["doc_id"] for r in got) == {7: 2, 9: 1, None: 2}
+
+
 # ---- 9 mixing
 
 def fill(sizes, weights, total, cap):
