@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import crosspolytope, lm, mixing, neardup, packing, quality, tokenfiles, toxicity, warc, wrappers
+from strandline.llm import (centroids, crosspolytope, crosstok, factors, lm, mixing, neardup, packing, quality, tokenfiles,
+                            toxicity, warc, wrappers)
 from strandline.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +144,48 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, found in flat token files."""
     return tokenfiles.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both vocabularies' tokens of every document aligned, with corpus-wide counts of linked id pairs."""
+    return crosstok.align(table(spark, sf_dir, "documents"))
+
+
+@query("op12_longest_previous_factor")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 50-byte strings that an earlier document has."""
+    found = factors.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("span_starts").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_OP13_ROUND = """,
+a{r} as materialized (select rid, arg_min(c, (s, c)) as c, min(s) as s from (
+        select rid, c, sum((v.x - m.x) * (v.x - m.x)) as s from v join c{r} m using (d) group by rid, c) group by rid)"""
+_OP13_MOVE = """,
+m{r} as (select c, d, sum(x) as s, count(*) as n from v join a{p} using (rid) group by c, d),
+c{r} as materialized (select c, d, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, o.x) as x
+      from c{p} o left join m{r} m using (c, d))"""
+OP13_SQL = ("""
+with k as materialized (select row_number() over (order by vec_id) as rid, vec_id,
+             list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as q
+      from embeddings
+      where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+v as materialized (select rid, unnest(q) as x, generate_subscripts(q, 1) as d from k),
+f as (select row_number() over (order by sha256('1:' || vec_id::varchar), q) - 1 as c, rid
+      from k where vec_id is not null),
+c0 as materialized (select c, d, x from v join f using (rid) where c < 16)"""
+            + _OP13_ROUND.format(r=0) + "".join(_OP13_MOVE.format(r=r, p=r - 1) + _OP13_ROUND.format(r=r) for r in (1, 2, 3))
+            + """,
+h as (select c, sha256(string_agg(x::varchar, ',' order by d)) as centroid_sha256 from c3 group by c),
+i as (select c, sum(s) as own from a3 group by c)
+select k.vec_id, a3.c::int as cluster, a3.s::bigint as distance, i.own::bigint as cluster_inertia,
+       (select sum(own) from i)::bigint as inertia, centroid_sha256
+from k join a3 using (rid) join h using (c) join i using (c)""")
+
+
+@query("op13_lookup_tables", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integer vectors in 16 clusters after three rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))

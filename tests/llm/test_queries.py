@@ -23,6 +23,12 @@ CONTRACT = {
                                    "offset bigint"),
     "op9_mixing": ("documents", "doc_id bigint, size bigint, source_size bigint, target double, taken bigint"),
     "op10_cross_polytope": ("embeddings", "vec_id bigint, n_links bigint, component_id bigint, kept boolean"),
+    "op11_token_alignment": ("documents", "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
+                                          "count_sum bigint, groups_sha256 string"),
+    "op12_longest_previous_factor": ("documents", "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
+                                                  "kept_sha256 string"),
+    "op13_lookup_tables": ("embeddings", "vec_id bigint, cluster int, distance bigint, cluster_inertia bigint, inertia bigint, "
+                                         "centroid_sha256 string"),
 }
 
 
@@ -41,7 +47,7 @@ def test_contract(spark, name):
 
 def test_one_query_per_operator():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 def test_the_rest_works_without_the_subpackage():
