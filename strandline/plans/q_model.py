@@ -19,9 +19,9 @@ def design_long(spark, sf_dir):
                            levels={"cond": ["KO", "WT"]})
 
 
-def disp(spark, sf_dir):
+def disp(spark, sf_dir, fit="parametric"):
     return MD.dispersions(matrix(spark, sf_dir), factors(spark, sf_dir), design_long(spark, sf_dir), SAMPLES,
-                          COEFFICIENTS)
+                          COEFFICIENTS, fit=fit)
 
 
 def wald(spark, sf_dir, d=None):
@@ -56,6 +56,36 @@ def q_filter_table(spark, sf_dir):
     return MD.filter_table(res, alpha=0.1)
 
 
+@query("filter_curve")
+def q_filter_curve(spark, sf_dir):
+    """The filter table with its smoothed curve and the chosen threshold."""
+    return MD.filter_curve(q_filter_table(spark, sf_dir))
+
+
+@query("dispersions_local")
+def q_dispersions_local(spark, sf_dir):
+    """D14 with a local trend."""
+    return disp(spark, sf_dir, "local")
+
+
+@query("transform_counts_local")
+def q_transform_counts_local(spark, sf_dir):
+    """VST by integration over the local trend."""
+    return MD.transform_counts(normalized(spark, sf_dir), disp(spark, sf_dir, "local").checkpoint())
+
+
+@query("rlog")
+def q_rlog(spark, sf_dir):
+    """Regularised log."""
+    return MD.rlog(matrix(spark, sf_dir), factors(spark, sf_dir), disp(spark, sf_dir).checkpoint(), SAMPLES)
+
+
+@query("rlog_pca")
+def q_rlog_pca(spark, sf_dir):
+    """D19 over the regularised log."""
+    return MD.sample_pca(q_rlog(spark, sf_dir), SAMPLES, "rlog")
+
+
 @query("wald_test")
 def q_wald_test(spark, sf_dir):
     return wald(spark, sf_dir)
