@@ -216,19 +216,25 @@ def mean_quality_filter(reads: DataFrame, min_mean: int) -> DataFrame:
     return reads.where(F.aggregate(q, F.lit(0).cast("bigint"), lambda a, x: a + x) >= F.size(q) * min_mean)
 
 
-def trim_reads(reads: DataFrame, *, adapter: str | None = None, adapter_mode: str = "a", trim_ns: bool = True,
+def trim_reads(reads: DataFrame, *, adapter: str | None = None, adapter_mode: str = "a",
+               adapter_fwd: str | list | None = None, adapter_rev: str | list | None = None, trim_ns: bool = True,
                quality_cutoff: int = QUALITY_CUTOFF, cut_tail_window: int | None = None,
                cut_tail_mean: int = CUT_TAIL_MEAN, minimum_length: int = MIN_LENGTH,
                disable_quality_filtering: bool = False, disable_adapter_trimming: bool = False,
                qualified_quality: int = QUALIFIED_QUALITY, unqualified_percent: int = UNQUALIFIED_PERCENT_LIMIT,
                n_limit: int = N_BASE_LIMIT, average_quality: int = 0) -> DataFrame:
     """T9 + chain: the configured trimmers and filters in the order quality, adapter, Ns, length; each can be
-    switched off."""
+    switched off.  ``adapter`` is one sequence matched without gaps; ``adapter_fwd`` and ``adapter_rev`` are settings
+    (bases, a list, or ``file:`` and a path) per mate, matched with gaps (``adapters.trim_adapters``)."""
     out = reads
     if quality_cutoff:
         out = quality_trim_3p(out, quality_cutoff)
     if adapter and not disable_adapter_trimming:
         out = trim_adapter(out, adapter, mode=adapter_mode)
+    if (adapter_fwd or adapter_rev) and not disable_adapter_trimming:
+        from strandline.operators.adapters import trim_adapters
+
+        out = trim_adapters(out, adapter_fwd, adapter_rev, mode=adapter_mode).drop("adapter", "adapter_errors")
     if trim_ns:
         out = trim_n(out)
     if cut_tail_window:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandline.operators import adapters as AD
 from strandline.operators import readqc as Q
 from strandline.operators import screen as SC
 from strandline.operators import trim as T
@@ -514,3 +515,104 @@ def q_contaminant_reference(spark, sf_dir):
     """The rRNA features cut from the contigs."""
     return SC.contaminant_reference(contigs=fx.fx_contigs(spark, sf_dir), features=fx.fx_ctg_features(spark, sf_dir),
                                     feature_type="rRNA")
+
+
+# ---------------------------------------------------------------- T: gapped adapters, mates
+
+# settings of the gapped queries: two adapters for mate 1, one for mate 2
+_FWD = [("universal", "AGATCGGAAGAGC"), ("tail", "CACACGTCTGAAC")]
+_REV = [("universal", "AGATCGGAAGAGC")]
+
+
+def _gapped_sql(mode: str) -> str:
+    """Every alignment of a whole adapter, or of its first 6 or more bases with the read's end, by edit distance."""
+    adapters = ", ".join(f"({m}, {k}, '{n}', '{a}')" for m, s in ((1, _FWD), (2, _REV)) for k, (n, a) in enumerate(s))
+    sides = {"a": "(0)", "g": "(1)", "b": "(0), (1)"}[mode]
+    return f"""
+with ad(mate, k, name, a) as (values {adapters}), sides(side) as (values {sides}),
+r as (select sample, read_id, mate, seq, qual, length(seq) as n, side, case when side = 0 then seq else reverse(seq) end as t
+      from fx_mate_reads, sides),
+d as (select distinct mate, side, t, n from r),
+q as (select d.*, ad.k, ad.name, case when side = 0 then a else reverse(a) end as a from d join ad using (mate)),
+whole as (select *, length(a) as i, unnest(range(0, n)) as s, [-1, 0, 1] as extra from q),
+part as (select *, n - i - x as s from (select *, unnest(range(6, length(a))) as i from q) y, (values (-1), (0), (1)) e(x)),
+c as (select mate, side, t, k, name, i, s, levenshtein(a, substring(t, cast(s + 1 as integer), cast(i + x as integer))) as err
+      from (select * exclude (extra), unnest(extra) as x from whole) w where s + i + x <= n
+      union all
+      select mate, side, t, k, name, i, s, levenshtein(substring(a, 1, cast(i as integer)), substring(t, cast(s + 1 as integer))) as err
+      from part where s >= 0),
+best as (select mate, side, t, arg_min(struct_pack(m := i - err, err := err, s := s, name := name), (err - i, err, s, k)) as h
+         from c where err <= cast(floor(i * 0.1 + 1e-9) as integer) group by mate, side, t),
+got as (select r.*, h, row_number() over (partition by sample, read_id, r.mate order by coalesce(-h.m, 999), coalesce(h.err, 999), r.side) as o
+        from r left join best b on b.mate = r.mate and b.side = r.side and b.t = r.t),
+f as (select *, case when h is null or side = 0 then 0 else n - h.s end as first, case when h is null or side = 1 then n else h.s end as last
+      from got where o = 1)
+select sample, read_id, mate, substring(seq, cast(first + 1 as integer), cast(last - first as integer)) as seq,
+  substring(qual, cast(first + 1 as integer), cast(last - first as integer)) as qual, h.name as adapter, cast(coalesce(h.err, 0) as integer) as adapter_errors from f"""
+
+
+def _gapped_query(mode: str):
+    @query(f"trim_adapters_{mode}", oracle=_gapped_sql(mode))
+    def run(spark, sf_dir):
+        """T1 with gaps, sets of adapters and both mates."""
+        return AD.trim_adapters(fx.fx_mate_reads(spark, sf_dir), _FWD, _REV, mode=mode)
+    return run
+
+
+for _mode in ("a", "g", "b"):
+    _gapped_query(_mode)
+
+
+@query("adapter_summary", oracle=f"""
+with t as ({_gapped_sql('a')})
+select t.sample, t.adapter, count(*) as reads, cast(sum(length(r.seq) - length(t.seq)) as bigint) as bases_removed
+from t join fx_mate_reads r on r.sample = t.sample and r.read_id = t.read_id and r.mate = t.mate
+where t.adapter is not null group by all""")
+def q_adapter_summary(spark, sf_dir):
+    r = fx.fx_mate_reads(spark, sf_dir)
+    return AD.adapter_summary(r, AD.trim_adapters(r, _FWD, _REV, mode="a"))
+
+
+_OVERLAP = """
+p as (select *, length(seq1) as n1, length(seq2) as n2, reverse(translate(seq2, 'ACGT', 'TGCA')) as back from fx_mates),
+shift as (select *, greatest(0, l - n2) as lo, least(n1, l) as hi from (select *, unnest(range(30, n1 + n2 - 29)) as l from p) x),
+miss as (select sample, pair_id, l, hi - lo as overlap,
+           hamming(substring(seq1, cast(lo + 1 as integer), cast(hi - lo as integer)),
+                   substring(back, cast(lo - l + n2 + 1 as integer), cast(hi - lo as integer))) as m from shift),
+best as (select sample, pair_id, arg_min(struct_pack(l := l, overlap := overlap, m := m), (2 * m - overlap, l)) as h from miss
+         where m <= least(5, floor(overlap * 0.2)) group by sample, pair_id),
+o as (select p.*, cast(h.l as integer) as insert_length, cast(h.overlap as integer) as overlap, cast(h.m as integer) as mismatches
+      from p left join best b using (sample, pair_id))"""
+
+
+@query("mate_overlap", oracle=f"""
+with {_OVERLAP} select sample, pair_id, coalesce(insert_length, 0) as insert_length, coalesce(overlap, 0) as overlap, coalesce(mismatches, 0) as mismatches from o""")
+def q_mate_overlap(spark, sf_dir):
+    """The insert of every pair from the overlap of its mates (0: none)."""
+    o = AD.mate_overlap(fx.fx_mates(spark, sf_dir))
+    return o.select("sample", "pair_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("insert_length", "overlap", "mismatches")])
+
+
+@query("trim_by_overlap", oracle=f"""
+with {_OVERLAP} select sample, pair_id, coalesce(insert_length, 0) as insert_length,
+  case when insert_length < n1 then substring(seq1, 1, insert_length) else seq1 end as seq1,
+  case when insert_length < n1 then substring(qual1, 1, insert_length) else qual1 end as qual1,
+  case when insert_length < n2 then substring(seq2, 1, insert_length) else seq2 end as seq2,
+  case when insert_length < n2 then substring(qual2, 1, insert_length) else qual2 end as qual2 from o""")
+def q_trim_by_overlap(spark, sf_dir):
+    return AD.trim_by_overlap(fx.fx_mates(spark, sf_dir)).withColumn("insert_length", F.coalesce("insert_length", F.lit(0)))
+
+
+@query("paired_adapters", oracle=f"""
+with {_OVERLAP},
+tails as (select sample, 1 as mate, substring(seq1, insert_length + 1) as t from o where insert_length < n1
+          union all select sample, 2, substring(seq2, insert_length + 1) from o where insert_length < n2),
+b as (select sample, mate, i as position, substring(t, cast(i + 1 as integer), 1) as base, count(*) as n
+      from (select *, unnest(range(0, length(t))) as i from tails) x group by all),
+cols as (select sample, mate, position, cast(sum(n) as bigint) as reads, arg_min(base, (-n, base)) as base, max(n) as top from b group by all),
+g as (select *, bool_and(reads >= 10 and top > 0.5 * reads) over (partition by sample, mate order by position) as good from cols)
+select sample, mate, coalesce(string_agg(base, '' order by position) filter (where good), '') as adapter,
+  max(reads) filter (where position = 0) as reads from g group by sample, mate""")
+def q_paired_adapters(spark, sf_dir):
+    """The adapters that stick out past the inserts."""
+    return AD.paired_adapters(fx.fx_mates(spark, sf_dir))

@@ -169,6 +169,41 @@ def fx_reads(spark, sf_dir, ordinal: bool = True):
     )
 
 
+# Mates: 35 to 100 bases of a chunk read 75 bases from both ends into these adapters, some of them with a base lost or
+# gained, and every third mate 2 with a wrong base.
+MATE_LENGTH = 75
+MATE_ADAPTERS = ("AGATCGGAAGAGCACACGTCTGAACTCCAGTCA", "AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT")
+
+
+def fx_mates(spark, sf_dir):
+    r = fx_reads(spark, sf_dir, ordinal=False).where(F.length("seq") >= 35)
+    ids = F.split(F.expr("substring(read_id, 2)"), "_")
+    h = ids[0].cast("bigint") * 7 + ids[1].cast("bigint") * 13
+    r = r.select("sample", F.col("read_id").alias("pair_id"), "seq", "qual", h.alias("h"),
+                 F.least(h % 66 + 35, F.length("seq")).cast("int").alias("n"))
+    insert, tail = F.expr("substring(seq, 1, n)"), "A" * 40
+    back = F.reverse(F.translate(insert, "ACGT", "TGCA"))
+
+    def adapter(a):
+        return F.when(F.col("h") % 5 == 0, a[:6] + a[7:]).when(F.col("h") % 7 == 0, a[:6] + "T" + a[6:]).otherwise(a)
+
+    def read(x):
+        return F.substring(F.concat(*x), 1, MATE_LENGTH)
+
+    seq2 = read([back, adapter(MATE_ADAPTERS[1]), F.lit(tail)])
+    seq2 = F.when(F.col("h") % 3 == 0, F.concat(F.substring(seq2, 1, 9), F.lit("A"), F.substring(seq2, 11, MATE_LENGTH))).otherwise(seq2)
+    fill = F.lit("F" * MATE_LENGTH)
+    return r.select("sample", "pair_id", read([insert, adapter(MATE_ADAPTERS[0]), F.lit(tail)]).alias("seq1"),
+                    read([F.col("qual"), fill]).alias("qual1"), seq2.alias("seq2"),
+                    read([F.reverse(F.expr("substring(qual, 1, n)")), fill]).alias("qual2"))
+
+
+def fx_mate_reads(spark, sf_dir):
+    """The mates as reads: one row per mate."""
+    m = F.array(*[F.struct(F.lit(k).alias("mate"), F.col(f"seq{k}").alias("seq"), F.col(f"qual{k}").alias("qual")) for k in (1, 2)])
+    return fx_mates(spark, sf_dir).select("sample", F.col("pair_id").alias("read_id"), F.inline(m))
+
+
 def fx_design(spark, sf_dir):
     """The samples that have counts, first half WT, odd ones in batch b2."""
     i = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 6).alias("i")).distinct()
@@ -228,6 +263,11 @@ VIEWS = {name: fn for name, fn in globals().items() if name.startswith("fx_")}
 # DuckDB texts of the same views (oracle side).  (name, dependencies, sql)
 # --------------------------------------------------------------------------------------------
 
+def _duck_adapter(k: int) -> str:
+    a = MATE_ADAPTERS[k]
+    return f"case when h % 5 = 0 then '{a[:6] + a[7:]}' when h % 7 = 0 then '{a[:6] + 'T' + a[6:]}' else '{a}' end"
+
+
 DUCK_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_features": ((), """
 select concat('chr', cast(p_partkey % 3 + 1 as varchar)) as seqid, case when p_partkey % 50 = 0 then 'rRNA' else 'gene' end as type,
@@ -270,6 +310,19 @@ from (select sample, doc_id, letters, unnest(range(0, n_chunks)) as k,
         coalesce(sum(n_chunks) over (partition by sample order by doc_id rows between unbounded preceding and 1 preceding), 0) as first_ordinal
       from (select concat('S', cast(doc_id % 6 as varchar)) as sample, doc_id, letters, cast(ceil(length(letters) / 100) as bigint) as n_chunks
             from fx_letters where length(letters) > 0) c) r"""),
+    "fx_mates": (("fx_reads",), f"""
+select sample, pair_id, substring(concat(ins, {_duck_adapter(0)}, repeat('A', 40)), 1, {MATE_LENGTH}) as seq1, substring(concat(qual, repeat('F', 75)), 1, {MATE_LENGTH}) as qual1,
+  case when h % 3 = 0 then concat(substring(s2, 1, 9), 'A', substring(s2, 11)) else s2 end as seq2,
+  substring(concat(reverse(substring(qual, 1, n)), repeat('F', 75)), 1, {MATE_LENGTH}) as qual2
+from (select *, substring(concat(reverse(translate(ins, 'ACGT', 'TGCA')), {_duck_adapter(1)}, repeat('A', 40)), 1, {MATE_LENGTH}) as s2
+  from (select *, substring(seq, 1, n) as ins
+    from (select *, cast(least(h % 66 + 35, length(seq)) as integer) as n
+      from (select sample, read_id as pair_id, seq, qual,
+              cast(split_part(substring(read_id, 2), '_', 1) as bigint) * 7 + cast(split_part(read_id, '_', 2) as bigint) * 13 as h
+            from fx_reads where length(seq) >= 35) a) b) c) d"""),
+    "fx_mate_reads": (("fx_mates",), """
+select sample, pair_id as read_id, 1 as mate, seq1 as seq, qual1 as qual from fx_mates
+union all select sample, pair_id, 2, seq2, qual2 from fx_mates"""),
     "fx_design": ((), """
 select concat('S', cast(i as varchar)) as label, case when i < 3 then 'WT' else 'KO' end as cond, case when i % 2 = 0 then 'b1' else 'b2' end as batch
 from (select distinct l_suppkey % 6 as i from lineitem order by i) s"""),
