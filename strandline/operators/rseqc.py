@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandline.functions.alignment import (DUPLICATE, PROPER_PAIR, QC_FAIL, SECONDARY, UNMAPPED, cigar_blocks,
                                             fragment_strand, has_flag, junctions)
 from strandline.operators.intervals import fits_broadcast, overlap_join
+from strandline.operators.regions import introns
 from strandline.operators.schema import annotation_columns
 
 # Defaults of the tools' command lines.
@@ -18,13 +19,16 @@ SATURATION_LEVELS = list(range(5, 101, 5))
 
 def without_introns(pairs: DataFrame, exons: DataFrame) -> DataFrame:
     """``pairs`` (sample, frag_id, ref, end1, pos2) with ``pos2`` moved up by the introns that lie between the mates,
-    so that distances are those on the transcript.  Introns of several transcripts count once."""
-    introns = annotated_splice_sites(exons).distinct()
+    so that distances are those on the transcript.  Bases of overlapping introns of several transcripts count once."""
+    known = introns(exons).select("chrom", "intron_start", "intron_end").distinct()
     gaps = pairs.where(F.col("pos2") - F.col("end1") > 1).select(
         "sample", "frag_id", F.col("ref").alias("_ref"), (F.col("end1") + 1).alias("_from"), (F.col("pos2") - 1).alias("_to"))
-    hits = overlap_join(gaps, introns, left_cols=("_ref", "_from", "_to"), right_cols=("chrom", "intron_start", "intron_end"))
+    hits = overlap_join(gaps, known, left_cols=("_ref", "_from", "_to"), right_cols=("chrom", "intron_start", "intron_end"))
     inside = hits.where((F.col("intron_start") >= F.col("_from")) & (F.col("intron_end") <= F.col("_to")))
-    total = inside.groupBy("sample", "frag_id").agg(F.sum(F.col("intron_end") - F.col("intron_start") + 1).alias("_introns"))
+    w = Window.partitionBy("sample", "frag_id").orderBy("intron_start", "intron_end")  # the introns between two mates
+    reached = F.max("intron_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.greatest(F.col("intron_end") - F.greatest(F.col("intron_start") - 1, F.coalesce("_reached", F.lit(0))), F.lit(0))
+    total = inside.withColumn("_reached", reached).groupBy("sample", "frag_id").agg(F.sum(new).alias("_introns"))
     j = pairs.join(total, ["sample", "frag_id"], "left")
     return j.withColumn("pos2", F.col("pos2") - F.coalesce(F.col("_introns"), F.lit(0))).drop("_introns")
 
@@ -66,15 +70,6 @@ def read_duplication(reads: DataFrame | None = None, alignments: DataFrame | Non
     return out.select("sample", "method", "occurrence", "unique_reads")
 
 
-def annotated_splice_sites(exons: DataFrame, *, transcript_col: str = "gene_id") -> DataFrame:
-    """Introns of each transcript from its exons: (chrom, intron_start, intron_end), 1-based closed."""
-    w = Window.partitionBy(transcript_col).orderBy("start_pos")
-    e = annotation_columns(exons, parent_attribute="Parent").select(F.col("seqid").alias("chrom"), transcript_col, "start_pos", "end_pos") \
-             .withColumn("_next", F.lead("start_pos").over(w))
-    return e.where(F.col("_next").isNotNull()).select(
-        "chrom", (F.col("end_pos") + 1).alias("intron_start"), (F.col("_next") - 1).alias("intron_end"))
-
-
 def junction_events(alignments: DataFrame, extra_cols: tuple[str, ...] = ()) -> DataFrame:
     """One row per spliced read junction: (sample, frag_id, chrom, intron_start, intron_end, *extra_cols)."""
     mapped = alignments.where(~has_flag("flag", UNMAPPED) & F.col("cigar").contains("N"))
@@ -84,10 +79,10 @@ def junction_events(alignments: DataFrame, extra_cols: tuple[str, ...] = ()) ->
                     F.col("_j.end").alias("intron_end"), *extra_cols)
 
 
-def _classify_junctions(events: DataFrame, introns: DataFrame) -> DataFrame:
-    donors = introns.select(F.col("chrom").alias("_dc"), F.col("intron_start").alias("_d")).distinct() \
+def _classify_junctions(events: DataFrame, known: DataFrame) -> DataFrame:
+    donors = known.select(F.col("chrom").alias("_dc"), F.col("intron_start").alias("_d")).distinct() \
         .withColumn("_dk", F.lit(True))
-    acceptors = introns.select(F.col("chrom").alias("_ac"), F.col("intron_end").alias("_a")).distinct() \
+    acceptors = known.select(F.col("chrom").alias("_ac"), F.col("intron_end").alias("_a")).distinct() \
         .withColumn("_ak", F.lit(True))
     if fits_broadcast(donors):
         donors, acceptors = F.broadcast(donors), F.broadcast(acceptors)
@@ -100,7 +95,7 @@ def _classify_junctions(events: DataFrame, introns: DataFrame) -> DataFrame:
 
 def junction_annotation(alignments: DataFrame, exons: DataFrame) -> DataFrame:
     """(sample, level, category, count) — splice events and distinct junctions by known / partial / complete novel."""
-    ev = _classify_junctions(junction_events(alignments), annotated_splice_sites(exons))
+    ev = _classify_junctions(junction_events(alignments), introns(exons))
     by_event = ev.groupBy("sample", "category").agg(F.count(F.lit(1)).alias("count")).withColumn("level", F.lit("event"))
     by_junction = ev.select("sample", "chrom", "intron_start", "intron_end", "category").distinct() \
         .groupBy("sample", "category").agg(F.count(F.lit(1)).alias("count")).withColumn("level", F.lit("junction"))
@@ -116,7 +111,7 @@ def junction_saturation(alignments: DataFrame, exons: DataFrame, *, bucket: Colu
     its smallest bucket, so the curve needs one aggregation and no re-sampling.
     """
     ev = junction_events(alignments.withColumn("_bucket", bucket), extra_cols=("_bucket",))
-    ev = _classify_junctions(ev, annotated_splice_sites(exons))
+    ev = _classify_junctions(ev, introns(exons))
     first = ev.groupBy("sample", "chrom", "intron_start", "intron_end", "category").agg(F.min("_bucket").alias("_b"))
     lv = F.explode(F.array(*[F.lit(x) for x in levels])).alias("level")
     x = first.select("sample", "category", "_b", lv).where(F.col("_b") < F.col("level"))

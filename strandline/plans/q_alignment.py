@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import alignment as AL
 from strandline.operators import coverage as CV
+from strandline.operators import regions as RG
 from strandline.operators import rseqc as R
 from strandline.plans.q_counting import annotation
 from strandline.plans.registry import query
@@ -99,6 +100,36 @@ def q_inner_distance_spliced(spark, sf_dir):
     return R.inner_distance(R.without_introns(pairs, fx.fx_exons(spark, sf_dir)))
 
 
+_INTRONS = """
+reach as (select seqid, transcript_id, start_pos, max(end_pos) over (partition by seqid, transcript_id order by start_pos, end_pos
+            rows between unbounded preceding and 1 preceding) as r from fx_transcripts),
+introns as (select distinct seqid as chrom, r + 1 as intron_start, start_pos - 1 as intron_end from reach where start_pos > r + 1)"""
+
+
+@query("transcript_introns", oracle=f"with {_INTRONS} select chrom, intron_start, intron_end from introns")
+def q_transcript_introns(spark, sf_dir):
+    """The different introns of all transcripts."""
+    return RG.introns(fx.fx_transcripts(spark, sf_dir)).select("chrom", "intron_start", "intron_end").distinct()
+
+
+@query("inner_distance_transcripts", oracle=f"""
+with {_INTRONS},
+p as (select sample, frag_id, ref, end1, pos2 + 300 as pos2 from fx_pairs),
+inside as (select p.sample, p.frag_id, i.intron_start as s, i.intron_end as e from p join introns i
+           on i.chrom = p.ref and i.intron_start >= p.end1 + 1 and i.intron_end <= p.pos2 - 1),
+bases as (select sample, frag_id, unnest(range(s, e + 1)) as b from inside),
+c as (select sample, frag_id, count(distinct b) as n from bases group by sample, frag_id),
+d as (select p.sample, p.pos2 - p.end1 - 1 - coalesce(c.n, 0) as d from p left join c on c.sample = p.sample and c.frag_id = p.frag_id)
+select sample, cast(case when d >= 250 then 250 when d < -250 then -250 else floor((d + 250) / 5) * 5 - 250 end as bigint) as bin_start,
+  cast(case when d < -250 then -250 when d >= 250 then 250 else floor((d + 250) / 5) * 5 - 245 end as bigint) as bin_end,
+  count(*) as count
+from d group by all""")
+def q_inner_distance_transcripts(spark, sf_dir):
+    """B1 with overlapping introns of several transcripts between the mates."""
+    pairs = fx.fx_pairs(spark, sf_dir).withColumn("pos2", F.col("pos2") + 300)
+    return R.inner_distance(R.without_introns(pairs, fx.fx_transcripts(spark, sf_dir)))
+
+
 @query("read_duplication", oracle="""
 select sample, 'sequence' as method, occurrence, count(*) as unique_reads
 from (select sample, seq, count(*) as occurrence from fx_reads group by sample, seq) s group by sample, occurrence
@@ -145,6 +176,75 @@ def q_junction_saturation(spark, sf_dir):
                                  bucket=(F.col("frag_id") * 7919 + 13) % 100)
 
 
+_EVENTS = _INTRONS + """,
+ev as (select sample, frag_id, ref as chrom, pos + 25 as intron_start, pos_end - 25 as intron_end
+       from fx_alignments where flag % 8 < 4 and cigar like '%N%'),
+cls as (select ev.*, case when d.k and a.k then 'known' when d.k or a.k then 'partial_novel' else 'complete_novel' end as category
+        from ev left join (select distinct chrom, intron_start, true as k from introns) d using (chrom, intron_start)
+        left join (select distinct chrom, intron_end, true as k from introns) a using (chrom, intron_end))"""
+
+
+@query("junction_annotation_transcripts", oracle=f"""
+with {_EVENTS}
+select sample, 'event' as level, category, count(*) as count from cls group by sample, category
+union all
+select sample, 'junction', category, count(*) from (select distinct sample, chrom, intron_start, intron_end, category from cls) j
+group by sample, category""")
+def q_junction_annotation_transcripts(spark, sf_dir):
+    """B4 against several transcripts per gene."""
+    return R.junction_annotation(fx.fx_alignments(spark, sf_dir), fx.fx_transcripts(spark, sf_dir))
+
+
+@query("junction_saturation_transcripts", oracle=f"""
+with {_EVENTS},
+first_seen as (select c.sample, c.chrom, c.intron_start, c.intron_end, c.category, min((c.frag_id * 7919 + 13) % 100) as b
+               from cls c group by all),
+lv as (select unnest(range(5, 101, 5)) as level)
+select sample, cast(level as integer) as level, count(*) as all_junctions, count(*) filter (where category = 'known') as known,
+  count(*) filter (where category <> 'known') as novel
+from first_seen join lv on b < level group by sample, level""")
+def q_junction_saturation_transcripts(spark, sf_dir):
+    """B5 against several transcripts per gene."""
+    return R.junction_saturation(fx.fx_alignments(spark, sf_dir), fx.fx_transcripts(spark, sf_dir),
+                                 bucket=(F.col("frag_id") * 7919 + 13) % 100)
+
+
+_UNION = """
+reached as (select *, max(end_pos) over (partition by {g} order by start_pos, end_pos rows between unbounded preceding and 1 preceding) as r
+            from {t}),
+island as (select *, sum(case when r is null or start_pos > r + 1 then 1 else 0 end)
+             over (partition by {g} order by start_pos, end_pos rows unbounded preceding) as i from reached),
+merged as (select {g}, min(start_pos) as start_pos, max(end_pos) as end_pos from island group by {g}, i)"""
+
+
+@query("merged_exons", oracle=f"""
+with {_UNION.format(g='seqid, gene_id', t='fx_transcripts')} select * from merged""")
+def q_merged_exons(spark, sf_dir):
+    """The exonic positions of each gene."""
+    return RG.interval_union(fx.fx_transcripts(spark, sf_dir), group=["seqid", "gene_id"])
+
+
+@query("gene_introns", oracle=f"""
+with {_UNION.format(g='seqid, gene_id', t='fx_transcripts')},
+n as (select *, lead(start_pos) over (partition by seqid, gene_id order by start_pos) as next from merged)
+select seqid, gene_id, end_pos + 1 as start_pos, next - 1 as end_pos from n where next is not null""")
+def q_gene_introns(spark, sf_dir):
+    """The positions of each gene that none of its exons covers."""
+    return RG.gene_introns(fx.fx_transcripts(spark, sf_dir))
+
+
+@query("intergenic_regions", oracle=f"""
+with len as (select seqid, max(end_pos) + 1000 as length from fx_transcripts group by seqid),
+{_UNION.format(g='seqid', t='fx_transcripts')},
+e as (select seqid, start_pos, end_pos from merged union all select seqid, 0, 0 from len union all select seqid, length + 1, length + 1 from len),
+n as (select *, lead(start_pos) over (partition by seqid order by start_pos) as next from e)
+select seqid, cast(end_pos + 1 as bigint) as start_pos, cast(next - 1 as bigint) as end_pos from n where next > end_pos + 1""")
+def q_intergenic_regions(spark, sf_dir):
+    """The positions of each contig outside all exons."""
+    e = fx.fx_transcripts(spark, sf_dir)
+    return RG.intergenic_regions(e, e.groupBy("seqid").agg((F.max("end_pos") + 1000).alias("length")))
+
+
 @query("infer_experiment", oracle="""
 with elig as (select * from fx_alignments where flag % 8 < 4 and nh = 1 and mapq >= 30),
 blk as (select sample, frag_id, ref, case when flag % 32 >= 16 then '-' else '+' end as rs, pos as bs,

@@ -81,6 +81,22 @@ def fx_exons(spark, sf_dir):
     )
 
 
+TRANSCRIPTS = ((1, 1, 1, 59), (1, 1, 30, 59), (1, 1, 210, 350), (2, 2, 1, 57), (2, 2, 210, 350), (3, 3, 1, 59), (3, 3, 212, 350),
+               (3, 3, 213, 230))  # transcript, every how many genes, first and last base
+
+
+def fx_transcripts(spark, sf_dir):
+    """Exons of one to three transcripts per gene that overlap within and between transcripts."""
+    k = F.col("p_partkey")
+    t = F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("t", "every", "a", "b"), r)]) for r in TRANSCRIPTS]))
+    gene = F.concat(F.lit("g"), k.cast("string"))
+    return table(spark, sf_dir, "part").select("p_partkey", t).where(k % F.col("every") == 0).select(
+        F.concat(F.lit("chr"), (k % 3 + 1).cast("string")).alias("seqid"), gene.alias("gene_id"),
+        F.concat(gene, F.lit(".t"), F.col("t").cast("string")).alias("transcript_id"),
+        (k * 100 + F.col("a")).cast("bigint").alias("start_pos"), (k * 100 + F.col("b")).cast("bigint").alias("end_pos"),
+        _strand_of(k).alias("strand"))
+
+
 def fx_alignments(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     q = F.col("l_quantity").cast("int")
@@ -280,6 +296,11 @@ select concat(seqid, chr(9), 'fx', chr(9), type, chr(9), cast(start_pos as varch
 select concat('chr', cast(p_partkey % 3 + 1 as varchar)) as seqid, concat('g', cast(p_partkey as varchar)) as gene_id, n as exon_no,
   p_partkey * 100 + case when n = 1 then 1 else 210 end as start_pos, p_partkey * 100 + case when n = 1 then 59 else 350 end as end_pos,
   case when p_partkey % 2 = 0 then '+' else '-' end as strand from part, (select 1 as n union all select 2 as n) e"""),
+    "fx_transcripts": ((), f"""
+select concat('chr', cast(p_partkey % 3 + 1 as varchar)) as seqid, concat('g', cast(p_partkey as varchar)) as gene_id,
+  concat('g', cast(p_partkey as varchar), '.t', cast(t as varchar)) as transcript_id, cast(p_partkey * 100 + a as bigint) as start_pos,
+  cast(p_partkey * 100 + b as bigint) as end_pos, case when p_partkey % 2 = 0 then '+' else '-' end as strand
+from part join (values {", ".join(map(str, TRANSCRIPTS))}) v(t, every, a, b) on p_partkey % every = 0"""),
     "fx_alignments": ((), """
 select concat('S', cast(l_suppkey % 6 as varchar)) as sample, l_orderkey as frag_id, concat('chr', cast(l_partkey % 3 + 1 as varchar)) as ref,
   l_partkey * 100 + 1 + cast(l_quantity as int) * 2 as pos,
