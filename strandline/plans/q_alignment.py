@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import alignment as AL
 from strandline.operators import coverage as CV
+from strandline.operators import quant as QU
 from strandline.operators import regions as RG
 from strandline.operators import rseqc as R
 from strandline.plans.q_counting import annotation
@@ -411,12 +412,74 @@ def q_map_reads_ungapped(spark, sf_dir):
     return map_reads_ungapped(fx.fx_reads(spark, sf_dir, ordinal=False), ref)
 
 
+def _transcripts(spark, sf_dir):
+    return fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("t,"), F.col("item_id").cast("string")).alias("name"), "seq")
+
+
 @query("quantify_transcripts")
 def q_quantify_transcripts(spark, sf_dir):
     """A2: reads pseudo-aligned to the benchmark passages as transcripts, EM over equivalence classes.
-    Iterative: no SQL oracle; the EM is checked on a planted case in tests/test_units.py."""
-    from strandline.operators.quant import quantify_transcripts
-
-    tx = fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("t"), F.col("item_id").cast("string")).alias("name"),
-                                                  "seq")
-    return quantify_transcripts(fx.fx_reads(spark, sf_dir, ordinal=False), tx)
+    Iterative: no SQL oracle; the EM is checked on planted cases in tests/test_quant.py."""
+    return QU.quantify_transcripts(fx.fx_reads(spark, sf_dir, ordinal=False), _transcripts(spark, sf_dir))
+
+
+@query("quantify_pairs")
+def q_quantify_pairs(spark, sf_dir):
+    """A2 on pairs: library type and fragment lengths from the pairs themselves."""
+    return QU.quantify_transcripts(fx.fx_mates(spark, sf_dir), _transcripts(spark, sf_dir))
+
+
+# every 31-mer of both strands of the transcripts against every 31-mer of the reads
+_MAPPED = """
+tx as (select concat('t,', cast(item_id as varchar)) as name, seq from fx_contaminants),
+strands as (select name, '+' as strand, seq from tx union all select name, '-', reverse(translate(seq, 'ACGT', 'TGCA')) from tx),
+idx as (select name, strand, substring(seq, cast(p + 1 as integer), 31) as kmer
+        from (select *, unnest(range(0, length(seq) - 30)) as p from strands where length(seq) >= 31) x),
+rk as (select sample, read_id, i, substring(seq, cast(i + 1 as integer), 31) as kmer
+       from (select *, unnest(range(0, length(seq) - 30)) as i from fx_reads where length(seq) >= 31) x),
+hits as (select distinct sample, read_id, i, name, strand from rk join idx using (kmer) where kmer not like '%N%'),
+m as (select sample, read_id, count(distinct i) as m from hits group by all),
+compat as (select h.sample, h.read_id, h.name, h.strand from hits h join m using (sample, read_id)
+           group by h.sample, h.read_id, h.name, h.strand, m.m having count(*) = m.m),
+one as (select sample, read_id, min(strand) as s from compat group by all having min(strand) = max(strand)),
+lib as (select sample, count(*) filter (where s = '+') as forward, count(*) filter (where s = '-') as reverse from one group by sample),
+types as (select *, case when forward >= 0.7 * (forward + reverse) then 'SF' when reverse >= 0.7 * (forward + reverse) then 'SR' else 'U' end
+          as library_type from lib),
+good as (select c.* from compat c join types t using (sample) where t.library_type = 'U' or (t.library_type = 'SF') = (c.strand = '+'))"""
+
+
+@query("library_types", oracle=f"with {_MAPPED} select sample, forward, reverse, library_type from types")
+def q_library_types(spark, sf_dir):
+    """A2: the library type of each sample."""
+    return QU.library_types(QU.mapped_fragments(fx.fx_reads(spark, sf_dir, ordinal=False), _transcripts(spark, sf_dir)), paired=False)
+
+
+@query("equivalence_classes", oracle=f"""
+with {_MAPPED},
+ec as (select sample, read_id, string_agg(distinct name, '|' order by name) as transcripts from good group by all)
+select sample, transcripts, count(*) as reads from ec group by all""")
+def q_equivalence_classes(spark, sf_dir):
+    """A2: reads by their set of compatible transcripts."""
+    tx = _transcripts(spark, sf_dir)
+    frags = QU.mapped_fragments(fx.fx_reads(spark, sf_dir, ordinal=False), tx).checkpoint()
+    ecs = QU.equivalence_classes(QU.strand_compatible(frags, QU.library_types(frags, paired=False)))
+    ecs = ecs.withColumn("_ec", F.monotonically_increasing_id()).checkpoint()
+    names = tx.select(F.xxhash64("name").alias("tx"), "name")
+    return ecs.select("sample", "_ec", "count", F.explode("ec").alias("tx")).join(names, "tx").groupBy("sample", "_ec", "count").agg(
+        F.array_join(F.sort_array(F.collect_list("name")), "|").alias("transcripts")).select(
+        "sample", "transcripts", F.col("count").alias("reads"))
+
+
+@query("mapping_rates", oracle=f"""
+with {_MAPPED},
+r as (select x.sample, x.read_id, length(x.seq) >= 31 as enough, c.read_id is not null as hit, g.read_id is not null as good from fx_reads x
+      left join (select distinct sample, read_id from compat) c on c.sample = x.sample and c.read_id = x.read_id
+      left join (select distinct sample, read_id from good) g on g.sample = x.sample and g.read_id = x.read_id)
+select r.sample, count(*) as reads, count(*) filter (where not enough) as short, count(*) filter (where enough and not hit) as unmapped,
+  count(*) filter (where hit and not good) as other_strand, count(*) filter (where good) as mapped, any_value(t.library_type) as library_type
+from r left join types t on t.sample = r.sample group by r.sample""")
+def q_mapping_rates(spark, sf_dir):
+    """A2: where every read went."""
+    reads = fx.fx_reads(spark, sf_dir, ordinal=False)
+    frags = QU.mapped_fragments(reads, _transcripts(spark, sf_dir)).checkpoint()
+    return QU.mapping_rates(reads, frags, QU.library_types(frags, paired=False))
