@@ -7,10 +7,12 @@ is met by taking some documents once more: those that come first in a seeded ord
 document that would overshoot by more than half its size.
 
 Only one row per source is ever ordered by source; the seeded order is cut into 65,536 tiles by hash,
-whose sums locate the one tile per source in which the fraction ends.
+whose sums locate the one tile per source in which the fraction ends.  Rows of one id share a place in that order;
+inside it they are ordered, and cut into tiles once more, by a hash of the row, so many rows with one id (or none)
+neither meet in one task nor are taken all at once.
 
 Defined cases: null sources form one source, the last; a null or empty text has size 0 and is
-taken whole times only; sources without words have target 0; rows that repeat an id are separate
+taken whole times only; sources without words have target 0; rows that repeat an id, or have none, are separate
 documents; an empty table gives an empty result; extra columns stay, and the
 operator's columns replace columns of the same name.
 """
@@ -63,15 +65,13 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float = MAX_EPOCHS)
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, total_share: float = TOTAL_SHARE,
         max_epochs: float = MAX_EPOCHS, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken) and the columns ``keep``, per document."""
-    sized = docs.select(
+    rows = saved(docs.select(
         "doc_id", *(c for c in keep if c != "doc_id"), _source_key(F.col("source")).alias("key"),
         F.size(words(F.col("text"))).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("order"))
-    rows = saved(sized.select("doc_id", "key", "size", "order"), "sizes")  # what the passes below read
-    if not keep:
-        sized = rows
-    one = F.substring("order", 1, 2)
-    two = F.substring("order", 3, 2)
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("order"),
+        F.md5(F.monotonically_increasing_id().cast("string")).alias("row")), "sizes")  # what the passes below read
+    one, two = F.substring("order", 1, 2), F.substring("order", 3, 2)
+    three = F.concat("order", F.substring("row", 1, 4))
     sources = saved(rows.groupBy("key").agg(F.sum("size").alias("source_size")), "sources")
     total = float(sources.agg(F.sum("source_size")).first()[0] or 0) * total_share
     chosen = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int"))
@@ -88,29 +88,29 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, total_share: floa
             F.min(F.struct(tile, (F.col("upto") - F.col("words")).alias("before"))).alias("e"))
         return at.select(*by, F.col(f"e.{tile}").alias(f"end_{tile}"), F.col("e.before").alias(f"before_{tile}"))
 
-    first = rows.groupBy("key", one.alias("one")).agg(F.sum("size").alias("words"))
-    first = ends(first.join(plan.select("key", "extra"), "key"), "one", ["key"])
-    inner = rows.withColumn("one", one).join(first, "key").where("one = end_one")
-    second = inner.groupBy("key", two.alias("two")).agg(F.sum("size").alias("words"), F.first("before_one").alias("before"))
-    second = second.join(plan.select("key", "extra"), "key").withColumn("extra", F.col("extra") - F.col("before"))
-    second = ends(second, "two", ["key"])
-    cut = saved(plan.join(first, "key", "left").join(second, "key", "left"), "cuts")
-
-    tile = F.struct(one, two)
-    end = F.struct("end_one", "end_two")
-    in_tile = Window.partitionBy("key").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("before_one") + F.col("before_two")
-    last = (rows.join(cut, "key").where(tile == end)  # one tile per source
-            .withColumn("prior", start + F.coalesce(F.sum("size").over(in_tile), F.lit(0)))
+    cut, within = plan, F.lit(True)
+    spent, ended = F.lit(0), []
+    for name, tile in (("one", one), ("two", two), ("three", three)):  # each level inside the tile that the one before ends in
+        inner = rows.select("key", "size", "order", "row").join(cut, "key").where(within)
+        tiles = inner.groupBy("key", tile.alias(name)).agg(F.sum("size").alias("words"), F.first(F.col("extra") - spent).alias("extra"))
+        cut = saved(cut.join(ends(tiles, name, ["key"]), "key", "left"), "cuts")
+        spent = spent + F.col(f"before_{name}")
+        ended.append((tile, F.col(f"end_{name}")))
+        within = F.struct(*(t for t, _ in ended)) == F.struct(*(e for _, e in ended))
+
+    tile, end = F.struct(*(t for t, _ in ended)), F.struct(*(e for _, e in ended))
+    own = F.struct("order", "row")
+    in_tile = Window.partitionBy("key").orderBy("order", "row").rowsBetween(Window.unboundedPreceding, -1)
+    last = (rows.select("key", "size", "order", "row").join(cut, "key").where(tile == end)  # one tile per source
+            .withColumn("prior", spent + F.coalesce(F.sum("size").over(in_tile), F.lit(0)))
             .where(2 * F.col("prior") + F.col("size") <= 2 * F.col("extra"))
-            .groupBy("key").agg(F.max(F.struct("order", "doc_id", "size")).alias("last")))
+            .groupBy("key").agg(F.max(own).alias("last")))
     done = saved(cut.join(last, "key", "left"), "cuts")
 
-    own = F.struct("order", "doc_id", "size")
     # sources whose fraction never ends take none (extra 0 ends in the first tile with words)
-    once_more = (F.when(F.col("end_one").isNull(), F.col("extra") > 0)
+    once_more = (F.when(F.col("end_three").isNull(), F.col("extra") > 0)
                  .otherwise((tile < end) | ((tile == end) & F.coalesce(own <= F.col("last"), F.lit(False)))))
     copies = (F.col("whole") + F.when(F.coalesce(once_more, F.lit(False)), 1).otherwise(0)).cast("long")
-    return (sized.join(done, "key")
+    return (rows.join(done, "key")
             .withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
             .select("doc_id", *(c for c in keep if c != "doc_id"), "size", "source_size", "target", "copies", "taken"))
