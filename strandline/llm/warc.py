@@ -77,16 +77,19 @@ def headers(raw: bytes) -> dict[str, str]:
 
 
 def inflated(stream) -> Iterator[bytes]:
-    """The bytes of a gzip file, chunk by chunk, whatever its number of members."""
-    unzip = zlib.decompressobj(31)
+    """The bytes of a gzip file, chunk by chunk, whatever its number of members.  A file that ends before its last
+    member's check sum raises."""
+    unzip, inside = zlib.decompressobj(31), False
     while data := stream.read(CHUNK):
         while data:
             out = unzip.decompress(data)
             if out:
                 yield out
-            data = unzip.unused_data
+            data, inside = unzip.unused_data, not unzip.eof
             if unzip.eof:
                 unzip = zlib.decompressobj(31)
+    if inside:
+        raise ValueError("the archive ends inside a gzip member")
 
 
 def records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
