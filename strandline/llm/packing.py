@@ -5,7 +5,7 @@ shorter first piece.  Open sequences are described by how many have each residua
 where the sum of the squared counts becomes smallest (ties: the tightest fit), longest pieces
 first; a new sequence is opened only when no open one has room.
 
-Pieces are dealt by a hash into groups of about ``PER_GROUP``, packed independently: each group needs only
+Pieces are dealt by a hash of their row into groups of about ``PER_GROUP``, packed independently: each group needs only
 its lengths and a table of ``size`` counts, and wastes a sequence or two in thousands.
 
 Defined cases: a null or empty text is its end id alone; ids may repeat or be null, every row is
@@ -78,16 +78,17 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
 
 def pack(cut: DataFrame, size: int = SIZE, per_group: int = PER_GROUP) -> DataFrame:
     """Pieces plus ``sequence_id`` and ``offset``."""
-    cut = saved(cut, "pieces")
-    groups = max(1, math.ceil(cut.count() / per_group))
     names = [c for c in cut.columns]
+    cut = saved(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    groups = max(1, math.ceil(cut.count() / per_group))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", *(c for c in names if c != "length")], ascending=False, kind="stable")
         seq, off = sum_of_squares(pdf["length"].to_numpy(), size)
-        return pdf.assign(sequence_id=(pdf["pack_group"].to_numpy() << 32) + seq, offset=off).drop(columns="pack_group")
+        return pdf.assign(sequence_id=(pdf["pack_group"].to_numpy() << 32) + seq, offset=off).drop(columns=["pack_group", "_row"])
 
-    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # by the row, so that equal rows spread like others
+    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64("_row", "doc_id", "piece"), F.lit(groups)))
     return dealt.groupBy("pack_group").applyInPandas(run, f"{PIECES}, sequence_id long, offset long")
 
 
