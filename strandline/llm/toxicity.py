@@ -99,7 +99,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, epochs: in
         seed: int = 7) -> tuple[float, dict[str, float]]:
     """Bias and sparse weights from texts (doc_id, text) and labels (doc_id, toxic), ``toxic`` 0 or 1.
 
-    The sample is drawn from the narrow labels, so only its texts move.  At most ``max_docs`` rows
+    The sample is drawn from the narrow labels, so only its texts move; of rows that repeat an id the smallest text (and
+    label) counts.  At most ``max_docs`` rows
     reach the one task that fits; what returns to the driver are the non-zero weights, at most as many as
     the sample has words.
     """
@@ -116,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, epochs: in
         return rows.orderBy(F.pmod("_h", F.lit(1 << 30)), "_h").limit(half)
 
     chosen = some(0).unionByName(some(1))
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_docs ids
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.groupBy("doc_id").agg(  # at most max_docs ids
+        F.min("toxic").alias("toxic"), F.min("_h").alias("_h"))), "doc_id")
+    sample = texts.groupBy("doc_id", "toxic", "_h").agg(F.min("text").alias("text"))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["toxic", "_h"], kind="stable")
