@@ -29,6 +29,14 @@ DROPPED_WORDS = frozenset(
     "sharing social related newsletter subscribe subscription login signup search complementary contentinfo "
     "alert pagination pager toolbar skip".split())
 
+# Inside articles a name drops an element only if it is made up of these words and of words for parts of a page.
+ASIDES = frozenset("comment comments respond reply replies disqus share sharing social related newsletter subscribe "
+                   "subscription sponsor sponsored sponsors promo advert advertisement ads ad".split())
+PARTS = frozenset("list area block box section wrapper container content thread form buttons button links link icons bar items "
+                  "post posts entry article widget media group row inner outer title heading body count main wrap".split())
+# A word behind one of these says what an element has beside it, not what it is.
+MODIFIERS = frozenset("has with without no not is show hide include includes js supports".split())
+
 SLUGGED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 section article".split())  # their ids name what the text is about
 
 _TOKEN = re.compile(
@@ -42,29 +50,42 @@ _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 class Node:
     """``label`` is the element with its first class or id; ``parts`` are child nodes and texts in order."""
 
-    __slots__ = ("tag", "label", "dropped", "parts")
+    __slots__ = ("tag", "label", "dropped", "hidden", "parts")
 
-    def __init__(self, tag: str, label: str, dropped: bool):
-        self.tag, self.label, self.dropped, self.parts = tag, label, dropped, []
+    def __init__(self, tag: str, label: str, dropped: bool, hidden: bool = False):
+        self.tag, self.label, self.dropped, self.hidden, self.parts = tag, label, dropped, hidden, []
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTR.finditer(raw)} if raw.strip(" /") else {}
 
 
+def _words(name: str) -> list[str]:
+    return [w.lower() for w in _SPLIT.split(name) if w]
+
+
 def _said(tag: str, attrs: dict[str, str], around: str) -> set[str]:
-    """The words that may drop an element: in an article, and for it, whole names of class and role only;
-    elsewhere also the parts of these names and the id: whole in main and where it is a slug, else in parts."""
-    names = f"{attrs.get('class', '')} {attrs.get('role', '')}"
-    said = set(names.lower().split())
+    """The words that may drop an element: whole names of class and role; outside articles also the id (whole in main and
+    where it is a slug) and the parts of these names unless a modifier is among them; in articles, of
+    blocks that are no headings or paragraphs, the parts of names and ids that are made up of ``ASIDES`` and ``PARTS``."""
+    names = f"{attrs.get('class', '')} {attrs.get('role', '')}".split()
+    said, own = {n.lower() for n in names}, attrs.get("id", "")
     if around == "article" or tag == "article":
+        if tag not in INLINE and tag not in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "article"):
+            for n in (*names, own):
+                parts = set(_words(n))
+                if parts & ASIDES and parts <= ASIDES | PARTS:
+                    said |= parts & DROPPED_WORDS
         return said
-    own = attrs.get("id", "")
     if around == "main" or tag in SLUGGED:
         said.add(own.lower())
     else:
-        names = f"{names} {own}"
-    return said.union(w.lower() for w in _SPLIT.split(names) if w)
+        names.append(own)
+    for n in names:
+        parts = _words(n)
+        if not MODIFIERS.intersection(parts):
+            said.update(parts)
+    return said
 
 
 def _new(tag: str, raw: str, around: str) -> Node:
@@ -78,7 +99,61 @@ def _new(tag: str, raw: str, around: str) -> Node:
     if tag in ("body", "html", "main"):
         dropped = hidden
     label = re.sub(r"\d+", "", (attrs.get("class") or attrs.get("id") or "").split(" ")[0])
-    return Node(tag, f"{tag}.{label}" if label else tag, dropped)
+    return Node(tag, f"{tag}.{label}" if label else tag, dropped, hidden)
+
+
+def _keep_main(root: Node) -> None:
+    """No element is dropped for what it is called if it holds main, or the article with the most text; and
+    where nothing would be left of a page, the outermost dropped elements that are no menus or the like stay."""
+    size: dict[int, int] = {}
+    parent: dict[int, Node] = {}
+    found: list[Node] = []
+    stack, order = [(root, False)], []
+    while stack:
+        node, hidden = stack.pop()
+        order.append(node)
+        if node.tag in ("main", "article") and not hidden:
+            found.append(node)
+        for x in node.parts:
+            if not isinstance(x, str):
+                parent[id(x)] = node
+                stack.append((x, hidden or x.hidden))
+    for node in reversed(order):
+        size[id(node)] = sum(len(x.strip()) if isinstance(x, str) else size[id(x)] for x in node.parts)
+    articles = [n for n in found if n.tag == "article"]
+    chosen = [n for n in found if n.tag == "main" and size[id(n)]] or (
+        [max(articles, key=lambda n: size[id(n)])] if articles else [])
+    for n in chosen:
+        while (n := parent.get(id(n))) is not None:
+            n.dropped = n.hidden
+
+    def left(node: Node) -> bool:
+        todo = [node]
+        while todo:
+            x = todo.pop()
+            if x.dropped:
+                continue
+            for y in x.parts:
+                if not isinstance(y, str):
+                    todo.append(y)
+                elif y.strip():
+                    return True
+        return False
+
+    while not left(root):
+        todo, named = [root], []
+        while todo:
+            x = todo.pop()
+            for y in x.parts:
+                if not isinstance(y, str):
+                    if not y.dropped:
+                        todo.append(y)
+                    elif not y.hidden and y.tag not in DROPPED and size[id(y)]:
+                        named.append(y)
+        if not named:
+            return
+        for x in named:
+            x.dropped = False
 
 
 def parse(page: str | None) -> Node:
@@ -92,6 +167,7 @@ def parse(page: str | None) -> Node:
         if m is None:
             if at < len(text):
                 stack[-1].parts.append(text[at:])
+            _keep_main(root)
             return root
         if m.start() > at:
             stack[-1].parts.append(text[at:m.start()])
@@ -124,8 +200,13 @@ def parse(page: str | None) -> Node:
             node = _new(tag, raw, around) if raw.strip(" /") else None
             if node is None or not node.dropped or raw.rstrip().endswith("/"):
                 continue
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)  # a hidden or advertising inline element
-            at = at if end is None else end.end()
+            depth, to = 1, at  # a hidden or advertising inline element, up to its own end
+            for x in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(text, at):
+                depth += -1 if x[1] else 0 if x[0].endswith("/>") else 1
+                if not depth:
+                    to = x.end()
+                    break
+            at = to
             continue
         if tag in CLOSES_P:
             for i in range(len(stack) - 1, 0, -1):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
-from strandline.llm import centroids, crosstok, factors
+from strandline.llm import centroids, crosstok, factors, mixing, packing, tokens, toxicity, warc, wrappers
 
 DOCS = "doc_id long, text string"
 
@@ -302,3 +302,112 @@ def test_limbs():
     for v in (0, 1, -1, 2 ** 39, 2 ** 40, -2 ** 40, 2 ** 63, -2 ** 90 + 12345, 10 ** 40):
         parts = list(centroids._limbs(v))
         assert sum(p << (centroids.LIMB * k) for k, p in parts) == v and all(abs(p) < 2 ** 41 for _, p in parts)
+
+
+# ---- cases found in earlier operators
+
+PLAIN_PAGES = [
+    ('<div id="page" class="site has-sidebar"><main><p>text</p></main></div>', "text"),
+    ('<div class="with-sidebar"><article><p>text</p></article></div>', "text"),
+    ('<div class="page social"><article><p>text</p></article></div>', "text"),
+    ('<div class="search results"><main><p>text</p></main></div>', "text"),
+    ('<form id="aspnetForm"><main><p>text</p></main><input></form>', "text"),
+    ('<article><p>text</p><section id="comments"><p>no</p></section><div class="comment-list">no</div>'
+     '<div class="social-share">no</div><section id="social-effects"><h2 id="related-work">Rel</h2><p>yes</p></section></article>',
+     "text Rel yes"),
+    ('<article><p>x <span class="ad">A<span>B</span>C</span> y</p></article>', "x y"),
+    ('<div class="search results"><div><p>only</p></div></div>', "only"),
+    ('<div class="sidebar-left"><p>x</p></div><div><p>body</p></div>', "body"),
+    ('<main><p>text</p></main><div id="thread"><article class="comment">nice</article></div>', "text"),
+    ('<div hidden><main>x</main></div>', ""), ("<nav>Home</nav>", "")]
+
+
+@pytest.mark.parametrize("page, want", PLAIN_PAGES)
+def test_no_page_is_lost(page, want):
+    assert wrappers.main_text(page, None, None) == want
+
+
+def plain_matching(a, b):
+    """The most nodes of an order-keeping, top-down match, by trying every choice."""
+    if a.label != b.label:
+        return 0
+
+    def best(x, y):
+        if not x or not y:
+            return 0
+        return max(best(x[1:], y), best(x, y[1:]), plain_matching(x[0], y[0]) + best(x[1:], y[1:]))
+
+    return 1 + best(a.kids, b.kids)
+
+
+def test_tree_matching_equals_every_choice():
+    rng = random.Random(6)
+
+    def tree(depth):
+        s = wrappers.Slot(rng.choice("ab"))
+        s.kids = [tree(depth - 1) for _ in range(rng.randrange(4))] if depth else []
+        return s
+
+    for _ in range(60):
+        a, b = tree(3), tree(3)
+        assert wrappers.matching(a, b, {}) == plain_matching(a, b)
+        if a.label == b.label:
+            pairs = wrappers.matched_kids(a, b, {})
+            assert pairs == sorted(pairs) and 1 + sum(plain_matching(a.kids[i], b.kids[j]) for i, j in pairs) == plain_matching(a, b)
+
+
+@pytest.mark.parametrize("ids", ["equal", "null", "some"])
+def test_mixing_takes_equal_rows_one_by_one(spark, ids):
+    text = " ".join(["w"] * 10)
+    rows = [(None if ids == "null" else 1 if ids == "equal" or i % 3 else i, text, "s") for i in range(1000)]
+    rows += [(5000 + i, text, "t") for i in range(250)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, keep=("doc_id", "text", "source")).collect()
+    assert len(got) == 1250
+    for s in "st":
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 10 and all(r["taken"] <= 20 for r in own)
+    again = mixing.mix(df).collect()
+    key = lambda r: (str(r["doc_id"]), r["taken"], r["source_size"])
+    assert sorted(map(key, again)) == sorted(map(key, got))
+
+
+def test_packing_spreads_equal_rows(spark):
+    df = spark.createDataFrame([(7, "the same words")] * 2000, DOCS)
+    got = packing.pack_documents(df, per_group=100).collect()
+    assert len({r["sequence_id"] >> 32 for r in got}) == 20 and len(got) == 2000
+
+
+def test_sample_bound_holds_for_repeated_ids(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "_learn", lambda texts, y, epochs, l1: (0.0, {f"n{len(texts)}": 1.0}))
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(300)], DOCS)
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0), (0, 1)], "doc_id long, toxic int")
+    _, weights = toxicity.fit(docs, labels, max_docs=10)
+    assert list(weights) == ["n3"] and not seen
+
+
+def test_cut_archives_raise(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}</p>") for i in range(20)], "page_id long, url string, html string")
+    folder = f"{tmp_path}/raw"
+    made = warc.write(pages.coalesce(1), folder)
+    path = f"{folder}/{made.first()['file']}"
+    whole = open(path, "rb").read()
+
+    def read(data):
+        import io
+        return sum(1 for _ in warc.records(warc.inflated(io.BytesIO(data))))
+
+    assert read(whole) == 20 and read(b"") == 0 and read(whole + whole) == 40
+    for cut in (1, 4, 8, 9, 30):
+        with pytest.raises(ValueError):
+            read(whole[:-cut])
+
+
+def test_very_long_white_space_is_encoded():
+    text = "a" + " " * 1_600_000 + "b"
+    ids = tokens.encoder()(text)
+    from tokenizers import Tokenizer
+    full = Tokenizer.from_file(tokens.tokenizer_path(tokens.TOKENIZER))
+    full.encode_special_tokens = True
+    assert ids.tolist() == full.encode(text, add_special_tokens=False).ids
