@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from strandline.functions.alignment import DUPLICATE, fragment_strand, has_flag
 from strandline.operators.coverage import depth, read_blocks
 from strandline.operators.intervals import overlap_join
+from strandline.operators.regions import interval_union
 from strandline.operators.schema import annotation_columns
 
 # Tool defaults.
 DETECTION_THRESHOLD = 5
 END_WINDOW = 50
+SECOND_MATE = 128  # the flag bit
 
 
 def read_class_rates(alignments: DataFrame, exons: DataFrame, genes: DataFrame, *, rrna_type: str = "rRNA") -> DataFrame:
@@ -23,24 +25,19 @@ def read_class_rates(alignments: DataFrame, exons: DataFrame, genes: DataFrame,
     exons, genes = annotation_columns(exons, parent_attribute="Parent"), annotation_columns(genes)
     blocks = read_blocks(uniq, extra={"a_strand": fragment_strand("flag"), "_dup": has_flag("flag", DUPLICATE)}) \
         .withColumnRenamed("chrom", "a_chrom").withColumnRenamed("start", "a_start").withColumnRenamed("end", "a_end")
-    e = exons.select(F.col("seqid").alias("e_chrom"), F.col("start_pos").alias("e_start"),
-                     F.col("end_pos").alias("e_end"), F.col("strand").alias("e_strand"),
-                     F.xxhash64("gene_id").alias("e_gene"))
-    je = overlap_join(blocks, e, left_cols=("a_chrom", "a_start", "a_end"), right_cols=("e_chrom", "e_start", "e_end"),
-                      how="left_bins")
-    per_e = je.groupBy("sample", "frag_id").agg(
-        F.min("e_gene").alias("_glo"), F.max("e_gene").alias("_ghi"), F.max("a_strand").alias("a_strand"),
-        F.max(F.when(F.col("e_strand") == F.col("a_strand"), 1).otherwise(0)).alias("_sense"),
-        F.max(F.col("_dup").cast("int")).alias("_dup"))
-    g = genes.select(F.col("seqid").alias("g_chrom"), F.col("start_pos").alias("g_start"),
-                     F.col("end_pos").alias("g_end"), F.col("type").alias("g_type"))
-    jg = overlap_join(blocks.select("sample", "frag_id", "a_chrom", "a_start", "a_end"), g,
-                      left_cols=("a_chrom", "a_start", "a_end"), right_cols=("g_chrom", "g_start", "g_end"),
-                      how="left_bins")
-    per_g = jg.groupBy("sample", "frag_id").agg(
+    # exons and genes as one set of regions: one join and one aggregation per read
+    def regions(df: DataFrame, gene, kind) -> DataFrame:
+        return df.select(F.col("seqid").alias("g_chrom"), F.col("start_pos").alias("g_start"), F.col("end_pos").alias("g_end"),
+                         F.col("strand").alias("g_strand"), gene.cast("long").alias("e_gene"), kind.cast("string").alias("g_type"))
+
+    r = regions(exons, F.xxhash64("gene_id"), F.lit(None)).unionByName(regions(genes, F.lit(None), F.coalesce("type", F.lit(""))))
+    j = overlap_join(blocks, r, left_cols=("a_chrom", "a_start", "a_end"), right_cols=("g_chrom", "g_start", "g_end"), how="left_bins")
+    r = j.groupBy("sample", "frag_id").agg(
+        F.min("e_gene").alias("_glo"), F.max("e_gene").alias("_ghi"),
+        F.max((F.col("e_gene").isNotNull() & (F.col("g_strand") == F.col("a_strand"))).cast("int")).alias("_sense"),
+        F.max(F.col("_dup").cast("int")).alias("_dup"),
         F.max(F.when(F.col("g_type").isNotNull(), 1).otherwise(0)).alias("_in_gene"),
         F.max(F.when(F.col("g_type") == rrna_type, 1).otherwise(0)).alias("_rrna"))
-    r = per_e.join(per_g, ["sample", "frag_id"])
     cls = (F.when(F.col("_glo").isNotNull() & (F.col("_glo") != F.col("_ghi")), "ambiguous")
            .when(F.col("_glo").isNotNull(), "exonic").when(F.col("_in_gene") == 1, "intronic").otherwise("intergenic"))
     r = r.withColumn("_c", cls)
@@ -69,6 +66,50 @@ def gene_tpm(counts: DataFrame, lengths: DataFrame) -> DataFrame:
         "sample", "gene_id", "count", F.round(F.col("_rate") / F.col("_tot") * 1e6, 6).alias("tpm"))
 
 
+def read_exons(alignments: DataFrame, exons: DataFrame) -> DataFrame:
+    """(sample, frag_id, mate, gene_id, exon_id, exon_length, share): the exons that each uniquely mapped read of one gene
+    touches, with its share of bases in each (a read's shares add up to 1).  Exons are the merged exons of all transcripts of a
+    gene, numbered along the contig; reads that touch exons of several genes are left out.  One interval join serves
+    the exon and the gene table."""
+    uniq = alignments.where(F.coalesce(F.col("nh"), F.lit(1)) <= 1) if "nh" in alignments.columns else alignments
+    merged = interval_union(annotation_columns(exons, parent_attribute="Parent"), group=["seqid", "gene_id"])
+    order = Window.partitionBy("gene_id").orderBy("seqid", "start_pos")  # the exons of one gene
+    e = merged.select(F.col("seqid").alias("e_chrom"), F.col("start_pos").alias("e_start"), F.col("end_pos").alias("e_end"), "gene_id",
+                      F.concat("gene_id", F.lit("_"), F.row_number().over(order).cast("string")).alias("exon_id"))
+    blocks = read_blocks(uniq, extra={"mate": F.when(has_flag("flag", SECOND_MATE), 2).otherwise(1)}) \
+        .withColumnRenamed("chrom", "a_chrom").withColumnRenamed("start", "a_start").withColumnRenamed("end", "a_end")
+    j = overlap_join(blocks, e, left_cols=("a_chrom", "a_start", "a_end"), right_cols=("e_chrom", "e_start", "e_end"))
+    bases = F.least("a_end", "e_end") - F.greatest("a_start", "e_start") + 1
+    per = j.groupBy("sample", "frag_id", "mate").agg(  # a read touches a few exons
+        F.min("gene_id").alias("_lo"), F.max("gene_id").alias("_hi"), F.sum(bases).alias("_all"),
+        F.collect_list(F.struct("exon_id", (F.col("e_end") - F.col("e_start") + 1).alias("exon_length"), bases.alias("n"))).alias("_e"))
+    one = per.where(F.col("_lo") == F.col("_hi")).select("sample", "frag_id", "mate", F.col("_lo").alias("gene_id"), "_all", F.inline("_e"))
+    return one.groupBy("sample", "frag_id", "mate", "gene_id", "exon_id", "exon_length").agg(
+        F.sum(F.col("n") / F.col("_all")).alias("share"))
+
+
+def exon_tpm(hits: DataFrame) -> DataFrame:
+    """(sample, gene_id, exon_id, reads, fragments, tpm): reads by their shares, fragments with a mate in the exon, and
+    TPM over exon lengths.  ``hits``: ``read_exons``."""
+    per = hits.groupBy("sample", "gene_id", "exon_id", "exon_length", "frag_id").agg(F.sum("share").alias("_s")) \
+        .groupBy("sample", "gene_id", "exon_id", "exon_length").agg(F.sum("_s").alias("_reads"), F.count(F.lit(1)).alias("fragments"))
+    rate = F.col("_reads") / F.col("exon_length")
+    tot = F.broadcast(per.groupBy("sample").agg(F.sum(rate).alias("_tot")))  # one row per sample
+    return per.join(tot, "sample").select("sample", "gene_id", "exon_id", F.round("_reads", 6).alias("reads"), "fragments",
+                                          F.round(rate / F.col("_tot") * 1e6, 6).alias("tpm"))
+
+
+def gene_table(hits: DataFrame, exons: DataFrame) -> DataFrame:
+    """(sample, gene_id, reads, fragments, tpm): reads and fragments of each gene, and TPM over its exonic length."""
+    length = interval_union(annotation_columns(exons, parent_attribute="Parent"), group=["seqid", "gene_id"]).groupBy("gene_id").agg(
+        F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("_len"))
+    per = hits.groupBy("sample", "gene_id", "frag_id").agg(F.count_distinct("mate").alias("_m")).groupBy("sample", "gene_id").agg(
+        F.sum("_m").alias("reads"), F.count(F.lit(1)).alias("fragments")).join(length, "gene_id")
+    rate = F.col("reads") / F.col("_len")
+    tot = F.broadcast(per.groupBy("sample").agg(F.sum(rate).alias("_tot")))
+    return per.join(tot, "sample").select("sample", "gene_id", "reads", "fragments", F.round(rate / F.col("_tot") * 1e6, 6).alias("tpm"))
+
+
 def _gene_depth(alignments: DataFrame, regions: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(sample, gene_id, depth, n_bases, *extra) for every overlap of a depth segment with a region."""
     seg = depth(alignments)

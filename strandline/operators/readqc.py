@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import base_count, gc_count, quals
+from strandline.session import ensure_checkpoint_dir
 
 # Percentiles of the per-base quality plot.
 QUALITY_PERCENTILES = {"p10": 10, "q1": 25, "median": 50, "q3": 75, "p90": 90}
@@ -53,7 +54,10 @@ def per_base_quality(reads: DataFrame) -> DataFrame:
     Percentile p is the smallest quality whose cumulative count reaches
     max(1, floor(total * p / 100)) — computed on the histogram, so exact.
     """
-    h = quality_histogram(reads)
+    return _quality_of(quality_histogram(reads))
+
+
+def _quality_of(h: DataFrame) -> DataFrame:
     w = Window.partitionBy("sample", "position").orderBy("q").rowsBetween(Window.unboundedPreceding, 0)
     h = h.withColumn("_cum", F.sum("n").over(w)) \
          .withColumn("_tot", F.sum("n").over(Window.partitionBy("sample", "position")))
@@ -81,7 +85,10 @@ def _base_histogram(reads: DataFrame) -> DataFrame:
 @per_mate
 def per_base_content(reads: DataFrame) -> DataFrame:
     """Q3: per (sample, position): % of A, C, G, T among called (A/C/G/T) bases."""
-    h = _base_histogram(reads)
+    return _content_of(_base_histogram(reads))
+
+
+def _content_of(h: DataFrame) -> DataFrame:
     s = lambda b: F.sum(F.when(F.col("base") == b, F.col("n")).otherwise(0))
     acgt = F.sum(F.when(F.col("base").isin("A", "C", "G", "T"), F.col("n")).otherwise(0))
     r = h.groupBy("sample", "position").agg(*[s(b).alias(f"_n{b}") for b in "ACGT"], acgt.alias("_total"))
@@ -101,7 +108,10 @@ def gc_distribution(reads: DataFrame) -> DataFrame:
 @per_mate
 def per_base_n(reads: DataFrame) -> DataFrame:
     """Q5: per (sample, position): % of bases called N."""
-    h = _base_histogram(reads)
+    return _n_of(_base_histogram(reads))
+
+
+def _n_of(h: DataFrame) -> DataFrame:
     r = h.groupBy("sample", "position").agg(
         F.sum(F.when(F.col("base") == "N", F.col("n")).otherwise(0)).alias("_n"), F.sum("n").alias("_t"))
     return r.select("sample", "position", F.round(F.col("_n") * 100.0 / F.col("_t"), 6).alias("pct_n"))
@@ -123,37 +133,60 @@ def _level_label(copies):
 @per_mate
 def duplication_levels(reads: DataFrame) -> DataFrame:
     """Q7: per sample and duplication level, the number of distinct sequences and of reads."""
-    per_seq = reads.groupBy("sample", "seq").agg(F.count(F.lit(1)).alias("_copies"))
-    return per_seq.groupBy("sample", _level_label(F.col("_copies")).alias("level")).agg(
-        F.count(F.lit(1)).alias("sequences"), F.sum("_copies").alias("reads"))
+    return _levels_of(_sequence_counts(reads).groupBy("sample", "copies").agg(F.count(F.lit(1)).alias("sequences")))
+
+
+def _levels_of(copies: DataFrame) -> DataFrame:
+    return copies.groupBy("sample", _level_label(F.col("copies")).alias("level")).agg(
+        F.sum("sequences").alias("sequences"), F.sum(F.col("copies") * F.col("sequences")).alias("reads"))
+
+
+def _sequence_key() -> list[Column]:
+    """Two 64-bit hashes stand for a sequence: 16 bytes are shuffled instead of the read."""
+    return [F.xxhash64("seq").alias("h1"), F.xxhash64(F.reverse("seq"), F.length("seq")).alias("h2")]
+
+
+def _sequence_counts(reads: DataFrame) -> DataFrame:
+    """(sample, h1, h2, copies): how often each sequence occurs."""
+    return reads.select("sample", *_sequence_key()).groupBy("sample", "h1", "h2").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @per_mate
 def overrepresented_sequences(reads: DataFrame, *, share: float = OVERREPRESENTED_SHARE) -> DataFrame:
-    """Q8: sequences making up more than ``share`` of a sample's reads."""
-    per_seq = reads.groupBy("sample", "seq").agg(F.count(F.lit(1)).alias("count"))
-    totals = reads.groupBy("sample").agg(F.count(F.lit(1)).alias("_total"))
-    j = per_seq.join(F.broadcast(totals), "sample")  # one row per sample
-    return j.where(F.col("count") > F.col("_total") * share).select(
-        "sample", "seq", "count", F.round(F.col("count") * 100.0 / F.col("_total"), 6).alias("percentage"))
+    """Q8: sequences making up more than ``share`` of a sample's reads.
+
+    Sequences are counted by their hashes; only for those above the share (at most 1 / ``share`` per sample) the
+    letters are fetched."""
+    copies = _sequence_counts(reads)
+    totals = F.broadcast(copies.groupBy("sample").agg(F.sum("copies").alias("_total")))  # one row per sample
+    many = copies.join(totals, "sample").where(F.col("copies") > F.col("_total") * share)
+    letters = reads.select("sample", "seq", *_sequence_key()).join(F.broadcast(many), ["sample", "h1", "h2"])
+    return letters.groupBy("sample", "h1", "h2", "copies", "_total").agg(F.min("seq").alias("seq")).select(
+        "sample", "seq", F.col("copies").alias("count"), F.round(F.col("copies") * 100.0 / F.col("_total"), 6).alias("percentage"))
 
 
 @per_mate
 def adapter_content(reads: DataFrame, adapters: list[tuple[str, str]] = ADAPTERS) -> DataFrame:
     """Q9: per (sample, adapter, position): % of reads with the adapter starting at or before the position."""
-    # first 1-based start of each adapter in each read (0 = absent), evaluated per row in the JVM
-    firsts = F.array(*[F.struct(F.lit(n).alias("adapter"), F.instr("seq", s).alias("_first")) for n, s in adapters])
-    hits = reads.select("sample", F.explode(firsts).alias("_a")).select("sample", "_a.adapter", "_a._first")
-    first = hits.where(F.col("_first") > 0).groupBy("sample", "adapter", F.col("_first").alias("position")) \
-        .agg(F.count(F.lit(1)).alias("_n"))
+    first = reads.select("sample", F.explode(_adapter_starts(adapters)).alias("_a")).select("sample", "_a.adapter", "_a.position") \
+        .where(F.col("position") > 0).groupBy("sample", "adapter", "position").agg(F.count(F.lit(1)).alias("n"))
     totals = reads.groupBy("sample").agg(F.count(F.lit(1)).alias("_total"), F.max(F.length("seq")).alias("_len"))
+    return _adapters_of(first, totals, adapters)
+
+
+def _adapter_starts(adapters: list[tuple[str, str]]) -> Column:
+    """First 1-based start of each adapter (0 = absent), evaluated per row in the JVM."""
+    return F.array(*[F.struct(F.lit(n).alias("adapter"), F.instr("seq", s).alias("position")) for n, s in adapters])
+
+
+def _adapters_of(first: DataFrame, totals: DataFrame, adapters: list[tuple[str, str]]) -> DataFrame:
     grid = totals.select("sample", "_total", F.explode(F.sequence(F.lit(1), F.col("_len"))).alias("position")) \
         .select("sample", "_total", "position",
                 F.explode(F.array(*[F.lit(n) for n, _ in adapters])).alias("adapter"))
     g = grid.join(first, ["sample", "adapter", "position"], "left")
     w = Window.partitionBy("sample", "adapter").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     return g.select("sample", "adapter", "position",
-                    F.round(F.sum(F.coalesce(F.col("_n"), F.lit(0))).over(w) * 100.0 / F.col("_total"), 6)
+                    F.round(F.sum(F.coalesce(F.col("n"), F.lit(0))).over(w) * 100.0 / F.col("_total"), 6)
                     .alias("pct_reads"))
 
 
@@ -166,40 +199,101 @@ def basic_stats(reads: DataFrame) -> DataFrame:
         F.round(F.sum(gc_count("seq")) * 100.0 / F.sum(base_count("seq", "ACGTacgt")), 6).alias("pct_gc"))
 
 
+# kinds of a profile: base quality, base, mean quality, GC %, length, adapter start, copies of a sequence
+_Q, _B, _M, _G, _L, _A, _C = "q", "b", "m", "g", "l", "a", "c"
+
+
+@per_mate
+def read_profile(reads: DataFrame, adapters: list[tuple[str, str]] = ADAPTERS) -> DataFrame:
+    """(sample, kind, position, value, n): everything the QC modules count, from one scan of the reads.
+
+    A read becomes tagged (kind, position, value) entries that are counted at once; a sequence is an entry of its two
+    hashes, whose counts are then counted themselves.  What is left has a few rows per sample, position and
+    value, however many reads there are."""
+    def entry(kind: str, position: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), position.cast("long").alias("position"), value.cast("long").alias("value"))
+
+    none, at = F.lit(0), lambda i: i + 1
+    scores = F.coalesce(quals("qual"), F.array().cast("array<int>"))
+    letters = F.coalesce(F.split("seq", ""), F.array().cast("array<string>"))
+    mean = F.floor(F.aggregate(quals("qual"), F.lit(0).cast("bigint"), lambda a, x: a + x) / F.size(quals("qual")))
+    acgt = base_count("seq", "ACGTacgt")
+    h1, h2 = _sequence_key()
+    single = F.array_compact(F.array(
+        F.when(F.length("qual") > 0, entry(_M, none, mean)), F.when(acgt > 0, entry(_G, none, F.round(gc_count("seq") * 100.0 / acgt))),
+        entry(_L, none, F.length("seq")), entry(_C, h1, h2),
+        *[F.when(F.instr("seq", s) > 0, entry(_A, F.instr("seq", s), F.lit(k))) for k, (_, s) in enumerate(adapters)]))
+    x = reads.select("sample", F.inline(F.concat(
+        F.transform(scores, lambda q, i: entry(_Q, at(i), q)), F.transform(letters, lambda c, i: entry(_B, at(i), F.ascii(c))), single)))
+    n = x.groupBy("sample", "kind", "position", "value").agg(F.count(F.lit(1)).alias("n"))
+    copies = F.col("kind") == _C
+    return n.groupBy("sample", "kind", F.when(copies, F.lit(0)).otherwise(F.col("position")).cast("long").alias("position"),
+                     F.when(copies, F.col("n")).otherwise(F.col("value")).alias("value")).agg(
+        F.sum(F.when(copies, F.lit(1)).otherwise(F.col("n"))).alias("n"))
+
+
+def profile_tables(profile: DataFrame, adapters: list[tuple[str, str]] = ADAPTERS) -> dict[str, DataFrame]:
+    """The tables of Q1-Q7, Q9 and Q10 from a ``read_profile``."""
+    if "mate" in profile.columns:
+        unit = profile.withColumn("sample", F.struct("sample", "mate")).drop("mate")
+        return {k: t.select("sample.sample", "sample.mate", *[c for c in t.columns if c != "sample"])
+                for k, t in profile_tables(unit, adapters).items()}
+
+    def kind(k: str) -> DataFrame:
+        return profile.where(F.col("kind") == k)
+
+    def per_value(k: str, name: str) -> DataFrame:
+        return kind(k).select("sample", F.col("value").cast("int").alias(name), F.col("n").alias("reads"))
+
+    bases = kind(_B).select("sample", F.col("position").cast("int").alias("position"), F.char(F.col("value")).alias("base"), "n")
+    lengths = kind(_L).groupBy("sample").agg(F.sum("n").alias("total_sequences"), F.min("value").cast("int").alias("min_length"),
+                                             F.max("value").cast("int").alias("max_length"))
+    called = bases.groupBy("sample").agg(
+        F.round(F.sum(F.when(F.col("base").isin("G", "C", "g", "c"), F.col("n")).otherwise(0)) * 100.0
+                / F.sum(F.when(F.col("base").isin(*"ACGTacgt"), F.col("n")).otherwise(0)), 6).alias("pct_gc"))
+    names = F.array(*[F.lit(n) for n, _ in adapters])
+    first = kind(_A).select("sample", names[F.col("value").cast("int")].alias("adapter"), F.col("position").cast("int").alias("position"), "n")
+    totals = lengths.select("sample", F.col("total_sequences").alias("_total"), F.col("max_length").alias("_len"))
+    return {
+        "per_base_quality": _quality_of(kind(_Q).select("sample", F.col("position").cast("int").alias("position"),
+                                                        F.col("value").cast("int").alias("q"), "n")),
+        "per_read_quality": per_value(_M, "mean_quality"), "per_base_content": _content_of(bases),
+        "gc_distribution": per_value(_G, "gc_percent"), "per_base_n": _n_of(bases), "length_distribution": per_value(_L, "length"),
+        "duplication_levels": _levels_of(kind(_C).select("sample", F.col("value").alias("copies"), F.col("n").alias("sequences"))),
+        "adapter_content": _adapters_of(first, totals, adapters), "basic_stats": lengths.join(called, "sample", "left"),
+        "most_copies": kind(_C).groupBy("sample").agg(F.max("value").alias("copies"), F.sum(F.col("value") * F.col("n")).alias("reads"))}
+
+
 @per_mate
 def qc_status(reads: DataFrame) -> DataFrame:
-    """Q11: pass / warn / fail per (sample, module) with the tool's published thresholds."""
-    pbq = per_base_quality(reads).groupBy("sample").agg(F.min("q1").alias("_lq"), F.min("median").alias("_med"))
-    m1 = pbq.select("sample", F.lit("per_base_sequence_quality").alias("module"),
-                    F.when((F.col("_lq") < 5) | (F.col("_med") < 20), "fail")
-                    .when((F.col("_lq") < 10) | (F.col("_med") < 25), "warn").otherwise("pass").alias("status"))
-    pbn = per_base_n(reads).groupBy("sample").agg(F.max("pct_n").alias("_n"))
-    m2 = pbn.select("sample", F.lit("per_base_n_content").alias("module"),
-                    F.when(F.col("_n") > 20, "fail").when(F.col("_n") > 5, "warn").otherwise("pass").alias("status"))
-    ln = reads.groupBy("sample").agg(F.min(F.length("seq")).alias("_lo"), F.max(F.length("seq")).alias("_hi"))
-    m3 = ln.select("sample", F.lit("sequence_length_distribution").alias("module"),
-                   F.when(F.col("_lo") == 0, "fail").when(F.col("_lo") != F.col("_hi"), "warn").otherwise("pass")
-                   .alias("status"))
-    ov = overrepresented_sequences(reads).groupBy("sample").agg(F.max("percentage").alias("_p"))
-    m4 = reads.select("sample").distinct().join(ov, "sample", "left").select(
-        "sample", F.lit("overrepresented_sequences").alias("module"),
-        F.when(F.col("_p") > 1, "fail").when(F.col("_p") > 0.1, "warn").otherwise("pass").alias("status"))
-    by_mean = per_read_quality(reads).groupBy("sample").agg(
-        F.min(F.struct(-F.col("reads"), F.col("mean_quality"))).alias("_m"))
-    m5 = by_mean.select("sample", F.lit("per_sequence_quality_scores").alias("module"),
-                        _grade(F.col("_m.mean_quality") < 20, F.col("_m.mean_quality") < 27))
+    """Q11: pass / warn / fail per (sample, module) with the tool's published thresholds.  The reads are scanned once
+    (``read_profile``); the small profile is checkpointed and feeds all modules."""
+    ensure_checkpoint_dir(reads.sparkSession)
+    t = profile_tables(read_profile(reads).checkpoint())
+
+    def graded(table: DataFrame, module: str, fail: Column, warn: Column) -> DataFrame:
+        return table.select("sample", F.lit(module).alias("module"), _grade(fail, warn))
+
+    quality = t["per_base_quality"].groupBy("sample").agg(F.min("q1").alias("_lq"), F.min("median").alias("_med"))
+    n = t["per_base_n"].groupBy("sample").agg(F.max("pct_n").alias("_n"))
+    most = t["most_copies"].withColumn("_p", F.when(F.col("copies") > F.col("reads") * OVERREPRESENTED_SHARE,
+                                                    F.round(F.col("copies") * 100.0 / F.col("reads"), 6)))
+    by_mean = t["per_read_quality"].groupBy("sample").agg(F.min(F.struct(-F.col("reads"), F.col("mean_quality"))).alias("_m"))
     gap = F.greatest(F.abs(F.col("pct_A") - F.col("pct_T")), F.abs(F.col("pct_G") - F.col("pct_C")))
-    content = per_base_content(reads).groupBy("sample").agg(F.max(gap).alias("_g"))
-    m6 = content.select("sample", F.lit("per_base_sequence_content").alias("module"),
-                        _grade(F.col("_g") > 20, F.col("_g") > 10))
-    levels = duplication_levels(reads).groupBy("sample").agg(
-        (100 - F.sum("sequences") * 100.0 / F.sum("reads")).alias("_d"))
-    m7 = levels.select("sample", F.lit("sequence_duplication_levels").alias("module"),
-                       _grade(F.col("_d") > 50, F.col("_d") > 20))
-    adapters = adapter_content(reads).groupBy("sample").agg(F.max("pct_reads").alias("_a"))
-    m8 = adapters.select("sample", F.lit("adapter_content").alias("module"), _grade(F.col("_a") > 10, F.col("_a") > 5))
-    out = m1
-    for m in (m2, m3, m4, m5, m6, m7, m8):
+    content = t["per_base_content"].groupBy("sample").agg(F.max(gap).alias("_g"))
+    levels = t["duplication_levels"].groupBy("sample").agg((100 - F.sum("sequences") * 100.0 / F.sum("reads")).alias("_d"))
+    adapters = t["adapter_content"].groupBy("sample").agg(F.max("pct_reads").alias("_a"))
+    parts = [
+        graded(quality, "per_base_sequence_quality", (F.col("_lq") < 5) | (F.col("_med") < 20), (F.col("_lq") < 10) | (F.col("_med") < 25)),
+        graded(n, "per_base_n_content", F.col("_n") > 20, F.col("_n") > 5),
+        graded(t["basic_stats"], "sequence_length_distribution", F.col("min_length") == 0, F.col("min_length") != F.col("max_length")),
+        graded(most, "overrepresented_sequences", F.col("_p") > 1, F.col("_p") > 0.1),
+        graded(by_mean, "per_sequence_quality_scores", F.col("_m.mean_quality") < 20, F.col("_m.mean_quality") < 27),
+        graded(content, "per_base_sequence_content", F.col("_g") > 20, F.col("_g") > 10),
+        graded(levels, "sequence_duplication_levels", F.col("_d") > 50, F.col("_d") > 20),
+        graded(adapters, "adapter_content", F.col("_a") > 10, F.col("_a") > 5)]
+    out = parts[0]
+    for m in parts[1:]:
         out = out.unionByName(m)
     return out
 

@@ -168,6 +168,53 @@ def q_gene_tpm(spark, sf_dir):
     return N.gene_tpm(_counts0(spark, sf_dir), lengths)
 
 
+_READ_EXONS = """
+reached as (select *, max(end_pos) over (partition by seqid, gene_id order by start_pos, end_pos rows between unbounded preceding and 1 preceding) as r
+            from fx_transcripts),
+island as (select *, sum(case when r is null or start_pos > r + 1 then 1 else 0 end)
+             over (partition by seqid, gene_id order by start_pos, end_pos rows unbounded preceding) as i from reached),
+merged as (select seqid, gene_id, min(start_pos) as s, max(end_pos) as e from island group by seqid, gene_id, i),
+ex as (select *, concat(gene_id, '_', cast(row_number() over (partition by gene_id order by seqid, s) as varchar)) as exon_id, e - s + 1 as len from merged),
+al as (select sample, frag_id, 1 as mate, ref, pos1 as a, end1 as b from fx_pairs union all
+       select sample, frag_id, 2, ref, pos2, end2 from fx_pairs),
+j as (select al.*, ex.gene_id, exon_id, len, least(b, e) - greatest(a, s) + 1 as n from al join ex on ex.seqid = al.ref and a <= e and s <= b),
+one as (select sample, frag_id, mate, sum(n) as total from j group by all having count(distinct gene_id) = 1),
+hits as (select j.*, n / total as share from j join one using (sample, frag_id, mate))"""
+
+
+def _pair_alignments(spark, sf_dir):
+    """Both mates of the pairs as alignments."""
+    p = fx.fx_pairs(spark, sf_dir)
+    return p.select("sample", "frag_id", "ref", F.lit(1).alias("nh"), F.inline(F.array(
+        F.struct(F.lit(67).alias("flag"), F.col("pos1").alias("pos"), F.concat((F.col("end1") - F.col("pos1") + 1).cast("string"), F.lit("M")).alias("cigar")),
+        F.struct(F.lit(131).alias("flag"), F.col("pos2").alias("pos"), F.concat((F.col("end2") - F.col("pos2") + 1).cast("string"), F.lit("M")).alias("cigar")))))
+
+
+def _read_exons(spark, sf_dir):
+    return N.read_exons(_pair_alignments(spark, sf_dir), fx.fx_transcripts(spark, sf_dir))
+
+
+@query("exon_tpm", oracle=f"""
+with {_READ_EXONS},
+r as (select sample, gene_id, exon_id, len, sum(share) as reads, count(distinct frag_id) as fragments from hits group by all)
+select sample, gene_id, exon_id, round(reads, 6) as reads, fragments,
+  round(reads / len / sum(reads / len) over (partition by sample) * 1e6, 6) as tpm from r""")
+def q_exon_tpm(spark, sf_dir):
+    """The exon table of pairs over genes with several transcripts."""
+    return N.exon_tpm(_read_exons(spark, sf_dir))
+
+
+@query("gene_table", oracle=f"""
+with {_READ_EXONS},
+l as (select gene_id, cast(sum(len) as bigint) as len from ex group by gene_id),
+r as (select sample, gene_id, count(distinct (frag_id, mate)) as reads, count(distinct frag_id) as fragments from hits group by all)
+select sample, r.gene_id, reads, fragments, round(reads / len / sum(reads / len) over (partition by sample) * 1e6, 6) as tpm
+from r join l on l.gene_id = r.gene_id""")
+def q_gene_table(spark, sf_dir):
+    """Reads, fragments and TPM of each gene."""
+    return N.gene_table(_read_exons(spark, sf_dir), fx.fx_transcripts(spark, sf_dir))
+
+
 @query("coverage_stats", oracle=f"""
 with {_BLOCKS},
 len as (select gene_id, sum(end_pos - start_pos + 1) as l from fx_exons group by gene_id),
