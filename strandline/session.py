@@ -21,7 +21,11 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # GFF attribute columns may repeat a key; the last one wins.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Filters on the FASTQ source reach the files.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
+# Spark's own defaults of these settings, which stand for unset.
+_SPARK_DEFAULTS = {"spark.sql.mapKeyDedupPolicy": "EXCEPTION", "spark.sql.python.filterPushdown.enabled": "false"}
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -56,8 +60,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply library defaults to an existing session without overriding user values."""
     ship_code()
     for key, value in _DEFAULTS.items():
-        # Spark's own default of the map policy raises on repeated keys; anything else was chosen by the user
-        if spark.conf.get(key, None) in (None, "EXCEPTION"):
+        chosen = spark.sparkContext.getConf().contains(key)  # by whoever launched the job
+        if not chosen and spark.conf.get(key, None) in (None, _SPARK_DEFAULTS.get(key)):
             spark.conf.set(key, value)
     return spark
 

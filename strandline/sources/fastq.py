@@ -8,8 +8,12 @@ seq, qual, handed over in Arrow batches.  Paths are local ones or URIs of any fi
 knows (``file:``, ``hdfs:``, ``s3:``, ``gs:``), listed and opened through it, so files need only be on shared
 storage.  ``max_reads`` stops each file after n records (the first-n screen
 input), so the rest of a large file is never decompressed.  A file is one partition, since gzip is not
-splittable; ``split_bytes`` reads plain files in byte ranges instead, where ``ordinal`` is the
-record's byte offset (growing along the file, not dense).  Land the result
+splittable; ``split_bytes`` reads plain and block-gzip files in byte ranges instead, where ``ordinal`` is the
+record's byte offset (growing along the file, not dense); in block-gzip files, whose blocks of at most 64 KB can
+be inflated one by one, it is the virtual offset: the block's offset times 65,536 plus the offset inside it.
+
+Filters on ``sample`` and ``mate`` leave out whole files, a filter ``ordinal < n`` ends each file after n
+records (``spark.sql.python.filterPushdown.enabled``, which ``session.configure`` sets).  Land the result
 once as Parquet: every later job then reads a splittable, column-pruned table.
 """
 
@@ -19,8 +23,10 @@ import fnmatch
 import io
 import os
 import re
+import struct
+import zlib
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import LongType, StringType, StructField, StructType, ByteType
 
 BATCH_RECORDS = 8192
@@ -85,34 +91,126 @@ def _lines(stream, at: int):
         at += len(line)
 
 
-def _next_record(system, inner: str, start: int) -> int:
-    """Offset of the first record that begins at ``start`` or later: an @ line whose next but one is a + line, with
-    sequence and qualities of one length."""
-    with system.open_input_file(inner) as f:
-        size = f.size()
-        f.seek(start - 1)
-        window, first = [], True
-        for offset, line in _lines(f, start - 1):
-            if first:  # the rest of the line that the range begins in
-                first = False
-                continue
-            window.append((offset, line))
-            if len(window) == 4:
-                (at, head), (_, seq), (_, plus), (_, qual) = window
-                if head[:1] == b"@" and plus[:1] == b"+" and len(seq.rstrip()) == len(qual.rstrip()):
-                    return at
-                window.pop(0)
-        return size
+def _from_record(lines):
+    """``lines`` from the first record on: an @ line whose next but one is a + line, with sequence and qualities of one
+    length.  The first line given is what is left of the line that the range begins in."""
+    next(lines, None)
+    window = []
+    for pair in lines:
+        window.append(pair)
+        if len(window) == 4:
+            (_, head), (_, seq), (_, plus), (_, qual) = window
+            if head[:1] == b"@" and plus[:1] == b"+" and len(seq.rstrip()) == len(qual.rstrip()):
+                yield from window
+                yield from lines
+                return
+            window.pop(0)
+
+
+BLOCK_MAX = 1 << 16  # fixed value: no block of a block-gzip file is longer
+
+
+def _block_size(head: bytes) -> int:
+    """Length of the block-gzip block that begins with ``head``, 0 if none does."""
+    if len(head) < 18 or head[:4] != b"\x1f\x8b\x08\x04":
+        return 0
+    extra, at = head[12:12 + struct.unpack_from("<H", head, 10)[0]], 0
+    while at + 4 <= len(extra):
+        name, n = extra[at:at + 2], struct.unpack_from("<H", extra, at + 2)[0]
+        if name == b"BC" and n == 2 and at + 6 <= len(extra):
+            return struct.unpack_from("<H", extra, at + 4)[0] + 1
+        at += 4 + n
+    return 0
+
+
+def _blocks(f, at: int):
+    """(offset, bytes) of each block from ``at`` to the end of a block-gzip file."""
+    size = f.size()
+    while at < size:
+        f.seek(at)
+        head = f.read(min(BLOCK_MAX, size - at))
+        n = _block_size(head)
+        if not n or n > len(head):
+            raise ValueError(f"no block-gzip block at {at}")
+        yield at, zlib.decompress(head[:n], 31)
+        at += n
+
+
+def _block_before(f, start: int) -> int:
+    """Offset of a block that begins before ``start`` and ends at or behind it, or of one before that: a place in the
+    64 KB before from which headers chain up to ``start``."""
+    low = max(0, start - 2 * BLOCK_MAX)
+    if not low:
+        return 0
+    f.seek(low)
+    data = f.read(min(f.size(), start + 3 * BLOCK_MAX) - low)
+    at = data.find(b"\x1f\x8b\x08\x04")
+    while 0 <= at < start - low:
+        p, steps = at, 0
+        while (n := _block_size(data[p:p + 512])) and p + n <= len(data):
+            p, steps = p + n, steps + 1
+            if p >= start - low and steps > 1 and (p == len(data) or _block_size(data[p:p + 512])):
+                return low + at
+        at = data.find(b"\x1f\x8b\x08\x04", at + 1)
+    raise ValueError(f"no block-gzip block near {start}")
+
+
+def _block_lines(blocks):
+    """(virtual offset, line) of consecutive blocks."""
+    rest, begun = b"", None
+    for at, data in blocks:
+        lo = 0
+        while (end := data.find(b"\n", lo)) >= 0:
+            yield (begun if rest else at << 16 | lo), rest + data[lo:end + 1]
+            rest, lo = b"", end + 1
+        if lo < len(data):
+            begun = begun if rest else at << 16 | lo
+            rest += data[lo:]
+    if rest:
+        yield begun, rest
+
+
+def _block_range(f, start: int):
+    """(virtual offset, line) from the end of the line that is open when the block at or behind ``start`` begins."""
+    def seen():
+        last = b"\n"
+        for at, data in _blocks(f, _block_before(f, start)):
+            if at < start:
+                last = data[-1:] or last
+            else:
+                if last is not None:
+                    # one byte of what came before, so that a line that begins with the block is not taken for a rest
+                    yield None, last
+                    last = None
+                yield at, data
+
+    blocks = seen()
+    first = next(blocks, None)
+    if first is None:
+        return
+    lines = _block_lines(blocks)
+    if first[1] == b"\n":
+        yield start << 16, b"\n"  # the line before is whole
+    yield from lines
 
 
 class FastqReader(DataSourceReader):
     def __init__(self, files: list[tuple[str, int]], readtag: str, max_reads: int, split_bytes: int):
         self.files, self.readtag, self.max_reads, self.split_bytes = files, readtag, max_reads, split_bytes
 
+    @staticmethod
+    def _splits(path: str) -> bool:
+        """Plain files, and gzip files whose first member is a block."""
+        if not path.endswith(".gz"):
+            return True
+        system, inner = _file_system(path)
+        with system.open_input_file(inner) as f:
+            return _block_size(f.read(512)) > 0
+
     def partitions(self):
         out = []
         for path, size in self.files:
-            if self.split_bytes > 0 and not path.endswith(".gz"):
+            if self.split_bytes > 0 and size and self._splits(path):
                 out += [_FilePartition(path, a, min(a + self.split_bytes, size)) for a in range(0, size, self.split_bytes)]
             else:
                 out.append(_FilePartition(path, 0, None))
@@ -124,10 +222,15 @@ class FastqReader(DataSourceReader):
             with system.open_input_stream(inner, compression="detect") as stream:
                 yield from ((k, *r) for k, r in enumerate(self._four(_lines(stream, 0), None)))
             return
-        begin = _next_record(system, inner, partition.start) if partition.start else 0
+        begin, stop = partition.start, partition.stop
         with system.open_input_file(inner) as f:
-            f.seek(begin)
-            for at, *r in self._four(_lines(f, begin), partition.stop, offsets=True):
+            if partition.path.endswith(".gz"):
+                lines = _from_record(_block_range(f, begin)) if begin else _block_lines(_blocks(f, 0))
+                stop <<= 16
+            else:
+                f.seek(max(0, begin - 1))
+                lines = _from_record(_lines(f, begin - 1)) if begin else _lines(f, 0)
+            for at, *r in self._four(lines, stop, offsets=True):
                 yield (at, *r)
 
     @staticmethod
@@ -167,6 +270,23 @@ class FastqReader(DataSourceReader):
             yield batch(rows)
 
 
+class FilteringFastqReader(FastqReader):
+    """Takes filters on sample and mate as a choice of files, and ``ordinal < n`` as the place to stop."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            column = f.attribute[0] if getattr(f, "attribute", None) and len(f.attribute) == 1 else None
+            if column in ("sample", "mate") and isinstance(f, (EqualTo, In)):
+                wanted = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                at = ("sample", "mate").index(column)
+                self.files = [x for x in self.files if sample_and_mate(x[0], self.readtag)[at] in wanted]
+            elif column == "ordinal" and isinstance(f, (LessThan, LessThanOrEqual)) and not self.split_bytes:
+                n = max(0, int(f.value) + isinstance(f, LessThanOrEqual))
+                self.max_reads = n if self.max_reads < 0 else min(n, self.max_reads)
+            else:
+                yield f
+
+
 class FastqDataSource(DataSource):
     @classmethod
     def name(cls):
@@ -179,14 +299,16 @@ class FastqDataSource(DataSource):
         split, most = int(self.options.get("split_bytes", "0")), int(self.options.get("max_reads", "-1"))
         if split > 0 and most >= 0:
             raise ValueError("max_reads counts from the start of a file; it does not go with split_bytes")
-        return FastqReader(expand(self.options.get("path")), self.options.get("readtag", DEFAULT_READTAG), most, split)
+        kind = FilteringFastqReader if self.options.get("push_filters", "false") == "true" else FastqReader
+        return kind(expand(self.options.get("path")), self.options.get("readtag", DEFAULT_READTAG), most, split)
 
 
 def read_fastq(spark, path: str, *, readtag: str = DEFAULT_READTAG, max_reads: int = -1, split_bytes: int = 0):
     """FASTQ file(s) (folder, name pattern or comma list, plain or gz) -> reads."""
     spark.dataSource.register(FastqDataSource)
+    push = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     return (spark.read.format("fastq").option("readtag", readtag).option("max_reads", str(max_reads))
-            .option("split_bytes", str(split_bytes)).load(path))
+            .option("split_bytes", str(split_bytes)).option("push_filters", push).load(path))
 
 
 def land_fastq(spark, path: str, out: str, **kw) -> None:

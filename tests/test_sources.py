@@ -243,3 +243,69 @@ def test_count_summary_and_reported_rates(spark, tmp_path):
     m = spark.createDataFrame([("a", "reads_aligned_percentage", 7.0), ("a", "not_aligned_percentage", 90.0),
                                ("b", "not_aligned_percentage", 80.0)], "sample string, metric string, value double")
     assert {r["sample"]: r["reads_aligned_percentage"] for r in rate_from_metrics(m).collect()} == {"a": 7.0, "b": 20.0}
+
+
+def block_gzip(data, sizes):
+    """A block-gzip file: members with their length in a BC field, and the empty last block."""
+    import struct
+    import zlib
+
+    out, at = b"", 0
+    for n in [*sizes, 0]:
+        part = data[at:at + n]
+        at += n
+        z = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = z.compress(part) + z.flush()
+        out += (b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25) + body
+                + struct.pack("<II", zlib.crc32(part), len(part)))
+    assert at == len(data)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_block_gzip_is_read_by_several_tasks(spark, tmp_path, seed):
+    import random
+
+    rng = random.Random(seed)
+    recs = []
+    for k in range(3000):
+        n = rng.randrange(1, 150)
+        recs.append((f"r{k}@x", "".join(rng.choice("ACGT") for _ in range(n)), "".join(rng.choice("@+I#ABCDEF") for _ in range(n))))
+    data = "".join(f"@{i} y\n{s}\n+\n{q}\n" for i, s, q in recs).encode()
+    sizes, left = [], len(data)
+    heads = [m.start() for m in __import__("re").finditer(rb"^@r\d", data, 8)]
+    while left:  # blocks that end anywhere, some exactly where a line or record ends
+        n = min(left, rng.choice([rng.randrange(1, 9000), 60000]))
+        done = len(data) - left
+        near = [h - done for h in heads if 0 < h - done <= n]
+        n = near[-1] if near and rng.random() < 0.3 else n
+        sizes.append(n)
+        left -= n
+    (tmp_path / "S_R1_x.fastq.gz").write_bytes(block_gzip(data, sizes))
+    path = str(tmp_path / "S_R1_x.fastq.gz")
+    whole = read_fastq(spark, path).orderBy("ordinal").collect()
+    assert [(r.read_id, r.seq, r.qual) for r in whole] == recs
+    for size in (5000, 40_000, 10**7):
+        df = read_fastq(spark, path, split_bytes=size)
+        if size < 10**6:
+            assert df.rdd.getNumPartitions() > 2
+        got = df.orderBy("ordinal").collect()
+        assert [(r.read_id, r.seq, r.qual) for r in got] == recs
+        assert len({r.ordinal for r in got}) == len(recs)
+    with gzip.open(tmp_path / "P_R1_.fastq.gz", "wb") as f:  # ordinary gzip stays one task
+        f.write(data)
+    assert read_fastq(spark, str(tmp_path / "P_R1_.fastq.gz"), split_bytes=5000).rdd.getNumPartitions() == 1
+
+
+def test_filters_reach_the_fastq_files(spark, tmp_path):
+    for name in ("a_R1_.fastq", "a_R2_.fastq", "b_R1_.fastq"):
+        (tmp_path / name).write_text("".join(f"@{name}{k}\nACGT\n+\nIIII\n" for k in range(50)))
+    (tmp_path / "c_R1_.fastq.gz").write_bytes(b"this is no gzip file")  # fails if it is ever opened
+    df = read_fastq(spark, str(tmp_path))
+    one = df.where("sample = 'a' and mate = 2 and ordinal < 7")
+    assert one.count() == 7 and one.rdd.getNumPartitions() == 1
+    assert {r.read_id for r in one.collect()} == {f"a_R2_.fastq{k}" for k in range(7)}
+    assert df.where("sample in ('a', 'b')").count() == 150 and df.where("sample = 'b' and ordinal <= 3").count() == 4
+    assert df.where("sample = 'a' and seq = 'ACGT' and ordinal > 47").count() == 4
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "ordinal" not in plan.split("Filter")[-1] if "Filter" in plan else True
