@@ -148,18 +148,16 @@ def fx_contigs(spark, sf_dir):
 
 
 def fx_ctg_features(spark, sf_dir):
-    """Intervals on the document contigs (1-based closed), used for sequence extraction."""
-    p = table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    start = F.floor(k / 200) * 37 + 1
-    return p.select(
-        F.concat(F.lit("ctg"), (k % 200).cast("string")).alias("seqid"),
-        F.when(k % 50 == 0, F.lit("rRNA")).otherwise(F.lit("gene")).alias("type"),
-        start.cast("bigint").alias("start_pos"),
-        (start + 19 + F.col("p_size")).cast("bigint").alias("end_pos"),
-        _strand_of(k).alias("strand"),
-        F.concat(F.lit("g"), k.cast("string")).alias("gene_id"),
-    )
+    """Intervals on every document contig, one per 200 bases of it (1-based closed), used for sequence extraction."""
+    j = F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / 200))).alias("j")
+    c = fx_contigs(spark, sf_dir).select("name", "length", F.expr("cast(substring(name, 4) as bigint)").alias("d"), j)
+    start = F.col("j") * 200 + 1 + F.col("d") % 7
+    c = c.withColumn("start_pos", start.cast("bigint")).where(F.col("start_pos") <= F.col("length"))
+    k = F.col("d") + F.col("j")
+    return c.select(
+        F.col("name").alias("seqid"), F.when(k % 10 == 0, F.lit("rRNA")).otherwise(F.lit("gene")).alias("type"),
+        "start_pos", F.least(F.col("length"), F.col("start_pos") + 19 + (F.col("j") * 13 + F.col("d")) % 80).cast("bigint").alias("end_pos"),
+        _strand_of(k).alias("strand"), F.concat(F.lit("g"), F.col("d").cast("string"), F.lit("_"), F.col("j").cast("string")).alias("gene_id"))
 
 
 def fx_reads(spark, sf_dir, ordinal: bool = True):
@@ -319,10 +317,12 @@ select item_id, translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ab
     "fx_contigs": (("fx_letters",), """
 select concat('ctg', cast(doc_id as varchar)) as name, translate(letters, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAN') as seq,
   cast(length(letters) as bigint) as length from fx_letters where length(letters) > 0"""),
-    "fx_ctg_features": ((), """
-select concat('ctg', cast(p_partkey % 200 as varchar)) as seqid, case when p_partkey % 50 = 0 then 'rRNA' else 'gene' end as type,
-  cast(floor(p_partkey / 200) * 37 + 1 as bigint) as start_pos, cast(floor(p_partkey / 200) * 37 + 20 + p_size as bigint) as end_pos,
-  case when p_partkey % 2 = 0 then '+' else '-' end as strand, concat('g', cast(p_partkey as varchar)) as gene_id from part"""),
+    "fx_ctg_features": (("fx_contigs",), """
+select name as seqid, case when (d + j) % 10 = 0 then 'rRNA' else 'gene' end as type, cast(a as bigint) as start_pos,
+  cast(least(length, a + 19 + (j * 13 + d) % 80) as bigint) as end_pos, case when (d + j) % 2 = 0 then '+' else '-' end as strand,
+  concat('g', cast(d as varchar), '_', cast(j as varchar)) as gene_id
+from (select *, j * 200 + 1 + d % 7 as a from (select name, length, cast(substring(name, 4) as bigint) as d,
+        unnest(range(0, (length - 1) // 200 + 1)) as j from fx_contigs) x) y where a <= length"""),
     "fx_reads": (("fx_letters",), """
 select sample, cast(first_ordinal + k as bigint) as ordinal, concat('d', cast(doc_id as varchar), '_', cast(k as varchar)) as read_id,
   translate(substring(letters, cast(k * 100 + 1 as integer), 100), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAN') as seq,
