@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import alignment as AL
 from strandline.operators import coverage as CV
+from strandline.operators import mapping as MP
 from strandline.operators import quant as QU
 from strandline.operators import regions as RG
 from strandline.operators import rseqc as R
@@ -412,6 +413,14 @@ def q_map_reads_ungapped(spark, sf_dir):
     return map_reads_ungapped(fx.fx_reads(spark, sf_dir, ordinal=False), ref)
 
 
+@query("map_reads_contigs")
+def q_map_reads_contigs(spark, sf_dir):
+    """A1: reads of 20 bases or more (what trimming leaves) mapped to all document contigs.  No SQL oracle: compared with
+    brute force in tests/test_mapping.py."""
+    reads = fx.fx_reads(spark, sf_dir, ordinal=False).where(F.length("seq") >= 20)
+    return MP.map_reads(reads, fx.fx_contigs(spark, sf_dir).select("name", "seq"))
+
+
 def _transcripts(spark, sf_dir):
     return fx.fx_contaminants(spark, sf_dir).select(F.concat(F.lit("t,"), F.col("item_id").cast("string")).alias("name"), "seq")
 
