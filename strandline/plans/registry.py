@@ -23,4 +23,4 @@ def query(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from strandline.plans import q_alignment, q_annotation, q_counting, q_coverage, q_dge, q_model, q_reads  # noqa: F401
+    from strandline.plans import q_alignment, q_annotation, q_counting, q_coverage, q_dge, q_files, q_model, q_reads  # noqa: F401

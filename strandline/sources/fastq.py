@@ -39,8 +39,12 @@ DEFAULT_READTAG = "_R[12]_"
 
 
 def sample_and_mate(path: str, readtag: str = DEFAULT_READTAG) -> tuple[str, int]:
-    """File name -> (sample, mate): the part before the read tag, and the tag's digit (1 when absent)."""
+    """Path -> (sample, mate): the folders ``sample=.../mate=...`` that the FASTQ sink writes; else of the file name the
+    part before the read tag, and the tag's digit (1 when absent)."""
     name = os.path.basename(path)
+    folder = re.search(r"/sample=([^/]*)/(?:mate=(\d)/)?[^/]*$", path)
+    if folder:
+        return folder[1], int(folder[2] or 1)
     m = re.search(readtag, name) if readtag else None
     if m:
         digits = re.findall(r"\d", m.group(0))
@@ -71,9 +75,11 @@ def expand(path: str) -> list[tuple[str, int]]:
                 continue
             folder, name = part.rstrip("/"), "*"
         system, inner = _file_system(folder or ".")
-        found += [(f"{folder}/{i.base_name}" if folder else i.base_name, i.size)
-                  for i in system.get_file_info(fs.FileSelector(inner))
-                  if i.type == fs.FileType.File and fnmatch.fnmatch(i.base_name, name)]
+        files = system.get_file_info(fs.FileSelector(inner, recursive=name == "*"))
+        below = {i.path: i.path[len(inner.rstrip("/")) + 1:] for i in files}
+        found += [(f"{folder}/{below[i.path]}" if folder else below[i.path], i.size) for i in files
+                  if i.type == fs.FileType.File and fnmatch.fnmatch(i.base_name, name) and i.base_name[0] not in "_."
+                  and all(x.startswith(("sample=", "mate=")) for x in below[i.path].split("/")[:-1])]
     return sorted(found)
 
 

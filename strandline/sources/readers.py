@@ -14,9 +14,15 @@ def _file_name() -> F.Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1)
 
 
+def _sample(df: DataFrame, from_name: F.Column) -> F.Column:
+    """The sample of each row: the folder ``sample=...`` that the sinks write, else what the file's name says."""
+    return F.col("sample").cast("string") if "sample" in df.columns else from_name
+
+
 def sample_manifest(spark: SparkSession, directory: str, *, pattern: str = "*fastq.gz",
                     readtag: str = DEFAULT_READTAG, exclude: str | None = None, strict: bool = False) -> DataFrame:
-    """(sample, mates, paired) from a file listing; only paths are read, never contents.  ``strict`` raises when
+    """(sample, mates, paired) from a file listing; only paths are read, never contents.  Folders ``sample=.../mate=...``,
+    as the FASTQ sink writes them, count before file names.  ``strict`` raises when
     some samples of a project have both mates and others do not."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true") \
         .load(directory).select("path")
@@ -27,6 +33,8 @@ def sample_manifest(spark: SparkSession, directory: str, *, pattern: str = "*fas
     sample = F.when(tag != "", F.regexp_extract(name, "^(.*?)" + readtag, 1)).otherwise(
         F.regexp_replace(name, r"\.(fastq|fq)(\.gz)?$", ""))
     mate = F.when(tag != "", F.regexp_extract(tag, r"(\d)", 1).cast("int")).otherwise(F.lit(1))
+    own, k = F.regexp_extract("path", r"/sample=([^/]*)/", 1), F.regexp_extract("path", r"/mate=(\d)/", 1)
+    sample, mate = F.when(own != "", own).otherwise(sample), F.when(k != "", k.try_cast("int")).otherwise(mate)
     m = files.select(sample.alias("sample"), mate.alias("mate"))
     out = m.groupBy("sample").agg(F.sort_array(F.collect_set("mate")).alias("mates"))
     if not strict:
@@ -87,18 +95,18 @@ def read_counts(spark: SparkSession, path: str, *, suffix: str = "_feature.out")
     """Per-sample count files (comment line, header, id ... count) -> long (sample, gene_id, count)."""
     raw = spark.read.option("sep", "\t").option("comment", "#").option("header", "true").csv(path) \
         .select("*", "_metadata.file_path")
-    cols = [c for c in raw.columns if c != "file_path"]
+    cols = [c for c in raw.columns if c not in ("file_path", "sample")]
     name = F.regexp_extract("file_path", r"([^/]*)$", 1)
-    return raw.select(F.regexp_replace(name, suffix + "$", "").alias("sample"), F.col(f"`{cols[0]}`").alias("gene_id"),
+    return raw.select(_sample(raw, F.regexp_replace(name, suffix + "$", "")).alias("sample"), F.col(f"`{cols[0]}`").alias("gene_id"),
                       F.col(f"`{cols[-1]}`").cast("bigint").alias("count"))
 
 
 def read_count_summary(spark: SparkSession, path: str, *, suffix: str = "_feature.out.summary") -> DataFrame:
     """``.summary`` files -> (sample, status, count)."""
     raw = spark.read.option("sep", "\t").option("header", "true").csv(path).select("*", "_metadata.file_path")
-    cols = [c for c in raw.columns if c != "file_path"]
+    cols = [c for c in raw.columns if c not in ("file_path", "sample")]
     name = F.regexp_extract("file_path", r"([^/]*)$", 1)
-    return raw.select(F.regexp_replace(name, suffix.replace(".", r"\.") + "$", "").alias("sample"),
+    return raw.select(_sample(raw, F.regexp_replace(name, suffix.replace(".", r"\.") + "$", "")).alias("sample"),
                       F.col(f"`{cols[0]}`").alias("status"), F.col(f"`{cols[-1]}`").cast("bigint").alias("count"))
 
 
@@ -135,7 +143,7 @@ def read_quant(spark: SparkSession, path: str, *, suffix: str = "/quant.sf") ->
     """Transcript quantification tables -> (sample, transcript, length, eff_length, tpm, num_reads)."""
     df = spark.read.schema(QUANT_SCHEMA).option("header", "true").option("sep", "\t").csv(path)
     sample = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)" + suffix.replace(".", r"\.") + "$", 1)
-    return df.select(sample.alias("sample"), *df.columns)
+    return df.select(_sample(df, sample).alias("sample"), *[c for c in df.columns if c != "sample"])
 
 
 def read_metric_table(spark: SparkSession, paths: list[str], *, module: str) -> DataFrame:
@@ -173,7 +181,7 @@ def read_trim_json(spark: SparkSession, path: str) -> DataFrame:
     sample = F.regexp_replace(_file_name(), r"\.json$", "")
     st = F.explode(F.array(F.struct(F.lit("before").alias("stage"), F.col("summary.before_filtering").alias("s")),
                            F.struct(F.lit("after").alias("stage"), F.col("summary.after_filtering").alias("s"))))
-    return df.select(sample.alias("sample"), st.alias("_x")).select("sample", "_x.stage", "_x.s.*")
+    return df.select(_sample(df, sample).alias("sample"), st.alias("_x")).select("sample", "_x.stage", "_x.s.*")
 
 
 def parse_tool_log(lines: DataFrame, column: str = "value", sample: F.Column | None = None) -> DataFrame:
@@ -197,5 +205,6 @@ def parse_tool_log(lines: DataFrame, column: str = "value", sample: F.Column | N
 
 def read_tool_log(spark: SparkSession, path: str) -> DataFrame:
     """Aligner log files -> metrics, the sample taken from the file name."""
-    lines = spark.read.text(path).select("value", _file_name().alias("_f"))
-    return parse_tool_log(lines, sample=F.regexp_replace("_f", r"\.(log|txt|err)$", ""))
+    lines = spark.read.text(path)
+    name = F.regexp_replace(_file_name(), r"\.(log|txt|err)$", "")
+    return parse_tool_log(lines.select("value", _sample(lines, name).alias("_f")), sample=F.col("_f"))
