@@ -10,8 +10,8 @@ The automaton grows with the corpus and is never held whole.  Documents are read
 ``BLOCK_TOKENS`` tokens.  A block sends its distinct words and bigrams with its own training counts, packed
 by hash range; each range adds up all blocks and answers every block with the totals of just the keys it asked for:
 the part of the automaton that its texts can reach.  The block then runs its texts through that part, left to
-right.  Each block sends a key once, so a frequent word is no hot key.  Blocks wait
-as files in the shared folder.
+right.  Each block sends a key once, so a frequent word is no hot key; there are as many ranges as the corpus has
+``RANGE_CHARS``, so what one range holds does not grow with it.  Blocks wait as files in the shared folder.
 
 Defined cases: a null or empty text is its end token alone; rows with a null id are scored and in no held-out
 fold; rows that repeat an id are scored each and count each in training; without training documents every
@@ -33,6 +33,7 @@ from strandline.llm.common import crc_mod, saved, shared_path
 from strandline.llm.files import new_file, opened
 
 BLOCK_TOKENS = 2_000_000
+RANGE_CHARS = 16_000_000  # characters of text per hash range
 ALPHA, BETA = 5.0, 0.8
 END, START = np.uint64(xxhash.xxh3_64_intdigest(b"\n")), np.uint64(xxhash.xxh3_64_intdigest(b"\n\n"))  # no word has white space
 
@@ -200,7 +201,8 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5, alpha: float = ALPHA,
     outside ``fold``."""
     spark = docs.sparkSession
     folder = shared_path(spark, "lm-blocks")
-    bits = max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    chars = docs.agg(F.sum(F.length(F.col("text").cast("string")) + 6)).first()[0] or 0
+    bits = max(3, (chars // RANGE_CHARS).bit_length())
     held = F.coalesce(crc_mod(F.col("doc_id"), folds) == fold, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        (~held).alias("train"), held.alias("held_out"))
