@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.sequence import reverse_complement
-from strandline.operators.intervals import fits_broadcast
+from strandline.operators.align import _windows
 
 # Aligner defaults used by the screen.
 SEED_LENGTH = 28
@@ -30,7 +30,8 @@ PIECES = SEED_MISMATCHES + 1
 # (piece length, shortest read that uses it)
 PIECE_TIERS = [(9, 27), (6, 18)]
 FIRST_READS = 100_000
-BROADCAST_MAX_BASES = 64 * 1024 * 1024
+BROADCAST_MAX_ROWS = 500_000  # index rows (about 80 bytes each) that may be broadcast, after counting the bases
+WINDOW = 256  # least width of the reference windows of the other way
 
 
 def first_reads(reads: DataFrame, n: int = FIRST_READS) -> DataFrame:
@@ -91,24 +92,26 @@ def _mismatch_stats(read_seq: Column, read_qual: Column, ref_window: Column) ->
 def screen_contaminants(reads: DataFrame, reference: DataFrame) -> DataFrame:
     """(sample, read_id, screened, aligned) for every read.
 
-    The reference index (both strands) is broadcast after a base-count check,
-    so reads are scanned once and never shuffled for the join; candidates get a
-    JVM edit-distance prefilter on the seed, then the exact per-base check, and
+    The reference index (both strands) is broadcast after a count of its rows, so reads are scanned once and never
+    shuffled for the join; a larger reference is joined by piece, and its bases by (name, strand, window), so no sequence is one
+    key.  Candidates get a JVM edit-distance prefilter on the seed, then the exact per-base check, and
     one map-side-combined aggregation reduces everything to a flag per read.
     """
     strands = _strands(reference)
-    bases = strands.agg(F.sum("rlen")).first()[0] if fits_broadcast(strands) else None
-    use_broadcast = bases is not None and bases <= BROADCAST_MAX_BASES
     # every strand position is in the index once per tier
-    use_broadcast = use_broadcast and len(PIECE_TIERS) * bases <= BROADCAST_MAX_BASES
-    idx = _index(strands)
-    ref = strands.select("name", "strand", "rseq", "rlen")
-    if use_broadcast:
-        idx, ref = F.broadcast(idx), F.broadcast(ref)
+    rows = (strands.agg(F.sum("rlen")).first()[0] or 0) * len(PIECE_TIERS)
     rp = _read_pieces(reads)
-    # marker rows (no piece) meet nothing and stay out of the joins
-    j = rp.where(F.col("piece").isNotNull()).join(idx, ["piece_len", "piece"]) \
-          .withColumn("start0", F.col("pos0") - F.col("offset")).join(ref, ["name", "strand"])
+    pieces = rp.where(F.col("piece").isNotNull())  # marker rows (no piece) meet nothing and stay out of the joins
+    if rows <= BROADCAST_MAX_ROWS:
+        j = pieces.join(F.broadcast(_index(strands)), ["piece_len", "piece"]).withColumn("start0", F.col("pos0") - F.col("offset")) \
+            .join(F.broadcast(strands.select("name", "strand", "rseq", "rlen")), ["name", "strand"])
+    else:
+        longest = reads.agg(F.max(F.length("seq"))).first()[0] or 1
+        width = max(WINDOW, 1 << (int(longest) - 1).bit_length())  # a window and the next hold any read
+        j = pieces.join(_index(strands), ["piece_len", "piece"]).withColumn("_at", F.col("pos0") - F.col("offset"))
+        j = j.withColumn("widx", F.floor(F.col("_at") / width)).join(_windows(strands, width), ["name", "strand", "widx"])
+        # from here on positions and length are those inside the window
+        j = j.withColumn("start0", F.col("_at") - F.col("wstart0")).withColumn("rlen", F.length("window")).withColumnRenamed("window", "rseq")
     fits = F.col("start0").isNotNull() & (F.col("start0") >= 0) & (F.col("start0") + F.length("seq") <= F.col("rlen"))
     # edit distance never exceeds Hamming distance: a seed with <= 2 mismatches has levenshtein <= 2
     seed_read = F.substring("seq", 1, SEED_LENGTH)

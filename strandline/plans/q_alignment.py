@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strandline.operators import alignment as AL
@@ -12,6 +13,7 @@ from strandline.operators import regions as RG
 from strandline.operators import rseqc as R
 from strandline.plans.q_counting import annotation
 from strandline.plans.registry import query
+from strandline.session import ensure_checkpoint_dir
 from strandline.sources import fixtures as fx
 
 _MARKED = """
@@ -37,6 +39,23 @@ def q_add_read_group(spark, sf_dir):
     return a.select("sample", "frag_id", "ref", "pos", "flag", F.col("tags")["RG"].alias("read_group"))
 
 
+@query("sorted_order", oracle="""
+select ref, count(*) as records, cast(0 as bigint) as out_of_order, cast(0 as bigint) as overlapping_partitions from fx_alignments group by ref""")
+def q_sorted_order(spark, sf_dir):
+    """A6 with its order: records behind a larger one inside a partition, and partitions that do not lie behind the one before."""
+    ensure_checkpoint_dir(spark)
+    key = F.struct("ref", "pos", "frag_id", "flag")
+    s = AL.sort_by_coordinate(fx.fx_alignments(spark, sf_dir)).select(
+        key.alias("key"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")).checkpoint()
+    before = F.lag("key").over(Window.partitionBy("part").orderBy("row"))
+    wrong = s.withColumn("bad", F.coalesce(before > F.col("key"), F.lit(False)).cast("bigint")).groupBy(F.col("key.ref").alias("ref")).agg(
+        F.count(F.lit(1)).alias("records"), F.sum("bad").alias("out_of_order"))
+    edges = s.groupBy("part").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    last = F.lag("hi").over(Window.orderBy("part"))  # one row per partition
+    cross = edges.withColumn("bad", F.coalesce(last > F.col("lo"), F.lit(False)).cast("bigint")).agg(F.sum("bad").alias("overlapping_partitions"))
+    return wrong.join(F.broadcast(cross)).select("ref", "records", "out_of_order", "overlapping_partitions")
+
+
 @query("sort_by_coordinate", oracle="select * from fx_alignments")
 def q_sort_by_coordinate(spark, sf_dir):
     return AL.sort_by_coordinate(fx.fx_alignments(spark, sf_dir))

@@ -52,6 +52,21 @@ def q_normalize_coverage(spark, sf_dir):
     return V.normalize_coverage(bins(spark, sf_dir), fx.fx_alignments(spark, sf_dir), method="CPM")
 
 
+def _normalized(method: str, value: str, **options):
+    @query(f"normalize_coverage_{method.lower()}", oracle=f"""
+with {_BINS}, mapped as (select sample, count(*) as n from fx_alignments where flag % 8 < 4 group by sample)
+select b.sample, chrom, start0, "end", count, round({value}, 6) as value from bins b join mapped m on m.sample = b.sample""")
+    def run(spark, sf_dir):
+        """V2 with another scale."""
+        return V.normalize_coverage(bins(spark, sf_dir), fx.fx_alignments(spark, sf_dir), method=method, **options)
+    return run
+
+
+_normalized("RPKM", "count / (0.01 * n / 1e6)")
+_normalized("BPM", "count / 0.01 / (sum(count / 0.01) over (partition by b.sample) / 1e6)")
+_normalized("RPGC", "count / (n * 50.0 / 1000000)", effective_genome_size=1_000_000, fragment_length=50)
+
+
 @query("fragment_options", oracle="""
 select sample, frag_id, ref as chrom, case when flag % 32 >= 16 then pos_end - 199 else pos end as frag_start,
   case when flag % 32 >= 16 then pos_end else pos + 199 end as frag_end from fx_alignments where flag % 8 < 4""")
