@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.intervals import fits_broadcast
@@ -75,27 +75,26 @@ def check_contaminant_feature(gff: DataFrame, rrna_type: str) -> DataFrame:
 
 def annotation_report(gff: DataFrame, *, feature_type: str, attribute: str, extra: list[str] | None = None,
                       rrna_type: str | None = None) -> DataFrame:
-    """The pre-flight gate as one (check, value, ok) table.  Cache the parsed annotation before calling."""
-    parts = [
-        feature_types(gff).select(F.lit("feature_type").alias("check"), F.col("type").alias("value"),
-                                  F.lit(True).alias("ok")),
-        gff.where(F.col("type") == feature_type).agg(F.count(F.lit(1)).alias("_n")).select(
-            F.lit("count_type").alias("check"), F.concat_ws("=", F.lit(feature_type), F.col("_n").cast("string")).alias("value"),
-            (F.col("_n") > 0).alias("ok")),
-        attribute_profile(gff, feature_type, attribute).select(
-            F.lit("attribute").alias("check"), F.lit(attribute).alias("value"),
-            ((F.col("n_with_attribute") > 0) & ~F.col("non_unique")).alias("ok")),
-    ]
-    for e in extra or []:
-        parts.append(check_extra_attributes(gff, feature_type, [e]).select(
-            F.lit("extra_attribute").alias("check"), F.col("attribute").alias("value"), F.col("present").alias("ok")))
+    """The pre-flight gate as one (check, value, ok) table, from one scan of the annotation."""
+    own = F.col("type") == feature_type
+    extra = extra or []
+    flags = [F.max(own & F.map_contains_key("attributes", e)).alias(f"_e{i}") for i, e in enumerate(extra)]
+    # rows per type and value of the attribute; then one row with everything the checks need (types are a few dozen)
+    per = gff.groupBy("type", F.when(own, F.col("attributes")[attribute]).alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *flags)
+    has = own & F.col("_v").isNotNull()
+    one = per.agg(F.array_sort(F.collect_set("type")).alias("types"), F.coalesce(F.sum(F.when(own, F.col("_n"))), F.lit(0)).alias("n"),
+                  F.coalesce(F.sum(F.when(has, F.col("_n"))), F.lit(0)).alias("n_with"), F.count_if(has).alias("n_distinct"),
+                  *[F.coalesce(F.max(f"_e{i}"), F.lit(False)).alias(f"_e{i}") for i in range(len(extra))])
+
+    def row(check: str, value: Column, ok: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), value.alias("value"), ok.alias("ok"))
+
+    checks = [row("count_type", F.concat(F.lit(f"{feature_type}="), F.col("n").cast("string")), F.col("n") > 0),
+              row("attribute", F.lit(attribute), (F.col("n_with") > 0) & (F.col("n_distinct") >= F.col("n_with"))),
+              *[row("extra_attribute", F.lit(e), F.col(f"_e{i}")) for i, e in enumerate(extra)]]
     if rrna_type:
-        parts.append(check_contaminant_feature(gff, rrna_type).select(
-            F.lit("rrna_type").alias("check"), F.col("type").alias("value"), F.col("present").alias("ok")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        checks.append(row("rrna_type", F.lit(rrna_type), F.array_contains("types", rrna_type)))
+    return one.select(F.inline(F.concat(F.transform("types", lambda t: row("feature_type", t, F.lit(True))), F.array(*checks))))
 
 
 def gff_to_bed(gff: DataFrame, name_attribute: str = "Name") -> DataFrame:
