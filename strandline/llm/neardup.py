@@ -12,15 +12,16 @@
 4. Candidates are confirmed on full shingle sets.  Where a list still holds several components, the
    members of the smaller ones visit the other component with their full sets and are tried against every
    candidate there until a link is confirmed.  So every candidate pair between different components
-   is tried, and the components are those of all confirmed links, without a row per pair.
+   is tried, and the components are those of all confirmed links.  There is a row per visitor and host component: where
+   many documents lie just below the threshold of each other, each stays a component and visits all others.
 
 ``T`` lies 4.2 standard deviations below the expected agreement of a pair at the threshold
 (chance of missing such a pair about 1e-5).
 
 Defined cases: a null or empty text and one without words has no shingle and is linked with nothing;
 fewer than five words make one shingle; a row with a null id is linked with nothing, has no
-component and is kept; rows that repeat an id with the same text share its fate; an empty table gives an
-empty result; extra columns are ignored.
+component and is kept; rows that repeat an id with the same text share its fate, those that repeat it with different texts
+share the links of one of them; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

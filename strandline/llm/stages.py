@@ -18,14 +18,16 @@ def shielded(docs: DataFrame, needed: tuple[str, ...]) -> tuple[DataFrame, list[
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects, with all their columns.  A null or empty text has no words and goes; rows that
+    repeat an id are judged each; an empty table gives an empty result."""
     rows, back = shielded(docs, ("doc_id", "text"))
     return quality.cascade(rows).where("kept").select(*back)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below the threshold; the model learns from the labels of ``sf_dir``
-    for the documents that are still there."""
+    """Documents whose toxicity is below the threshold, with all their columns; the model learns from the labels of ``sf_dir``
+    for the documents that are still there.  Null and empty texts score 0 and stay, rows with a null id are scored but
+    never learnt from; without labels of both kinds every score is 0 and all stay; an empty table gives an empty result."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     learnt = labels.where(crc_mod(F.col("doc_id"), 4) != 2)
     rows, back = shielded(docs, ("doc_id", "text"))
@@ -45,12 +47,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it."""
+    """Every document as many times as the mix takes it, with all its columns.  Null sources are one source; null and empty
+    texts have no words and are taken whole times only; rows that repeat an id, or have none, are documents of their
+    own; an empty table gives an empty result."""
     rows, back = shielded(docs, ("doc_id", "text", "source"))
     mixed = mixing.mix(rows, keep=tuple(rows.columns))
     return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*back)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the mixed documents and their places in the sequences."""
+    """The pieces of the mixed documents and their places in the sequences.  A null or empty text is its end id; every row is
+    packed, also copies and rows without an id; an empty table gives an empty result."""
     return packing.pack_documents(docs, special=True)

@@ -526,7 +526,8 @@ def test_pipeline_stages(spark, tmp_path, corner, nothing):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in out} <= set(range(40)) and sum(r["length"] for r in out) > 0
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "toxicity", "near_dedup", "mixing", "packing"]
-    for stage in (stages.quality_rules, stages.near_dedup, stages.mix_sources):
+    for stage in (stages.quality_rules, stages.drop_toxic, stages.near_dedup, stages.mix_sources):
         assert stage(spark, corner, str(tmp_path)).columns == corner.columns
         assert stage(spark, nothing, str(tmp_path)).count() == 0
     assert stages.pack(spark, nothing, str(tmp_path)).count() == 0
+    assert stages.drop_toxic(spark, corner, str(tmp_path)).where("trim(coalesce(text, '')) = ''").count() >= 2
