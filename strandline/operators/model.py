@@ -353,9 +353,9 @@ def sample_pca(values: DataFrame, samples: list[str], column: str = "vst", *, nt
     var = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x) / n - mean * mean
     top = vec.select("gene_id", "v", var.alias("_var")).orderBy(F.desc("_var"), "gene_id").limit(ntop)
     c = top.select(F.transform("v", lambda x: x - F.aggregate("v", F.lit(0.0), lambda a, y: a + y) / n).alias("c"))
-    cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), (F.col("c")[i] * F.col("c")[j]).alias("x"))
-             for i in range(n) for j in range(i, n)]
-    g = c.select(F.explode(F.array(*cells)).alias("_c")).groupBy("_c.i", "_c.j").agg(F.sum("_c.x").alias("x"))
+    cells = F.expr(f"flatten(transform(sequence(0, {n - 1}), i -> transform(sequence(i, {n - 1}), "
+                   "j -> struct(i as i, j as j, c[i] * c[j] as x))))")
+    g = c.select(F.explode(cells).alias("_c")).groupBy("_c.i", "_c.j").agg(F.sum("_c.x").alias("x"))
     gram = np.zeros((n, n))
     for r in g.collect():  # n(n+1)/2 numbers
         gram[r["i"], r["j"]] = gram[r["j"], r["i"]] = r["x"]

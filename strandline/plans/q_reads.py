@@ -416,7 +416,7 @@ select sample, count(*) as reads, cast(sum(length(seq)) as bigint) as bases,
   cast(sum(length(seq) - length(regexp_replace(seq, '[GCgc]', '', 'g'))) as bigint) as gc_bases, stage
 from both_ group by sample, stage""")
 def q_trim_summary(spark, sf_dir):
-    r = reads(spark, sf_dir)
+    r = plain_reads(spark, sf_dir)
     after = T.trim_reads(r, adapter=None, trim_ns=False, quality_cutoff=0, cut_tail_window=4, cut_tail_mean=20,
                          minimum_length=20, disable_adapter_trimming=True)
     return T.trim_summary(r, after)
