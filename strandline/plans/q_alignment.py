@@ -232,7 +232,7 @@ def q_junction_saturation_transcripts(spark, sf_dir):
 
 _UNION = """
 reached as (select *, max(end_pos) over (partition by {g} order by start_pos, end_pos rows between unbounded preceding and 1 preceding) as r
-            from {t}),
+            from (select distinct {g}, start_pos, end_pos from {t}) d),
 island as (select *, sum(case when r is null or start_pos > r + 1 then 1 else 0 end)
              over (partition by {g} order by start_pos, end_pos rows unbounded preceding) as i from reached),
 merged as (select {g}, min(start_pos) as start_pos, max(end_pos) as end_pos from island group by {g}, i)"""

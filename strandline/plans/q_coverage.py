@@ -185,7 +185,7 @@ def q_gene_tpm(spark, sf_dir):
 
 _READ_EXONS = """
 reached as (select *, max(end_pos) over (partition by seqid, gene_id order by start_pos, end_pos rows between unbounded preceding and 1 preceding) as r
-            from fx_transcripts),
+            from (select distinct seqid, gene_id, start_pos, end_pos from fx_transcripts) d),
 island as (select *, sum(case when r is null or start_pos > r + 1 then 1 else 0 end)
              over (partition by seqid, gene_id order by start_pos, end_pos rows unbounded preceding) as i from reached),
 merged as (select seqid, gene_id, min(start_pos) as s, max(end_pos) as e from island group by seqid, gene_id, i),
