@@ -16,6 +16,7 @@ BIN_SIZE = 10
 WINDOW = 25
 ZOOM_LEVELS = 5
 COMPACT_TILE = 1 << 16
+POINT_BIN = 16  # bases per bin when single bases meet depth segments
 
 
 def _mapped(alignments: DataFrame, include_duplicates: bool = True) -> DataFrame:
@@ -195,7 +196,10 @@ def transcript_body_coverage(alignments: DataFrame, exons: DataFrame, *, points:
 
 
 def _depth_at(seg: DataFrame, points: DataFrame) -> DataFrame:
-    """(sample, percentile, coverage): summed depth at ``points`` (g_chrom, g_pos, percentile)."""
+    """(sample, percentile, coverage): summed depth at ``points`` (g_chrom, g_pos, percentile).
+
+    There are ``points`` rows per gene, so they are shuffled by bin and never sent to the driver; a point is one base, so
+    narrow bins leave hardly more pairs than points and samples."""
     j = overlap_join(seg, points.withColumn("g_pos2", F.col("g_pos")), left_cols=("chrom", "seg_start", "seg_end"),
-                     right_cols=("g_chrom", "g_pos", "g_pos2"), broadcast_right=None)
+                     right_cols=("g_chrom", "g_pos", "g_pos2"), bin_size=POINT_BIN, broadcast_right=False)
     return j.groupBy("sample", "percentile").agg(F.sum("depth").alias("coverage"))
