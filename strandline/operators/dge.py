@@ -293,7 +293,8 @@ def adjust_p(results: DataFrame, *, method: str = "BH", group: str = "contrast",
     d = d.join(carry, [group, "_tile"]).withColumn("_rank", F.col("_carry") + F.sum("_k").over(wi))
     d = d.withColumn("_v", F.col("_m") * F.col(p) / F.col("_rank"))
     # suffix minimum over ascending p: inside the tile, then across later (larger-p) tiles
-    ws = Window.partitionBy(group, "_tile").orderBy(p).rowsBetween(0, Window.unboundedFollowing)
+    # (a running minimum from the largest p down: a frame with an open end is worked out anew for every row)
+    ws = Window.partitionBy(group, "_tile").orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_smin", F.min("_v").over(ws))
     tmin = d.groupBy(group, "_tile").agg(F.min("_v").alias("_tmin"))
     wl = Window.partitionBy(group).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
