@@ -14,12 +14,16 @@ Abundances are checkpointed every few rounds (the shared ``spark.checkpoint.dir`
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.align import _strands, kmer_index
 from strandline.operators.intervals import fits_broadcast
+from strandline.operators.mapping import _by_length, _hashes
 from strandline.session import ensure_checkpoint_dir
 
 QUANT_K = 31
@@ -27,6 +31,7 @@ EM_ITERATIONS = 500
 CHECKPOINT_EVERY = 5
 CONVERGED = 1e-6
 INDEX_BROADCAST = 300_000  # index rows (about 100 bytes each) that may be broadcast, after counting them
+FILTER_BITS = 24  # leading hash bits that are looked up before the hash itself
 STRANDED = 0.7  # share of one orientation from which a library is stranded
 MAX_FRAGMENT = 1000
 FRAGMENT_MEAN, FRAGMENT_SD = 250.0, 25.0  # single ends: the assumed distribution of fragment lengths
@@ -44,6 +49,39 @@ def _numbered(transcripts: DataFrame) -> DataFrame:
     return t
 
 
+def _may_match(idx: DataFrame, k: int):
+    """Whether a read has a k-mer whose hash is that of an index k-mer; the others need not be cut into rows.  The hashes of
+    the index pass through the driver: only for an index that may be broadcast."""
+    @F.pandas_udf("long")
+    def hashed(kmers: pd.Series) -> pd.Series:
+        out = np.zeros(len(kmers), dtype=np.int64)
+        for rows, m in _by_length(kmers):  # of one length, k
+            out[rows] = _hashes(m, k)[:, 0].view(np.int64)
+        return pd.Series(out)
+
+    known = np.sort(idx.select("kmer").where(F.length("kmer") == k).distinct().select(hashed("kmer").alias("h")).toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+    shift = np.uint64(64 - FILTER_BITS)
+
+    @F.pandas_udf("boolean")
+    def may(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        some = np.zeros(1 << FILTER_BITS, dtype=bool)
+        some[(known >> shift).astype(np.int64)] = True
+        for seqs in batches:
+            found = np.zeros(len(seqs), dtype=bool)
+            seqs = seqs.fillna("").reset_index(drop=True)
+            for rows, m in _by_length(seqs):
+                if m.shape[1] < k or not len(known):
+                    continue
+                h = _hashes(m, k)
+                r, c = np.nonzero(some[(h >> shift).astype(np.int64)])
+                x = h[r, c]
+                sure = known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+                found[rows[r[sure]]] = True
+            yield pd.Series(found)
+
+    return may
+
+
 def mappings(reads: DataFrame, transcripts: DataFrame, *, k: int = QUANT_K) -> DataFrame:
     """(sample, read_id, mate, length, tx, strand, start): the transcripts that hold all matched k-mers of each read, by
     orientation; ``start`` is the read's first base on that strand (0-based).  ``reads`` has sample, read_id, mate, seq;
@@ -51,6 +89,7 @@ def mappings(reads: DataFrame, transcripts: DataFrame, *, k: int = QUANT_K) -> D
     idx = kmer_index(_strands(transcripts.select(F.col("tx").alias("name"), "seq")), k=k, width=max(64, 2 * k + 2)) \
         .select("kmer", F.col("name").alias("tx"), "strand", "pos0")
     if fits_broadcast(idx, INDEX_BROADCAST):
+        reads = reads.where(F.length("seq") >= k).where(_may_match(idx, k)(F.upper("seq")))
         idx = F.broadcast(idx)
     rk = reads.where(F.length("seq") >= k).select(*READ, F.upper("seq").alias("seq"), F.length("seq").alias("length"),
                                                   F.explode(F.sequence(F.lit(0), F.length("seq") - k)).alias("i"))
