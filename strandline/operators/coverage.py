@@ -16,6 +16,7 @@ BIN_SIZE = 10
 WINDOW = 25
 ZOOM_LEVELS = 5
 COMPACT_TILE = 1 << 16
+COMPACT_WIDER = 1 << 12  # how much wider the tiles are in which runs at the edges of tiles meet
 POINT_BIN = 16  # bases per bin when single bases meet depth segments
 
 
@@ -40,11 +41,13 @@ def binned_coverage(alignments: DataFrame, *, bin_size: int = BIN_SIZE) -> DataF
     """V1: reads per bin (a read counts once in every bin one of its blocks touches); empty bins omitted.
 
     Bins are 0-based half-open [start0, end)."""
-    blocks = F.transform(cigar_blocks("pos", "cigar"),
-                         lambda b: F.sequence(F.floor((b["start"] - 1) / bin_size), F.floor((b["end"] - 1) / bin_size)))
-    x = _mapped(alignments).select("sample", F.col("ref").alias("chrom"),
-                                   F.explode(F.array_distinct(F.flatten(blocks))).alias("bin"))
-    c = x.groupBy("sample", "chrom", "bin").agg(F.count(F.lit(1)).alias("count"))
+    def touched(b):
+        return F.sequence(F.floor((b["start"] - 1) / bin_size), F.floor((b["end"] - 1) / bin_size))
+
+    x = _mapped(alignments).select("sample", F.col("ref").alias("chrom"), cigar_blocks("pos", "cigar").alias("_b"))
+    # blocks of one read may share a bin; one block never repeats one
+    all_bins = F.when(F.size("_b") == 1, touched(F.col("_b")[0])).otherwise(F.array_distinct(F.flatten(F.transform("_b", touched))))
+    c = x.select("sample", "chrom", F.explode(all_bins).alias("bin")).groupBy("sample", "chrom", "bin").agg(F.count(F.lit(1)).alias("count"))
     return c.select("sample", "chrom", (F.col("bin") * bin_size).alias("start0"),
                     ((F.col("bin") + 1) * bin_size).alias("end"), "count")
 
@@ -127,35 +130,36 @@ def zoom_levels(windows: DataFrame, *, window: int = WINDOW, levels: int = ZOOM_
                     "max_depth")
 
 
+def _merged_runs(bins: DataFrame, part: list[str]) -> DataFrame:
+    """Runs of adjacent rows with equal ``_v`` within ``part``, ordered by start0: (part, start0, end, _v, _edge); ``_edge``
+    marks the first and the last run of a part, which may go on in its neighbours."""
+    w = Window.partitionBy(*part).orderBy("start0")
+    pend = F.lag("end").over(w)
+    start = ~(pend.isNotNull() & (pend == F.col("start0")) & (F.lag("_v").over(w) == F.col("_v")))
+    b = bins.withColumn("_start", start).withColumn("_island", F.max(F.when(F.col("_start"), F.col("start0"))).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = b.groupBy(*part, "_island").agg(F.min("start0").alias("start0"), F.max("end").alias("end"), F.first("_v").alias("_v")) \
+        .drop("_island")
+    return runs.withColumn("_edge", F.lag("end").over(w).isNull() | F.lead("end").over(w).isNull())
+
+
 def compact_track(bins: DataFrame, *, value: str = "count", tile: int = COMPACT_TILE) -> DataFrame:
     """V6: merge runs of adjacent bins with equal value into one bedGraph row (islands).
 
-    Island starts are found inside (sample, chrom, tile) windows; a bin that
-    opens a tile continues the previous tile's run when the previous tile ends
-    with the adjacent bin at the same value.  Runs crossing tiles get the start
-    of the latest earlier island through a carry over the (small) tile table.
+    Runs are found inside (sample, chrom, tile) windows.  Only the first and the last run of a tile can go on in another
+    tile; these meet in tiles that are ``COMPACT_WIDER`` times as wide, and what is left at the edges of those in one
+    window per (sample, chrom): two rows per wide tile.  Rows without sample, chrom or start are left out.
     """
     key = ["sample", "chrom"]
-    b = bins.select(*key, "start0", "end", F.col(value).alias("_v")) \
-        .withColumn("_tile", F.floor(F.col("start0") / F.lit(tile)))
-    w = Window.partitionBy(*key, "_tile").orderBy("start0")
-    b = b.withColumn("_pend", F.lag("end").over(w)).withColumn("_pv", F.lag("_v").over(w))
-    # last bin of each tile, offered to the next tile's first bin
-    last = b.groupBy(*key, "_tile").agg(F.max(F.struct("start0", "end", "_v")).alias("_l")) \
-        .select(*key, (F.col("_tile") + 1).alias("_tile"), F.col("_l.end").alias("_xend"), F.col("_l._v").alias("_xv"))
-    b = b.join(last, [*key, "_tile"], "left")
-    pend = F.coalesce(F.col("_pend"), F.col("_xend"))
-    pv = F.when(F.col("_pend").isNotNull(), F.col("_pv")).otherwise(F.col("_xv"))
-    b = b.withColumn("_start", ~(pend.isNotNull() & (pend == F.col("start0")) & (pv == F.col("_v"))))
-    b = b.withColumn("_island", F.max(F.when(F.col("_start"), F.col("start0"))).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    # runs that began in an earlier tile: carry the last island start of earlier tiles
-    tiles = b.groupBy(*key, "_tile").agg(F.max(F.when(F.col("_start"), F.col("start0"))).alias("_ls"))
-    wt = Window.partitionBy(*key).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tiles.select(*key, "_tile", F.max("_ls").over(wt).alias("_carry"))
-    b = b.join(carry, [*key, "_tile"]).withColumn("_island", F.coalesce("_island", "_carry"))
-    return b.groupBy(*key, "_island").agg(F.min("start0").alias("start0"), F.max("end").alias("end"),
-                                          F.first("_v").alias(value)).drop("_island")
+    out = ["sample", "chrom", "start0", "end", F.col("_v").alias(value)]
+    at = F.col("start0")
+    b = bins.where(F.col("sample").isNotNull() & F.col("chrom").isNotNull() & at.isNotNull()) \
+        .select(*key, "start0", "end", F.col(value).alias("_v"))
+    runs = _merged_runs(b.withColumn("_tile", F.floor(at / F.lit(tile))), [*key, "_tile"])
+    wide = _merged_runs(runs.where("_edge").select(*key, "start0", "end", "_v", F.floor(at / F.lit(tile * COMPACT_WIDER)).alias("_tile")),
+                        [*key, "_tile"])
+    last = _merged_runs(wide.where("_edge").select(*key, "start0", "end", "_v"), key)
+    return runs.where("not _edge").select(*out).unionByName(wide.where("not _edge").select(*out)).unionByName(last.select(*out))
 
 
 def gene_body_coverage(alignments: DataFrame, genes: DataFrame, *, points: int = 100) -> DataFrame:
