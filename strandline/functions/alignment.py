@@ -42,9 +42,12 @@ def cigar_blocks(pos: str = "pos", cigar: str = "cigar") -> Column:
     """Aligned reference blocks (1-based closed) of an alignment.
 
     M, =, X and D extend the current block; N (intron) closes it; I, S, H, P
-    consume no reference.  Evaluated by ``aggregate`` inside the JVM.
+    consume no reference.  Evaluated by ``aggregate`` inside the JVM; the common CIGAR of one M or = is one
+    block and takes a short way.
     """
     return F.expr(f"""
+      if(coalesce({pos} >= 0 and {cigar} rlike '^[0-9]+[M=]$', false),
+        array(named_struct('start', cast({pos} as bigint), 'end', cast({pos} as bigint) + cast(left({cigar}, length({cigar}) - 1) as bigint) - 1)),
       aggregate(
         regexp_extract_all({cigar}, '{CIGAR_TOKEN}', 0),
         named_struct('r', cast({pos} as bigint), 'bs', cast(-1 as bigint), 'blocks', cast(array() as {BLOCK_TYPE})),
@@ -57,7 +60,7 @@ def cigar_blocks(pos: str = "pos", cigar: str = "cigar") -> Column:
                          'blocks', if(acc.bs < 0, acc.blocks,
                                       array_append(acc.blocks, named_struct('start', acc.bs, 'end', acc.r - 1))))
           else acc end,
-        acc -> if(acc.bs < 0, acc.blocks, array_append(acc.blocks, named_struct('start', acc.bs, 'end', acc.r - 1))))
+        acc -> if(acc.bs < 0, acc.blocks, array_append(acc.blocks, named_struct('start', acc.bs, 'end', acc.r - 1)))))
     """)
 
 
