@@ -138,9 +138,10 @@ def _merged_runs(bins: DataFrame, part: list[str]) -> DataFrame:
     start = ~(pend.isNotNull() & (pend == F.col("start0")) & (F.lag("_v").over(w) == F.col("_v")))
     b = bins.withColumn("_start", start).withColumn("_island", F.max(F.when(F.col("_start"), F.col("start0"))).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = b.groupBy(*part, "_island").agg(F.min("start0").alias("start0"), F.max("end").alias("end"), F.first("_v").alias("_v")) \
-        .drop("_island")
-    return runs.withColumn("_edge", F.lag("end").over(w).isNull() | F.lead("end").over(w).isNull())
+    whole = Window.partitionBy(*part)  # in the same order: no further sort
+    b = b.withColumn("_edge", (F.col("_island") == F.min("start0").over(whole)) | (F.col("_island") == F.max("_island").over(whole)))
+    return b.groupBy(*part, "_island").agg(F.min("start0").alias("start0"), F.max("end").alias("end"), F.first("_v").alias("_v"),
+                                           F.first("_edge").alias("_edge")).drop("_island")
 
 
 def compact_track(bins: DataFrame, *, value: str = "count", tile: int = COMPACT_TILE) -> DataFrame:
