@@ -41,11 +41,9 @@ def count_type(gff: DataFrame, feature_type: str | None = None) -> DataFrame:
     c = gff.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
     if feature_type is None:
         return c
-    seen = c.agg(F.array_sort(F.collect_set("type")).alias("types"))
+    seen = c.agg(F.array_sort(F.collect_set("type")).alias("types"), F.max(F.when(F.col("type") == feature_type, F.col("n"))).alias("n"))
     failed = F.raise_error(F.concat(F.lit(f"no feature of type {feature_type}; valid types: "), F.array_join("types", ", ")))
-    wanted = c.where(F.col("type") == feature_type)
-    return seen.select(F.when(F.array_contains("types", feature_type), F.lit(feature_type)).otherwise(failed).alias("type")) \
-        .join(wanted, "type")
+    return seen.select(F.when(F.array_contains("types", feature_type), F.lit(feature_type)).otherwise(failed).alias("type"), "n")
 
 
 def attribute_profile(gff: DataFrame, feature_type: str, attribute: str) -> DataFrame:
