@@ -9,10 +9,14 @@ from __future__ import annotations
 
 from functools import wraps
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from strandline.functions.sequence import base_count, gc_count, quals
+from strandline.functions.sequence import PHRED_OFFSET, base_count, gc_count, quals
 from strandline.session import ensure_checkpoint_dir
 
 # Percentiles of the per-base quality plot.
@@ -207,31 +211,111 @@ _Q, _B, _M, _G, _L, _A, _C = "q", "b", "m", "g", "l", "a", "c"
 def read_profile(reads: DataFrame, adapters: list[tuple[str, str]] = ADAPTERS) -> DataFrame:
     """(sample, kind, position, value, n): everything the QC modules count, from one scan of the reads.
 
-    A read becomes tagged (kind, position, value) entries that are counted at once; a sequence is an entry of its two
-    hashes, whose counts are then counted themselves.  What is left has a few rows per sample, position and
-    value, however many reads there are."""
-    def entry(kind: str, position: Column, value: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), position.cast("long").alias("position"), value.cast("long").alias("value"))
-
-    none, at = F.lit(0), lambda i: i + 1
-    scores = F.coalesce(quals("qual"), F.array().cast("array<int>"))
-    letters = F.coalesce(F.split("seq", ""), F.array().cast("array<string>"))
-    mean = F.floor(F.aggregate(quals("qual"), F.lit(0).cast("bigint"), lambda a, x: a + x) / F.size(quals("qual")))
+    Letters and scores are counted per Arrow batch (``_batch_profile``), so a batch leaves a few rows per sample, position
+    and value, and one per sequence: its two hashes, whose counts are then counted themselves.  What is left is small
+    however many reads there are."""
     acgt = base_count("seq", "ACGTacgt")
     h1, h2 = _sequence_key()
-    single = F.array_compact(F.array(
-        F.when(F.length("qual") > 0, entry(_M, none, mean)), F.when(acgt > 0, entry(_G, none, F.round(gc_count("seq") * 100.0 / acgt))),
-        entry(_L, none, F.length("seq")), entry(_C, h1, h2),
-        *[F.when(F.instr("seq", s) > 0, entry(_A, F.instr("seq", s), F.lit(k))) for k, (_, s) in enumerate(adapters)]))
-    x = reads.select("sample", F.inline(F.concat(
-        F.transform(scores, lambda q, i: entry(_Q, at(i), q)), F.transform(letters, lambda c, i: entry(_B, at(i), F.ascii(c))), single)))
-    n = x.groupBy("sample", "kind", "position", "value").agg(F.count(F.lit(1)).alias("n"))
+    kind = reads.schema["sample"].dataType
+    unit = F.col("sample") if isinstance(kind, StringType) else F.to_json(F.struct("sample"))
+    x = reads.select(
+        "sample", unit.alias("unit"), "seq", "qual", F.length("seq").cast("long").alias(_L), h1.alias("h1"), h2.alias("h2"),
+        F.when(acgt > 0, F.round(gc_count("seq") * 100.0 / acgt)).cast("long").alias(_G),
+        *[F.instr("seq", s).cast("long").alias(f"{_A}{k}") for k, (_, s) in enumerate(adapters)])
+    out = StructType([StructField("sample", kind), StructField("kind", StringType()), *[
+        StructField(c, LongType()) for c in ("position", "value", "n")]])
+    n = x.mapInArrow(_batch_profile(len(adapters)), out).groupBy("sample", "kind", "position", "value").agg(F.sum("n").alias("n"))
     copies = F.col("kind") == _C
     return n.groupBy("sample", "kind", F.when(copies, F.lit(0)).otherwise(F.col("position")).cast("long").alias("position"),
                      F.when(copies, F.col("n")).otherwise(F.col("value")).alias("value")).agg(
         F.sum(F.when(copies, F.lit(1)).otherwise(F.col("n"))).alias("n"))
 
 
+def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all strings of a column, and how many each has (null: none)."""
+    text = column.fill_null("").cast(pa.large_binary())
+    n = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.frombuffer(text.buffers()[1], dtype=np.int64)[text.offset]
+    flat = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)[first:first + n.sum()]
+    if (flat > 127).any():
+        words = column.fill_null("").to_pylist()
+        n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        flat = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+    return flat, n
+
+
+def _counted(unit: np.ndarray, position: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (unit, position, value) of integers from 0 on, and how often each occurs."""
+    if not len(unit):
+        return unit, position, value, unit
+    high, wide = int(value.max()) + 1, int(position.max()) + 1
+    code = (unit * wide + position) * high + value
+    if (size := (int(unit.max()) + 1) * wide * high) <= 4 * len(code) + (1 << 16):
+        n = np.bincount(code, minlength=size)
+        code = np.flatnonzero(n)
+        n = n[code]
+    else:
+        code, n = np.unique(code, return_counts=True)
+    return code // (wide * high), code // high % wide, code % high, n
+
+
+def _batch_profile(adapters: int):
+    """Counts (sample, kind, position, value, n) of each Arrow batch of reads."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            units = batch.column("unit").dictionary_encode("encode")
+            unit = units.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            _, rows = np.unique(unit, return_index=True)  # a row of each unit
+            parts = []  # kind, row of the sample, position, value, n
+
+            def add(kind, unit, position, value, n, less=0):
+                parts.append((kind, rows[unit], position, value - less, n))
+
+            for kind, name, less in ((_B, "seq", 0), (_Q, "qual", PHRED_OFFSET)):
+                flat, n = _letters(batch.column(name))
+                begin = np.cumsum(n) - n
+                at = np.arange(len(flat)) - np.repeat(begin, n)
+                add(kind, *_counted(np.repeat(unit, n), at + 1, flat.astype(np.int64)), less)
+                # an empty string is one empty letter
+                bare = np.flatnonzero((n == 0) & batch.column(name).is_valid().to_numpy(zero_copy_only=False))
+                add(kind, *_counted(unit[bare], np.ones(len(bare), dtype=np.int64), np.zeros(len(bare), dtype=np.int64)), less)
+            some = np.flatnonzero(n > 0)  # of the scores
+            if len(some):
+                total = np.add.reduceat(flat.astype(np.int64), begin[some]) - PHRED_OFFSET * n[some]
+                mean = np.floor(total / n[some]).astype(np.int64) + PHRED_OFFSET
+                add(_M, *_counted(unit[some], np.zeros_like(some), mean), PHRED_OFFSET)
+            for kind, position in ((_G, False), (_L, False), *((f"{_A}{k}", True) for k in range(adapters))):
+                column = batch.column(kind)
+                known = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+                value = column.fill_null(0).to_numpy(zero_copy_only=False)
+                known = known[value[known] > 0] if position else known
+                none = np.zeros(len(known), dtype=np.int64)
+                if position:
+                    u, at, _, n = _counted(unit[known], value[known], none)
+                    add(_A, u, at, np.full(len(u), int(kind[1:])), n)
+                else:
+                    add(kind, *_counted(unit[known], none, value[known]))
+            bare = np.flatnonzero(batch.column(_L).is_null().to_numpy(zero_copy_only=False))
+            every, sample = np.arange(batch.num_rows), batch.column("sample")
+
+            def table(kind, at, position, value, n):
+                return pa.RecordBatch.from_arrays(
+                    [sample.take(pa.array(at)), pa.array([kind]).take(pa.array(np.zeros(len(at), dtype=np.int64))),
+                     pa.array(position), value, pa.array(n)], ["sample", "kind", "position", "value", "n"])
+
+            for kind, at, position, value, n in parts:
+                if len(at):
+                    yield table(kind, at, position.astype(np.int64), pa.array(value.astype(np.int64)), n.astype(np.int64))
+            zero, one = np.zeros(len(bare), dtype=np.int64), np.ones(batch.num_rows, dtype=np.int64)
+            if len(bare):
+                yield table(_L, bare, zero, pa.nulls(len(bare), pa.int64()), one[:len(bare)])
+            yield table(_C, every, batch.column("h1").to_numpy(zero_copy_only=False), batch.column("h2"), one)
+
+    return run
+
+
 def profile_tables(profile: DataFrame, adapters: list[tuple[str, str]] = ADAPTERS) -> dict[str, DataFrame]:
     """The tables of Q1-Q7, Q9 and Q10 from a ``read_profile``."""
     if "mate" in profile.columns:

@@ -55,3 +55,16 @@ def test_overrepresented_by_plain_counts(spark):
     assert got == plain and len(got) > 3
     shuffled = Q._sequence_counts(reads)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(sample" in shuffled and "seq" not in shuffled.split("Exchange")[1].split("\n")[0]
+
+
+def test_letters_are_counted_before_they_become_rows(spark):
+    rows = [("S", "ACGé", "II#I"), ("S", "", ""), ("S", None, None), (None, "AC", "#!"), ("T", "ACGé", "II#I")]
+    profile = Q.read_profile(spark.createDataFrame(rows, "sample string, seq string, qual string"))
+    want = {}
+    for s, seq, qual in rows:
+        for i, c in enumerate(seq or ([""] if seq is not None else [])):
+            want[s, "b", i + 1, ord(c or "\0")] = want.get((s, "b", i + 1, ord(c or "\0")), 0) + 1
+        for i, c in enumerate(qual or ([""] if qual is not None else [])):
+            want[s, "q", i + 1, ord(c or "\0") - 33] = want.get((s, "q", i + 1, ord(c or "\0") - 33), 0) + 1
+    assert {tuple(r)[:4]: r["n"] for r in profile.where("kind in ('b', 'q')").collect()} == want
+    assert "Generate" not in profile._jdf.queryExecution().executedPlan().toString()
