@@ -99,13 +99,16 @@ def _mark_records(a: DataFrame, quality_col: str) -> DataFrame:
 
 
 def _mark_fragments(a: DataFrame, quality_col: str) -> DataFrame:
-    end = F.struct("ref", F.col("_five").alias("five"), F.col("_strand").alias("strand"))
-    # a fragment has at most two primary records
-    frags = a.groupBy("sample", "frag_id").agg(F.sort_array(F.collect_list(end)).alias("_ends"),
-                                               F.sum(quality_col).alias("_q"))
+    # ends are told by 64-bit hashes: smallest, largest and number settle two of them, the sums what repeated ids add;
+    # all are numbers, so fragments come from a hash aggregation without sorting records
+    h, part = F.xxhash64("ref", "_five", "_strand"), F.lit(1 << 31)
+    frags = a.withColumn("_h", h).groupBy("sample", "frag_id").agg(
+        F.min("_h").alias("_h1"), F.max("_h").alias("_h2"), F.count(F.lit(1)).alias("_n"),
+        F.sum(F.pmod("_h", part)).alias("_s1"), F.sum(F.pmod(F.xxhash64("_h"), part)).alias("_s2"), F.sum(quality_col).alias("_q"))
+    ends = ["sample", "_h1", "_h2", "_n", "_s1", "_s2"]
     rank_key = F.struct(-F.col("_q"), F.col("frag_id"))
-    best = frags.groupBy("sample", "_ends").agg(F.min(rank_key).alias("_best"))
-    lost = frags.join(best, ["sample", "_ends"]).where(rank_key != F.col("_best")).select(
+    best = frags.groupBy(*ends).agg(F.min(rank_key).alias("_best"))
+    lost = frags.join(best, ends).where(rank_key != F.col("_best")).select(
         "sample", "frag_id", F.lit(True).alias("_dup"))
     return (a.join(lost, ["sample", "frag_id"], "left")
             .withColumn("duplicate", F.coalesce("_dup", F.lit(False))).drop("_five", "_strand", "_dup"))

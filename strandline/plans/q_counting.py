@@ -120,15 +120,19 @@ def q_count_multi_overlap(spark, sf_dir):
 
 def pair_alignments(spark, sf_dir):
     """fx_pairs as two alignment records per fragment (mate 2 on the opposite strand)."""
-    p = fx.fx_pairs(spark, sf_dir)
+    return _mates(fx.fx_pairs(spark, sf_dir), F.lit(0))
+
+
+def _mates(p, more):
+    """Both records of every fragment from one pass over the pairs; ``more`` is added to the flags."""
     rev1 = F.col("strand1") == "-"
-    m1 = p.select("sample", "frag_id", "ref", F.col("pos1").alias("pos"),
-                  F.concat((F.col("end1") - F.col("pos1") + 1).cast("string"), F.lit("M")).alias("cigar"),
-                  (F.lit(1 + 64) + F.when(rev1, 16).otherwise(0) + F.when(rev1, 0).otherwise(32)).alias("flag"))
-    m2 = p.select("sample", "frag_id", "ref", F.col("pos2").alias("pos"),
-                  F.concat((F.col("end2") - F.col("pos2") + 1).cast("string"), F.lit("M")).alias("cigar"),
-                  (F.lit(1 + 128) + F.when(rev1, 0).otherwise(16) + F.when(rev1, 32).otherwise(0)).alias("flag"))
-    return m1.unionByName(m2).withColumn("nh", F.lit(1))
+
+    def mate(k, bit, back):
+        size = (F.col(f"end{k}") - F.col(f"pos{k}") + 1).cast("string")
+        flag = F.lit(1 + bit) + F.when(back, 16).otherwise(0) + F.when(back, 0).otherwise(32) + more
+        return F.struct(F.col(f"pos{k}").alias("pos"), F.concat(size, F.lit("M")).alias("cigar"), flag.cast("int").alias("flag"))
+
+    return p.select("sample", "frag_id", "ref", F.inline(F.array(mate(1, 64, rev1), mate(2, 128, ~rev1)))).withColumn("nh", F.lit(1))
 
 
 @query("count_paired_fragments", oracle="""

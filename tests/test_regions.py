@@ -79,3 +79,17 @@ def test_all_transcripts_make_junctions_known(spark):
     assert got == {("event", "known"): 2, ("junction", "known"): 2, ("event", "partial_novel"): 1, ("junction", "partial_novel"): 1}
     level = R.junction_saturation(a, e, bucket=F.lit(0)).where("level = 100").first()
     assert (level["all_junctions"], level["known"], level["novel"]) == (3, 2, 1)
+
+
+def test_fragments_meet_by_numbers(spark):
+    from strandline.operators import alignment as AL
+
+    rows = []
+    for i, (a, b, n) in enumerate([(100, 300, 1), (300, 100, 1), (100, 300, 2), (100, 301, 1), (100, 300, 1)]):
+        first = 1 + 64 if i != 1 else 1 + 128
+        rows += [("S", i, "c", a, "10M", first, n), ("S", i, "c", b, "10M", 193 - first, n)]
+    df = spark.createDataFrame(rows, "sample string, frag_id long, ref string, pos long, cigar string, flag int, base_quality_sum int")
+    marked = AL.mark_duplicates(df)
+    got = {r["frag_id"] for r in marked.where("duplicate").collect()}
+    assert got == {0, 1, 4}  # fragment 2 has the best qualities, 3 ends elsewhere
+    assert "collect_list" not in marked._jdf.queryExecution().executedPlan().toString()
