@@ -87,7 +87,7 @@ def test_fragments_meet_by_numbers(spark):
     rows = []
     for i, (a, b, n) in enumerate([(100, 300, 1), (300, 100, 1), (100, 300, 2), (100, 301, 1), (100, 300, 1)]):
         first = 1 + 64 if i != 1 else 1 + 128
-        rows += [("S", i, "c", a, "10M", first, n), ("S", i, "c", b, "10M", 193 - first, n)]
+        rows += [("S", i, "c", a, "10M", first, n), ("S", i, "c", b, "10M", 194 - first, n)]
     df = spark.createDataFrame(rows, "sample string, frag_id long, ref string, pos long, cigar string, flag int, base_quality_sum int")
     marked = AL.mark_duplicates(df)
     got = {r["frag_id"] for r in marked.where("duplicate").collect()}
