@@ -69,13 +69,16 @@ def _gapped(m: np.ndarray, n: np.ndarray, probe: np.ndarray, allowed: np.ndarray
     Row i of the state holds, for the first i adapter bases ending at the current read position, the fewest
     errors and with them the smallest start, as ``errors << shift | start``."""
     size, width = len(probe), m.shape[1]
-    kind, shift = (np.int32, 16) if width < 1 << 16 and size < 1 << 14 else (np.int64, 32)
+    if indels and width < 1 << 9 and size < 60:  # never more errors than adapter bases and one
+        kind, shift = np.int16, 9
+    else:
+        kind, shift = (np.int32, 16) if width < 1 << 16 and size < 1 << 14 else (np.int64, 32)
     one, low = kind(1 << shift), kind((1 << shift) - 1)
     ramp = (np.arange(size + 1, dtype=kind) * one)[:, None]
     state = np.repeat(ramp, len(m), axis=1)
     if not indels:
         state[1:] += one * kind(1 << 12)  # adapter bases before the read
-    best = np.full(len(m), _NONE, dtype=np.int64)
+    best, spare = np.full(len(m), _NONE, dtype=np.int64), np.empty(len(m), dtype=kind)
 
     def offer(rows, i, cells):
         errors, start = (cells >> shift).astype(np.int64), (cells & low).astype(np.int64)
@@ -92,9 +95,8 @@ def _gapped(m: np.ndarray, n: np.ndarray, probe: np.ndarray, allowed: np.ndarray
         np.add(state[:-1], wrong * one, out=new[1:])
         if indels:
             np.minimum(new[1:], state[1:] + one, out=new[1:])
-            new -= ramp
-            np.minimum.accumulate(new, axis=0, out=new)
-            new += ramp
+            for i in range(1, size + 1):  # row by row over all reads, faster than accumulating down the columns
+                np.minimum(new[i], np.add(new[i - 1], one, out=spare), out=new[i])
         state = new
         if size >= min_overlap:
             live = every[n >= e]
