@@ -10,6 +10,7 @@ from strandline.operators import exprqc as N
 from strandline.operators import report as M
 from strandline.plans import q_counting, q_reads
 from strandline.plans.registry import query
+from strandline.session import ensure_checkpoint_dir
 from strandline.sources import fixtures as fx
 
 MODULES = ["fastp", "bowtie1", "star"]
@@ -349,9 +350,11 @@ def q_project_summary(spark, sf_dir):
     from strandline.operators import alignment as AL
 
     counts = q_counting.all_strand_counts(spark, sf_dir)
-    project = S.project_strand(S.classify_strand(S.strandness_ratio(counts)))
+    # rows that several items read: each comes from one pass over the reads
+    ensure_checkpoint_dir(spark)
+    project = S.project_strand(S.classify_strand(S.strandness_ratio(counts))).checkpoint()
     return M.project_summary(
-        contamination=SC.contamination_band(SC.contamination_rate(q_reads._screened(spark, sf_dir))),
+        contamination=SC.contamination_band(SC.contamination_rate(q_reads._screened(spark, sf_dir))).checkpoint(),
         mapping=AL.mapping_summary(fx.fx_alignments(spark, sf_dir)),
         annotation=S.annotation_rate(q_counting.all_strand_summary(spark, sf_dir), project),
         strand=project)

@@ -331,3 +331,10 @@ def test_pair_statistics_plan_does_not_grow_with_samples(spark):
     t0 = time.time()
     assert pairwise_sere(df, samples).count() == 60 * 59 // 2
     assert time.time() - t0 < 60
+
+
+def test_project_summary_screens_the_reads_once(spark):
+    from strandline.plans.q_coverage import q_project_summary
+
+    plan = q_project_summary(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "doc_id" not in plan and "item_id" not in plan
