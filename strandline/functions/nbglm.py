@@ -32,8 +32,9 @@ def lgamma(x):
     for i in range(1, 9):
         a = a + _LANCZOS[i] / (z + i)
     big = 0.5 * math.log(2 * math.pi) + (z + 0.5) * np.log(t) - t + np.log(a)
-    refl = np.log(math.pi / np.abs(np.sin(math.pi * x))) - big if small.any() else big
-    return np.where(small, refl, big)
+    if small.any():
+        big[small] = np.log(math.pi / np.abs(np.sin(math.pi * x[small]))) - big[small]
+    return big
 
 
 def trigamma(x):
@@ -53,10 +54,11 @@ def erfc(x):
     return np.vectorize(math.erfc, otypes=[float])(x)
 
 
-def nb_loglik(y, mu, alpha):
-    """Elementwise NB log-likelihood with dispersion alpha (variance mu + alpha mu^2)."""
+def nb_loglik(y, mu, alpha, factorial=None):
+    """Elementwise NB log-likelihood with dispersion alpha (variance mu + alpha mu^2); ``factorial``: lgamma(y + 1)."""
     r = 1.0 / alpha
-    return (lgamma(y + r) - lgamma(r) - lgamma(y + 1.0) + r * np.log(r / (r + mu)) + y * np.log(mu / (r + mu) + 1e-300))
+    factorial = lgamma(y + 1.0) if factorial is None else factorial
+    return (lgamma(y + r) - lgamma(r) - factorial + r * np.log(r / (r + mu)) + y * np.log(mu / (r + mu) + 1e-300))
 
 
 def irls(y, s, X, alpha, beta0=None, ridge=1e-6, max_iter=MAX_ITER, tol=1e-8):
@@ -130,12 +132,13 @@ def cr_profile(y, mu, X, log_alpha):
     if la.ndim == 1:
         la = np.broadcast_to(la[None, :], (y.shape[0], la.shape[0]))
     out = np.empty(la.shape)
+    factorial = lgamma(y + 1.0)
     for k in range(la.shape[1]):
         a = np.exp(la[:, k])[:, None]
         w = mu / (1.0 + a * mu)
         xtwx = np.einsum("gs,sp,sq->gpq", w, X, X)
         _, logdet = np.linalg.slogdet(xtwx)
-        out[:, k] = nb_loglik(y, mu, a).sum(axis=1) - 0.5 * logdet
+        out[:, k] = nb_loglik(y, mu, a, factorial).sum(axis=1) - 0.5 * logdet
     return out
 
 

@@ -79,6 +79,7 @@ def dispersions(counts: DataFrame, factors: DataFrame, design_long: DataFrame, s
     if fit == "parametric":
         use = gw.where(F.col("disp_gene_wise") > TREND_MIN_DISP).select(
             (1.0 / F.col("base_mean")).alias("inv_mean"), F.col("disp_gene_wise").alias("label"))
+        use = use.persist()  # two numbers per gene: every step of every fit reads them, not the counts
         coefs = (0.1, 1.0)
         for _ in range(10):
             data = use.where((F.col("label") / (coefs[0] + coefs[1] * F.col("inv_mean")) > 1e-4)
@@ -96,6 +97,7 @@ def dispersions(counts: DataFrame, factors: DataFrame, design_long: DataFrame, s
             a0, a1 = coefs
             if done:
                 break
+        use.unpersist()
     curve = local_trend(gw) if fit == "local" else None
     trend_kind = "local" if curve else "mean" if a0 is None else "parametric"
     if a0 is None and curve is None:
