@@ -52,7 +52,8 @@ def overlap_join(left: DataFrame, right: DataFrame, *, left_cols: tuple[str, str
     ``bin_size=None`` derives the width from the right side (``choose_bin_size``).
     ``broadcast_right=None`` broadcasts the right side when its row count is
     below ``BROADCAST_MAX_ROWS`` (annotation tables); otherwise the bins are
-    shuffled on ``(chrom, bin)`` and AQE splits skewed bins.
+    shuffled on ``(chrom, bin)`` and AQE splits skewed bins.  That join is asked for by name: Spark's
+    estimate leaves out how many rows an ``explode`` makes, and would broadcast either side by it.
     """
     lc, ls, le = left_cols
     rc, rs, re_ = right_cols
@@ -62,8 +63,7 @@ def overlap_join(left: DataFrame, right: DataFrame, *, left_cols: tuple[str, str
     rb = right.withColumn("_rbin", F.explode(bins(rs, re_, bin_size)))
     if broadcast_right is None:
         broadcast_right = fits_broadcast(rb)  # the rows that would be sent: one per bin
-    if broadcast_right:
-        rb = F.broadcast(rb)
+    rb = F.broadcast(rb) if broadcast_right else rb.hint("merge")
     first_shared = F.greatest(F.floor(F.col(ls) / F.lit(bin_size)), F.floor(F.col(rs) / F.lit(bin_size)))
     cond = ((F.col(lc) == F.col(rc)) & (F.col("_lbin") == F.col("_rbin"))
             & (F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le)))

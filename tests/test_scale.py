@@ -34,6 +34,19 @@ def test_points_of_genes_are_not_broadcast(spark, operator):
     assert {r.percentile: r.coverage for r in out.collect()} == {k: v for k, v in want.items() if v}
 
 
+@pytest.mark.parametrize("operator", [V.gene_body_coverage])
+def test_points_of_genes_from_files_are_not_broadcast(spark, tmp_path, operator):
+    """Of tables in files Spark estimates sizes, without the rows that points add."""
+    spark.createDataFrame([("s", 1, "c", 11, "50M", 0), ("s", 2, "c", 41, "20M", 0), (None, 3, "c", 90, "20M", 0), ("s", 4, None, 1, "9M", 0)],
+                          ALIGNMENTS).write.parquet(f"{tmp_path}/aln")
+    spark.createDataFrame([("c", "gene", 1, 100, "+", "a"), ("c", "gene", 1, 100, "+", "b"), (None, "gene", 1, 100, "+", "d")],
+                          "seqid string, type string, start_pos long, end_pos long, strand string, gene_id string").write.parquet(f"{tmp_path}/genes")
+    out = operator(spark.read.parquet(f"{tmp_path}/aln"), spark.read.parquet(f"{tmp_path}/genes"))
+    assert "BroadcastHashJoin" not in plan(out) and "SortMergeJoin" in plan(out)
+    want = {("s", p): 2 * ((11 <= p <= 60) + (41 <= p <= 60)) for p in range(11, 61)} | {(None, p): 2 for p in range(90, 101)}
+    assert {(r.sample, r.percentile): r.coverage for r in out.collect()} == want
+
+
 def test_compact_track_needs_no_window_over_all_tiles(spark, monkeypatch):
     """Runs over no, two and many tiles at each level, against a plain loop."""
     monkeypatch.setattr(V, "COMPACT_WIDER", 4)
